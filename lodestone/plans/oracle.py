@@ -73,3 +73,147 @@ ORACLE["unmatched_pivot"] = """
 SELECT DISTINCT o_custkey AS c_custkey FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)
 """
+
+_GATE = r"^[0-9]{4}(-[0-9]{1,2}-[0-9]{1,2}([Tt][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})?)?$"
+
+_EVENT_DATES = """
+ev AS (SELECT event_id, user_id, event_type, value, ts,
+              TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+ed AS (SELECT *, CASE WHEN event_type = 'click' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+                      WHEN event_type = 'view' THEN strftime(ts, '%Y-%m-%d')
+                      WHEN event_type = 'purchase' THEN strftime(ts, '%Y')
+                      WHEN event_type = 'signup' THEN CASE WHEN k < 50 THEN strftime(ts, '%Y-%m')
+                                                           ELSE strftime(ts, '%Y-%-m-%-d') END
+                      ELSE CASE WHEN k = 0 THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END
+                 END AS raw_date FROM ev),
+pd AS (SELECT *, CASE WHEN regexp_full_match(raw_date, '""" + _GATE + """')
+                       AND NOT starts_with(raw_date, '0000')
+                      THEN coalesce(try_strptime(replace(raw_date, 't', 'T'), '%Y-%m-%dT%H:%M:%S'),
+                                    try_strptime(raw_date, '%Y-%m-%d'),
+                                    try_strptime(raw_date, '%Y')) END AS parsed
+       FROM ed)
+"""
+
+ORACLE["date_gate"] = "WITH " + _EVENT_DATES + """
+SELECT event_id, raw_date, strftime(parsed, '%Y-%m-%d %H:%M:%S') AS event_date,
+       NOT (coalesce(raw_date <> '', false) AND parsed IS NULL) AS date_valid
+FROM pd
+"""
+
+ORACLE["safe_number"] = "WITH " + _EVENT_DATES + """,
+r AS (SELECT event_id, CASE WHEN event_type = 'error' THEN CAST(k AS VARCHAR) || 'x'
+                            WHEN event_type = 'view' THEN '' ELSE CAST(k AS VARCHAR) END AS raw FROM ev)
+SELECT event_id, raw, TRY_CAST(raw AS DOUBLE) AS as_double,
+       NULLIF(TRY_CAST(raw AS DOUBLE), 0) AS falsy_null
+FROM r
+"""
+
+_OCC = _EVENT_DATES + """,
+occ AS (SELECT event_id, user_id AS species_key,
+               CASE WHEN event_type = 'signup' AND value < 5 THEN NULL ELSE event_id END AS gid,
+               (event_type = 'error' AND k < 3) AS lat_text,
+               value / 2.5 - 90 AS lat,
+               (event_type = 'view' AND k > 90) AS lon_missing,
+               value - 180 AS lon,
+               (event_type = 'error' AND k BETWEEN 3 AND 10) AS basis_missing,
+               raw_date, parsed,
+               (event_type = 'purchase' AND k > 95) AS unc_bad, k
+        FROM pd),
+occ_checked AS (
+  SELECT *, CASE WHEN gid IS NULL OR gid = 0 THEN 'MISSING_GBIF_ID'
+                 WHEN lon_missing THEN 'MISSING_COORDINATES'
+                 WHEN lat_text THEN 'COORDINATES_OUT_OF_RANGE'
+                 WHEN NOT (lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180) THEN 'COORDINATES_OUT_OF_RANGE'
+                 WHEN basis_missing THEN 'MISSING_BASIS_OF_RECORD'
+                 WHEN raw_date <> '' AND parsed IS NULL THEN 'INVALID_EVENT_DATE'
+                 WHEN unc_bad THEN 'HTTP_ERROR' END AS rejection_reason
+  FROM occ)
+"""
+
+ORACLE["validate_occurrences"] = "WITH " + _OCC + """
+SELECT event_id, species_key, rejection_reason,
+       CASE WHEN rejection_reason IS NULL THEN gid END AS gbif_id,
+       CASE WHEN rejection_reason IS NULL THEN lat END AS decimal_latitude,
+       CASE WHEN rejection_reason IS NULL THEN lon END AS decimal_longitude,
+       CASE WHEN rejection_reason IS NULL THEN strftime(parsed, '%Y-%m-%d %H:%M:%S') END AS event_date,
+       CASE WHEN rejection_reason IS NULL THEN NULLIF(CAST(k AS DOUBLE), 0) END AS coordinate_uncertainty_m,
+       CASE rejection_reason WHEN 'MISSING_GBIF_ID' THEN 'species_key'
+                             WHEN 'COORDINATES_OUT_OF_RANGE' THEN 'gbif_id,lat,lon,species_key'
+                             WHEN 'INVALID_EVENT_DATE' THEN 'event_date,gbif_id,species_key'
+                             WHEN 'HTTP_ERROR' THEN 'error,gbif_id,species_key'
+                             WHEN NULL THEN NULL
+                             ELSE CASE WHEN rejection_reason IS NOT NULL THEN 'gbif_id,species_key' END
+       END AS context_keys
+FROM occ_checked
+"""
+
+_TAX = """
+tx AS (SELECT *, CASE WHEN p_type = 'PROMO' AND p_size > 45 THEN 'HTTP_ERROR'
+                      WHEN (p_type = 'LARGE' AND p_size < 5) OR (p_type = 'SMALL' AND p_size < 3) THEN 'NO_MATCH_RETURNED'
+                      WHEN p_size >= 40 THEN 'MATCH_TYPE_NOT_EXACT'
+                      WHEN p_type = 'MEDIUM' AND p_size = 1 THEN 'HTTP_ERROR' END AS rejection_reason,
+              (p_type = 'PROMO' AND p_size > 45) AS status_err
+       FROM part)
+"""
+
+ORACLE["validate_taxonomy"] = "WITH " + _TAX + """
+SELECT p_partkey, rejection_reason,
+       CASE WHEN rejection_reason IS NULL THEN CAST(p_partkey AS INTEGER) END AS usage_key,
+       CASE WHEN rejection_reason IS NULL THEN p_name END AS scientific_name,
+       CASE WHEN rejection_reason IS NULL THEN p_brand END AS canonical_name,
+       CASE WHEN rejection_reason IS NULL THEN p_type END AS rank,
+       CASE WHEN rejection_reason IS NULL THEN 'EXACT' END AS match_type,
+       CASE WHEN rejection_reason IS NULL THEN p_size END AS confidence,
+       CASE WHEN rejection_reason IS NULL THEN p_brand END AS kingdom,
+       CASE WHEN rejection_reason IS NULL THEN p_type END AS phylum,
+       CASE WHEN rejection_reason IS NULL AND p_size >= 10 THEN 'size_' || CAST(p_size AS VARCHAR) END AS class_name,
+       CASE WHEN rejection_reason IS NULL THEN NULL
+            WHEN status_err THEN 'http_status,species_key'
+            WHEN rejection_reason = 'MATCH_TYPE_NOT_EXACT' AND p_size > 40 THEN 'match_type,species_key'
+            WHEN rejection_reason = 'HTTP_ERROR' THEN 'error,species_key'
+            ELSE 'species_key' END AS context_keys
+FROM tx
+"""
+
+_PAGES = """
+pg AS (SELECT *, CASE WHEN source = 'src1' THEN 'PAGE_NOT_FOUND'
+                      WHEN source = 'src2' THEN 'HTTP_ERROR'
+                      WHEN source = 'src3' THEN 'PAGE_NOT_FOUND'
+                      WHEN source = 'src4' THEN 'DISAMBIGUATION_PAGE'
+                      WHEN length(text) < 50 THEN 'EXTRACT_TOO_SHORT'
+                      WHEN lang = 'de' OR text = '' THEN 'MISSING_SECTIONS_TEXT'
+                      WHEN source = 'src5' THEN 'HTTP_ERROR' END AS rejection_reason
+       FROM documents)
+"""
+
+ORACLE["validate_pages"] = "WITH " + _PAGES + """
+SELECT doc_id, rejection_reason,
+       CASE WHEN rejection_reason IS NULL THEN 'Doc ' || CAST(doc_id AS VARCHAR) END AS title,
+       CASE WHEN rejection_reason IS NULL THEN length(text) END AS extract_length,
+       CASE WHEN rejection_reason IS NULL THEN length(text) END AS sections_length,
+       CASE WHEN rejection_reason IS NULL THEN 'https://docs.example/' || CAST(doc_id AS VARCHAR) END AS page_url,
+       CASE WHEN rejection_reason IS NULL THEN 'DIRECT_TITLE' END AS resolved_via,
+       CASE WHEN rejection_reason IS NULL THEN NULL
+            WHEN source IN ('src1', 'src2') THEN 'http_status,species_key'
+            WHEN source = 'src4' THEN 'species_key,title'
+            WHEN rejection_reason = 'EXTRACT_TOO_SHORT' THEN 'extract_length,species_key'
+            WHEN rejection_reason = 'HTTP_ERROR' THEN 'error,species_key'
+            ELSE 'species_key' END AS context_keys
+FROM pg
+"""
+
+ORACLE["reject_report"] = "WITH " + _OCC + "," + _TAX + "," + _PAGES + """,
+allrej AS (SELECT 'wikipedia' AS source, rejection_reason FROM pg WHERE rejection_reason IS NOT NULL
+           UNION ALL SELECT 'gbif_taxonomy', rejection_reason FROM tx WHERE rejection_reason IS NOT NULL
+           UNION ALL SELECT 'gbif_occurrence', rejection_reason FROM occ_checked WHERE rejection_reason IS NOT NULL)
+SELECT source, rejection_reason, count(*) AS n_rejected FROM allrej GROUP BY ALL
+"""
+
+ORACLE["reconcile"] = "WITH " + _OCC + "," + _TAX + "," + _PAGES + """,
+u AS (SELECT 'wikipedia' AS source, rejection_reason FROM pg
+      UNION ALL SELECT 'gbif_taxonomy', rejection_reason FROM tx
+      UNION ALL SELECT 'gbif_occurrence', rejection_reason FROM occ_checked)
+SELECT source, count(*) AS n_input, count(*) FILTER (WHERE rejection_reason IS NULL) AS n_valid,
+       count(*) FILTER (WHERE rejection_reason IS NOT NULL) AS n_rejected, true AS balanced
+FROM u GROUP BY source
+"""

@@ -104,3 +104,103 @@ def q_unmatched_pivot(spark, sf_dir):
     """J4 order customers with no customer row (normally none)."""
     t = Tables(spark, sf_dir)
     return M.unmatched_pivot(t.orders, t.customer, "o_custkey", "c_custkey")
+
+
+# --- parsing and validation -------------------------------------------------
+
+from ..functions import date_is_invalid, falsy_to_null_double, parse_multi_date, safe_double  # noqa: E402
+from ..operators import rules as R  # noqa: E402
+from ..operators import validate as VAL  # noqa: E402
+
+_TS = "yyyy-MM-dd HH:mm:ss"
+
+
+def _ctx_keys(c: str = "context") -> F.Column:
+    return F.array_join(F.array_sort(F.map_keys(F.col(c))), ",").alias("context_keys")
+
+
+@register("date_gate")
+def q_date_gate(spark, sf_dir):
+    """P5 multi-format date parse with the strictness gate."""
+    e = V.event_date_text(Tables(spark, sf_dir))
+    return e.select("event_id", "raw_date",
+                    F.date_format(parse_multi_date("raw_date"), _TS).alias("event_date"),
+                    (~date_is_invalid("raw_date")).alias("date_valid"))
+
+
+@register("safe_number")
+def q_safe_number(spark, sf_dir):
+    """P6 / P7 safe numeric cast and falsy -> NULL on text derived from event props."""
+    e = V.event_date_text(Tables(spark, sf_dir))
+    raw = (F.when(F.col("event_type") == "error", F.concat(F.col("k").cast("string"), F.lit("x")))
+           .when(F.col("event_type") == "view", F.lit("")).otherwise(F.col("k").cast("string")))
+    e = e.select("event_id", raw.alias("raw"))
+    return e.select("event_id", "raw", safe_double("raw").alias("as_double"),
+                    falsy_to_null_double("raw").alias("falsy_null"))
+
+
+def checked_occurrences(t: Tables) -> DataFrame:
+    return VAL.validate_occurrences(V.occurrence_raw(t))
+
+
+def checked_taxonomy(t: Tables) -> DataFrame:
+    return VAL.validate_taxonomy(V.taxonomy_responses(t), key="p_partkey")
+
+
+def checked_pages(t: Tables) -> DataFrame:
+    return VAL.validate_pages(V.page_responses(t), key="doc_id")
+
+
+def _if_valid(c: str, name: str | None = None) -> F.Column:
+    return F.when(F.col(R.REASON).isNull(), F.col(c)).alias(name or c)
+
+
+@register("validate_occurrences")
+def q_validate_occurrences(spark, sf_dir):
+    """V3 / V4 occurrence rules, typed values of valid rows, context keys of rejects."""
+    c = checked_occurrences(Tables(spark, sf_dir))
+    return c.select("event_id", "species_key", R.REASON, _if_valid("gbif_id"),
+                    _if_valid("decimal_latitude"), _if_valid("decimal_longitude"),
+                    F.when(F.col(R.REASON).isNull(), F.date_format("event_date", _TS))
+                    .alias("event_date"),
+                    _if_valid("coordinate_uncertainty_m"), _ctx_keys())
+
+
+@register("validate_taxonomy")
+def q_validate_taxonomy(spark, sf_dir):
+    """V2 taxonomy rules with defaults for absent keys."""
+    c = checked_taxonomy(Tables(spark, sf_dir))
+    return c.select("p_partkey", R.REASON,
+                    *[_if_valid(x) for x in ("usage_key", "scientific_name", "canonical_name",
+                                             "rank", "match_type", "confidence", "kingdom",
+                                             "phylum", "class_name")], _ctx_keys())
+
+
+@register("validate_pages")
+def q_validate_pages(spark, sf_dir):
+    """V1 page rules over JSON payloads built from documents."""
+    c = checked_pages(Tables(spark, sf_dir))
+    return c.select("doc_id", R.REASON, _if_valid("title"),
+                    F.when(F.col(R.REASON).isNull(), F.length("extract")).alias("extract_length"),
+                    F.when(F.col(R.REASON).isNull(), F.length("sections_text"))
+                    .alias("sections_length"),
+                    _if_valid("page_url"), _if_valid("resolved_via"), _ctx_keys())
+
+
+@register("reject_report")
+def q_reject_report(spark, sf_dir):
+    """A6 / A5 rejected records by source and reason over the three validators."""
+    t = Tables(spark, sf_dir)
+    q = [R.quarantine_rows(checked_pages(t), "wikipedia", "b1", "doc_id"),
+         R.quarantine_rows(checked_taxonomy(t), "gbif_taxonomy", "b1", "p_partkey"),
+         R.quarantine_rows(checked_occurrences(t), "gbif_occurrence", "b1", "gbifID")]
+    return R.reject_report(*q)
+
+
+@register("reconcile")
+def q_reconcile(spark, sf_dir):
+    """L3 no silent loss: input = valid + rejected for every source."""
+    t = Tables(spark, sf_dir)
+    return (R.outcome_counts(checked_pages(t), "wikipedia")
+            .unionByName(R.outcome_counts(checked_taxonomy(t), "gbif_taxonomy"))
+            .unionByName(R.outcome_counts(checked_occurrences(t), "gbif_occurrence")))

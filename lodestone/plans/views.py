@@ -39,3 +39,90 @@ def order_observations(t: Tables) -> DataFrame:
 def customer_pivot(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", F.col("c_name").alias("title"), "c_nationkey",
                              "c_mktsegment")
+
+
+def _k(props: str = "props") -> F.Column:
+    return F.get_json_object(F.col(props), "$.k").try_cast("int")
+
+
+def event_date_text(t: Tables) -> DataFrame:
+    """Event times rendered in the shapes landed sources use, some of them invalid."""
+    k, et, ts = _k(), F.col("event_type"), F.col("ts")
+    raw = (F.when(et == "click", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
+           .when(et == "view", F.date_format(ts, "yyyy-MM-dd"))
+           .when(et == "purchase", F.date_format(ts, "yyyy"))
+           .when(et == "signup", F.when(k < 50, F.date_format(ts, "yyyy-MM"))
+                 .otherwise(F.date_format(ts, "yyyy-M-d")))
+           .otherwise(F.when(k == 0, F.lit("")).otherwise(
+               F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))))
+    return t.events.select("event_id", "user_id", "event_type", "value", "ts",
+                           k.alias("k"), raw.alias("raw_date"))
+
+
+def occurrence_raw(t: Tables) -> DataFrame:
+    """Events as raw occurrence records of their user (all fields as landed text)."""
+    e = event_date_text(t)
+    et, k, v = F.col("event_type"), F.col("k"), F.col("value")
+    return e.select(
+        "event_id", F.col("user_id").alias("species_key"),
+        F.when((et == "signup") & (v < 5), F.lit(None)).otherwise(
+            F.col("event_id").cast("string")).alias("gbifID"),
+        F.when((et == "error") & (k < 3), F.lit("n/a")).otherwise(
+            (v / 2.5 - 90).cast("string")).alias("decimalLatitude"),
+        F.when((et == "view") & (k > 90), F.lit(None)).otherwise(
+            (v - 180).cast("string")).alias("decimalLongitude"),
+        F.concat(F.lit("C"), F.floor(v / 50).cast("string")).alias("country"),
+        F.col("raw_date").alias("eventDate"),
+        F.when((et == "error") & k.between(3, 10), F.lit("")).otherwise(F.upper(et))
+        .alias("basisOfRecord"),
+        F.when(k < 30, F.lit("LC")).when(k < 60, F.lit("NT")).otherwise(F.lit("VU"))
+        .alias("iucnRedListCategory"),
+        F.when((et == "purchase") & (k > 95), F.concat(F.lit("x"), k.cast("string")))
+        .otherwise(k.cast("string")).alias("coordinateUncertaintyInMeters"))
+
+
+def taxonomy_responses(t: Tables) -> DataFrame:
+    """Parts as landed taxonomy responses: HTTP status plus JSON body text."""
+    p = t.part
+    body = F.to_json(F.struct(
+        F.when((F.col("p_type") == "MEDIUM") & (F.col("p_size") == 1), F.lit(None))
+        .otherwise(F.col("p_partkey")).alias("usageKey"),
+        F.col("p_name").alias("scientificName"),
+        F.col("p_brand").alias("canonicalName"),
+        F.col("p_type").alias("rank"),
+        F.when(F.col("p_size") > 40, F.lit("FUZZY")).when(F.col("p_size") == 40, F.lit(None))
+        .otherwise(F.lit("EXACT")).alias("matchType"),
+        F.col("p_size").alias("confidence"),
+        F.col("p_brand").alias("kingdom"),
+        F.col("p_type").alias("phylum"),
+        F.when(F.col("p_size") >= 10, F.concat(F.lit("size_"), F.col("p_size").cast("string")))
+        .alias("class"),
+    ), {"ignoreNullFields": "false"})
+    data = (F.when((F.col("p_type") == "LARGE") & (F.col("p_size") < 5), F.lit("{}"))
+            .when((F.col("p_type") == "SMALL") & (F.col("p_size") < 3), F.lit("not found"))
+            .otherwise(body))
+    status = F.when((F.col("p_type") == "PROMO") & (F.col("p_size") > 45), F.lit(500)) \
+        .otherwise(F.lit(200))
+    return p.select("p_partkey", status.alias("status"), data.alias("data"))
+
+
+def page_responses(t: Tables) -> DataFrame:
+    """Documents as landed page responses: summary status/body and extracts body."""
+    d = t.documents
+    src, key = F.col("source"), F.col("doc_id").cast("string")
+    title = F.when(src == "src5", F.lit("")).otherwise(F.concat(F.lit("Doc "), key))
+    summary = F.to_json(F.struct(
+        title.alias("title"), F.col("text").alias("extract"),
+        F.when(src == "src4", F.lit("disambiguation")).otherwise(F.lit("standard")).alias("type"),
+        F.struct(F.struct(F.concat(F.lit("https://docs.example/"), key).alias("page"))
+                 .alias("desktop")).alias("content_urls")))
+    page = F.struct(title.alias("title"),
+                    F.when(F.col("lang") == "de", F.lit("")).otherwise(F.col("text"))
+                    .alias("extract"))
+    pages = F.struct(F.create_map(key, page).alias("pages"))
+    extracts = F.to_json(F.struct(pages.alias("query")))
+    return d.select("doc_id",
+                    F.when(src == "src1", F.lit(404)).when(src == "src2", F.lit(500))
+                    .otherwise(F.lit(200)).alias("summary_status"),
+                    F.when(src == "src3", F.lit("null")).otherwise(summary).alias("summary_data"),
+                    extracts.alias("extracts_data"))
