@@ -217,3 +217,78 @@ SELECT source, count(*) AS n_input, count(*) FILTER (WHERE rejection_reason IS N
        count(*) FILTER (WHERE rejection_reason IS NOT NULL) AS n_rejected, true AS balanced
 FROM u GROUP BY source
 """
+
+_ORDER_BATCHES = """
+b1 AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, 1 AS ord
+       FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+b2 AS (SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice, o_orderpriority, 1 AS ord
+       FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'
+       UNION ALL
+       SELECT o_orderkey, o_custkey, 'V', o_totalprice + 1, o_orderpriority, 2
+       FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01')
+"""
+
+ORACLE["upsert_all"] = "WITH " + _ORDER_BATCHES + """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM (
+  SELECT *, 0 AS batch FROM b1 UNION ALL SELECT *, 1 AS batch FROM b2)
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY batch DESC, ord DESC) = 1
+"""
+
+_CATALOG = """
+rec AS (SELECT e.user_id AS species_key, e.event_id, e.ts, e.event_type,
+               'day_' || strftime(e.ts, '%Y-%m-%d') AS batch_id,
+               CASE WHEN s.c_custkey IS NOT NULL THEN 'SEED' ELSE 'AD_HOC' END AS origin
+        FROM events e LEFT JOIN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'AUTOMOBILE') s
+        ON e.user_id = s.c_custkey),
+cat AS (SELECT species_key,
+               arg_min(event_type, event_id) AS scientific_name,
+               arg_max(event_type, event_id) AS wikipedia_title,
+               arg_min(batch_id, event_id) AS first_seen_batch_id,
+               arg_min(ts, event_id) AS first_ts, arg_max(ts, event_id) AS last_ts,
+               arg_min(origin, event_id) AS origin
+        FROM rec GROUP BY species_key)
+"""
+
+ORACLE["upsert_catalog"] = "WITH " + _CATALOG + """
+SELECT species_key, scientific_name, wikipedia_title, first_seen_batch_id,
+       strftime(first_ts, '%Y-%m-%d %H:%M:%S') AS first_processed_at,
+       strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS last_processed_at, origin
+FROM cat
+"""
+
+ORACLE["catalog_listing"] = "WITH " + _CATALOG + """
+SELECT species_key, wikipedia_title, origin, first_seen_batch_id FROM cat ORDER BY species_key
+"""
+
+ORACLE["by_origin"] = "WITH " + _CATALOG + """
+SELECT origin, count(*) AS n FROM cat GROUP BY origin
+"""
+
+ORACLE["upsert_evidence"] = "WITH " + _ORDER_BATCHES + """,
+k1 AS (SELECT DISTINCT o_orderkey FROM b1),
+k2 AS (SELECT DISTINCT o_orderkey FROM b2),
+o AS (SELECT (SELECT count(*) FROM b1) AS n1, (SELECT count(*) FROM k1) AS d1,
+             (SELECT count(*) FROM b2) AS n2,
+             (SELECT count(*) FROM k2 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM k1)) AS new2),
+c AS (SELECT user_id, event_id, ts >= TIMESTAMP '2024-01-16' AS late FROM events),
+cc AS (SELECT (SELECT count(*) FROM c WHERE NOT late) AS n1,
+              (SELECT count(DISTINCT user_id) FROM c WHERE NOT late) AS d1,
+              (SELECT count(*) FROM c WHERE late) AS n2,
+              (SELECT count(DISTINCT user_id) FROM c WHERE late AND user_id NOT IN
+                   (SELECT user_id FROM c WHERE NOT late)) AS new2)
+SELECT 1 AS step, 'orders_table' AS tabla, 0 AS filas_antes, d1 AS filas_despues, d1 AS filas_nuevas,
+       n1 - d1 AS filas_actualizadas FROM o
+UNION ALL SELECT 2, 'orders_table', d1, d1 + new2, new2, n2 - new2 FROM o
+UNION ALL SELECT 3, 'orders_table', d1 + new2, d1 + new2, 0, n2 FROM o
+UNION ALL SELECT 1, 'catalog', 0, d1, d1, n1 - d1 FROM cc
+UNION ALL SELECT 2, 'catalog', d1, d1 + new2, new2, n2 - new2 FROM cc
+"""
+
+ORACLE["trace"] = "WITH " + _OCC + "," + _CATALOG + """,
+tagged AS (SELECT c_custkey AS k, 'pivot' AS tbl FROM customer
+           UNION ALL SELECT species_key, 'catalog' FROM cat
+           UNION ALL SELECT species_key, 'occurrences' FROM occ_checked WHERE rejection_reason IS NULL)
+SELECT k AS species_key, bool_or(tbl = 'pivot') AS in_pivot, bool_or(tbl = 'catalog') AS in_catalog,
+       bool_or(tbl = 'occurrences') AS in_occurrences
+FROM tagged GROUP BY k
+"""

@@ -126,3 +126,51 @@ def page_responses(t: Tables) -> DataFrame:
                     .otherwise(F.lit(200)).alias("summary_status"),
                     F.when(src == "src3", F.lit("null")).otherwise(summary).alias("summary_data"),
                     extracts.alias("extracts_data"))
+
+
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+
+
+def order_batches(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Orders landed as two overlapping batches by order date.  The second batch
+    restates 1997+ orders (status 'U') and, later in the same batch, 1999+ orders
+    again (status 'V', price + 1) - so it also holds repeated keys."""
+    o = t.orders.select(*ORDER_COLUMNS, "o_orderdate")
+    b1 = o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")) \
+        .withColumn("ord", F.lit(1))
+    b2a = (o.where(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+           .withColumn("o_orderstatus", F.lit("U")).withColumn("ord", F.lit(1)))
+    b2b = (o.where(F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz"))
+           .withColumn("o_orderstatus", F.lit("V"))
+           .withColumn("o_totalprice", F.col("o_totalprice") + 1).withColumn("ord", F.lit(2)))
+    return b1.drop("o_orderdate"), b2a.unionByName(b2b).drop("o_orderdate")
+
+
+CATALOG_COLUMNS = ("species_key", "scientific_name", "wikipedia_title", "first_seen_batch_id",
+                   "first_processed_at", "last_processed_at", "origin")
+CATALOG_INSERT_ONLY = ("scientific_name", "first_seen_batch_id", "first_processed_at", "origin")
+
+
+def seed_keys(t: Tables) -> DataFrame:
+    """The seed list: users that are AUTOMOBILE customers."""
+    return t.customer.where(F.col("c_mktsegment") == "AUTOMOBILE") \
+        .select(F.col("c_custkey").alias("species_key"))
+
+
+def catalog_records(t: Tables) -> DataFrame:
+    """Every event as a catalog record of its user; batch = event day."""
+    e = t.events.select(F.col("user_id").alias("species_key"), "event_id", "event_type", "ts")
+    seed = seed_keys(t).withColumn("_seed", F.lit(True))
+    return (e.join(seed, "species_key", "left")
+            .select("species_key", "event_id", "ts",
+                    F.col("event_type").alias("scientific_name"),
+                    F.col("event_type").alias("wikipedia_title"),
+                    F.concat(F.lit("day_"), F.date_format("ts", "yyyy-MM-dd"))
+                    .alias("first_seen_batch_id"),
+                    F.col("ts").alias("first_processed_at"),
+                    F.col("ts").alias("last_processed_at"),
+                    F.when(F.col("_seed"), F.lit("SEED")).otherwise(F.lit("AD_HOC"))
+                    .alias("origin")))
+
+
+CATALOG_SPLIT = "2024-01-16"
