@@ -292,3 +292,62 @@ SELECT k AS species_key, bool_or(tbl = 'pivot') AS in_pivot, bool_or(tbl = 'cata
        bool_or(tbl = 'occurrences') AS in_occurrences
 FROM tagged GROUP BY k
 """
+
+# Sections: computed from the turn structure (each turn is one headed block).
+_SECTIONS = """
+tb AS (SELECT conv_id, turn, role, text,
+              ['Description and morphology', 'Distribution and habitat', 'Habitat', 'Behavior', 'Diet and feeding', 'Prey', 'Reproduction', 'Conservation status', 'Human interaction', 'References', 'Gallery', 'Etymology', 'Identity', 'Taxonomy', 'See also', 'Life cycle'][((conv_id * 7 + turn) % 16) + 1] AS heading
+       FROM conversations),
+ts AS (SELECT *, CASE WHEN contains(lower(heading), 'identity') THEN 'Identity' WHEN contains(lower(heading), 'taxonomy') OR contains(lower(heading), 'classification') THEN 'Taxonomy' WHEN contains(lower(heading), 'morphology') OR contains(lower(heading), 'description') OR contains(lower(heading), 'anatomy') OR contains(lower(heading), 'appearance') THEN 'Morphology' WHEN contains(lower(heading), 'distribution') OR contains(lower(heading), 'range') OR contains(lower(heading), 'geographic') THEN 'Distribution' WHEN contains(lower(heading), 'habitat') THEN 'Habitat' WHEN contains(lower(heading), 'behavior') OR contains(lower(heading), 'behaviour') THEN 'Behavior' WHEN contains(lower(heading), 'diet') OR contains(lower(heading), 'feeding') OR contains(lower(heading), 'food') OR contains(lower(heading), 'prey') OR contains(lower(heading), 'foraging') THEN 'Diet' WHEN contains(lower(heading), 'reproduction') OR contains(lower(heading), 'breeding') OR contains(lower(heading), 'mating') OR contains(lower(heading), 'life cycle') THEN 'Reproduction' WHEN contains(lower(heading), 'conservation') OR contains(lower(heading), 'threats') OR contains(lower(heading), 'endangered') OR contains(lower(heading), 'status') OR contains(lower(heading), 'population') THEN 'Conservation' WHEN contains(lower(heading), 'human interaction') OR contains(lower(heading), 'shark attack') OR contains(lower(heading), 'human') THEN 'Human Interaction' WHEN contains(lower(heading), 'references') OR contains(lower(heading), 'citations') OR contains(lower(heading), 'further reading') OR contains(lower(heading), 'external links') THEN 'References' WHEN contains(lower(heading), 'multimedia') OR contains(lower(heading), 'gallery') OR contains(lower(heading), 'media') THEN 'Multimedia' END AS section FROM tb WHERE role <> 'system'),
+st AS (SELECT conv_id,
+       nullif(trim(string_agg(CASE WHEN section = 'Identity' THEN trim(text, chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)) END, chr(10) ORDER BY turn), chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)), '') AS identity,
+       nullif(trim(string_agg(CASE WHEN section = 'Taxonomy' THEN trim(text, chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)) END, chr(10) ORDER BY turn), chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)), '') AS taxonomy,
+       nullif(trim(string_agg(CASE WHEN section = 'Morphology' THEN trim(text, chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)) END, chr(10) ORDER BY turn), chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)), '') AS morphology,
+       nullif(trim(string_agg(CASE WHEN section = 'Distribution' THEN trim(text, chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)) END, chr(10) ORDER BY turn), chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)), '') AS distribution,
+       nullif(trim(string_agg(CASE WHEN section = 'Habitat' THEN trim(text, chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)) END, chr(10) ORDER BY turn), chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)), '') AS habitat,
+       nullif(trim(string_agg(CASE WHEN section = 'Behavior' THEN trim(text, chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)) END, chr(10) ORDER BY turn), chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)), '') AS behavior,
+       nullif(trim(string_agg(CASE WHEN section = 'Diet' THEN trim(text, chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)) END, chr(10) ORDER BY turn), chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)), '') AS diet,
+       nullif(trim(string_agg(CASE WHEN section = 'Reproduction' THEN trim(text, chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)) END, chr(10) ORDER BY turn), chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)), '') AS reproduction,
+       nullif(trim(string_agg(CASE WHEN section = 'Conservation' THEN trim(text, chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)) END, chr(10) ORDER BY turn), chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)), '') AS conservation,
+       nullif(trim(string_agg(CASE WHEN section = 'Human Interaction' THEN trim(text, chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)) END, chr(10) ORDER BY turn), chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)), '') AS human_interaction,
+       nullif(trim(string_agg(CASE WHEN section = 'References' THEN trim(text, chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)) END, chr(10) ORDER BY turn), chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)), '') AS "references",
+       nullif(trim(string_agg(CASE WHEN section = 'Multimedia' THEN trim(text, chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)) END, chr(10) ORDER BY turn), chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)), '') AS multimedia
+       FROM ts GROUP BY conv_id),
+d AS (SELECT conv_id, bool_or(role = 'system') AS has_system,
+             concat_ws('; ', 'kingdom: ' || nullif(min(CASE WHEN turn = 0 THEN role END), ''),
+                             'phylum: ' || nullif(arg_max(role, turn), ''),
+                             'rank: turns_' || CAST(count(*) AS VARCHAR)) AS tax_text
+      FROM conversations GROUP BY conv_id),
+parents AS (SELECT 'conv_' || CAST(d.conv_id AS VARCHAR) AS species_key,
+       'Species: Conversation ' || CAST(d.conv_id AS VARCHAR) || ' (conv_' || CAST(d.conv_id AS VARCHAR) || ')' AS identity, coalesce(CASE WHEN d.has_system THEN d.tax_text END, st.taxonomy) AS taxonomy, st.morphology, st.distribution, st.habitat, st.behavior, st.diet, st.reproduction, st.conservation, st.human_interaction, st."references", st.multimedia
+       FROM d LEFT JOIN st ON d.conv_id = st.conv_id)
+"""
+
+ORACLE["sections_wide"] = "WITH " + _SECTIONS + """
+SELECT * FROM parents
+"""
+
+_CHUNKS = """,
+ch AS (SELECT species_key || '__' || section || '__0' AS chunk_id, species_key, section, text FROM (
+SELECT species_key, 'Identity' AS section, identity AS text FROM parents UNION ALL SELECT species_key, 'Taxonomy' AS section, taxonomy AS text FROM parents UNION ALL SELECT species_key, 'Morphology' AS section, morphology AS text FROM parents UNION ALL SELECT species_key, 'Distribution' AS section, distribution AS text FROM parents UNION ALL SELECT species_key, 'Habitat' AS section, habitat AS text FROM parents UNION ALL SELECT species_key, 'Behavior' AS section, behavior AS text FROM parents UNION ALL SELECT species_key, 'Diet' AS section, diet AS text FROM parents UNION ALL SELECT species_key, 'Reproduction' AS section, reproduction AS text FROM parents UNION ALL SELECT species_key, 'Conservation' AS section, conservation AS text FROM parents UNION ALL SELECT species_key, 'Human Interaction' AS section, human_interaction AS text FROM parents UNION ALL SELECT species_key, 'References' AS section, "references" AS text FROM parents UNION ALL SELECT species_key, 'Multimedia' AS section, multimedia AS text FROM parents) WHERE text IS NOT NULL AND length(text) > 0)
+"""
+
+ORACLE["chunks"] = "WITH " + _SECTIONS + _CHUNKS + "SELECT * FROM ch"
+
+ORACLE["section_coverage"] = "WITH " + _SECTIONS + _CHUNKS + """
+SELECT section, count(*) AS n_chunks, sum(length(text)) AS total_chars, max(length(text)) AS max_chars
+FROM ch GROUP BY section
+"""
+
+ORACLE["metadata_view"] = "WITH " + _SUMMARY.format(
+    k="o_custkey", ts="o_orderdate", t="orders", v="o_orderpriority", o="o_orderkey",
+    c="o_orderstatus") + "," + _TAXONOMY + """
+SELECT c.c_custkey, tax.kingdom, tax.phylum, tax.class_name, tax.rank,
+       CASE WHEN tax.tax_key IS NOT NULL THEN 'MATCHED' ELSE 'UNMATCHED' END AS taxonomy_status,
+       s.mode_c AS iucn_red_list_category, coalesce(s.vals, '') AS paises, s.year_min, s.year_max,
+       coalesce(s.n_obs, 0) AS n_occurrences_validas,
+       CASE WHEN coalesce(s.n_obs, 0) > 0 THEN 'OK' ELSE 'GBIF_AUGMENTATION_EMPTY' END AS augmentation_status
+FROM customer c
+LEFT JOIN tax ON c.c_nationkey = tax.tax_key AND tax.match_type = 'EXACT'
+LEFT JOIN summ s ON c.c_custkey = s.k
+"""

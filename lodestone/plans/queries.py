@@ -292,3 +292,47 @@ def q_trace(spark, sf_dir):
     return tagged.groupBy("k").agg(
         *[F.max(F.col("tbl") == x).alias(f"in_{x}") for x in ("pivot", "catalog", "occurrences")]
     ).withColumnRenamed("k", "species_key")
+
+
+# --- sections and chunks -----------------------------------------------------
+
+from ..operators import sections as SEC  # noqa: E402
+
+
+def conversation_parents(t: Tables) -> DataFrame:
+    return SEC.build_sections(V.conversation_documents(t))
+
+
+@register("sections_wide")
+def q_sections_wide(spark, sf_dir):
+    """C1-C3 / P9 / P10 twelve canonical sections per conversation document."""
+    return conversation_parents(Tables(spark, sf_dir))
+
+
+@register("chunks")
+def q_chunks(spark, sf_dir):
+    """C4 one chunk per populated section with its chunk id."""
+    return SEC.chunks(conversation_parents(Tables(spark, sf_dir))).drop("ord")
+
+
+@register("section_coverage")
+def q_section_coverage(spark, sf_dir):
+    """A9 chunks and characters per canonical section."""
+    ch = SEC.chunks(conversation_parents(Tables(spark, sf_dir)))
+    return ch.groupBy("section").agg(F.count(F.lit(1)).alias("n_chunks"),
+                                     F.sum(F.length("text")).alias("total_chars"),
+                                     F.max(F.length("text")).alias("max_chars"))
+
+
+@register("metadata_view")
+def q_metadata_view(spark, sf_dir):
+    """P14 filter metadata of each merged record, with defaults."""
+    m = merged_customers(Tables(spark, sf_dir))
+    return m.select("c_custkey", "kingdom", "phylum", "class_name", "rank",
+                    F.coalesce("taxonomy_status", F.lit("UNMATCHED")).alias("taxonomy_status"),
+                    F.col("mode_value").alias("iucn_red_list_category"),
+                    F.array_join(F.coalesce("top_values", F.array().cast("array<string>")), "|")
+                    .alias("paises"), "year_min", "year_max",
+                    F.coalesce("n_obs", F.lit(0)).alias("n_occurrences_validas"),
+                    F.coalesce("augmentation_status", F.lit("GBIF_AUGMENTATION_EMPTY"))
+                    .alias("augmentation_status"))

@@ -174,3 +174,49 @@ def catalog_records(t: Tables) -> DataFrame:
 
 
 CATALOG_SPLIT = "2024-01-16"
+
+
+# Heading titles given to conversation turns (some map to the same
+# canonical section, some to none).
+TURN_HEADINGS = ["Description and morphology", "Distribution and habitat", "Habitat", "Behavior",
+                 "Diet and feeding", "Prey", "Reproduction", "Conservation status",
+                 "Human interaction", "References", "Gallery", "Etymology", "Identity",
+                 "Taxonomy", "See also", "Life cycle"]
+
+
+def turn_blocks(t: Tables) -> DataFrame:
+    """Each conversation turn as one headed block: ``== heading ==`` (``===`` for
+    assistant turns) and the turn text below; system turns carry only the heading."""
+    c = t.conversations
+    idx = F.pmod(F.col("conv_id") * 7 + F.col("turn"), F.lit(len(TURN_HEADINGS))) + 1
+    heading = F.element_at(F.array(*[F.lit(h) for h in TURN_HEADINGS]), idx.cast("int"))
+    marks = F.when(F.col("role") == "assistant", F.lit("===")).otherwise(F.lit("=="))
+    line = F.concat(marks, F.lit(" "), heading, F.lit(" "), marks)
+    block = F.when(F.col("role") == "system", line) \
+        .otherwise(F.concat(line, F.lit("\n"), F.col("text")))
+    return c.select("conv_id", "turn", "role", heading.alias("heading"), block.alias("block"))
+
+
+def conversation_documents(t: Tables) -> DataFrame:
+    """One document per conversation: a preamble line, then the turn blocks in turn
+    order.  A conversation is one document, so it is assembled in one row; the
+    per-conversation list is bounded by the turns of that conversation."""
+    b = turn_blocks(t)
+    ordered = F.array_sort(F.collect_list(F.struct("turn", "block")))
+    docs = b.groupBy("conv_id").agg(
+        F.array_join(F.transform(ordered, lambda s: s["block"]), "\n").alias("_body"),
+        F.min(F.when(F.col("turn") == 0, F.col("role"))).alias("_first_role"),
+        F.max_by("role", "turn").alias("_last_role"),
+        F.count(F.lit(1)).alias("_turns"),
+        F.max((F.col("role") == "system").cast("int")).alias("_has_system"))
+    key = F.concat(F.lit("conv_"), F.col("conv_id").cast("string"))
+    return docs.select(
+        key.alias("species_key"),
+        F.concat(F.lit("Conversation "), F.col("conv_id").cast("string")).alias("wikipedia_title"),
+        F.concat(F.lit("Conversation "), F.col("conv_id").cast("string"), F.lit("\n"),
+                 F.col("_body")).alias("sections_text"),
+        F.when(F.col("_has_system") == 1, F.lit("MATCHED")).otherwise(F.lit("UNMATCHED"))
+        .alias("taxonomy_status"),
+        F.col("_first_role").alias("kingdom"), F.col("_last_role").alias("phylum"),
+        F.lit(None).cast("string").alias("class_name"),
+        F.concat(F.lit("turns_"), F.col("_turns").cast("string")).alias("rank"))
