@@ -351,3 +351,69 @@ FROM customer c
 LEFT JOIN tax ON c.c_nationkey = tax.tax_key AND tax.match_type = 'EXACT'
 LEFT JOIN summ s ON c.c_custkey = s.k
 """
+
+_VEC = """
+dims AS (SELECT label, pos, avg(x) AS m FROM (
+           SELECT label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS pos
+           FROM embeddings) GROUP BY label, pos),
+cent AS (SELECT label AS query_id, list(m ORDER BY pos) AS qv FROM dims GROUP BY label),
+dist AS (SELECT c.query_id, e.vec_id, e.label,
+                list_reduce(list_transform(range(1, len(e.embedding) + 1),
+                    lambda i: (e.embedding[i]::DOUBLE - c.qv[i]) * (e.embedding[i]::DOUBLE - c.qv[i])),
+                    lambda a, b: a + b) AS distance
+         FROM cent c CROSS JOIN embeddings e),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rnk FROM dist),
+meta AS (SELECT l.label, 'label_' || CAST(l.label AS VARCHAR) AS wikipedia_title, r.r_name AS kingdom,
+                CASE n.n_regionkey WHEN 0 THEN 'LC' WHEN 1 THEN 'NT' ELSE 'VU' END AS iucn_red_list_category,
+                'MATCHED' AS taxonomy_status, 1990 + l.label AS anio_min, 2000 + l.label AS anio_max
+         FROM (SELECT DISTINCT label FROM embeddings) l
+         LEFT JOIN nation n ON l.label = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)
+"""
+
+ORACLE["knn_topk"] = "WITH " + _VEC + """
+SELECT query_id, vec_id, label, distance, rnk AS rank FROM ranked WHERE rnk <= 25
+"""
+
+ORACLE["knn_parent"] = "WITH " + _VEC + """,
+best AS (SELECT * FROM ranked WHERE rnk <= 25
+         QUALIFY row_number() OVER (PARTITION BY query_id, label ORDER BY distance, vec_id) = 1)
+SELECT b.query_id, row_number() OVER (PARTITION BY b.query_id ORDER BY b.distance, b.vec_id) AS rank,
+       b.label, m.wikipedia_title, b.vec_id, b.distance AS score
+FROM best b JOIN meta m ON b.label = m.label
+QUALIFY rank <= 5
+"""
+
+_SEARCH_FILTER = """m.taxonomy_status = 'MATCHED' AND m.iucn_red_list_category = 'VU'
+       AND m.anio_max >= 2005 AND m.anio_min <= 2100"""
+
+ORACLE["search_post"] = "WITH " + _VEC + """,
+best AS (SELECT * FROM ranked WHERE rnk <= 15
+         QUALIFY row_number() OVER (PARTITION BY query_id, label ORDER BY distance, vec_id) = 1)
+SELECT b.query_id, row_number() OVER (PARTITION BY b.query_id ORDER BY b.distance, b.vec_id) AS rank,
+       b.label, m.wikipedia_title, 'vector ' || CAST(b.vec_id AS VARCHAR) AS chunk_text,
+       b.distance AS score, b.vec_id, m.kingdom, m.iucn_red_list_category
+FROM best b JOIN meta m ON b.label = m.label
+WHERE """ + _SEARCH_FILTER + """
+QUALIFY rank <= 3
+"""
+
+ORACLE["search_pre"] = "WITH " + _VEC + """,
+best AS (SELECT d.* FROM dist d JOIN meta m ON d.label = m.label
+         WHERE """ + _SEARCH_FILTER + """
+         QUALIFY row_number() OVER (PARTITION BY d.query_id, d.label ORDER BY d.distance, d.vec_id) = 1)
+SELECT b.query_id, row_number() OVER (PARTITION BY b.query_id ORDER BY b.distance, b.vec_id) AS rank,
+       b.label, m.wikipedia_title, 'vector ' || CAST(b.vec_id AS VARCHAR) AS chunk_text,
+       b.distance AS score, b.vec_id, m.kingdom, m.iucn_red_list_category
+FROM best b JOIN meta m ON b.label = m.label
+QUALIFY rank <= 3
+"""
+
+ORACLE["batch_search"] = """
+WITH d AS (SELECT q.vec_id AS query_id, e.vec_id,
+                  list_reduce(list_transform(range(1, len(e.embedding) + 1),
+                      lambda i: (e.embedding[i]::DOUBLE - q.embedding[i]::DOUBLE) * (e.embedding[i]::DOUBLE - q.embedding[i]::DOUBLE)),
+                      lambda a, b: a + b) AS distance
+           FROM embeddings q CROSS JOIN embeddings e WHERE q.vec_id <> e.vec_id)
+SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank, distance
+FROM d QUALIFY rank <= 5
+"""

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import slugify
@@ -336,3 +336,63 @@ def q_metadata_view(spark, sf_dir):
                     F.coalesce("n_obs", F.lit(0)).alias("n_occurrences_validas"),
                     F.coalesce("augmentation_status", F.lit("GBIF_AUGMENTATION_EMPTY"))
                     .alias("augmentation_status"))
+
+
+# --- vector search ------------------------------------------------------------------
+
+from ..operators import search as K  # noqa: E402
+
+SEARCH_FILTERS = {"equals": {"taxonomy_status": "MATCHED"}, "category": "VU",
+                  "years": (2005, 2100)}
+META_FIELDS = ("kingdom", "iucn_red_list_category")
+
+
+@register("knn_topk")
+def q_knn_topk(spark, sf_dir):
+    """K3 / O5 25 nearest vectors of each label centroid (exact squared L2)."""
+    t = Tables(spark, sf_dir)
+    return K.knn(V.vector_chunks(t), V.label_centroids(t), 25, id_col="vec_id",
+                 parent_col="label")
+
+
+@register("knn_parent")
+def q_knn_parent(spark, sf_dir):
+    """K4 / K5 oversampled hits deduped to the best vector per parent, parent joined."""
+    t = Tables(spark, sf_dir)
+    out = K.search(V.vector_chunks(t), V.label_centroids(t), V.label_metadata(t), top_k=5,
+                   id_col="vec_id", parent_col="label")
+    return out.select("query_id", "rank", "label", "wikipedia_title", "vec_id", "score")
+
+
+def _search(spark, sf_dir, mode):
+    t = Tables(spark, sf_dir)
+    out = K.search(V.vector_chunks(t), V.label_centroids(t), V.label_metadata(t), top_k=3,
+                   mode=mode, id_col="vec_id", parent_col="label", metadata_fields=META_FIELDS,
+                   **SEARCH_FILTERS)
+    return out.select("query_id", "rank", "label", "wikipedia_title", "chunk_text", "score",
+                      "vec_id", *[F.col("metadata")[f].alias(f) for f in META_FIELDS])
+
+
+@register("search_post")
+def q_search_post(spark, sf_dir):
+    """K6-K11 filters after oversampling (reference behaviour)."""
+    return _search(spark, sf_dir, "post")
+
+
+@register("search_pre")
+def q_search_pre(spark, sf_dir):
+    """K6-K11 filters before the search (full recall)."""
+    return _search(spark, sf_dir, "pre")
+
+
+@register("batch_search")
+def q_batch_search(spark, sf_dir):
+    """K12 every vector as a query: its 5 nearest other vectors."""
+    t = Tables(spark, sf_dir)
+    vecs = V.vector_chunks(t)
+    queries = t.embeddings.select(F.col("vec_id").alias("query_id"),
+                                  F.col("embedding").alias("query_vec"))
+    hits = K.knn(vecs, queries, 6, id_col="vec_id").where(F.col("vec_id") != F.col("query_id"))
+    w = Window.partitionBy("query_id").orderBy("distance", "vec_id")
+    return (hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 5)
+            .select("query_id", "vec_id", "rank", "distance"))

@@ -220,3 +220,41 @@ def conversation_documents(t: Tables) -> DataFrame:
         F.col("_first_role").alias("kingdom"), F.col("_last_role").alias("phylum"),
         F.lit(None).cast("string").alias("class_name"),
         F.concat(F.lit("turns_"), F.col("_turns").cast("string")).alias("rank"))
+
+
+def vector_chunks(t: Tables) -> DataFrame:
+    """Embeddings as chunk vectors: chunk id = vec_id, parent = label."""
+    return t.embeddings.select("vec_id", "label", "embedding",
+                               F.concat(F.lit("vector "), F.col("vec_id").cast("string"))
+                               .alias("text"))
+
+
+def label_metadata(t: Tables) -> DataFrame:
+    """Parent metadata per label: the nation with the same number and its region."""
+    labels = t.embeddings.groupBy("label").agg(F.count(F.lit(1)).alias("n_vectors"))
+    n, r = t.nation, t.region
+    region_nations = n.groupBy("n_regionkey").agg(
+        F.array_sort(F.collect_list("n_name")).alias("paises"))
+    nat = (n.join(r, n.n_regionkey == r.r_regionkey)
+           .join(region_nations, "n_regionkey")
+           .select("n_nationkey", "n_name", "r_name", "n_regionkey", "paises"))
+    return (labels.join(nat, labels.label == nat.n_nationkey, "left")
+            .select("label",
+                    F.concat(F.lit("label_"), F.col("label").cast("string")).alias("wikipedia_title"),
+                    F.col("r_name").alias("kingdom"), F.col("n_name").alias("phylum"),
+                    F.lit("MATCHED").alias("taxonomy_status"),
+                    F.when(F.col("n_regionkey") == 0, F.lit("LC"))
+                    .when(F.col("n_regionkey") == 1, F.lit("NT")).otherwise(F.lit("VU"))
+                    .alias("iucn_red_list_category"),
+                    "paises", (F.lit(1990) + F.col("label")).alias("anio_min"),
+                    (F.lit(2000) + F.col("label")).alias("anio_max"),
+                    F.col("n_vectors").cast("int").alias("n_occurrences_validas")))
+
+
+def label_centroids(t: Tables) -> DataFrame:
+    """One query per label: the mean of its vectors (dimension-wise)."""
+    e = t.embeddings.select("label", F.posexplode("embedding").alias("pos", "x"))
+    per_dim = e.groupBy("label", "pos").agg(F.avg("x").alias("m"))
+    return per_dim.groupBy("label").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"])
+        .alias("query_vec")).withColumnRenamed("label", "query_id")
