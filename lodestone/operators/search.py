@@ -75,10 +75,18 @@ def _select(q_idx, ids, parents, dist, n, per_parent):
     return q_idx[keep], ids[keep], parents[keep], dist[keep]
 
 
+def _codes(m: np.ndarray, planes: np.ndarray) -> np.ndarray:
+    """Bucket code per LSH table: sign bits of the projections, packed into an int."""
+    tables, bits, _ = planes.shape
+    proj = np.einsum("nd,tbd->ntb", m, planes) >= 0
+    return (proj * (1 << np.arange(bits))[None, None, :]).sum(axis=2)
+
+
 def _partition_topn(batches: Iterator[pd.DataFrame], qmat: np.ndarray, n: int,
                     per_parent: bool, id_col: str, parent_col: str | None,
-                    vec_col: str) -> tuple:
+                    vec_col: str, planes: np.ndarray | None = None) -> tuple:
     qn = (qmat * qmat).sum(axis=1)
+    qcodes = _codes(qmat, planes) if planes is not None else None
     acc = None
     for pdf in batches:
         if len(pdf) == 0:
@@ -86,6 +94,14 @@ def _partition_topn(batches: Iterator[pd.DataFrame], qmat: np.ndarray, n: int,
         x = _stack(pdf[vec_col])
         ids = pdf[id_col].to_numpy()
         parents = pdf[parent_col].to_numpy() if parent_col else ids
+        if planes is not None:
+            xc = _codes(x, planes)
+            qi, xi = np.nonzero((qcodes[:, None, :] == xc[None, :, :]).any(axis=2))
+            cand = (qi, ids[xi], parents[xi], _exact(x[xi], qmat[qi]))
+            if acc is not None:
+                cand = tuple(np.concatenate([a, c]) for a, c in zip(acc, cand))
+            acc = _select(*cand, n=n, per_parent=per_parent)
+            continue
         approx = (x * x).sum(axis=1)[None, :] + qn[:, None] - 2.0 * (qmat @ x.T)
         m = min(n, x.shape[0])
         if per_parent:
@@ -121,12 +137,20 @@ def _query_payload(queries: DataFrame, qid: str, qvec: str, max_queries: int):
 def knn(vectors: DataFrame, queries: DataFrame, n: int, *, id_col: str = "chunk_id",
         vec_col: str = "embedding", parent_col: str | None = None, per_parent: bool = False,
         query_id: str = "query_id", query_vec: str = "query_vec",
-        max_queries: int = DEFAULT_MAX_QUERIES) -> DataFrame:
+        max_queries: int = DEFAULT_MAX_QUERIES, ann_tables: int = 0, ann_bits: int = 8,
+        seed: int = 7) -> DataFrame:
     """Top-``n`` nearest vectors (or parents, ``per_parent=True``) for every query.
 
+    ``ann_tables > 0`` switches to approximate search: only vectors that share a
+    random-hyperplane bucket (``ann_bits`` sign bits) with the query in at least one
+    of ``ann_tables`` tables are scored - far fewer exact distances, recall < 1.
+
     Returns ``query_id, id_col, [parent_col], distance, rank`` (rank 1 = nearest;
     ties broken by id)."""
     q_ids, qmat = _query_payload(queries, query_id, query_vec, max_queries)
+    planes = None
+    if ann_tables and len(q_ids):
+        planes = np.random.default_rng(seed).standard_normal((ann_tables, ann_bits, qmat.shape[1]))
     spark = vectors.sparkSession
     id_type = vectors.schema[id_col].dataType
     qid_type = queries.schema[query_id].dataType
@@ -142,7 +166,7 @@ def knn(vectors: DataFrame, queries: DataFrame, n: int, *, id_col: str = "chunk_
     bq = spark.sparkContext.broadcast(qmat)
 
     def per_partition(it):
-        res = _partition_topn(it, bq.value, n, per_parent, id_col, parent_col, vec_col)
+        res = _partition_topn(it, bq.value, n, per_parent, id_col, parent_col, vec_col, planes)
         if res is None:
             return
         qi, ids, parents, dist = res

@@ -417,3 +417,10 @@ WITH d AS (SELECT q.vec_id AS query_id, e.vec_id,
 SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank, distance
 FROM d QUALIFY rank <= 5
 """
+
+ORACLE["embed_chunks"] = """
+SELECT doc_id, 384 AS dims,
+       len(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9_]+'), lambda s: s <> '')) AS n_tokens,
+       CASE WHEN regexp_matches(lower(text), '[a-z0-9_]') THEN 1.0 ELSE 0.0 END AS norm
+FROM documents
+"""

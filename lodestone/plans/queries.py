@@ -396,3 +396,26 @@ def q_batch_search(spark, sf_dir):
     w = Window.partitionBy("query_id").orderBy("distance", "vec_id")
     return (hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 5)
             .select("query_id", "vec_id", "rank", "distance"))
+
+
+# --- embedding and approximate search ------------------------------------------------
+
+from ..operators import embed as EMB  # noqa: E402
+
+
+@register("embed_chunks")
+def q_embed_chunks(spark, sf_dir):
+    """K1 every document text -> unit vector (hashing encoder, 384 dims)."""
+    d = Tables(spark, sf_dir).documents.select("doc_id", "text")
+    toks = F.filter(F.split(F.lower(F.col("text")), "\\W+"), lambda s: s != "")
+    e = EMB.embed(d.withColumn("n_tokens", F.size(toks)))
+    return e.select("doc_id", F.size("embedding").alias("dims"), "n_tokens",
+                    F.round(EMB.vector_norm(F.col("embedding")), 4).alias("norm"))
+
+
+@register("ann_search")
+def q_ann_search(spark, sf_dir):
+    """K3 approximate: 25 nearest of each label centroid among LSH-bucket candidates."""
+    t = Tables(spark, sf_dir)
+    return K.knn(V.vector_chunks(t), V.label_centroids(t), 25, id_col="vec_id",
+                 parent_col="label", ann_tables=8, ann_bits=4)
