@@ -424,3 +424,9 @@ SELECT doc_id, 384 AS dims,
        CASE WHEN regexp_matches(lower(text), '[a-z0-9_]') THEN 1.0 ELSE 0.0 END AS norm
 FROM documents
 """
+
+ORACLE["bronze_pages"] = ORACLE["validate_pages"]
+
+ORACLE["incremental_bronze"] = """
+SELECT page_id, 200 AS status, length(html) AS n_chars FROM pages
+"""
