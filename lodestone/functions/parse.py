@@ -10,21 +10,27 @@ from .keys import _c
 
 # Accepted date shapes, tried in this order, each must match the
 # whole string: year-month-dayThour:minute:second, year-month-day, year.
-DATE_GATE = r"^[0-9]{4}(-[0-9]{1,2}-[0-9]{1,2}([Tt][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})?)?$"
-DATE_FORMATS = ("yyyy-M-d'T'H:m:s", "yyyy-M-d", "yyyy")
+DATE_SHAPES = (
+    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$", "yyyy-M-d'T'H:m:s"),
+    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "yyyy-M-d"),
+    (r"^[0-9]{4}$", "yyyy"),
+)
 
 
 def parse_multi_date(c) -> Column:
     """Text -> timestamp using the first matching shape; NULL for empty or unparseable text.
 
-    The regex gate rejects what a strict whole-string parse rejects but Spark's
-    lenient parser would accept (year 0000, signs, three-digit months, ...).
-    The ``T`` separator is accepted in either case.
+    The shape is chosen with a regex first, so each value is parsed once with the
+    one format it can match (a failed parse is far costlier than a regex test).
+    The regexes also reject what a strict whole-string parse rejects but Spark's
+    lenient parser would accept (signs, three-digit months, ...); year 0000 is
+    rejected explicitly.  The ``T`` separator is accepted in either case.
     """
-    s = F.regexp_replace(_c(c), "[Tt]", "T")
-    parsed = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in DATE_FORMATS])
-    gate = s.rlike(DATE_GATE) & ~s.startswith("0000")
-    return F.when(gate, parsed)
+    s = F.regexp_replace(_c(c), "t", "T")
+    out = F.lit(None).cast("timestamp")
+    for pattern, fmt in reversed(DATE_SHAPES):
+        out = F.when(s.rlike(pattern), F.try_to_timestamp(s, F.lit(fmt))).otherwise(out)
+    return F.when(~s.startswith("0000"), out)
 
 
 def date_is_invalid(c) -> Column:

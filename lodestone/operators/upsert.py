@@ -26,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 EVIDENCE_COLUMNS = ("tabla", "filas_antes", "filas_despues", "filas_nuevas", "filas_actualizadas")
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
@@ -45,31 +47,41 @@ class UpsertResult:
     evidence: DataFrame
 
 
-def _evidence(spark, name: str, before: DataFrame, collapsed: DataFrame,
-              inserted: DataFrame) -> DataFrame:
-    """One evidence row from three scalar subqueries (no driver round trip)."""
+def _evidence(spark, name: str, before: DataFrame, after: DataFrame,
+              collapsed: DataFrame) -> DataFrame:
+    """One evidence row from scalar subqueries (no driver round trip).  Keys are unique
+    in both table versions, so ``new = after - before``."""
     n_before = before.select(F.count(F.lit(1))).scalar()
+    n_after = after.select(F.count(F.lit(1))).scalar()
     n_records = collapsed.select(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
-    n_new = inserted.select(F.count(F.lit(1))).scalar()
     return spark.range(1).select(
-        F.lit(name).alias("tabla"), n_before.alias("filas_antes"),
-        (n_before + n_new).alias("filas_despues"), n_new.alias("filas_nuevas"),
-        (n_records - n_new).alias("filas_actualizadas"))
+        F.lit(name).alias("tabla"), n_before.alias("filas_antes"), n_after.alias("filas_despues"),
+        (n_after - n_before).alias("filas_nuevas"),
+        (n_records - (n_after - n_before)).alias("filas_actualizadas"))
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str, order: str,
            columns: Sequence[str], insert_only: Sequence[str] = (), name: str = "table",
-           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> UpsertResult:
+           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+           materialize: bool = True) -> UpsertResult:
     """Apply ``batch`` to ``target`` (both with ``key`` + ``columns``); ``order`` orders the
-    batch records.  Returns the new table (same columns as target) and its evidence."""
+    batch records.  Returns the new table version (same columns as target) and its evidence.
+
+    With ``materialize`` (default) the collapsed batch and the new version are written
+    once to the shared checkpoint folder (reliable checkpoint): the size check, the
+    join, the evidence and later upserts read them instead of replaying the lineage,
+    and a lost executor does not recompute earlier batches."""
     update_cols = [c for c in columns if c != key and c not in insert_only]
     ins_only = [c for c in insert_only if c != key]
     out_cols = [key] + [c for c in columns if c != key]
     b = collapse_batch(batch, key, order, update_cols, ins_only)
+    if materialize:
+        b = cut_lineage(b)
     t = target.select(*out_cols)
 
     small = broadcast_rows is not None and b.count() <= broadcast_rows
     if small:
+        # the collapsed batch is size-checked: broadcast it, scan the target, no shuffle of it
         bb = F.broadcast(b.withColumn("_hit", F.lit(True)))
         upd = t.join(bb, key, "left")
         updated_rows = upd.select(
@@ -77,13 +89,11 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: str,
                    else t[c].alias(c) for c in out_cols if c != key])
         existing = t.select(key).join(F.broadcast(b.select(key)), key, "left_semi")
         inserted = b.join(existing, key, "left_anti")
-        new_rows = inserted.select(*out_cols)
-        table = updated_rows.select(*out_cols).unionByName(new_rows)
+        table = updated_rows.select(*out_cols).unionByName(inserted.select(*out_cols))
     else:
         tt = t.withColumn("_in_t", F.lit(True))
         bb = b.withColumn("_in_b", F.lit(True))
         j = tt.join(bb, tt[key] == bb[key], "full_outer")
-        k = F.coalesce(tt[key], bb[key]).alias(key)
         cols = []
         for c in out_cols:
             if c == key:
@@ -92,9 +102,10 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: str,
                 cols.append(F.when(F.col("_in_b"), bb[c]).otherwise(tt[c]).alias(c))
             else:
                 cols.append(F.when(F.col("_in_t"), tt[c]).otherwise(bb[c]).alias(c))
-        table = j.select(k, *cols)
-        inserted = j.where(F.col("_in_b") & F.col("_in_t").isNull()).select(bb[key].alias(key))
-    return UpsertResult(table, _evidence(target.sparkSession, name, t, b, inserted))
+        table = j.select(F.coalesce(tt[key], bb[key]).alias(key), *cols)
+    if materialize:
+        table = cut_lineage(table)
+    return UpsertResult(table, _evidence(target.sparkSession, name, t, table, b))
 
 
 def empty_like(df: DataFrame) -> DataFrame:

@@ -48,9 +48,9 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _present_null(data: Column, key: str, parsed: Column) -> Column:
-    """Key present in the object but its value unusable (explicit null / wrong type)."""
-    return has_key(data, key) & parsed.isNull()
+def _vpresent(v: Column, path: str) -> Column:
+    """The path exists in the parsed payload (an explicit JSON null counts as present)."""
+    return F.try_variant_get(v, path, "variant").isNotNull()
 
 
 def validate_pages(df: DataFrame, key: str = "species_key", summary_status="summary_status",
@@ -62,22 +62,27 @@ def validate_pages(df: DataFrame, key: str = "species_key", summary_status="summ
     code points -> EXTRACT_TOO_SHORT; empty sections text -> MISSING_SECTIONS_TEXT;
     empty title or unusable URL -> HTTP_ERROR (contract)."""
     status = F.coalesce(_col(summary_status).cast("int"), F.lit(200))
-    data = _col(summary_data)
-    s = F.from_json(data, SUMMARY_SCHEMA)
-    no_body = data.isNull() | (F.trim(data) == "null")
-    title = F.when(has_key(data, "title"), s["title"]).otherwise(F.lit(""))
-    extract = F.when(has_key(data, "extract"), s["extract"]).otherwise(F.lit(""))
-    page_url = F.coalesce(s["content_urls"]["desktop"]["page"], F.lit(""))
-    ex = _col(extracts_data)
-    first_page = first_map_value(F.from_json(ex, EXTRACTS_SCHEMA)["query"]["pages"])
-    sections = F.when(is_nonempty_object(ex), F.coalesce(first_page["extract"], F.lit(""))) \
+    # one parse of the summary payload; fields are read from the variant
+    staged = df.select("*", F.try_parse_json(_col(summary_data)).alias("_sv"))
+    sv = F.col("_sv")
+    no_body = sv.isNull() | F.is_variant_null(sv)
+    title = F.when(_vpresent(sv, "$.title"), F.try_variant_get(sv, "$.title", "string")) \
         .otherwise(F.lit(""))
-    out = df.select("*", status.alias("_status"), title.alias("title"),
-                    extract.alias("extract"), sections.alias("sections_text"),
-                    page_url.alias("page_url"), no_body.alias("_no_body"),
-                    (s["type"] == "disambiguation").alias("_disambig"),
-                    (_col(resolved_via) if resolved_via is not None else F.lit(None))
-                    .cast("string").alias("_via"))
+    extract = F.when(_vpresent(sv, "$.extract"), F.try_variant_get(sv, "$.extract", "string")) \
+        .otherwise(F.lit(""))
+    page_url = F.coalesce(F.try_variant_get(sv, "$.content_urls.desktop.page", "string"),
+                          F.lit(""))
+    # extracts: the page map keeps its JSON order (the first page wins), so it is read
+    # with from_json; a non-object or empty payload yields no pages -> ''
+    first_page = first_map_value(F.from_json(_col(extracts_data), EXTRACTS_SCHEMA)["query"]["pages"])
+    sections = F.coalesce(first_page["extract"], F.lit(""))
+    out = staged.select(*df.columns, status.alias("_status"), title.alias("title"),
+                        extract.alias("extract"), sections.alias("sections_text"),
+                        page_url.alias("page_url"), no_body.alias("_no_body"),
+                        (F.try_variant_get(sv, "$.type", "string") == "disambiguation")
+                        .alias("_disambig"),
+                        (_col(resolved_via) if resolved_via is not None else F.lit(None))
+                        .cast("string").alias("_via"))
     out = out.withColumn("resolved_via", F.coalesce(F.col("_via"), F.lit("DIRECT_TITLE")))
     k, st = F.col(key).cast("string"), F.col("_status")
     rules = [
@@ -110,35 +115,40 @@ def validate_taxonomy(df: DataFrame, key: str = "species_key", status="status",
     required field present but null / mistyped -> HTTP_ERROR (contract).
     Absent optional keys take defaults (usage key 0, names '', confidence 0)."""
     st = F.coalesce(_col(status).cast("int"), F.lit(200))
-    d = _col(data)
-    p = F.from_json(d, TAXONOMY_SCHEMA)
-    out = df.select("*", st.alias("_status"), d.alias("_data"), p.alias("_p"))
-    dd, pp = F.col("_data"), F.col("_p")
-    required = [("usageKey", "usage_key", F.lit(0)), ("scientificName", "scientific_name", F.lit("")),
-                ("canonicalName", "canonical_name", F.lit("")), ("rank", "rank", F.lit("")),
-                ("matchType", "match_type", F.lit("")), ("confidence", "confidence", F.lit(0))]
+    out = df.select("*", st.alias("_status"), F.try_parse_json(_col(data)).alias("_v"))
+    v = F.col("_v")
+    required = [("usageKey", "usage_key", "int", F.lit(0)),
+                ("scientificName", "scientific_name", "string", F.lit("")),
+                ("canonicalName", "canonical_name", "string", F.lit("")),
+                ("rank", "rank", "string", F.lit("")),
+                ("matchType", "match_type", "string", F.lit("")),
+                ("confidence", "confidence", "int", F.lit(0))]
     broken = F.lit(False)
-    for src, _, _ in required:
-        broken = broken | _present_null(dd, src, pp[src])
+    for src, _, typ, _ in required:
+        broken = broken | (_vpresent(v, f"$.{src}")
+                           & F.try_variant_get(v, f"$.{src}", typ).isNull())
+    match_type = F.try_variant_get(v, "$.matchType", "string")
+    is_object = F.coalesce(F.size(F.try_variant_get(v, "$", "map<string,variant>")), F.lit(0)) > 0
     rules = [
         (R.HTTP_ERROR, F.col("_status") != 200),
-        (R.NO_MATCH_RETURNED, ~is_nonempty_object(dd)),
-        (R.MATCH_TYPE_NOT_EXACT, F.coalesce(pp["matchType"] != "EXACT", F.lit(True))),
+        (R.NO_MATCH_RETURNED, ~is_object),
+        (R.MATCH_TYPE_NOT_EXACT, F.coalesce(match_type != "EXACT", F.lit(True))),
         (R.HTTP_ERROR, broken),
     ]
     k = F.col(key).cast("string")
     contexts = [
         (F.col("_status") != 200, [("http_status", F.col("_status")), ("species_key", k)]),
         (F.col(R.REASON) == R.MATCH_TYPE_NOT_EXACT,
-         [("species_key", k), ("match_type", pp["matchType"])]),
+         [("species_key", k), ("match_type", match_type)]),
         (F.col(R.REASON) == R.HTTP_ERROR,
          [("species_key", k), ("error", F.lit("required field is null or mistyped"))]),
         (F.lit(True), [("species_key", k)]),
     ]
     out = R.with_rules(out, rules, contexts)
-    typed = [F.coalesce(pp[src], dflt).alias(dst) for src, dst, dflt in required]
-    typed += [pp["kingdom"].alias("kingdom"), pp["phylum"].alias("phylum"),
-              pp["class"].alias("class_name")]
+    typed = [F.coalesce(F.try_variant_get(v, f"$.{src}", typ), dflt).alias(dst)
+             for src, dst, typ, dflt in required]
+    typed += [F.try_variant_get(v, f"$.{src}", "string").alias(dst)
+              for src, dst in (("kingdom", "kingdom"), ("phylum", "phylum"), ("class", "class_name"))]
     return out.select(*[c for c in df.columns], *typed, R.REASON, R.CONTEXT)
 
 
@@ -162,7 +172,8 @@ def validate_occurrences(df: DataFrame, key: str = "species_key") -> DataFrame:
         (R.COORDINATES_OUT_OF_RANGE, lat.isNull() | lon.isNull()),
         (R.COORDINATES_OUT_OF_RANGE, ~F.coalesce(in_range, F.lit(False))),
         (R.MISSING_BASIS_OF_RECORD, is_falsy(F.col("basisOfRecord"))),
-        (R.INVALID_EVENT_DATE, date_is_invalid(F.col("eventDate"))),
+        (R.INVALID_EVENT_DATE, F.coalesce(F.col("eventDate") != "", F.lit(False))
+         & F.col("_event_date").isNull()),
         (R.HTTP_ERROR, gid_long.isNull() | unc_bad),
     ]
     k = F.col(key).cast("string")
@@ -177,15 +188,16 @@ def validate_occurrences(df: DataFrame, key: str = "species_key") -> DataFrame:
                                   ("error", F.lit("gbif_id or uncertainty not numeric"))]),
         (F.lit(True), [("species_key", k), ("gbif_id", gid)]),
     ]
-    out = R.with_rules(df, rules, contexts)
+    out = R.with_rules(df.withColumn("_event_date", parse_multi_date(F.col("eventDate"))),
+                       rules, contexts)
     return out.select(
         "*", gid_long.alias("gbif_id"), lat.alias("decimal_latitude"),
         lon.alias("decimal_longitude"), F.col("country").alias("country_"),
-        parse_multi_date(F.col("eventDate")).alias("event_date"),
+        F.col("_event_date").alias("event_date"),
         F.col("basisOfRecord").alias("basis_of_record"),
         F.col("iucnRedListCategory").alias("iucn_red_list_category"),
         falsy_to_null_double(unc_raw).alias("coordinate_uncertainty_m"),
-    ).drop("country").withColumnRenamed("country_", "country")
+    ).drop("country", "_event_date").withColumnRenamed("country_", "country")
 
 
 def occurrence_records(envelope_rows: DataFrame, key: str = "species_key",

@@ -47,7 +47,9 @@ def _k(props: str = "props") -> F.Column:
 
 def event_date_text(t: Tables) -> DataFrame:
     """Event times rendered in the shapes landed sources use, some of them invalid."""
-    k, et, ts = _k(), F.col("event_type"), F.col("ts")
+    # the property is parsed once here; the expressions below reference the column
+    ev = t.events.select("event_id", "user_id", "event_type", "value", "ts", _k().alias("k"))
+    k, et, ts = F.col("k"), F.col("event_type"), F.col("ts")
     raw = (F.when(et == "click", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
            .when(et == "view", F.date_format(ts, "yyyy-MM-dd"))
            .when(et == "purchase", F.date_format(ts, "yyyy"))
@@ -55,8 +57,8 @@ def event_date_text(t: Tables) -> DataFrame:
                  .otherwise(F.date_format(ts, "yyyy-M-d")))
            .otherwise(F.when(k == 0, F.lit("")).otherwise(
                F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))))
-    return t.events.select("event_id", "user_id", "event_type", "value", "ts",
-                           k.alias("k"), raw.alias("raw_date"))
+    return ev.select("event_id", "user_id", "event_type", "value", "ts", "k",
+                     raw.alias("raw_date"))
 
 
 def occurrence_raw(t: Tables) -> DataFrame:

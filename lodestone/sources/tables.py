@@ -9,9 +9,23 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A small file with a single row group is read by one task, which would run all
+    narrow CPU work (parsing, validation, splitting, encoding) on one core.  Large
+    inputs already have many more splits than cores; then this is a no-op and adds
+    no shuffle.  Filters and column pruning still reach the scan below."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
     """One driver table; column pruning and filters reach the Parquet scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if balance else df
 
 
 class Tables:
