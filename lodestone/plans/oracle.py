@@ -430,3 +430,46 @@ ORACLE["bronze_pages"] = ORACLE["validate_pages"]
 ORACLE["incremental_bronze"] = """
 SELECT page_id, 200 AS status, length(html) AS n_chars FROM pages
 """
+
+ORACLE["resolve_titles"] = """
+WITH names AS (SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS name FROM documents),
+dir AS (SELECT 'doc-' || CAST(page_id AS VARCHAR) AS k,
+               regexp_extract(html, '<title>(.*?)</title>', 1) AS page_title,
+               contains(url, '?page=') AS dis, contains(url, '#') AS red
+        FROM pages WHERE contains(url, '/en/')),
+hits AS (SELECT 'doc-' || CAST(conv_id AS VARCHAR) AS name, turn + 1 AS rnk,
+                CASE WHEN role = 'assistant' THEN 'p-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)
+                     ELSE 'doc-' || CAST(conv_id AS VARCHAR) || CAST(turn AS VARCHAR) END AS hit_title,
+                text AS snippet
+         FROM conversations WHERE turn + 1 <= 5),
+agg AS (SELECT name, count(*) AS n_hits, string_agg(hit_title, '|' ORDER BY rnk) AS cands,
+               arg_min(hit_title, rnk) AS top_title, arg_min(snippet, rnk) AS top_snip,
+               arg_min(hit_title, rnk) FILTER (WHERE rnk > 1) AS sec_title,
+               arg_min(snippet, rnk) FILTER (WHERE rnk > 1) AS sec_snip
+        FROM hits GROUP BY name),
+j AS (SELECT n.name, d.k IS NOT NULL AS direct, d.dis AS d_dis, d.red AS d_red, d.page_title AS d_title,
+             coalesce(a.n_hits, 0) AS n_hits, a.cands, a.top_title, a.top_snip, a.sec_title, a.sec_snip,
+             t.k IS NOT NULL AS top_ok, coalesce(t.dis, false) AS top_dis,
+             (s.k IS NOT NULL AND NOT coalesce(s.dis, false)) AS sec_ok
+      FROM names n LEFT JOIN dir d ON n.name = d.k LEFT JOIN agg a ON n.name = a.name
+      LEFT JOIN dir t ON a.top_title = t.k LEFT JOIN dir s ON a.sec_title = s.k),
+r AS (SELECT *, CASE WHEN direct AND d_dis THEN 1 WHEN direct THEN 2 WHEN n_hits = 0 THEN 3
+                     WHEN NOT top_ok THEN 4 WHEN top_dis AND n_hits > 1 AND sec_ok THEN 5
+                     WHEN top_dis THEN 6
+                     WHEN n_hits >= 2
+                          AND (contains(lower(top_snip), lower(name)) OR contains(lower(top_title), lower(name)))
+                          AND (contains(lower(sec_snip), lower(name)) OR contains(lower(sec_title), lower(name)))
+                          THEN 7
+                     ELSE 8 END AS rule
+      FROM j)
+SELECT name,
+       CASE rule WHEN 1 THEN 'DISAMBIGUATION_PAGE' WHEN 2 THEN 'SUCCESS' WHEN 3 THEN 'PAGE_NOT_FOUND'
+                 WHEN 4 THEN 'PAGE_NOT_FOUND' WHEN 5 THEN 'SUCCESS' WHEN 6 THEN 'DISAMBIGUATION_PAGE'
+                 WHEN 7 THEN 'AMBIGUOUS_RESOLUTION' ELSE 'SUCCESS' END AS status,
+       CASE WHEN rule IN (1, 2) THEN CASE WHEN d_red THEN 'REDIRECT' ELSE 'DIRECT_TITLE' END
+            WHEN rule IN (5, 6, 8) THEN 'SEARCH' END AS resolved_via,
+       CASE WHEN rule IN (1, 2) THEN d_title WHEN rule = 5 THEN sec_title
+            WHEN rule IN (6, 8) THEN top_title END AS title,
+       CASE WHEN rule IN (4, 6, 7) THEN cands END AS candidates
+FROM r
+"""

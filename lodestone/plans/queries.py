@@ -480,3 +480,17 @@ def q_incremental_bronze(spark, sf_dir):
     landed = spark.read.parquet(target)
     return landed.select(F.regexp_extract("query", "^page:([0-9]+)$", 1).cast("long")
                          .alias("page_id"), "status", F.length("data").alias("n_chars"))
+
+
+# --- title resolution -----------------------------------------------------------
+
+from ..operators.resolve import resolve_titles  # noqa: E402
+
+
+@register("resolve_titles")
+def q_resolve_titles(spark, sf_dir):
+    """J7 decision table: direct page, redirect, search hits, disambiguation, ambiguity."""
+    names, directory, hits = V.resolution_inputs(Tables(spark, sf_dir))
+    r = resolve_titles(names, directory, hits)
+    return r.select("name", "status", "resolved_via", "title",
+                    F.array_join("candidates", "|").alias("candidates"))

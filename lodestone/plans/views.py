@@ -260,3 +260,25 @@ def label_centroids(t: Tables) -> DataFrame:
     return per_dim.groupBy("label").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"])
         .alias("query_vec")).withColumnRenamed("label", "query_id")
+
+
+def resolution_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Names = one per document; directory = English pages (plus their disambiguation and
+    redirect flags from the URL); search hits = the turns of the conversation with the
+    same number (rank = turn + 1)."""
+    names = t.documents.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("name"))
+    p = t.pages.where(F.col("url").contains("/en/"))
+    directory = p.select(
+        F.concat(F.lit("doc-"), F.col("page_id").cast("string")).alias("query_title"),
+        F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("page_title"),
+        F.col("url").contains("?page=").alias("is_disambiguation"),
+        F.col("url").contains("#").alias("was_redirected"))
+    c = t.conversations
+    n = F.col("conv_id").cast("string")
+    hit_title = F.when(F.col("role") == "assistant",
+                       F.concat(F.lit("p-"), n, F.lit("-"), F.col("turn").cast("string"))) \
+        .otherwise(F.concat(F.lit("doc-"), n, F.col("turn").cast("string")))
+    hits = c.select(F.concat(F.lit("doc-"), n).alias("name"),
+                    (F.col("turn") + 1).cast("int").alias("rank"), hit_title.alias("hit_title"),
+                    F.col("text").alias("snippet"))
+    return names, directory, hits
