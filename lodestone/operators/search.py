@@ -137,7 +137,7 @@ def _query_payload(queries: DataFrame, qid: str, qvec: str, max_queries: int):
 def knn(vectors: DataFrame, queries: DataFrame, n: int, *, id_col: str = "chunk_id",
         vec_col: str = "embedding", parent_col: str | None = None, per_parent: bool = False,
         query_id: str = "query_id", query_vec: str = "query_vec",
-        max_queries: int = DEFAULT_MAX_QUERIES, ann_tables: int = 0, ann_bits: int = 8,
+        max_queries: int = DEFAULT_MAX_QUERIES, ann_tables: int = 0, ann_bits: int = 3,
         seed: int = 7) -> DataFrame:
     """Top-``n`` nearest vectors (or parents, ``per_parent=True``) for every query.
 

@@ -418,7 +418,7 @@ def q_ann_search(spark, sf_dir):
     """K3 approximate: 25 nearest of each label centroid among LSH-bucket candidates."""
     t = Tables(spark, sf_dir)
     return K.knn(V.vector_chunks(t), V.label_centroids(t), 25, id_col="vec_id",
-                 parent_col="label", ann_tables=8, ann_bits=4)
+                 parent_col="label", ann_tables=16, ann_bits=3)
 
 
 # --- bronze landing and incremental ingestion ------------------------------------------
