@@ -35,3 +35,13 @@ def non_null_map(*pairs) -> Column:
     if not args:
         return F.create_map().cast("map<string,string>")
     return F.map_filter(F.create_map(*args), lambda k, v: v.isNotNull())
+
+
+def record_to_json(*cols) -> Column:
+    """Serialise a record (the given columns, or all with ``"*"``) to one JSON text."""
+    return F.to_json(F.struct(*cols))
+
+
+def record_from_json(c, schema) -> Column:
+    """Inverse of ``record_to_json`` for a known schema (lossless for the record types used)."""
+    return F.from_json(_c(c), schema)

@@ -201,12 +201,17 @@ def validate_occurrences(df: DataFrame, key: str = "species_key") -> DataFrame:
 
 
 def occurrence_records(envelope_rows: DataFrame, key: str = "species_key",
-                       data: str = "data") -> DataFrame:
+                       data: str = "data", max_records: int | None = None) -> DataFrame:
     """Explode ``data.results[]`` of occurrence responses into one row per record,
     keeping the array position (tie-breaks depend on it).  Only object payloads
-    carry records; text payloads give none."""
+    carry records; text payloads give none.  ``max_records`` reproduces the
+    source's page size (the reference asks for at most 50 records per name); it is
+    off by default, every landed record is kept."""
     parsed = F.from_json(F.when(is_nonempty_object(F.col(data)), F.col(data)),
                          OCCURRENCE_RESULTS_SCHEMA)
-    return (envelope_rows.select("*", F.posexplode(parsed["results"]).alias("pos", "_rec"))
+    results = parsed["results"]
+    if max_records is not None:
+        results = F.slice(results, 1, max_records)
+    return (envelope_rows.select("*", F.posexplode(results).alias("pos", "_rec"))
             .select(*envelope_rows.columns, "pos",
                     *[F.col("_rec")[f].alias(f) for f in OCCURRENCE_FIELDS]))

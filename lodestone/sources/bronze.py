@@ -114,3 +114,16 @@ def batch_names(spark: SparkSession, *, path: str | None = None, text: str | Non
     else:
         df = spark.createDataFrame([(n,) for n in (names or [])], "name string")
     return df.where(F.col("name").isNotNull() & (F.col("name") != ""))
+
+
+def split_batches(names: DataFrame, order: str, n_batches: int) -> DataFrame:
+    """Add ``batch_no`` (1..n): consecutive slices of the list in ``order`` of equal size
+    (the first slices take the remainder), e.g. first / last half of a seed list.
+    Uses ``zipWithIndex`` (distributed), not a single-partition window."""
+    total = names.count()
+    size = -(-total // n_batches) if total else 1
+    ordered = names.orderBy(order)
+    indexed = ordered.rdd.zipWithIndex().map(lambda p: (*p[0], p[1]))
+    cols = names.columns + ["_i"]
+    out = indexed.toDF(cols)
+    return out.withColumn("batch_no", (F.floor(F.col("_i") / size) + 1).cast("int")).drop("_i")

@@ -81,3 +81,21 @@ class TableStore:
         """``(tabla, count)`` for the current version of each table (A7)."""
         rows = [(t, self.read(t).count() if self.exists(t) else 0) for t in tables]
         return self.spark.createDataFrame(rows, "tabla string, count long")
+
+    def tables(self) -> list[str]:
+        """Tables with at least one committed version (L4)."""
+        root = self._Path(self.root)
+        if not self._fs.exists(root):
+            return []
+        names = [st.getPath().getName() for st in self._fs.listStatus(root) if st.isDirectory()]
+        return sorted(n for n in names if self._versions(n))
+
+    def describe(self, table: str) -> DataFrame:
+        """``(column, type)`` of the current version (L4)."""
+        fields = self.read(table).schema.fields
+        return self.spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in fields],
+                                          "column string, type string")
+
+    def lookup(self, table: str, key: str, value) -> DataFrame:
+        """Rows of one key; the equality filter is pushed down to the Parquet scan (V6)."""
+        return self.read(table).where(F.col(key) == F.lit(value))

@@ -117,3 +117,22 @@ def test_empty_batch(spark, tmp_path):
     r = run_batch(spark, batch_names(spark, names=[]), str(tmp_path / "b"), str(tmp_path / "w"))
     assert r.summary == {"status": "empty_batch", "message": "No species provided"}
     assert not os.path.exists(tmp_path / "w")
+
+
+def test_store_introspection_lookup_and_json_round_trip(spark, tmp_path):
+    from lodestone.functions import record_from_json, record_to_json
+    from lodestone.sources.bronze import split_batches
+    from lodestone.sources.store import TableStore
+    store = TableStore(spark, str(tmp_path / "wh"))
+    df = spark.createDataFrame([("a", 1, ["x", "y"]), ("b", 2, [])], "k string, n int, l array<string>")
+    store.write("t", df)
+    assert store.tables() == ["t"]
+    assert [tuple(r) for r in store.describe("t").collect()] == [("k", "string"), ("n", "int"),
+                                                                 ("l", "array<string>")]
+    assert [r.n for r in store.lookup("t", "k", "b").collect()] == [2]
+    js = df.select(record_to_json("*").alias("j"))
+    back = js.select(record_from_json("j", df.schema).alias("r")).select("r.*")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    names = spark.createDataFrame([(f"n{i:02d}", i) for i in range(18)], "name string, o int")
+    halves = {r.name: r.batch_no for r in split_batches(names, "o", 2).collect()}
+    assert halves["n00"] == 1 and halves["n08"] == 1 and halves["n09"] == 2 and halves["n17"] == 2
