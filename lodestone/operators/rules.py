@@ -88,13 +88,30 @@ def write_split(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 
 
 def reject_report(*quarantines: DataFrame) -> DataFrame:
-    """Count of rejected records by source and reason."""
+    """Count of rejected records by source and reason, over quarantine tables."""
     u = quarantines[0]
     for q in quarantines[1:]:
         u = u.unionByName(q)
     return u.groupBy("source", REASON).agg(F.count(F.lit(1)).alias("n_rejected"))
 
 
+def reject_report_checked(checked: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """Same report straight from checked rows (before any quarantine write).
+
+    A ``rejection_reason IS NOT NULL`` filter would be pushed below the projection
+    that computes the reason and evaluate every rule twice (parsing each payload
+    twice); instead all rows are aggregated (valid rows form the NULL group) and
+    the NULL group is dropped with a predicate on an aggregate, which stays above
+    the aggregation."""
+    parts = [df.select(F.lit(src).alias("source"), F.col(REASON)) for src, df in checked]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    agg = u.groupBy("source", REASON).agg(F.count(F.lit(1)).alias("n_rejected"),
+                                           F.max(F.col(REASON).isNotNull()).alias("_rejected"))
+    return agg.where(F.col("_rejected")).drop("_rejected")
+
+
 def outcome_counts(checked: DataFrame, source: str) -> DataFrame:
     """Reconciliation row per source: input = valid + rejected (no silent loss)."""
     return checked.agg(

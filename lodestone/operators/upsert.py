@@ -67,19 +67,23 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: str,
     """Apply ``batch`` to ``target`` (both with ``key`` + ``columns``); ``order`` orders the
     batch records.  Returns the new table version (same columns as target) and its evidence.
 
-    With ``materialize`` (default) the collapsed batch and the new version are written
-    once to the shared checkpoint folder (reliable checkpoint): the size check, the
-    join, the evidence and later upserts read them instead of replaying the lineage,
-    and a lost executor does not recompute earlier batches."""
+    With ``materialize`` (default) the new version is written once to the shared
+    checkpoint folder and read back: the evidence and later upserts read it instead of
+    replaying the lineage, and a lost executor does not recompute earlier batches.
+    Without it, table and evidence stay lazy plans."""
     update_cols = [c for c in columns if c != key and c not in insert_only]
     ins_only = [c for c in insert_only if c != key]
     out_cols = [key] + [c for c in columns if c != key]
     b = collapse_batch(batch, key, order, update_cols, ins_only)
-    if materialize:
-        b = cut_lineage(b)
     t = target.select(*out_cols)
+    if materialize:
+        b = b.persist()  # reused by the size check, the join and the evidence
+        stats = b.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+        n_keys, n_records = stats[0], stats[1]
+    else:
+        n_keys = b.count()
 
-    small = broadcast_rows is not None and b.count() <= broadcast_rows
+    small = broadcast_rows is not None and n_keys <= broadcast_rows
     if small:
         # the collapsed batch is size-checked: broadcast it, scan the target, no shuffle of it
         bb = F.broadcast(b.withColumn("_hit", F.lit(True)))
@@ -103,9 +107,17 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: str,
             else:
                 cols.append(F.when(F.col("_in_t"), tt[c]).otherwise(bb[c]).alias(c))
         table = j.select(F.coalesce(tt[key], bb[key]).alias(key), *cols)
-    if materialize:
-        table = cut_lineage(table)
-    return UpsertResult(table, _evidence(target.sparkSession, name, t, table, b))
+    spark = target.sparkSession
+    if not materialize:
+        return UpsertResult(table, _evidence(spark, name, t, table, b))
+    table = cut_lineage(table)
+    b.unpersist()
+    before, after = t.count(), table.count()  # both read materialised versions
+    ev = spark.createDataFrame([(name, before, after, after - before,
+                                 n_records - (after - before))],
+                               "tabla string, filas_antes long, filas_despues long, "
+                               "filas_nuevas long, filas_actualizadas long")
+    return UpsertResult(table, ev)
 
 
 def empty_like(df: DataFrame) -> DataFrame:

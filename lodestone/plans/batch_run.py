@@ -21,6 +21,7 @@ from ..operators import search as K
 from ..operators import sections as SEC
 from ..operators import summarize as S
 from ..operators import validate as VAL
+from ..session import cut_lineage
 from ..sources import bronze as B
 from ..sources.store import TableStore
 
@@ -116,7 +117,9 @@ def run_batch(spark: SparkSession, names: DataFrame, bronze_root: str, warehouse
     batch_id = batch_id or "batch_" + datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S")
     store = TableStore(spark, warehouse_root)
     fr = silver_frames(spark, names, bronze_root, batch_id, resolution)
-    pages, tax, occ = fr["pages"], fr["taxonomy"], fr["occurrences"]
+    # each source is parsed and checked once; quarantine, silver, merge and the counts all
+    # read the checkpointed rows (reliable checkpoint in the shared folder)
+    pages, tax, occ = (cut_lineage(fr[k]) for k in ("pages", "taxonomy", "occurrences"))
 
     # quarantine: one partitioned write per batch, idempotent on rerun (dynamic overwrite)
     quarantine = (R.quarantine_rows(pages, "wikipedia", batch_id, "species_key")

@@ -191,10 +191,9 @@ def q_validate_pages(spark, sf_dir):
 def q_reject_report(spark, sf_dir):
     """A6 / A5 rejected records by source and reason over the three validators."""
     t = Tables(spark, sf_dir)
-    q = [R.quarantine_rows(checked_pages(t), "wikipedia", "b1", "doc_id"),
-         R.quarantine_rows(checked_taxonomy(t), "gbif_taxonomy", "b1", "p_partkey"),
-         R.quarantine_rows(checked_occurrences(t), "gbif_occurrence", "b1", "gbifID")]
-    return R.reject_report(*q)
+    return R.reject_report_checked([("wikipedia", checked_pages(t)),
+                                    ("gbif_taxonomy", checked_taxonomy(t)),
+                                    ("gbif_occurrence", checked_occurrences(t))])
 
 
 @register("reconcile")

@@ -64,6 +64,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it
+    back: one job (``Dataset.checkpoint`` would compute the plan twice unless cached),
+    columnar and compressed, and it survives the loss of any executor."""
+    import uuid
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
