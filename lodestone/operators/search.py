@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_MAX_QUERIES = 100_000
+MAX_QUERY_BYTES = 256 * 1024 * 1024  # broadcast payload of the query matrix (float64)
 _MARGIN = 1e-6  # absolute slack over the BLAS estimate before exact re-ranking
 
 
@@ -131,6 +132,9 @@ def _query_payload(queries: DataFrame, qid: str, qvec: str, max_queries: int):
     rows = queries.select(qid, qvec).collect()  # bounded by the check above
     ids = [r[0] for r in rows]
     mat = np.array([np.asarray(r[1], dtype=np.float64) for r in rows]) if rows else np.zeros((0, 0))
+    if mat.nbytes > MAX_QUERY_BYTES:
+        raise ValueError(f"query vectors take {mat.nbytes} bytes, over the broadcast bound "
+                         f"of {MAX_QUERY_BYTES}; split the query set")
     return ids, mat
 
 

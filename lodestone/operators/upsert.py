@@ -14,8 +14,9 @@ record in arrival order, expressed set-wise:
   updated), ``after`` = ``before`` + ``new``.
 
 Physical strategy: when the collapsed batch is provably small (row count under
-``broadcast_rows``) it is broadcast and the target is only scanned, never
-shuffled; otherwise a shuffled full outer join on the key is used.
+``broadcast_rows`` and serialized size under ``broadcast_bytes``) it is
+broadcast and the target is only scanned, never shuffled; otherwise a shuffled
+full outer join on the key is used.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from ..session import cut_lineage
 
 EVIDENCE_COLUMNS = ("tabla", "filas_antes", "filas_despues", "filas_nuevas", "filas_actualizadas")
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 512 * 1024 * 1024
 
 
 def collapse_batch(batch: DataFrame, key: str, order: str, update_cols: Sequence[str],
@@ -63,6 +65,7 @@ def _evidence(spark, name: str, before: DataFrame, after: DataFrame,
 def upsert(target: DataFrame, batch: DataFrame, key: str, order: str,
            columns: Sequence[str], insert_only: Sequence[str] = (), name: str = "table",
            broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+           broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
            materialize: bool = True) -> UpsertResult:
     """Apply ``batch`` to ``target`` (both with ``key`` + ``columns``); ``order`` orders the
     batch records.  Returns the new table version (same columns as target) and its evidence.
@@ -84,6 +87,11 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: str,
         n_keys = b.count()
 
     small = broadcast_rows is not None and n_keys <= broadcast_rows
+    if small:
+        # rows can be wide (documents): also bound the serialized size of the batch
+        size = b.select(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*b.columns)))),
+                                   F.lit(0))).first()[0]
+        small = size <= broadcast_bytes
     if small:
         # the collapsed batch is size-checked: broadcast it, scan the target, no shuffle of it
         bb = F.broadcast(b.withColumn("_hit", F.lit(True)))

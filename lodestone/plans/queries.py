@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import slugify
 from ..operators import merge as M
 from ..operators import summarize as S
-from ..sources.tables import Tables
+from ..sources.tables import Tables, spread
 from . import views as V
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -405,7 +405,7 @@ from ..operators import embed as EMB  # noqa: E402
 @register("embed_chunks")
 def q_embed_chunks(spark, sf_dir):
     """K1 every document text -> unit vector (hashing encoder, 384 dims)."""
-    d = Tables(spark, sf_dir).documents.select("doc_id", "text")
+    d = spread(Tables(spark, sf_dir).documents).select("doc_id", "text")
     toks = F.filter(F.split(F.lower(F.col("text")), "\\W+"), lambda s: s != "")
     e = EMB.embed(d.withColumn("n_tokens", F.size(toks)))
     return e.select("doc_id", F.size("embedding").alias("dims"), "n_tokens",
@@ -466,7 +466,7 @@ def q_bronze_pages(spark, sf_dir):
 def q_incremental_bronze(spark, sf_dir):
     """L5 / S1 / S4 pages landed as text payloads, picked up once by a streaming run;
     a second run finds no new file."""
-    pages = Tables(spark, sf_dir).pages
+    pages = spread(Tables(spark, sf_dir).pages)
     rows = pages.select(F.concat(F.lit("page:"), F.col("page_id").cast("string")).alias("query"),
                         F.lit(200).alias("status"), F.col("html").alias("data"))
     root, target = _scratch(spark, "landing"), _scratch(spark, "landed")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import Tables
+from ..sources.tables import Tables, spread
 
 
 def taxonomy_view(t: Tables) -> DataFrame:
@@ -48,7 +48,8 @@ def _k(props: str = "props") -> F.Column:
 def event_date_text(t: Tables) -> DataFrame:
     """Event times rendered in the shapes landed sources use, some of them invalid."""
     # the property is parsed once here; the expressions below reference the column
-    ev = t.events.select("event_id", "user_id", "event_type", "value", "ts", _k().alias("k"))
+    ev = spread(t.events).select("event_id", "user_id", "event_type", "value", "ts",
+                                 _k().alias("k"))
     k, et, ts = F.col("k"), F.col("event_type"), F.col("ts")
     raw = (F.when(et == "click", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
            .when(et == "view", F.date_format(ts, "yyyy-MM-dd"))
@@ -85,7 +86,7 @@ def occurrence_raw(t: Tables) -> DataFrame:
 
 def taxonomy_responses(t: Tables) -> DataFrame:
     """Parts as landed taxonomy responses: HTTP status plus JSON body text."""
-    p = t.part
+    p = spread(t.part)
     body = F.to_json(F.struct(
         F.when((F.col("p_type") == "MEDIUM") & (F.col("p_size") == 1), F.lit(None))
         .otherwise(F.col("p_partkey")).alias("usageKey"),
@@ -110,7 +111,7 @@ def taxonomy_responses(t: Tables) -> DataFrame:
 
 def page_responses(t: Tables) -> DataFrame:
     """Documents as landed page responses: summary status/body and extracts body."""
-    d = t.documents
+    d = spread(t.documents)
     src, key = F.col("source"), F.col("doc_id").cast("string")
     title = F.when(src == "src5", F.lit("")).otherwise(F.concat(F.lit("Doc "), key))
     summary = F.to_json(F.struct(
@@ -189,7 +190,7 @@ TURN_HEADINGS = ["Description and morphology", "Distribution and habitat", "Habi
 def turn_blocks(t: Tables) -> DataFrame:
     """Each conversation turn as one headed block: ``== heading ==`` (``===`` for
     assistant turns) and the turn text below; system turns carry only the heading."""
-    c = t.conversations
+    c = spread(t.conversations)
     idx = F.pmod(F.col("conv_id") * 7 + F.col("turn"), F.lit(len(TURN_HEADINGS))) + 1
     heading = F.element_at(F.array(*[F.lit(h) for h in TURN_HEADINGS]), idx.cast("int"))
     marks = F.when(F.col("role") == "assistant", F.lit("===")).otherwise(F.lit("=="))
@@ -226,7 +227,7 @@ def conversation_documents(t: Tables) -> DataFrame:
 
 def vector_chunks(t: Tables) -> DataFrame:
     """Embeddings as chunk vectors: chunk id = vec_id, parent = label."""
-    return t.embeddings.select("vec_id", "label", "embedding",
+    return spread(t.embeddings).select("vec_id", "label", "embedding",
                                F.concat(F.lit("vector "), F.col("vec_id").cast("string"))
                                .alias("text"))
 

@@ -22,14 +22,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
     """One driver table; column pruning and filters reach the Parquet scan."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return spread(df) if balance else df
 
 
 class Tables:
-    """Lazy accessor: ``Tables(spark, dir).orders`` reads ``orders.parquet``."""
+    """Lazy accessor: ``Tables(spark, dir).orders`` reads ``orders.parquet``.
+
+    Scans are returned as they are; views that run narrow CPU-heavy work
+    (parsing, splitting, encoding, scoring) wrap them in ``spread``.  Scans that
+    feed an aggregation or join need no spreading: their partial aggregation is
+    cheap and the shuffle after it parallelises the rest."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir

@@ -62,3 +62,11 @@ def test_random_against_duckdb_on_conflict(spark):
         assert sorted(tuple(x) for x in r.table.collect()) == want
         new = len({k for k, *_ in batch} - {k for k, *_ in target})
         assert ev(r) == (40, 40 + new, new, 120 - new)
+
+
+def test_wide_batch_takes_the_shuffled_path(spark):
+    wide = spark.createDataFrame([(f"k{i}", "x" * 2000, "f", i) for i in range(50)], SCHEMA)
+    t = spark.createDataFrame([("k1", "old", "keep")], "k string, v string, first string")
+    r = U.upsert(t, wide, "k", "o", COLS, ["first"], broadcast_bytes=10_000)
+    got = {x.k: x for x in r.table.collect()}
+    assert len(got) == 50 and got["k1"].first == "keep" and ev(r) == (1, 50, 49, 1)
