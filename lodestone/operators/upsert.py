@@ -66,9 +66,11 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: str,
            columns: Sequence[str], insert_only: Sequence[str] = (), name: str = "table",
            broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
            broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-           materialize: bool = True) -> UpsertResult:
+           materialize: bool = True, derive=None) -> UpsertResult:
     """Apply ``batch`` to ``target`` (both with ``key`` + ``columns``); ``order`` orders the
     batch records.  Returns the new table version (same columns as target) and its evidence.
+    ``derive`` adds key-only columns to the collapsed batch (e.g. an origin flag looked
+    up by key) instead of joining every raw record.
 
     With ``materialize`` (default) the new version is written once to the shared
     checkpoint folder and read back: the evidence and later upserts read it instead of
@@ -77,7 +79,13 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: str,
     update_cols = [c for c in columns if c != key and c not in insert_only]
     ins_only = [c for c in insert_only if c != key]
     out_cols = [key] + [c for c in columns if c != key]
-    b = collapse_batch(batch, key, order, update_cols, ins_only)
+    present = set(batch.columns)
+    b = collapse_batch(batch, key, order, [c for c in update_cols if c in present],
+                       [c for c in ins_only if c in present])
+    if derive is not None:
+        # columns that depend on the key only are added after the collapse: one row per
+        # key, so a hot key cannot skew the enrichment join
+        b = derive(b)
     t = target.select(*out_cols)
     if materialize:
         b = b.persist()  # reused by the size check, the join and the evidence

@@ -225,11 +225,12 @@ def _catalog_upserts(t: Tables):
     split = F.lit(V.CATALOG_SPLIT).cast("timestamp_ntz")
     first, second = rec.where(F.col("ts") < split), rec.where(F.col("ts") >= split)
     cols = list(V.CATALOG_COLUMNS)
-    empty = U.empty_like(rec.select(*cols))
+    empty = U.empty_like(rec.withColumn("origin", F.lit("")).select(*cols))
+    derive = V.with_origin(t)
     r1 = U.upsert(empty, first, "species_key", "event_id", cols, V.CATALOG_INSERT_ONLY,
-                  name="catalog")
+                  name="catalog", derive=derive)
     r2 = U.upsert(r1.table, second, "species_key", "event_id", cols, V.CATALOG_INSERT_ONLY,
-                  name="catalog")
+                  name="catalog", derive=derive)
     return r1, r2
 
 

@@ -161,19 +161,27 @@ def seed_keys(t: Tables) -> DataFrame:
 
 
 def catalog_records(t: Tables) -> DataFrame:
-    """Every event as a catalog record of its user; batch = event day."""
+    """Every event as a catalog record of its user; batch = event day.  The origin flag
+    depends on the key only and is added after the per-key collapse (``with_origin``)."""
     e = t.events.select(F.col("user_id").alias("species_key"), "event_id", "event_type", "ts")
-    seed = seed_keys(t).withColumn("_seed", F.lit(True))
-    return (e.join(seed, "species_key", "left")
-            .select("species_key", "event_id", "ts",
+    return e.select("species_key", "event_id", "ts",
                     F.col("event_type").alias("scientific_name"),
                     F.col("event_type").alias("wikipedia_title"),
                     F.concat(F.lit("day_"), F.date_format("ts", "yyyy-MM-dd"))
                     .alias("first_seen_batch_id"),
                     F.col("ts").alias("first_processed_at"),
-                    F.col("ts").alias("last_processed_at"),
-                    F.when(F.col("_seed"), F.lit("SEED")).otherwise(F.lit("AD_HOC"))
-                    .alias("origin")))
+                    F.col("ts").alias("last_processed_at"))
+
+
+def with_origin(t: Tables):
+    """``derive`` hook: SEED when the key is on the seed list, else AD_HOC."""
+    seed = seed_keys(t).withColumn("_seed", F.lit(True))
+
+    def derive(collapsed: DataFrame) -> DataFrame:
+        return (collapsed.join(seed, "species_key", "left")
+                .withColumn("origin", F.when(F.col("_seed"), F.lit("SEED"))
+                            .otherwise(F.lit("AD_HOC"))).drop("_seed"))
+    return derive
 
 
 CATALOG_SPLIT = "2024-01-16"

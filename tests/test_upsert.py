@@ -70,3 +70,15 @@ def test_wide_batch_takes_the_shuffled_path(spark):
     r = U.upsert(t, wide, "k", "o", COLS, ["first"], broadcast_bytes=10_000)
     got = {x.k: x for x in r.table.collect()}
     assert len(got) == 50 and got["k1"].first == "keep" and ev(r) == (1, 50, 49, 1)
+
+
+def test_hot_key_batch(spark):
+    # a third of the batch is one key: collapsed map-side, last / first values exact
+    rows = [("hot", f"v{i}", f"f{i}", i) for i in range(600)] + \
+           [(f"k{i}", "c", "c", i) for i in range(1200)]
+    b = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    t = spark.createDataFrame([("k0", "old", "keep")], "k string, v string, first string")
+    r = U.upsert(t, b, "k", "o", COLS, ["first"])
+    got = {x.k: x for x in r.table.collect()}
+    assert (got["hot"].v, got["hot"].first) == ("v599", "f0")
+    assert got["k0"].first == "keep" and ev(r) == (1, 1201, 1200, 600)
