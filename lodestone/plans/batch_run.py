@@ -77,9 +77,9 @@ def silver_frames(spark: SparkSession, names: DataFrame, bronze_root: str, batch
     via = None
     if resolution is not None:
         pages = pages.join(resolution.select(slugify("name").alias("species_key"),
-                                             F.col("resolved_via").alias("_via")),
+                                             F.col("resolved_via").alias("resolution_via")),
                            "species_key", "left")
-        via = F.col("_via")
+        via = F.col("resolution_via")
     pages = VAL.validate_pages(pages, key="species_key", resolved_via=via)
     tax = VAL.validate_taxonomy(resp.where(F.col("source") == "gbif_taxonomy"), key="species_key")
     occ_resp = resp.where(F.col("source") == "gbif_occurrence")

@@ -136,3 +136,28 @@ def test_store_introspection_lookup_and_json_round_trip(spark, tmp_path):
     names = spark.createDataFrame([(f"n{i:02d}", i) for i in range(18)], "name string, o int")
     halves = {r.name: r.batch_no for r in split_batches(names, "o", 2).collect()}
     assert halves["n00"] == 1 and halves["n08"] == 1 and halves["n09"] == 2 and halves["n17"] == 2
+
+
+def test_resolution_rejects_and_record_cap(spark, tmp_path):
+    from lodestone.operators import validate as VAL
+    from lodestone.sources.bronze import read_bronze, responses_of
+    bronze, wh = str(tmp_path / "bronze"), str(tmp_path / "wh")
+    land(bronze, "b1", [("Alpha one", "Alpha", True, "EXACT", [occ(i, "US", "2020", "LC") for i in range(1, 8)]),
+                        ("Beta two", "Beta", True, "EXACT", [])])
+    names = batch_names(spark, names=["Alpha one", "Beta two"])
+    resolution = spark.createDataFrame(
+        [("Alpha one", "SUCCESS", "SEARCH", None),
+         ("Beta two", "AMBIGUOUS_RESOLUTION", None, ["Beta (a)", "Beta (b)"])],
+        "name string, status string, resolved_via string, candidates array<string>")
+    r = run_batch(spark, names, bronze, wh, "b1", resolution=resolution)
+    assert r.summary["merge"] == {"merged": 1, "skipped_no_wikipedia": 1}
+    assert r.summary["silver"]["wikipedia_rejected"] == 1
+    q = [x for x in spark.read.parquet(f"{wh}/quarantine").collect() if x.source == "wikipedia"]
+    assert [(x.record_key, x.rejection_reason) for x in q] == [("beta_two", "AMBIGUOUS_RESOLUTION")]
+    assert q[0].context["candidates"] == "Beta (a)|Beta (b)"
+    page = spark.read.parquet(f"{wh}/silver_wikipedia/v=000001").first()
+    assert (page.species_key, page.resolved_via) == ("alpha_one", "SEARCH")
+    resp = responses_of(read_bronze(spark, bronze)).where("source = 'gbif_occurrence'")
+    assert VAL.occurrence_records(resp).count() == 7
+    capped = VAL.occurrence_records(resp, max_records=5)
+    assert capped.count() == 5 and sorted(x.pos for x in capped.collect()) == [0, 1, 2, 3, 4]
