@@ -8,29 +8,37 @@ from pyspark.sql import functions as F
 
 from .keys import _c
 
-# Accepted date shapes, tried in this order, each must match the
-# whole string: year-month-dayThour:minute:second, year-month-day, year.
-DATE_SHAPES = (
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$", "yyyy-M-d'T'H:m:s"),
-    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "yyyy-M-d"),
-    (r"^[0-9]{4}$", "yyyy"),
-)
+# Accepted date shapes, each must match the whole string:
+# year-month-dayThour:minute:second, year-month-day, year.
+FULL_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
+DATE_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+YEAR_SHAPE = r"^[0-9]{4}$"
 
 
 def parse_multi_date(c) -> Column:
-    """Text -> timestamp using the first matching shape; NULL for empty or unparseable text.
-
-    The shape is chosen with a regex first, so each value is parsed once with the
-    one format it can match (a failed parse is far costlier than a regex test).
-    The regexes also reject what a strict whole-string parse rejects but Spark's
-    lenient parser would accept (signs, three-digit months, ...); year 0000 is
-    rejected explicitly.  The ``T`` separator is accepted in either case.
+    """Text -> naive timestamp (``timestamp_ntz``) using the first matching shape; NULL for
+    empty or unparseable text.
+
+    The shape is recognised with a regex and the parts are assembled with
+    ``try_make_timestamp_ntz``: no parse exceptions on dirty rows, invalid calendar
+    dates (Feb 30) give NULL, and the result does not depend on the session time
+    zone.  Signs, three-digit months, year 0000, hour 24, minute or second 60 are
+    rejected as a strict whole-string parse rejects them.  ``T`` may be lower-case.
     """
     s = F.regexp_replace(_c(c), "t", "T")
-    out = F.lit(None).cast("timestamp")
-    for pattern, fmt in reversed(DATE_SHAPES):
-        out = F.when(s.rlike(pattern), F.try_to_timestamp(s, F.lit(fmt))).otherwise(out)
-    return F.when(~s.startswith("0000"), out)
+    parts = F.split(s, "[-T:]")
+
+    def part(i: int) -> Column:
+        return F.get(parts, i).try_cast("int")
+    full, date, year = s.rlike(FULL_SHAPE), s.rlike(DATE_SHAPE), s.rlike(YEAR_SHAPE)
+    zero, one = F.lit(0), F.lit(1)
+    month = F.when(year, one).otherwise(part(1))
+    day = F.when(year, one).otherwise(part(2))
+    hour = F.when(full, part(3)).otherwise(zero)
+    minute = F.when(full, part(4)).otherwise(zero)
+    second = F.when(full, part(5)).otherwise(zero)
+    ok = (full | date | year) & (part(0) != 0) & (hour < 24) & (minute < 60) & (second < 60)
+    return F.when(ok, F.try_make_timestamp_ntz(part(0), month, day, hour, minute, second))
 
 
 def date_is_invalid(c) -> Column:

@@ -48,9 +48,10 @@ _SPLIT_AT_HEADING = r"\n(?=={2,}[^\n]+?={2,})"
 _HEADING_TEXT = rf"(?dU)^==+{WS_CLASS}*(.+?){WS_CLASS}*==+"
 
 
-def canonical_section(heading: Column) -> Column:
-    """Heading text -> canonical section name (NULL when no keyword matches)."""
-    h = F.lower(py_strip(heading))
+def canonical_section(heading: Column, normalized: bool = False) -> Column:
+    """Heading text -> canonical section name (NULL when no keyword matches).
+    ``normalized``: the heading is already stripped and lower-cased."""
+    h = heading if normalized else F.lower(py_strip(heading))
     out = F.lit(None).cast("string")
     for section, keywords in reversed(SECTION_KEYWORDS):
         hit = F.lit(False)
@@ -60,22 +61,30 @@ def canonical_section(heading: Column) -> Column:
     return out
 
 
-def heading_blocks(text: Column) -> Column:
-    """``array<struct<section, body>>``: one entry per heading, in document order.
+def split_at_headings(text: Column) -> Column:
+    """The document cut before every heading line; element 0 is the text before the
+    first heading."""
+    return F.split(F.concat(F.lit("\n"), F.coalesce(text, F.lit(""))), _SPLIT_AT_HEADING, -1)
 
-    Text before the first heading is dropped.  ``body`` is the text after the
-    heading line, NULL when the heading has no lines of its own (a heading
-    directly followed by another heading, or at the very end)."""
-    parts = F.split(F.concat(F.lit("\n"), F.coalesce(text, F.lit(""))), _SPLIT_AT_HEADING, -1)
+
+def heading_blocks(parts: Column) -> Column:
+    """``array<struct<section, body>>`` from ``split_at_headings``: one entry per heading,
+    in document order (text before the first heading is dropped).  ``body`` is the
+    text after the heading line, NULL when the heading has no lines of its own (a
+    heading directly followed by another heading, or at the very end).
+
+    Two passes so that each heading is extracted once and the keyword tests read
+    the extracted field (expressions inside a lambda are not shared by codegen)."""
     blocks = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
 
-    def block(b):
+    def cut(b):
         nl = F.instr(b, "\n")
         first = F.when(nl > 0, F.substr(b, F.lit(1), nl - 1)).otherwise(b)
-        body = F.when(nl > 0, F.substr(b, nl + 1))
-        return F.struct(canonical_section(F.regexp_extract(first, _HEADING_TEXT, 1)).alias("section"),
-                        body.alias("body"))
-    return F.transform(blocks, block)
+        return F.struct(F.lower(py_strip(F.regexp_extract(first, _HEADING_TEXT, 1))).alias("h"),
+                        F.when(nl > 0, F.substr(b, nl + 1)).alias("body"))
+    return F.transform(F.transform(blocks, cut),
+                       lambda x: F.struct(canonical_section(x["h"], normalized=True)
+                                          .alias("section"), x["body"].alias("body")))
 
 
 def section_text(blocks: Column, section: str) -> Column:
@@ -94,10 +103,12 @@ def build_sections(merged: DataFrame, key: str = "species_key", title: str = "wi
     Identity is always ``Species: {title} ({key})`` (an Identity heading is ignored);
     Taxonomy is ``kingdom: ..; phylum: ..`` over non-empty fields when the taxonomy
     matched, otherwise the Taxonomy heading text."""
-    with_blocks = merged.select(F.col(key), F.col(title).alias("_title"),
-                                F.col(status).alias("_status"),
-                                *[F.col(f).alias(f"_t_{f}") for f in taxonomy_fields],
-                                heading_blocks(F.col(text)).alias("_blocks"))
+    staged = merged.select(F.col(key), F.col(title).alias("_title"),
+                           F.col(status).alias("_status"),
+                           *[F.col(f).alias(f"_t_{f}") for f in taxonomy_fields],
+                           split_at_headings(F.col(text)).alias("_parts"))
+    with_blocks = staged.select(*[c for c in staged.columns if c != "_parts"],
+                                heading_blocks(F.col("_parts")).alias("_blocks"))
     blocks = F.col("_blocks")
     tax_text = labelled_join([(f, F.col(f"_t_{f}")) for f in taxonomy_fields])
     matched_tax = F.when(F.col("_status") == "MATCHED", tax_text)
