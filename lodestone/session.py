@@ -49,14 +49,17 @@ def build_session(master: str | None = None, app: str = "lodestone",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a fresh scratch folder is
-    created and registered; on a cluster the configured shared folder is used.
+    Only a local-mode session without one (tests) gets a fresh scratch folder; on a
+    cluster the setting is required and the configured shared folder is used.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage "
+                           "(a machine-local folder does not survive executor loss)")
     local = tempfile.mkdtemp(prefix="lodestone-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
