@@ -89,17 +89,14 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: str,
     t = target.select(*out_cols)
     if materialize:
         b = b.persist()  # reused by the size check, the join and the evidence
-        stats = b.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
-        n_keys, n_records = stats[0], stats[1]
-    else:
-        n_keys = b.count()
-
-    small = broadcast_rows is not None and n_keys <= broadcast_rows
-    if small:
-        # rows can be wide (documents): also bound the serialized size of the batch
-        size = b.select(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*b.columns)))),
-                                   F.lit(0))).first()[0]
-        small = size <= broadcast_bytes
+    # one pass over the collapsed batch: keys, records and serialized size (rows can be
+    # wide documents, so the broadcast bound is on bytes as well as on rows)
+    stats = b.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0)),
+                  F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*b.columns)))),
+                             F.lit(0))).first()
+    n_keys, n_records, size = stats[0], stats[1], stats[2]
+    small = (broadcast_rows is not None and n_keys <= broadcast_rows
+             and size <= broadcast_bytes)
     if small:
         # the collapsed batch is size-checked: broadcast it, scan the target, no shuffle of it
         bb = F.broadcast(b.withColumn("_hit", F.lit(True)))
