@@ -4,7 +4,7 @@ Physical plan (no cross join, no all-pairs):
 
 1. the query set is small by contract and **size-checked** (``max_queries``);
    its vectors are broadcast once to the executors;
-2. the vector table is scanned once in ``mapInPandas``: every partition keeps
+2. the vector table is scanned once in ``mapInArrow``: every partition keeps
    only its own top-n per query (BLAS pre-filter on ``|x|^2 + |q|^2 - 2 q.x``,
    then exact distances for the few candidates), so at most
    ``partitions x n`` rows per query leave the scan;
@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,10 +33,19 @@ MAX_QUERY_BYTES = 256 * 1024 * 1024  # broadcast payload of the query matrix (fl
 _MARGIN = 1e-6  # absolute slack over the BLAS estimate before exact re-ranking
 
 
-def _stack(col: pd.Series) -> np.ndarray:
-    if len(col) == 0:
-        return np.zeros((0, 0))
-    return np.stack([np.asarray(v, dtype=np.float64) for v in col.values])
+def _arrow_batches(batches: Iterator[pa.RecordBatch], id_col: str, parent_col: str | None,
+                   vec_col: str, dim: int):
+    """(vectors, ids, parents) per Arrow batch; the list column is flattened straight into a
+    ``rows x dim`` matrix (no per-row Python objects).  Rows were filtered to non-null
+    vectors of the query dimension in the JVM before this stage."""
+    for rb in batches:
+        if rb.num_rows == 0:
+            continue
+        flat = rb.column(vec_col).flatten().to_numpy(zero_copy_only=False)
+        x = flat.astype(np.float64, copy=False).reshape(rb.num_rows, dim)
+        ids = rb.column(id_col).to_numpy(zero_copy_only=False)
+        parents = rb.column(parent_col).to_numpy(zero_copy_only=False) if parent_col else ids
+        yield x, ids, parents
 
 
 def _exact(xs: np.ndarray, qs: np.ndarray) -> np.ndarray:
@@ -83,18 +92,13 @@ def _codes(m: np.ndarray, planes: np.ndarray) -> np.ndarray:
     return (proj * (1 << np.arange(bits))[None, None, :]).sum(axis=2)
 
 
-def _partition_topn(batches: Iterator[pd.DataFrame], qmat: np.ndarray, n: int,
-                    per_parent: bool, id_col: str, parent_col: str | None,
-                    vec_col: str, planes: np.ndarray | None = None) -> tuple:
+def _partition_topn(batches, qmat: np.ndarray, n: int, per_parent: bool,
+                    planes: np.ndarray | None = None) -> tuple:
+    """Top-n per query over one partition; ``batches`` yields (vectors, ids, parents)."""
     qn = (qmat * qmat).sum(axis=1)
     qcodes = _codes(qmat, planes) if planes is not None else None
     acc = None
-    for pdf in batches:
-        if len(pdf) == 0:
-            continue
-        x = _stack(pdf[vec_col])
-        ids = pdf[id_col].to_numpy()
-        parents = pdf[parent_col].to_numpy() if parent_col else ids
+    for x, ids, parents in batches:
         if planes is not None:
             xc = _codes(x, planes)
             qi, xi = np.nonzero((qcodes[:, None, :] == xc[None, :, :]).any(axis=2))
@@ -164,23 +168,31 @@ def knn(vectors: DataFrame, queries: DataFrame, n: int, *, id_col: str = "chunk_
     fields.append(T.StructField("distance", T.DoubleType()))
     schema = T.StructType(fields)
     cols = [id_col] + ([parent_col] if parent_col else []) + [vec_col]
+    dim = int(qmat.shape[1]) if len(q_ids) else 0
     if len(q_ids) == 0 or n <= 0:
         return spark.createDataFrame([], T.StructType(
             [T.StructField(query_id, qid_type)] + fields[1:] + [T.StructField("rank", T.IntegerType())]))
     bq = spark.sparkContext.broadcast(qmat)
 
+    arrow_schema = pa.schema([pa.field("_q", pa.int32())]
+                             + [_arrow_field(f) for f in schema.fields[1:]])
+
     def per_partition(it):
-        res = _partition_topn(it, bq.value, n, per_parent, id_col, parent_col, vec_col, planes)
+        res = _partition_topn(_arrow_batches(it, id_col, parent_col, vec_col, dim), bq.value, n,
+                              per_parent, planes)
         if res is None:
             return
         qi, ids, parents, dist = res
-        out = {"_q": qi.astype(np.int32), id_col: ids}
+        arrays = [pa.array(qi.astype(np.int32)), pa.array(ids)]
         if parent_col:
-            out[parent_col] = parents
-        out["distance"] = dist
-        yield pd.DataFrame(out)
-
-    cand = vectors.select(*cols).mapInPandas(per_partition, schema)
+            arrays.append(pa.array(parents))
+        arrays.append(pa.array(dist, type=pa.float64()))
+        yield pa.RecordBatch.from_arrays(
+            [a.cast(f.type) for a, f in zip(arrays, arrow_schema)], schema=arrow_schema)
+
+    scored = (vectors.select(*cols)
+              .where(F.col(vec_col).isNotNull() & (F.size(vec_col) == dim)))
+    cand = scored.mapInArrow(per_partition, schema)
     qmap = spark.createDataFrame(list(enumerate(q_ids)),
                                  T.StructType([T.StructField("_q", T.IntegerType()),
                                                T.StructField(query_id, qid_type)]))
@@ -193,6 +205,15 @@ def knn(vectors: DataFrame, queries: DataFrame, n: int, *, id_col: str = "chunk_
             .select(query_id, *[c for c in schema.names if c not in ("_q",)], "rank"))
 
 
+def _arrow_field(f: T.StructField) -> pa.Field:
+    kinds = {T.LongType: pa.int64(), T.IntegerType: pa.int32(), T.StringType: pa.string(),
+             T.DoubleType: pa.float64(), T.ShortType: pa.int16()}
+    for k, v in kinds.items():
+        if isinstance(f.dataType, k):
+            return pa.field(f.name, v)
+    raise TypeError(f"unsupported id / parent type {f.dataType}")
+
+
 def squared_l2(a: Column, b: Column) -> Column:
     """Built-in expression for the squared L2 distance of two array columns (same order of
     summation as the vectorised path); for small ad-hoc checks."""
