@@ -54,12 +54,6 @@ def _exact(xs: np.ndarray, qs: np.ndarray) -> np.ndarray:
     return np.cumsum(diff * diff, axis=1)[:, -1] if diff.shape[1] else np.zeros(len(diff))
 
 
-def _first_per_parent(order: np.ndarray, parents: np.ndarray) -> np.ndarray:
-    """Positions (within ``order``) of the first occurrence of every parent."""
-    _, first = np.unique(parents[order], return_index=True)
-    return np.sort(first)
-
-
 def _select(q_idx, ids, parents, dist, n, per_parent):
     """Keep the top-n (by distance, id) per query - per parent first when asked."""
     if len(q_idx) == 0:
@@ -67,16 +61,11 @@ def _select(q_idx, ids, parents, dist, n, per_parent):
     order = np.lexsort((ids, dist, q_idx))
     q_idx, ids, parents, dist = q_idx[order], ids[order], parents[order], dist[order]
     if per_parent:
-        _, keep = np.unique(np.stack([q_idx, parents]), axis=1, return_index=True) \
-            if parents.dtype != object else (None, None)
-        if keep is None:  # string parents
-            seen, keep = set(), []
-            for i, (q, p) in enumerate(zip(q_idx.tolist(), parents.tolist())):
-                if (q, p) not in seen:
-                    seen.add((q, p))
-                    keep.append(i)
-            keep = np.asarray(keep, dtype=np.int64)
-        keep = np.sort(keep)
+        # first (= best) row of every (query, parent); parents may be strings -> int codes
+        _, codes = np.unique(parents, return_inverse=True)
+        pair = q_idx.astype(np.int64) * (int(codes.max()) + 1) + codes
+        _, first = np.unique(pair, return_index=True)
+        keep = np.sort(first)
         q_idx, ids, parents, dist = q_idx[keep], ids[keep], parents[keep], dist[keep]
     # rank inside each query block (rows are sorted by query already)
     starts = np.r_[0, np.flatnonzero(np.diff(q_idx)) + 1]
@@ -85,6 +74,16 @@ def _select(q_idx, ids, parents, dist, n, per_parent):
     return q_idx[keep], ids[keep], parents[keep], dist[keep]
 
 
+def _parent_threshold(approx: np.ndarray, parents: np.ndarray, n: int) -> np.ndarray:
+    """Per query: the n-th smallest of the best (estimated) distance of each parent."""
+    perm = np.argsort(parents, kind="stable")
+    ps = parents[perm]
+    bounds = np.r_[0, np.flatnonzero(ps[1:] != ps[:-1]) + 1]
+    best = np.minimum.reduceat(approx[:, perm], bounds, axis=1)
+    m = min(n, best.shape[1])
+    return np.partition(best, m - 1, axis=1)[:, m - 1]
+
+
 def _codes(m: np.ndarray, planes: np.ndarray) -> np.ndarray:
     """Bucket code per LSH table: sign bits of the projections, packed into an int."""
     tables, bits, _ = planes.shape
@@ -110,12 +109,7 @@ def _partition_topn(batches, qmat: np.ndarray, n: int, per_parent: bool,
         approx = (x * x).sum(axis=1)[None, :] + qn[:, None] - 2.0 * (qmat @ x.T)
         m = min(n, x.shape[0])
         if per_parent:
-            thr = np.empty(len(qmat))
-            for qi in range(len(qmat)):
-                order = np.argsort(approx[qi], kind="stable")
-                firsts = order[_first_per_parent(order, parents)]
-                vals = np.sort(approx[qi, firsts])
-                thr[qi] = vals[min(n, len(vals)) - 1]
+            thr = _parent_threshold(approx, parents, n)
         else:
             thr = np.partition(approx, m - 1, axis=1)[:, m - 1]
         qi, xi = np.nonzero(approx <= (thr + _MARGIN)[:, None])

@@ -69,3 +69,20 @@ def test_search_shape_filters_and_recall(spark):
     e = {(r.query_id, r.vec_id) for r in exact}
     a = {(r.query_id, r.vec_id) for r in approx}
     assert len(e & a) / len(e) >= 0.8
+
+
+def test_per_parent_with_string_keys(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((300, 8)).astype(np.float32)
+    q = rng.standard_normal((3, 8))
+    vecs = spark.createDataFrame([(i, f"p{i % 11}", x[i].tolist()) for i in range(300)],
+                                 "chunk_id long, parent string, embedding array<float>").repartition(3)
+    queries = spark.createDataFrame([(j, q[j].tolist()) for j in range(3)],
+                                    "query_id int, query_vec array<double>")
+    got = K.knn(vecs, queries, 4, parent_col="parent", per_parent=True).collect()
+    d64 = x.astype(np.float64)
+    for j in range(3):
+        d = ((d64 - q[j]) ** 2).sum(axis=1)
+        best = sorted(((min(d[i] for i in range(300) if i % 11 == p), f"p{p}") for p in range(11)))[:4]
+        rows = sorted((r for r in got if r.query_id == j), key=lambda r: r.rank)
+        assert [r.parent for r in rows] == [p for _, p in best]
