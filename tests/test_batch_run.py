@@ -104,6 +104,19 @@ def test_batch_end_to_end(spark, tmp_path):
     assert gw.last_processed_at >= gw.first_processed_at
     assert r3.summary["gold"]["n_species"] == 3  # gold rebuilt from the whole merged table
 
+    from lodestone.operators import quality as QC
+    from lodestone.sources.store import TableStore
+    st = TableStore(spark, wh)
+    checks = QC.run_checks([
+        QC.subset_check("gold within catalog", st.read("chunk_vectors"), st.read("species_catalog"),
+                        "species_key"),
+        QC.subset_check("merged within catalog", st.read("species_merged"),
+                        st.read("species_catalog"), "species_key"),
+        QC.unique_check("catalog keyed", st.read("species_catalog"), "species_key"),
+        QC.unique_check("occurrences keyed", st.read("silver_gbif_occurrences"), "gbif_id"),
+    ]).collect()
+    assert all(c.passed for c in checks) and len(checks) == 4
+
     hits = search_text(spark, wh, spark.createDataFrame(
         [("q1", "seals fish diet"), ("q2", "")], "query_id string, text string"), top_k=5).collect()
     assert {h.query_id for h in hits} == {"q1"}
