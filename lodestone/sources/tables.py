@@ -16,10 +16,12 @@ def spread(df: DataFrame) -> DataFrame:
     narrow CPU work (parsing, validation, splitting, encoding) on one core.  Large
     inputs already have many more splits than cores; then this is a no-op and adds
     no shuffle.  Filters and column pruning still reach the scan below."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without an RDD view (Spark Connect): leave the scan as is
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
