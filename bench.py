@@ -14,7 +14,8 @@ import statistics
 import sys
 import time
 
-HEADLINE = ["occurrence_summary", "pivot_merge", "validate_occurrences", "reject_report",
+HEADLINE = ["occurrence_summary", "lineitem_summary", "pivot_merge", "validate_occurrences",
+            "reject_report",
             "upsert_all", "upsert_evidence", "sections_wide", "chunks", "knn_topk",
             "search_post", "batch_search", "embed_chunks"]
 

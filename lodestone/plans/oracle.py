@@ -473,3 +473,8 @@ SELECT name,
        CASE WHEN rule IN (4, 6, 7) THEN cands END AS candidates
 FROM r
 """
+
+ORACLE["lineitem_summary"] = "WITH li AS (SELECT *, l_orderkey * 8 + l_linenumber AS line_ord FROM lineitem), " + _SUMMARY.format(
+    k="l_partkey", ts="l_shipdate", t="li", v="l_returnflag", o="line_ord", c="l_linestatus") + """
+SELECT k AS l_partkey, n_obs AS n_lines, vals AS flags, year_min, year_max, mode_c AS mode_status FROM summ
+"""

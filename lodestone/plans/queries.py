@@ -494,3 +494,18 @@ def q_resolve_titles(spark, sf_dir):
     r = resolve_titles(names, directory, hits)
     return r.select("name", "status", "resolved_via", "title",
                     F.array_join("candidates", "|").alias("candidates"))
+
+
+@register("lineitem_summary")
+def q_lineitem_summary(spark, sf_dir):
+    """A1-A4 on the largest table: per part, line count, return flags by frequency (ties by
+    first line), ship-year span and modal line status (tie -> latest ship date)."""
+    li = Tables(spark, sf_dir).lineitem.select(
+        "l_partkey", "l_returnflag", "l_linestatus", "l_shipdate",
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_ord"))
+    out = S.summarize_observations(li, "l_partkey", "line_ord", "l_returnflag", "l_linestatus",
+                                   "l_shipdate", count_out="n_lines", values_out="flags",
+                                   year_min_out="year_min", year_max_out="year_max",
+                                   mode_out="mode_status")
+    return out.select("l_partkey", "n_lines", _joined("flags"), "year_min", "year_max",
+                      "mode_status")
