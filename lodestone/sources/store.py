@@ -1,11 +1,18 @@
 """Versioned Parquet tables for keyed upserts and full rebuilds.
 
 Plain Parquet has no MERGE and cannot be overwritten while it is being read,
-so every write goes to a new folder ``<root>/<table>/v=<n>`` and readers take
-the highest version that has Spark's ``_SUCCESS`` marker.  A failed write
-leaves no marker and is ignored; the switch to a new version is atomic.
+so every write goes to a new folder ``<root>/<table>/v=<n>`` (a number no
+folder uses yet, written create-only) and readers take the highest version
+that has Spark's ``_SUCCESS`` marker.  A failed write leaves no marker and is
+ignored; the switch to a new version is atomic.
 Listing goes through the Hadoop FileSystem API, so the root may be any shared
 file system the cluster uses.
+
+Bucketed tables (``upsert_bucketed``) are for large targets: rows are spread
+over ``B`` buckets by ``pmod(xxhash64(key), B)`` and laid out as
+``v=<n>/bucket=<i>``.  A bucket's current data is its highest committed
+version, so an upsert reads and rewrites only the buckets its batch touches;
+untouched buckets are neither read nor copied.
 """
 
 from __future__ import annotations
@@ -18,6 +25,8 @@ from pyspark.sql import types as T
 
 from ..operators import upsert as U
 
+BUCKET = "key_bucket"  # no leading underscore: Spark hides such paths
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
@@ -37,6 +46,15 @@ class TableStore:
                 out.append(int(name[2:]))
         return sorted(out)
 
+    def _next_version(self, table: str) -> int:
+        """A version number no folder uses yet (failed attempts keep theirs, unused)."""
+        p = self._Path(f"{self.root}/{table}")
+        used = [0]
+        if self._fs.exists(p):
+            used += [int(st.getPath().getName()[2:]) for st in self._fs.listStatus(p)
+                     if st.getPath().getName().startswith("v=")]
+        return max(used) + 1
+
     def version(self, table: str) -> int | None:
         v = self._versions(table)
         return v[-1] if v else None
@@ -58,8 +76,8 @@ class TableStore:
 
     def write(self, table: str, df: DataFrame) -> DataFrame:
         """Write ``df`` as the next version and return it read back."""
-        v = (self.version(table) or 0) + 1
-        df.write.mode("overwrite").parquet(self.path(table, v))
+        v = self._next_version(table)
+        df.write.mode("errorifexists").parquet(self.path(table, v))
         return self.spark.read.parquet(self.path(table, v))
 
     def upsert(self, table: str, batch: DataFrame, key: str, order: str,
@@ -99,3 +117,51 @@ class TableStore:
     def lookup(self, table: str, key: str, value) -> DataFrame:
         """Rows of one key; the equality filter is pushed down to the Parquet scan (V6)."""
         return self.read(table).where(F.col(key) == F.lit(value))
+
+    # --- bucketed tables -------------------------------------------------------------
+
+    def _bucket_versions(self, table: str) -> dict[int, int]:
+        """Current version of every bucket: the highest committed version holding it."""
+        out: dict[int, int] = {}
+        for v in self._versions(table):
+            for st in self._fs.listStatus(self._Path(self.path(table, v))):
+                name = st.getPath().getName()
+                if st.isDirectory() and name.startswith(f"{BUCKET}="):
+                    b = int(name.split("=", 1)[1])
+                    out[b] = max(out.get(b, -1), v)
+        return out
+
+    def read_bucketed(self, table: str, schema: T.StructType | None = None,
+                      buckets: Sequence[int] | None = None) -> DataFrame:
+        """Current rows of a bucketed table (optionally only some buckets)."""
+        cur = self._bucket_versions(table)
+        wanted = sorted(cur) if buckets is None else sorted(b for b in set(buckets) if b in cur)
+        paths = [f"{self.path(table, cur[b])}/{BUCKET}={b}" for b in wanted]
+        if not paths:
+            if schema is None:
+                raise FileNotFoundError(f"table {table!r} has no committed bucket")
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.parquet(*paths)
+
+    def upsert_bucketed(self, table: str, batch: DataFrame, key: str, order: str,
+                        columns: Sequence[str], insert_only: Sequence[str] = (),
+                        buckets: int = 64) -> DataFrame:
+        """Keyed upsert that rewrites only the buckets touched by the batch; returns the
+        evidence row.  The bucket count is fixed when the table is created."""
+        bucket_of = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+        touched = [r[0] for r in batch.select(bucket_of.alias("b")).distinct().collect()]
+        schema = batch.select(*columns).schema  # at most `buckets` ids come back above
+        target = self.read_bucketed(table, schema, touched)
+        res = U.upsert(target, batch, key, order, columns, insert_only, name=table,
+                       materialize=False)
+        before_all = self.read_bucketed(table, schema).count() if self._versions(table) else 0
+        before_touched = target.count()
+        v = self._next_version(table)
+        (res.table.withColumn(BUCKET, bucket_of)
+         .write.mode("errorifexists").partitionBy(BUCKET).parquet(self.path(table, v)))
+        after_touched = self.read_bucketed(table, schema, touched).count()
+        new = after_touched - before_touched
+        records = batch.count()
+        rows = [(table, before_all, before_all + new, new, records - new)]
+        return self.spark.createDataFrame(rows, "tabla string, filas_antes long, filas_despues long, "
+                                                "filas_nuevas long, filas_actualizadas long")

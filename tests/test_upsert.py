@@ -82,3 +82,30 @@ def test_hot_key_batch(spark):
     got = {x.k: x for x in r.table.collect()}
     assert (got["hot"].v, got["hot"].first) == ("v599", "f0")
     assert got["k0"].first == "keep" and ev(r) == (1, 1201, 1200, 600)
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+    import os
+
+    from lodestone.sources.store import BUCKET, TableStore
+    store = TableStore(spark, str(tmp_path / "wh"))
+    rnd = random.Random(9)
+    first = [(f"k{i}", f"a{i}", f"a{i}", 0) for i in range(200)]
+    e1 = store.upsert_bucketed("t", spark.createDataFrame(first, SCHEMA), "k", "o", COLS,
+                               ["first"], buckets=16).first()
+    assert (e1.filas_antes, e1.filas_despues, e1.filas_nuevas) == (0, 200, 200)
+    batch = [(f"k{rnd.randrange(5)}", f"b{j}", f"b{j}", j) for j in range(20)] + [("new1", "n", "n", 99)]
+    e2 = store.upsert_bucketed("t", spark.createDataFrame(batch, SCHEMA), "k", "o", COLS,
+                               ["first"], buckets=16).first()
+    assert (e2.filas_antes, e2.filas_despues, e2.filas_nuevas, e2.filas_actualizadas) == (200, 201, 1, 20)
+    rows = {r.k: r for r in store.read_bucketed("t").collect()}
+    assert len(rows) == 201 and rows["new1"].v == "n"
+    last = {}
+    for k, v, _, o in batch:
+        last[k] = v
+    for k, v in last.items():
+        assert rows[k].v == v and (k == "new1" or rows[k].first == "a" + k[1:])
+    # the second version holds only the touched buckets
+    v2 = [d for d in os.listdir(store.path("t", 2)) if d.startswith(BUCKET)]
+    v1 = [d for d in os.listdir(store.path("t", 1)) if d.startswith(BUCKET)]
+    assert 0 < len(v2) <= 6 < len(v1)
