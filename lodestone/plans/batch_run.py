@@ -110,7 +110,8 @@ def merged_frame(pages: DataFrame, tax: DataFrame, occ: DataFrame) -> DataFrame:
 def run_batch(spark: SparkSession, names: DataFrame, bronze_root: str, warehouse_root: str,
               batch_id: str | None = None, seed: DataFrame | None = None,
               resolution: DataFrame | None = None,
-              encoder=None) -> BatchRun:
+              encoder=None, occurrence_buckets: int | None = 64,
+              full_gold_rebuild: bool = False) -> BatchRun:
     """Process one batch; returns the run summary and the upsert evidence."""
     if names.isEmpty():
         return BatchRun({"status": "empty_batch", "message": "No species provided"})
@@ -140,7 +141,7 @@ def run_batch(spark: SparkSession, names: DataFrame, bronze_root: str, warehouse
         store.upsert("silver_gbif_taxonomy", valid_tax.withColumn("_o", F.lit(0)), "species_key",
                      "_o", TAXONOMY_COLUMNS),
         store.upsert("silver_gbif_occurrences", valid_occ, "gbif_id", "_order",
-                     OCCURRENCE_COLUMNS),
+                     OCCURRENCE_COLUMNS, buckets=occurrence_buckets),
     ]
     merged = merged_frame(valid_pages, valid_tax, valid_occ)
     evidence.append(store.upsert("species_merged", merged.withColumn("_o", F.lit(0)),
@@ -162,13 +163,24 @@ def run_batch(spark: SparkSession, names: DataFrame, bronze_root: str, warehouse
     for e in evidence[1:]:
         ev = ev.unionByName(e)
 
-    # gold: rebuilt from the whole merged table, not only this batch
+    # gold: the vector table always equals a rebuild from the whole merged table.  Only the
+    # species merged in this batch are re-chunked and re-embedded (the encoder is
+    # deterministic); the other species' rows are carried over from the previous version.
     all_merged = store.read("species_merged")
-    parents = SEC.build_sections(all_merged)
-    chunks = SEC.chunks(parents)
-    vectors = EMB.embed(chunks, "text", "embedding", encoder).drop("ord")
-    store.write("gold_species", parents)
-    gold = store.write("chunk_vectors", vectors)
+    if full_gold_rebuild or not store.exists("chunk_vectors"):
+        parents = SEC.build_sections(all_merged)
+        vectors = EMB.embed(SEC.chunks(parents), "text", "embedding", encoder).drop("ord")
+        store.write("gold_species", parents)
+        gold = store.write("chunk_vectors", vectors)
+    else:
+        changed = merged.select("species_key").distinct()
+        fresh = all_merged.join(changed, "species_key", "left_semi")
+        parents_new = SEC.build_sections(fresh)
+        vectors_new = EMB.embed(SEC.chunks(parents_new), "text", "embedding", encoder).drop("ord")
+        keep = lambda df: df.join(changed, "species_key", "left_anti")
+        store.write("gold_species", keep(store.read("gold_species")).unionByName(parents_new))
+        gold = store.write("chunk_vectors",
+                           keep(store.read("chunk_vectors")).unionByName(vectors_new))
 
     n_names = keys.count()
     page_counts = _counts(pages.withColumn("ok", F.col(R.REASON).isNull()), "ok")

@@ -65,8 +65,16 @@ class TableStore:
     def exists(self, table: str) -> bool:
         return self.version(table) is not None
 
+    def is_bucketed(self, table: str) -> bool:
+        v = self.version(table)
+        return v is not None and any(
+            st.getPath().getName().startswith(f"{BUCKET}=")
+            for st in self._fs.listStatus(self._Path(self.path(table, v))))
+
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         """Current version; an absent table reads as empty with ``schema`` (create-if-absent)."""
+        if self.is_bucketed(table):
+            return self.read_bucketed(table, schema)
         v = self.version(table)
         if v is None:
             if schema is None:
@@ -82,8 +90,12 @@ class TableStore:
 
     def upsert(self, table: str, batch: DataFrame, key: str, order: str,
                columns: Sequence[str], insert_only: Sequence[str] = (),
-               schema: T.StructType | None = None) -> DataFrame:
-        """Keyed upsert into a new version; returns the one-row evidence DataFrame."""
+               schema: T.StructType | None = None, buckets: int | None = None) -> DataFrame:
+        """Keyed upsert into a new version; returns the one-row evidence DataFrame.
+        A bucketed table (or ``buckets`` given for a new one) rewrites touched buckets only."""
+        if buckets or self.is_bucketed(table):
+            return self.upsert_bucketed(table, batch, key, order, columns, insert_only,
+                                        buckets=buckets or self._bucket_count(table))
         target = self.read(table, schema or batch.select(*columns).schema)
         res = U.upsert(target, batch, key, order, columns, insert_only, name=table,
                        materialize=False)
@@ -131,6 +143,24 @@ class TableStore:
                     out[b] = max(out.get(b, -1), v)
         return out
 
+    def _bucket_count(self, table: str) -> int:
+        """Bucket count of an existing bucketed table (recorded next to its versions)."""
+        p = self._Path(f"{self.root}/{table}/_buckets")
+        stream = self._fs.open(p)
+        try:
+            return int(stream.readUTF())
+        finally:
+            stream.close()
+
+    def _record_bucket_count(self, table: str, buckets: int) -> None:
+        p = self._Path(f"{self.root}/{table}/_buckets")
+        if not self._fs.exists(p):
+            out = self._fs.create(p, False)
+            try:
+                out.writeUTF(str(buckets))
+            finally:
+                out.close()
+
     def read_bucketed(self, table: str, schema: T.StructType | None = None,
                       buckets: Sequence[int] | None = None) -> DataFrame:
         """Current rows of a bucketed table (optionally only some buckets)."""
@@ -148,6 +178,10 @@ class TableStore:
                         buckets: int = 64) -> DataFrame:
         """Keyed upsert that rewrites only the buckets touched by the batch; returns the
         evidence row.  The bucket count is fixed when the table is created."""
+        if self._versions(table):
+            buckets = self._bucket_count(table)  # fixed at creation
+        else:
+            self._record_bucket_count(table, buckets)
         bucket_of = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
         touched = [r[0] for r in batch.select(bucket_of.alias("b")).distinct().collect()]
         schema = batch.select(*columns).schema  # at most `buckets` ids come back above
