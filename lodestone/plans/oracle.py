@@ -23,12 +23,14 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, d DESC NULLS LA
 """
 
 ORACLE["year_range"] = """
-SELECT o_custkey, min(year(o_orderdate)) AS year_min, max(year(o_orderdate)) AS year_max
+SELECT o_custkey, CAST(min(year(o_orderdate)) AS INTEGER) AS year_min,
+       CAST(max(year(o_orderdate)) AS INTEGER) AS year_max
 FROM orders GROUP BY o_custkey
 """
 
 _SUMMARY = """
-tot AS (SELECT {k} AS k, count(*) AS n_obs, min(year({ts})) AS year_min, max(year({ts})) AS year_max
+tot AS (SELECT {k} AS k, CAST(count(*) AS INTEGER) AS n_obs, CAST(min(year({ts})) AS INTEGER) AS year_min,
+               CAST(max(year({ts})) AS INTEGER) AS year_max
         FROM {t} GROUP BY 1),
 cv AS (SELECT {k} AS k, {v} AS v, count(*) AS n, min({o}) AS p FROM {t}
        WHERE coalesce({v}, '') <> '' GROUP BY 1, 2),
@@ -189,8 +191,8 @@ pg AS (SELECT *, CASE WHEN source = 'src1' THEN 'PAGE_NOT_FOUND'
 ORACLE["validate_pages"] = "WITH " + _PAGES + """
 SELECT doc_id, rejection_reason,
        CASE WHEN rejection_reason IS NULL THEN 'Doc ' || CAST(doc_id AS VARCHAR) END AS title,
-       CASE WHEN rejection_reason IS NULL THEN length(text) END AS extract_length,
-       CASE WHEN rejection_reason IS NULL THEN length(text) END AS sections_length,
+       CASE WHEN rejection_reason IS NULL THEN CAST(length(text) AS INTEGER) END AS extract_length,
+       CASE WHEN rejection_reason IS NULL THEN CAST(length(text) AS INTEGER) END AS sections_length,
        CASE WHEN rejection_reason IS NULL THEN 'https://docs.example/' || CAST(doc_id AS VARCHAR) END AS page_url,
        CASE WHEN rejection_reason IS NULL THEN 'DIRECT_TITLE' END AS resolved_via,
        CASE WHEN rejection_reason IS NULL THEN NULL
@@ -335,7 +337,8 @@ SELECT species_key, 'Identity' AS section, identity AS text FROM parents UNION A
 ORACLE["chunks"] = "WITH " + _SECTIONS + _CHUNKS + "SELECT * FROM ch"
 
 ORACLE["section_coverage"] = "WITH " + _SECTIONS + _CHUNKS + """
-SELECT section, count(*) AS n_chunks, sum(length(text)) AS total_chars, max(length(text)) AS max_chars
+SELECT section, count(*) AS n_chunks, CAST(sum(length(text)) AS BIGINT) AS total_chars,
+       CAST(max(length(text)) AS INTEGER) AS max_chars
 FROM ch GROUP BY section
 """
 
@@ -371,13 +374,13 @@ meta AS (SELECT l.label, 'label_' || CAST(l.label AS VARCHAR) AS wikipedia_title
 """
 
 ORACLE["knn_topk"] = "WITH " + _VEC + """
-SELECT query_id, vec_id, label, distance, rnk AS rank FROM ranked WHERE rnk <= 25
+SELECT query_id, vec_id, label, distance, CAST(rnk AS INTEGER) AS rank FROM ranked WHERE rnk <= 25
 """
 
 ORACLE["knn_parent"] = "WITH " + _VEC + """,
 best AS (SELECT * FROM ranked WHERE rnk <= 25
          QUALIFY row_number() OVER (PARTITION BY query_id, label ORDER BY distance, vec_id) = 1)
-SELECT b.query_id, row_number() OVER (PARTITION BY b.query_id ORDER BY b.distance, b.vec_id) AS rank,
+SELECT b.query_id, CAST(row_number() OVER (PARTITION BY b.query_id ORDER BY b.distance, b.vec_id) AS INTEGER) AS rank,
        b.label, m.wikipedia_title, b.vec_id, b.distance AS score
 FROM best b JOIN meta m ON b.label = m.label
 QUALIFY rank <= 5
@@ -389,7 +392,7 @@ _SEARCH_FILTER = """m.taxonomy_status = 'MATCHED' AND m.iucn_red_list_category =
 ORACLE["search_post"] = "WITH " + _VEC + """,
 best AS (SELECT * FROM ranked WHERE rnk <= 15
          QUALIFY row_number() OVER (PARTITION BY query_id, label ORDER BY distance, vec_id) = 1)
-SELECT b.query_id, row_number() OVER (PARTITION BY b.query_id ORDER BY b.distance, b.vec_id) AS rank,
+SELECT b.query_id, CAST(row_number() OVER (PARTITION BY b.query_id ORDER BY b.distance, b.vec_id) AS INTEGER) AS rank,
        b.label, m.wikipedia_title, 'vector ' || CAST(b.vec_id AS VARCHAR) AS chunk_text,
        b.distance AS score, b.vec_id, m.kingdom, m.iucn_red_list_category
 FROM best b JOIN meta m ON b.label = m.label
@@ -401,7 +404,7 @@ ORACLE["search_pre"] = "WITH " + _VEC + """,
 best AS (SELECT d.* FROM dist d JOIN meta m ON d.label = m.label
          WHERE """ + _SEARCH_FILTER + """
          QUALIFY row_number() OVER (PARTITION BY d.query_id, d.label ORDER BY d.distance, d.vec_id) = 1)
-SELECT b.query_id, row_number() OVER (PARTITION BY b.query_id ORDER BY b.distance, b.vec_id) AS rank,
+SELECT b.query_id, CAST(row_number() OVER (PARTITION BY b.query_id ORDER BY b.distance, b.vec_id) AS INTEGER) AS rank,
        b.label, m.wikipedia_title, 'vector ' || CAST(b.vec_id AS VARCHAR) AS chunk_text,
        b.distance AS score, b.vec_id, m.kingdom, m.iucn_red_list_category
 FROM best b JOIN meta m ON b.label = m.label
@@ -414,21 +417,21 @@ WITH d AS (SELECT q.vec_id AS query_id, e.vec_id,
                       lambda i: (e.embedding[i]::DOUBLE - q.embedding[i]::DOUBLE) * (e.embedding[i]::DOUBLE - q.embedding[i]::DOUBLE)),
                       lambda a, b: a + b) AS distance
            FROM embeddings q CROSS JOIN embeddings e WHERE q.vec_id <> e.vec_id)
-SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank, distance
+SELECT query_id, vec_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank, distance
 FROM d QUALIFY rank <= 5
 """
 
 ORACLE["embed_chunks"] = """
 SELECT doc_id, 384 AS dims,
-       len(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9_]+'), lambda s: s <> '')) AS n_tokens,
-       CASE WHEN regexp_matches(lower(text), '[a-z0-9_]') THEN 1.0 ELSE 0.0 END AS norm
+       CAST(len(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9_]+'), lambda s: s <> '')) AS INTEGER) AS n_tokens,
+       CASE WHEN regexp_matches(lower(text), '[a-z0-9_]') THEN 1.0 ELSE 0.0 END::DOUBLE AS norm
 FROM documents
 """
 
 ORACLE["bronze_pages"] = ORACLE["validate_pages"]
 
 ORACLE["incremental_bronze"] = """
-SELECT page_id, 200 AS status, length(html) AS n_chars FROM pages
+SELECT page_id, 200 AS status, CAST(length(html) AS INTEGER) AS n_chars FROM pages
 """
 
 ORACLE["resolve_titles"] = """
