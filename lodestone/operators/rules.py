@@ -84,7 +84,8 @@ def write_split(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     (plus any extra partition columns); dynamic overwrite keeps reruns idempotent."""
     out = df.withColumn("outcome", F.when(F.col(REASON).isNull(), F.lit("valid"))
                         .otherwise(F.lit("rejected")))
-    (out.write.mode("overwrite").partitionBy("outcome", *partition_by).parquet(path))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("outcome", *partition_by).parquet(path))
 
 
 def reject_report(*quarantines: DataFrame) -> DataFrame:

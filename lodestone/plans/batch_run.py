@@ -128,8 +128,10 @@ def run_batch(spark: SparkSession, names: DataFrame, bronze_root: str, warehouse
                   .unionByName(R.quarantine_rows(occ, "gbif_occurrence", batch_id, "gbifID")))
     if "resolution_rejects" in fr:
         quarantine = quarantine.unionByName(fr["resolution_rejects"])
-    quarantine.write.mode("overwrite").partitionBy("source", "batch_id") \
-        .parquet(f"{warehouse_root.rstrip('/')}/quarantine")
+    # dynamic mode on the write itself: only this batch's partitions are replaced, whatever
+    # the session default is
+    (quarantine.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("source", "batch_id").parquet(f"{warehouse_root.rstrip('/')}/quarantine"))
 
     valid_pages = R.valid(pages)
     valid_tax = R.valid(tax)
