@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 DEFAULT_MAX_QUERIES = 100_000
 MAX_QUERY_BYTES = 256 * 1024 * 1024  # broadcast payload of the query matrix (float64)
+MAX_BROADCAST_PARENTS = 5_000_000    # qualifying parent keys broadcast in pre-filter mode
 _MARGIN = 1e-6  # absolute slack over the BLAS estimate before exact re-ranking
 
 
@@ -254,7 +255,12 @@ def search(vectors: DataFrame, queries: DataFrame, metadata: DataFrame, top_k: i
     meta_cols = [parent_col, title_col] + [c for c in metadata_fields]
     meta = meta.select(*meta_cols)
     if mode == "pre":
-        vecs = vectors.join(meta.select(parent_col), parent_col, "left_semi")
+        allowed = meta.select(parent_col)
+        if allowed.count() <= MAX_BROADCAST_PARENTS:
+            # the qualifying parents are checked to be few: broadcast them, the vector
+            # table is filtered in its scan and never shuffled
+            allowed = F.broadcast(allowed)
+        vecs = vectors.join(allowed, parent_col, "left_semi")
         hits = knn(vecs, queries, top_k, id_col=id_col, vec_col=vec_col, parent_col=parent_col,
                    per_parent=True, query_id=query_id, query_vec=query_vec)
     elif mode == "post":
