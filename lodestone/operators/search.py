@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import bounded_broadcast
+
 DEFAULT_MAX_QUERIES = 100_000
 MAX_QUERY_BYTES = 256 * 1024 * 1024  # broadcast payload of the query matrix (float64)
 MAX_BROADCAST_PARENTS = 5_000_000    # qualifying parent keys broadcast in pre-filter mode
@@ -255,11 +257,9 @@ def search(vectors: DataFrame, queries: DataFrame, metadata: DataFrame, top_k: i
     meta_cols = [parent_col, title_col] + [c for c in metadata_fields]
     meta = meta.select(*meta_cols)
     if mode == "pre":
-        allowed = meta.select(parent_col)
-        if allowed.count() <= MAX_BROADCAST_PARENTS:
-            # the qualifying parents are checked to be few: broadcast them, the vector
-            # table is filtered in its scan and never shuffled
-            allowed = F.broadcast(allowed)
+        # qualifying parents broadcast behind a count check: the vector table is then
+        # filtered in its scan and never shuffled
+        allowed = bounded_broadcast(meta.select(parent_col), MAX_BROADCAST_PARENTS)
         vecs = vectors.join(allowed, parent_col, "left_semi")
         hits = knn(vecs, queries, top_k, id_col=id_col, vec_col=vec_col, parent_col=parent_col,
                    per_parent=True, query_id=query_id, query_vec=query_vec)

@@ -24,6 +24,7 @@ from ..operators import validate as VAL
 from ..session import cut_lineage
 from ..sources import bronze as B
 from ..sources.store import TableStore
+from ..sources.tables import bounded_broadcast
 
 PAGE_COLUMNS = ["species_key", "title", "resolved_via", "extract", "sections_text", "page_url",
                 "is_disambiguation"]
@@ -66,7 +67,8 @@ def silver_frames(spark: SparkSession, names: DataFrame, bronze_root: str, batch
     resp = (B.responses_of(B.read_bronze(spark, bronze_root))
             .where(F.col("batch_id") == batch_id)
             .withColumn("species_key", slugify("queried"))
-            .join(keys.select("species_key"), "species_key", "left_semi"))
+            .join(bounded_broadcast(keys.select("species_key").distinct()), "species_key",
+                  "left_semi"))
     blocked = None
     if resolution is not None:
         blocked = (resolution.where(F.col("status").isin(*REJECTED_RESOLUTION))
@@ -175,7 +177,7 @@ def run_batch(spark: SparkSession, names: DataFrame, bronze_root: str, warehouse
         store.write("gold_species", parents)
         gold = store.write("chunk_vectors", vectors)
     else:
-        changed = merged.select("species_key").distinct()
+        changed = bounded_broadcast(merged.select("species_key").distinct())
         fresh = all_merged.join(changed, "species_key", "left_semi")
         parents_new = SEC.build_sections(fresh)
         vectors_new = EMB.embed(SEC.chunks(parents_new), "text", "embedding", encoder).drop("ord")

@@ -24,6 +24,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if parts < cores else df
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int = 5_000_000) -> DataFrame:
+    """``broadcast(df)`` when a count proves it small (key sets of one batch, qualifying
+    parents), so the large side of the join is scanned and never shuffled; beyond the
+    bound the frame is returned as is and the join shuffles both sides."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
     """One driver table; column pruning and filters reach the Parquet scan."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
