@@ -124,12 +124,15 @@ def _partition_topn(batches, qmat: np.ndarray, n: int, per_parent: bool,
     return acc
 
 
+class _TooManyQueries(Exception):
+    def __init__(self, n: int):
+        self.n = n
+
+
 def _query_payload(queries: DataFrame, qid: str, qvec: str, max_queries: int):
     n_q = queries.count()
     if n_q > max_queries:
-        raise ValueError(
-            f"{n_q} queries exceed the broadcast bound of {max_queries}; split the query "
-            "set or use approximate search (ann=True) with bucketed candidates")
+        raise _TooManyQueries(n_q)
     rows = queries.select(qid, qvec).collect()  # bounded by the check above
     ids = [r[0] for r in rows]
     mat = np.array([np.asarray(r[1], dtype=np.float64) for r in rows]) if rows else np.zeros((0, 0))
@@ -150,9 +153,26 @@ def knn(vectors: DataFrame, queries: DataFrame, n: int, *, id_col: str = "chunk_
     random-hyperplane bucket (``ann_bits`` sign bits) with the query in at least one
     of ``ann_tables`` tables are scored - far fewer exact distances, recall < 1.
 
+    A query set over ``max_queries`` is split by a hash of the query id into blocks
+    that each pass the bound; every block is one broadcast and one scan of the
+    vectors, and the block results are unioned (no cross join, no unbounded
+    broadcast).
+
     Returns ``query_id, id_col, [parent_col], distance, rank`` (rank 1 = nearest;
     ties broken by id)."""
-    q_ids, qmat = _query_payload(queries, query_id, query_vec, max_queries)
+    try:
+        q_ids, qmat = _query_payload(queries, query_id, query_vec, max_queries)
+    except _TooManyQueries as too_many:
+        blocks = -(-too_many.n // max_queries) * 2  # expected block size <= half the bound
+        block = F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks))
+        parts = [knn(vectors, queries.where(block == b), n, id_col=id_col, vec_col=vec_col,
+                     parent_col=parent_col, per_parent=per_parent, query_id=query_id,
+                     query_vec=query_vec, max_queries=max_queries, ann_tables=ann_tables,
+                     ann_bits=ann_bits, seed=seed) for b in range(blocks)]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
     planes = None
     if ann_tables and len(q_ids):
         planes = np.random.default_rng(seed).standard_normal((ann_tables, ann_bits, qmat.shape[1]))

@@ -35,14 +35,19 @@ def test_knn_equals_brute_force(spark):
         assert [r.parent for r in rows] == [p for p, _ in best]
 
 
-def test_query_bound_is_checked(spark):
-    vecs = spark.createDataFrame([(1, [0.0, 1.0])], "chunk_id long, embedding array<float>")
-    q = spark.createDataFrame([(i, [0.0, 1.0]) for i in range(5)], "query_id int, query_vec array<double>")
-    try:
-        K.knn(vecs, q, 1, max_queries=4)
-        raise AssertionError("expected the bound check to fail")
-    except ValueError as e:
-        assert "exceed" in str(e)
+def test_query_sets_over_the_bound_run_in_blocks(spark):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((120, 6)).astype(np.float32)
+    qs = rng.standard_normal((23, 6))
+    vecs = spark.createDataFrame([(i, x[i].tolist()) for i in range(120)],
+                                 "chunk_id long, embedding array<float>")
+    q = spark.createDataFrame([(j, qs[j].tolist()) for j in range(23)],
+                              "query_id int, query_vec array<double>")
+    got = K.knn(vecs, q, 3, max_queries=5).collect()  # 23 queries, at most 5 per broadcast
+    assert len(got) == 23 * 3
+    for j in range(23):
+        ids = [r.chunk_id for r in sorted((r for r in got if r.query_id == j), key=lambda r: r.rank)]
+        assert ids == brute(x.astype(np.float64), qs[j], 3)
 
 
 def test_search_shape_filters_and_recall(spark):
