@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import (date_is_invalid, falsy_to_null_double, first_map_value, has_key,
-                         is_falsy, is_nonempty_object, parse_multi_date, safe_double)
+from ..functions import (falsy_to_null_double, first_map_value, is_falsy, is_nonempty_object,
+                         parse_multi_date, safe_double)
 from . import rules as R
 
 SUMMARY_SCHEMA = T.StructType([

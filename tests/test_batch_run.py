@@ -4,7 +4,6 @@ idempotent rerun, second batch, empty batch, text search (FIXTURES 2.2-2.8)."""
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from lodestone.plans.batch_run import run_batch, search_text
 from lodestone.sources.bronze import batch_names

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from lodestone.operators import merge as M
 from lodestone.operators import summarize as S

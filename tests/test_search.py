@@ -1,7 +1,6 @@
 """k-NN search: exact against brute force, parent dedupe, filters, ANN recall (FIXTURES 2.8)."""
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from lodestone.operators import search as K
 
