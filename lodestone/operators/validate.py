@@ -1,8 +1,10 @@
 """Contract profiles for the three landed sources (page, taxonomy, occurrence).
 
 Inputs keep the payloads as JSON *text* (or raw text fields), exactly as
-landed; parsing happens here with explicit schemas, ``try_*`` casts and key
-tests, so dirty input becomes a rejection reason and never an error.
+landed; parsing happens here - object payloads once into a variant (absent and
+null keys stay distinguishable), the page map with ``from_json`` (its JSON order
+matters), numbers and dates with ``try_*`` functions - so dirty input becomes a
+rejection reason and never an error.
 Each function returns the input rows with typed columns, ``rejection_reason``
 and ``context``; ``rules.valid`` / ``rules.rejected`` split them.
 """
@@ -17,27 +19,9 @@ from ..functions import (falsy_to_null_double, first_map_value, is_falsy, is_non
                          parse_multi_date, safe_double)
 from . import rules as R
 
-SUMMARY_SCHEMA = T.StructType([
-    T.StructField("title", T.StringType()),
-    T.StructField("extract", T.StringType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("content_urls", T.StructType([T.StructField("desktop", T.StructType([
-        T.StructField("page", T.StringType())]))])),
-])
 EXTRACTS_SCHEMA = T.StructType([T.StructField("query", T.StructType([
     T.StructField("pages", T.MapType(T.StringType(), T.StructType([
         T.StructField("title", T.StringType()), T.StructField("extract", T.StringType())])))]))])
-TAXONOMY_SCHEMA = T.StructType([
-    T.StructField("usageKey", T.IntegerType()),
-    T.StructField("scientificName", T.StringType()),
-    T.StructField("canonicalName", T.StringType()),
-    T.StructField("rank", T.StringType()),
-    T.StructField("matchType", T.StringType()),
-    T.StructField("confidence", T.IntegerType()),
-    T.StructField("kingdom", T.StringType()),
-    T.StructField("phylum", T.StringType()),
-    T.StructField("class", T.StringType()),
-])
 OCCURRENCE_FIELDS = ("gbifID", "decimalLatitude", "decimalLongitude", "country", "eventDate",
                      "basisOfRecord", "iucnRedListCategory", "coordinateUncertaintyInMeters")
 OCCURRENCE_RESULTS_SCHEMA = T.StructType([T.StructField("results", T.ArrayType(T.StructType(
