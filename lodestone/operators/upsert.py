@@ -105,7 +105,8 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, order: str,
             key, *[F.when(F.col("_hit"), bb[c]).otherwise(t[c]).alias(c) if c in update_cols
                    else t[c].alias(c) for c in out_cols if c != key])
         existing = t.select(key).join(F.broadcast(b.select(key)), key, "left_semi")
-        inserted = b.join(existing, key, "left_anti")
+        # existing keys are a subset of the (checked) batch keys: broadcast them too
+        inserted = b.join(F.broadcast(existing), key, "left_anti")
         table = updated_rows.select(*out_cols).unionByName(inserted.select(*out_cols))
     else:
         tt = t.withColumn("_in_t", F.lit(True))
