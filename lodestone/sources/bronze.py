@@ -50,7 +50,9 @@ def envelopes(responses: DataFrame, source: str, lote: int = 1, query_col: str =
                     F.struct(F.col(status_col).cast("int").alias("status"),
                              _as_json_value(F.col(data_col)).alias("data")).alias("response"))
     queried = F.col(queried_col) if queried_col else F.col(query_col)
-    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    # UTC wall clock whatever the session time zone is (the 'Z' suffix must be true)
+    now_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
+    now = F.date_format(now_utc, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     if group_col:
         by_query = lambda a, b: F.when(a["_k"] < b["_k"], -1).when(a["_k"] > b["_k"], 1) \
             .otherwise(0)  # noqa: E731  (variant payloads are not orderable themselves)

@@ -22,3 +22,17 @@ def test_incremental_runs(spark, tmp_path):
     # object payloads come back as their JSON text
     one = landed.where("query = 'q7'").first()
     assert one.data.replace(" ", "") == '{"n":7}'
+
+
+def test_ingested_at_is_utc(spark):
+    import datetime as dt
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        env = B.envelopes(spark.range(1).select(F.lit("q").alias("query"), F.lit(200).alias("status"),
+                                                F.lit("x").alias("data")), "src")
+        stamp = env.first().ingested_at
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert stamp.endswith("Z")
+    got = dt.datetime.strptime(stamp, "%Y-%m-%dT%H:%M:%SZ").replace(tzinfo=dt.timezone.utc)
+    assert abs((dt.datetime.now(dt.timezone.utc) - got).total_seconds()) < 600
