@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Taxonomy statuses, augmentation statuses, and the taxonomy fields a
+# matched record carries (in this order).
 MATCHED, UNMATCHED = "MATCHED", "UNMATCHED"
 AUG_OK, AUG_EMPTY = "OK", "GBIF_AUGMENTATION_EMPTY"
 TAXONOMY_FIELDS = ("kingdom", "phylum", "class_name", "rank")

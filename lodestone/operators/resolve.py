@@ -21,7 +21,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HITS = 5  # fixed value: the search returns at most five hits per name
+# Resolution statuses, resolution methods, and the number of search
+# hits the source returns per name.
+SUCCESS, PAGE_NOT_FOUND = "SUCCESS", "PAGE_NOT_FOUND"
+AMBIGUOUS_RESOLUTION, DISAMBIGUATION_PAGE = "AMBIGUOUS_RESOLUTION", "DISAMBIGUATION_PAGE"
+DIRECT_TITLE, SEARCH, REDIRECT = "DIRECT_TITLE", "SEARCH", "REDIRECT"
+MAX_HITS = 5
 
 
 def resolve_titles(names: DataFrame, directory: DataFrame, hits: DataFrame, *,
@@ -60,8 +65,8 @@ def resolve_titles(names: DataFrame, directory: DataFrame, hits: DataFrame, *,
                 | F.contains(F.lower(F.coalesce(h["hit_title"], F.lit(""))), low))
 
     direct = F.coalesce(F.col("direct_exists"), F.lit(False))
-    via_direct = F.when(F.coalesce(F.col("direct_redirected"), F.lit(False)), F.lit("REDIRECT")) \
-        .otherwise(F.lit("DIRECT_TITLE"))
+    via_direct = F.when(F.coalesce(F.col("direct_redirected"), F.lit(False)), F.lit(REDIRECT)) \
+        .otherwise(F.lit(DIRECT_TITLE))
     n_hits = F.coalesce(F.col("n_hits"), F.lit(0))
     top_ok = F.coalesce(F.col("top_exists"), F.lit(False))
     top_dis = F.coalesce(F.col("top_disambig"), F.lit(False))
@@ -73,11 +78,11 @@ def resolve_titles(names: DataFrame, directory: DataFrame, hits: DataFrame, *,
             .when(direct, F.lit(2)).when(n_hits == 0, F.lit(3)).when(~top_ok, F.lit(4))
             .when(top_dis & (n_hits > 1) & sec_ok, F.lit(5)).when(top_dis, F.lit(6))
             .when(ambiguous, F.lit(7)).otherwise(F.lit(8)))
-    status = (F.when(rule == 1, "DISAMBIGUATION_PAGE").when(rule == 2, "SUCCESS")
-              .when(rule.isin(3, 4), "PAGE_NOT_FOUND").when(rule == 5, "SUCCESS")
-              .when(rule == 6, "DISAMBIGUATION_PAGE").when(rule == 7, "AMBIGUOUS_RESOLUTION")
-              .otherwise("SUCCESS"))
-    via = (F.when(rule.isin(1, 2), via_direct).when(rule.isin(5, 6, 8), F.lit("SEARCH")))
+    status = (F.when(rule == 1, DISAMBIGUATION_PAGE).when(rule == 2, SUCCESS)
+              .when(rule.isin(3, 4), PAGE_NOT_FOUND).when(rule == 5, SUCCESS)
+              .when(rule == 6, DISAMBIGUATION_PAGE).when(rule == 7, AMBIGUOUS_RESOLUTION)
+              .otherwise(SUCCESS))
+    via = (F.when(rule.isin(1, 2), via_direct).when(rule.isin(5, 6, 8), F.lit(SEARCH)))
     title = (F.when(rule.isin(1, 2), F.col("direct_page_title"))
              .when(rule == 5, F.col("second.hit_title"))
              .when(rule.isin(6, 8), F.col("top.hit_title")))

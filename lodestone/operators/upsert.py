@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+# Evidence columns (table, rows before, rows after, new rows, updated rows).
 EVIDENCE_COLUMNS = ("tabla", "filas_antes", "filas_despues", "filas_nuevas", "filas_actualizadas")
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 512 * 1024 * 1024

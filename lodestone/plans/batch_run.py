@@ -42,6 +42,7 @@ CATALOG_COLUMNS = ["species_key", "scientific_name", "wikipedia_title", "first_s
 CATALOG_INSERT_ONLY = ["scientific_name", "first_seen_batch_id", "first_processed_at", "origin"]
 WAREHOUSE_TABLES = ["silver_wikipedia", "silver_gbif_taxonomy", "silver_gbif_occurrences",
                     "species_merged", "species_catalog"]
+# Resolution statuses that send a name to quarantine.
 REJECTED_RESOLUTION = ("PAGE_NOT_FOUND", "AMBIGUOUS_RESOLUTION", "DISAMBIGUATION_PAGE")
 METADATA_FIELDS = ("kingdom", "phylum", "class_name", "rank", "taxonomy_status",
                    "iucn_red_list_category", "paises", "anio_min", "anio_max",
