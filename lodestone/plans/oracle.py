@@ -481,3 +481,26 @@ ORACLE["lineitem_summary"] = "WITH li AS (SELECT *, l_orderkey * 8 + l_linenumbe
     k="l_partkey", ts="l_shipdate", t="li", v="l_returnflag", o="line_ord", c="l_linestatus") + """
 SELECT k AS l_partkey, n_obs AS n_lines, vals AS flags, year_min, year_max, mode_c AS mode_status FROM summ
 """
+
+ORACLE["integrity_checks"] = """
+WITH c AS (
+  SELECT 'orders.o_custkey in customer' AS "check",
+         (SELECT count(DISTINCT o_custkey) FROM orders) AS n_checked,
+         (SELECT count(DISTINCT o_custkey) FROM orders
+          WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) AS n_failed
+  UNION ALL
+  SELECT 'lineitem.l_orderkey in orders', (SELECT count(DISTINCT l_orderkey) FROM lineitem),
+         (SELECT count(DISTINCT l_orderkey) FROM lineitem
+          WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders))
+  UNION ALL
+  SELECT 'lineitem.l_partkey in part', (SELECT count(DISTINCT l_partkey) FROM lineitem),
+         (SELECT count(DISTINCT l_partkey) FROM lineitem
+          WHERE l_partkey NOT IN (SELECT p_partkey FROM part))
+  UNION ALL
+  SELECT 'customer.c_custkey unique', (SELECT count(*) FROM customer),
+         (SELECT count(*) FROM (SELECT c_custkey FROM customer GROUP BY 1 HAVING count(*) > 1))
+  UNION ALL
+  SELECT 'orders.o_orderkey unique', (SELECT count(*) FROM orders),
+         (SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)))
+SELECT "check", n_checked, n_failed, n_failed = 0 AS passed FROM c
+"""

@@ -509,3 +509,24 @@ def q_lineitem_summary(spark, sf_dir):
                                    mode_out="mode_status")
     return out.select("l_partkey", "n_lines", _joined("flags"), "year_min", "year_max",
                       "mode_status")
+
+
+# --- data-quality invariants ---------------------------------------------------------
+
+from ..operators import quality as QC  # noqa: E402
+
+
+@register("integrity_checks")
+def q_integrity_checks(spark, sf_dir):
+    """L3 invariants over whole tables: foreign keys within their parents, keys unique."""
+    t = Tables(spark, sf_dir)
+    return QC.run_checks([
+        QC.subset_check("orders.o_custkey in customer", t.orders, t.customer, "o_custkey",
+                        "c_custkey"),
+        QC.subset_check("lineitem.l_orderkey in orders", t.lineitem, t.orders, "l_orderkey",
+                        "o_orderkey"),
+        QC.subset_check("lineitem.l_partkey in part", t.lineitem, t.part, "l_partkey",
+                        "p_partkey"),
+        QC.unique_check("customer.c_custkey unique", t.customer, "c_custkey"),
+        QC.unique_check("orders.o_orderkey unique", t.orders, "o_orderkey"),
+    ])
