@@ -1,4 +1,5 @@
-"""Data-quality invariants as queries (each one row: check, n_checked, n_failed, passed)."""
+"""Data-quality invariants as queries (each one row: check, n_checked, n_failed, passed).
+Every check is one aggregation over one scan of each input."""
 
 from __future__ import annotations
 
@@ -6,28 +7,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _row(name: str, agg: DataFrame) -> DataFrame:
+    return agg.select(F.lit(name).alias("check"), "n_checked", "n_failed",
+                      (F.col("n_failed") == 0).alias("passed"))
+
+
 def subset_check(name: str, child: DataFrame, parent: DataFrame, key: str,
                  parent_key: str | None = None) -> DataFrame:
     """Every key of ``child`` exists in ``parent`` (e.g. gold keys within the catalog).
-    Distinct keys are taken first (partial aggregation), then one anti join."""
+    Distinct keys on both sides (partial aggregation), one left join, one count."""
     ck = child.select(F.col(key).alias("_k")).distinct()
-    pk = parent.select(F.col(parent_key or key).alias("_k"))
-    orphans = ck.join(pk, "_k", "left_anti")
-    return _row(name, ck, orphans)
+    pk = parent.select(F.col(parent_key or key).alias("_k")).distinct() \
+        .withColumn("_hit", F.lit(True))
+    j = ck.join(pk, "_k", "left")
+    return _row(name, j.agg(F.count(F.lit(1)).alias("n_checked"),
+                            F.count_if(F.col("_hit").isNull()).alias("n_failed")))
 
 
 def unique_check(name: str, df: DataFrame, key: str) -> DataFrame:
     """No key appears twice (a keyed table after upserts)."""
-    dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    return _row(name, df.select(key), dup)
-
-
-def _row(name: str, checked: DataFrame, failed: DataFrame) -> DataFrame:
-    n = checked.select(F.count(F.lit(1))).scalar()
-    bad = failed.select(F.count(F.lit(1))).scalar()
-    return checked.sparkSession.range(1).select(
-        F.lit(name).alias("check"), n.alias("n_checked"), bad.alias("n_failed"),
-        (bad == 0).alias("passed"))
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return _row(name, per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_checked"),
+                                  F.count_if(F.col("_n") > 1).alias("n_failed")))
 
 
 def run_checks(checks: list[DataFrame]) -> DataFrame:
