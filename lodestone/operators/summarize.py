@@ -3,16 +3,17 @@
 Every order-dependent tie-break uses an explicit ``order`` column (arrival
 position), never the physical row order, so results are deterministic.
 
-Plan shape (one scan, two small shuffles):
+Plan shape (one scan; every shuffle after the first is over reduced rows):
 
 1. ``pre_aggregate``: group by (key, value, category) with map-side partial
    aggregation - a hot key holding a third of all rows collapses to a handful
    of rows per task before anything is shuffled;
-2. ``per_key_items``: group the reduced rows by key into a list of
-   (value, category, count, first position, latest time) items.  The list is
-   bounded by the number of distinct (value, category) pairs of one key (e.g.
-   countries x threat categories), never by the number of observations;
-3. ranking with higher-order functions on that list (no further shuffle).
+2. ``summarize_observations`` tags each reduced row as a value entry, a
+   category entry and a totals entry, re-aggregates per (key, tag, item), then
+   per key sorts its value list once and picks the mode with ``max_by``.
+   Per-key lists are bounded by the number of distinct values of one key (e.g.
+   countries), never by the number of observations.
+``frequency_ranked`` / ``mode_latest`` compute A2 / A4 alone from the same entries.
 """
 
 from __future__ import annotations
@@ -40,55 +41,48 @@ def pre_aggregate(obs: DataFrame, key: str, order: str, value: str | None = None
                  F.min(F.year("_ts")).alias("_y0"), F.max(F.year("_ts")).alias("_y1")))
 
 
-def per_key_items(pre: DataFrame, key: str) -> DataFrame:
-    """One row per key: totals plus the bounded list of pre-aggregated items."""
-    item = F.struct("_v", "_cat", "_n", "_pos", "_latest")
-    return pre.groupBy(key).agg(F.sum("_n").alias("_total"), F.min("_y0").alias("_y0"),
-                                F.max("_y1").alias("_y1"),
-                                F.collect_list(item).alias("_items"))
-
-
-def _group_stats(items: Column, field: str, v: Column) -> dict[str, Column]:
-    sel = F.filter(items, lambda x: x[field] == v)
-    return {
-        "n": F.aggregate(sel, F.lit(0).cast("long"), lambda acc, x: acc + x["_n"]),
-        "first": F.array_min(F.transform(sel, lambda x: x["_pos"])),
-        "latest": F.array_max(F.transform(sel, lambda x: x["_latest"])),
-    }
-
-
-def _distinct(items: Column, field: str) -> Column:
-    return F.array_distinct(F.filter(F.transform(items, lambda x: x[field]),
-                                     lambda v: v.isNotNull()))
-
-
-def ranked_values(items: Column, field: str = "_v") -> Column:
-    """Distinct non-empty values, most frequent first, ties in first-seen order."""
-    def entry(v):
-        st = _group_stats(items, field, v)
-        return F.struct((-st["n"]).alias("neg_n"), st["first"].alias("first"), v.alias("v"))
-    return F.transform(F.array_sort(F.transform(_distinct(items, field), entry)),
-                       lambda s: s["v"])
-
-
-def mode_with_latest(items: Column, field: str = "_cat") -> Column:
-    """Most frequent non-empty category; tie -> the one with the latest time (a missing
-    time loses), then the one seen first."""
-    def entry(v):
-        st = _group_stats(items, field, v)
-        return F.struct(st["n"].alias("n"), st["latest"].alias("latest"),
-                        (-st["first"]).alias("neg_first"), v.alias("v"))
-    return F.array_max(F.transform(_distinct(items, field), entry))["v"]
+def tagged_entries(pre: DataFrame, key: str) -> DataFrame:
+    """Split each pre-aggregated row into a value entry, a category entry and a totals
+    entry, and re-aggregate per (key, tag, item): count, first position, latest time,
+    year span.  Hash aggregation over already-reduced rows."""
+    def entry(tag: str, item, years: bool) -> Column:
+        y0 = F.col("_y0") if years else F.lit(None).cast("int")
+        y1 = F.col("_y1") if years else F.lit(None).cast("int")
+        return F.struct(F.lit(tag).alias("tag"), item.alias("item"), "_n", "_pos", "_latest",
+                        y0.alias("_y0"), y1.alias("_y1"))
+    tagged = F.array(entry("v", F.col("_v"), False), entry("c", F.col("_cat"), False),
+                     entry("t", F.lit(None).cast("string"), True))
+    return (pre.select(key, F.inline(tagged))
+            .where((F.col("tag") == "t") | F.col("item").isNotNull())
+            .groupBy(key, "tag", "item")
+            .agg(F.sum("_n").alias("n"), F.min("_pos").alias("first"),
+                 F.max("_latest").alias("latest"), F.min("_y0").alias("y0"),
+                 F.max("_y1").alias("y1")))
+
+
+def _ranked_values() -> Column:
+    """Aggregate: value items, most frequent first, ties by first position."""
+    return F.transform(F.array_sort(F.collect_list(F.when(F.col("tag") == "v", F.struct(
+        (-F.col("n")).alias("neg_n"), F.col("first").alias("first"), F.col("item").alias("v"))))),
+        lambda x: x["v"])
+
+
+def _mode() -> Column:
+    """Aggregate: most frequent category; tie -> latest time (missing loses) -> first seen."""
+    is_c = F.col("tag") == "c"
+    return F.max_by(F.when(is_c, F.col("item")),
+                    F.when(is_c, F.struct(F.col("n"), F.col("latest"),
+                                          (-F.col("first")).alias("neg_first"))))
 
 
 def frequency_ranked(pre: DataFrame, key: str, out: str = "values") -> DataFrame:
     """A2 alone: distinct values per key by frequency, ties by first position."""
-    return per_key_items(pre, key).select(key, ranked_values(F.col("_items")).alias(out))
+    return tagged_entries(pre, key).groupBy(key).agg(_ranked_values().alias(out))
 
 
 def mode_latest(pre: DataFrame, key: str, out: str = "mode") -> DataFrame:
     """A4 alone: modal category per key with the latest-time tie rule."""
-    return per_key_items(pre, key).select(key, mode_with_latest(F.col("_items")).alias(out))
+    return tagged_entries(pre, key).groupBy(key).agg(_mode().alias(out))
 
 
 def summarize_observations(obs: DataFrame, key: str, order: str, value: str, category: str,
@@ -98,12 +92,22 @@ def summarize_observations(obs: DataFrame, key: str, order: str, value: str, cat
                            mode_out: str = "iucn_red_list_category") -> DataFrame:
     """Observation summary per key: row count (not de-duplicated), distinct values by
     frequency, min / max year of the timestamp, and the modal category with the
-    latest-date tie rule."""
-    items = per_key_items(pre_aggregate(obs, key, order, value, category, ts), key)
-    return items.select(key, F.col("_total").cast("int").alias(count_out),
-                        ranked_values(F.col("_items")).alias(values_out),
-                        F.col("_y0").alias(year_min_out), F.col("_y1").alias(year_max_out),
-                        mode_with_latest(F.col("_items")).alias(mode_out))
+    latest-date tie rule.
+
+    One scan and linear work: the (key, value, category) partial aggregate is split
+    into tagged entries (value / category / totals), re-aggregated per (key, tag,
+    item) with hash aggregation, and each key then sorts its value list once and
+    picks its mode with ``max_by`` - no per-value scans of the item list."""
+    pre = pre_aggregate(obs, key, order, value, category, ts)
+    is_t = F.col("tag") == "t"
+    per_key = tagged_entries(pre, key).groupBy(key).agg(
+        F.sum(F.when(is_t, F.col("n"))).alias("_total"),
+        F.min(F.when(is_t, F.col("y0"))).alias("_y0"), F.max(F.when(is_t, F.col("y1"))).alias("_y1"),
+        _ranked_values().alias("_values"), _mode().alias("_mode"))
+    return per_key.select(key, F.col("_total").cast("int").alias(count_out),
+                          F.col("_values").alias(values_out),
+                          F.col("_y0").alias(year_min_out), F.col("_y1").alias(year_max_out),
+                          F.col("_mode").alias(mode_out))
 
 
 def year_span(obs: DataFrame, key: str, ts: str, lo: str = "year_min",
