@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 DEFAULT_DIM = 384  # fixed value: dimension of the reference's sentence vectors
 
 
@@ -63,6 +65,7 @@ def model_encoder(factory: Callable[[], Callable[[list[str]], np.ndarray]], dim:
             yield pd.Series(out)
 
     def encode(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
+        ship_package(df.sparkSession)
         return df.withColumn(out_col, _encode(F.col(text_col)))
     return encode
 

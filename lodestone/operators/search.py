@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
 from ..sources.tables import bounded_broadcast
 
 DEFAULT_MAX_QUERIES = 100_000
@@ -189,6 +190,7 @@ def knn(vectors: DataFrame, queries: DataFrame, n: int, *, id_col: str = "chunk_
     if len(q_ids) == 0 or n <= 0:
         return spark.createDataFrame([], T.StructType(
             [T.StructField(query_id, qid_type)] + fields[1:] + [T.StructField("rank", T.IntegerType())]))
+    ship_package(spark)  # the scoring stage runs this module's functions on the executors
     bq = spark.sparkContext.broadcast(qmat)
 
     arrow_schema = pa.schema([pa.field("_q", pa.int32())]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -74,3 +75,26 @@ def cut_lineage(df, eager: bool = True):
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers (as ``--py-files``
+    would): zip its modules once per application and ``addPyFile`` the archive.
+    Called before every stage that runs Python code on executors."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    archive = os.path.join(tempfile.mkdtemp(prefix="lodestone-pkg-"), "lodestone.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

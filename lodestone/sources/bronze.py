@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 RESPONSE = T.StructType([T.StructField("status", T.IntegerType()),
                          T.StructField("data", T.StringType())])
 ENVELOPE_SCHEMA = T.StructType([
@@ -122,6 +124,7 @@ def split_batches(names: DataFrame, order: str, n_batches: int) -> DataFrame:
     """Add ``batch_no`` (1..n): consecutive slices of the list in ``order`` of equal size
     (the first slices take the remainder), e.g. first / last half of a seed list.
     Uses ``zipWithIndex`` (distributed), not a single-partition window."""
+    ship_package(names.sparkSession)
     total = names.count()
     size = -(-total // n_batches) if total else 1
     ordered = names.orderBy(order)
