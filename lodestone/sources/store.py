@@ -133,14 +133,18 @@ class TableStore:
     # --- bucketed tables -------------------------------------------------------------
 
     def _bucket_versions(self, table: str) -> dict[int, int]:
-        """Current version of every bucket: the highest committed version holding it."""
+        """Current version of every bucket: the highest committed version holding it.
+        Versions are listed newest first and the walk stops once every bucket is found."""
         out: dict[int, int] = {}
-        for v in self._versions(table):
+        versions = self._versions(table)
+        total = self._bucket_count(table) if versions else 0
+        for v in reversed(versions):
             for st in self._fs.listStatus(self._Path(self.path(table, v))):
                 name = st.getPath().getName()
                 if st.isDirectory() and name.startswith(f"{BUCKET}="):
-                    b = int(name.split("=", 1)[1])
-                    out[b] = max(out.get(b, -1), v)
+                    out.setdefault(int(name.split("=", 1)[1]), v)
+            if len(out) >= total:
+                break
         return out
 
     def _bucket_count(self, table: str) -> int:
