@@ -183,6 +183,9 @@ class TableStore:
         """Keyed upsert that rewrites only the buckets touched by the batch; returns the
         evidence row.  The bucket count is fixed when the table is created."""
         if self._versions(table):
+            if not self.is_bucketed(table):
+                raise ValueError(f"table {table!r} was created without buckets; "
+                                 "its layout cannot change in place")
             buckets = self._bucket_count(table)  # fixed at creation
         else:
             self._record_bucket_count(table, buckets)

@@ -109,3 +109,15 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_path):
     v2 = [d for d in os.listdir(store.path("t", 2)) if d.startswith(BUCKET)]
     v1 = [d for d in os.listdir(store.path("t", 1)) if d.startswith(BUCKET)]
     assert 0 < len(v2) <= 6 < len(v1)
+
+
+def test_plain_table_cannot_switch_to_buckets(spark, tmp_path):
+    from lodestone.sources.store import TableStore
+    store = TableStore(spark, str(tmp_path / "wh"))
+    b = spark.createDataFrame([("a", "1", "x", 0)], SCHEMA)
+    store.upsert("t", b, "k", "o", COLS)
+    try:
+        store.upsert("t", b, "k", "o", COLS, buckets=8)
+        raise AssertionError("expected a layout error")
+    except ValueError as e:
+        assert "without buckets" in str(e)
