@@ -185,3 +185,12 @@ def test_resolution_rejects_and_record_cap(spark, tmp_path):
     assert VAL.occurrence_records(resp).count() == 7
     capped = VAL.occurrence_records(resp, max_records=5)
     assert capped.count() == 5 and sorted(x.pos for x in capped.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_split_batches_with_remainder(spark):
+    from lodestone.sources.bronze import split_batches
+    names = spark.createDataFrame([(f"n{i:02d}", i) for i in range(7)], "name string, o int")
+    got = {r.name: r.batch_no for r in split_batches(names, "o", 2).collect()}
+    assert [got[f"n{i:02d}"] for i in range(7)] == [1, 1, 1, 1, 2, 2, 2]
+    three = {r.name: r.batch_no for r in split_batches(names, "o", 3).collect()}
+    assert [three[f"n{i:02d}"] for i in range(7)] == [1, 1, 1, 2, 2, 2, 3]
