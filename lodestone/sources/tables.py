@@ -9,19 +9,25 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
+SPREAD_MAX_SPLITS = 64  # about 8 GB of input at the default split size
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan at least one partition per core.
 
     A small file with a single row group is read by one task, which would run all
-    narrow CPU work (parsing, validation, splitting, encoding) on one core.  Large
-    inputs already have many more splits than cores; then this is a no-op and adds
-    no shuffle.  Filters and column pruning still reach the scan below."""
+    narrow CPU work (parsing, validation, splitting, encoding) on one core.  Only
+    scans with fewer than ``SPREAD_MAX_SPLITS`` splits (and fewer than cores) are
+    spread, so a large table is never shuffled for this.  Filters and column
+    pruning still reach the scan below."""
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
         parts = df.rdd.getNumPartitions()
     except Exception:  # sessions without an RDD view (Spark Connect): leave the scan as is
         return df
-    return df.repartition(cores) if parts < cores else df
+    # only small scans (few splits) are spread: a large table already has enough tasks and
+    # a round-robin shuffle of it would cost more than it gains
+    return df.repartition(cores) if parts < min(cores, SPREAD_MAX_SPLITS) else df
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = 5_000_000) -> DataFrame:
