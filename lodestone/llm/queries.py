@@ -2,16 +2,71 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..sources.tables import read_table
+from .decontam import contamination, item_digest
 from .near_dedup import near_duplicates
+from .packing import packed_documents
+from .quality import quality
+from .toxicity import toxicity
+from .url_rules import judge_urls
+from .pii import KINDS, count_kind, personal_spans, span_string
+from .token_io import tokens_round_trip
 
 
 def op1_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {
-    "op1_minhash_near_dedup": op1_minhash_near_dedup,
-}
+def op2_toxicity_classifier_chain(spark, sf_dir):
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op5_information_theoretic_pii(spark, sf_dir):
+    found = personal_spans(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *(count_kind("base", k).alias(f"n_{k}") for k in KINDS[:-1]),
+        F.sha2(span_string("base"), 256).alias("base_sha256"), span_string("spans").alias("spans"),
+        count_kind("spans", "term").alias("n_term"))
+
+
+def op6_winnowing_decontamination(spark, sf_dir):
+    found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        item_digest("items").alias("items_sha256"), "contaminated")
+
+
+def op7_fourier_quality(spark, sf_dir):
+    return quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op8_vector_best_fit_packing(spark, sf_dir):
+    return packed_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op9_bit_packed_token_files(spark, sf_dir):
+    return tokens_round_trip(read_table(spark, sf_dir, "documents"))
+
+
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op10_association_url_filter(spark, sf_dir):
+    """A page is labelled as the document whose id its path ends with: bad where that is of
+    quality 0 or toxic."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = read_table(spark, sf_dir, "labels").select(
+        "doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    number = F.regexp_extract("url", r"://[^?#]*/([0-9]{1,18})(?:\.[a-z]+)?/?(?:[?#]|$)", 1)
+    labelled = pages.select("url", F.when(number != "", number).cast("long").alias("doc_id"))
+    return judge_urls(pages, labelled.join(labels, "doc_id").select("url", "bad"), URL_RULES)
+
+
+REGISTRY = {f.__name__: f for f in (
+    op1_minhash_near_dedup, op2_toxicity_classifier_chain, op5_information_theoretic_pii,
+    op6_winnowing_decontamination, op7_fourier_quality, op8_vector_best_fit_packing,
+    op9_bit_packed_token_files, op10_association_url_filter)}
 
 ORACLE: dict[str, str] = {}
