@@ -26,7 +26,7 @@ from .decontam import item_words
 from .text import WordHash, bounded_batches, texts_of
 
 MAX_ROWS, FEATURES, FOLDS, LEAST_DF, PREFIX = 20_000, 256, 3, 4, 5
-L2 = 1.0
+L2 = 0.1
 
 
 def features_of(text: bytes | None, cache: WordHash) -> np.ndarray:

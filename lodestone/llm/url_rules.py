@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-SUPPORT, CONFIDENCE = 0.003, 0.6
+SUPPORT, LEAST_URLS, CONFIDENCE = 0.003, 5, 0.6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 Rule = tuple[str, str, str]  # verdict, host, path
 
@@ -64,13 +64,16 @@ def url_tokens(url: Column) -> Column:
 
 def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """(rule_id, tokens, verdict, confidence, support) from (tokens, bad); two marks cannot
-    both hold, and equal rules cannot appear twice."""
+    both hold, and equal rules cannot appear twice.  A rule needs ``support`` of the labelled
+    URLs and ``LEAST_URLS`` of them at least."""
     mark = F.when(F.col("bad"), F.lit("label:block")).otherwise(F.lit("label:allow"))
     baskets = cut_lineage(labelled.where("bad is not null").select(F.array_append("tokens", mark).alias("items")))
     schema = "rule_id long, tokens array<string>, verdict string, confidence double, support double"
-    if baskets.isEmpty():
+    n = baskets.count()
+    if n < LEAST_URLS:
         return labelled.sparkSession.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
+    model = FPGrowth(itemsCol="items", minSupport=max(support, LEAST_URLS / n),
+                     minConfidence=confidence).fit(baskets)
     rules = cut_lineage(
         model.associationRules.where(F.size("consequent") == 1)
         .select(F.array_sort("antecedent").alias("tokens"), F.col("consequent")[0].alias("head"),
