@@ -1,4 +1,10 @@
-"""Corpus pipeline: the stages that turn raw ``documents`` into packed training sequences."""
+"""Corpus pipeline: the stages that turn raw ``documents`` into packed training sequences.
+
+Every stage takes all that the one before kept, reads it from a written table and returns the
+columns of ``documents``; the last returns the packed pieces.  Documents are identified by
+doc_id: rows that repeat one are reduced to one by the near-duplicate stage, rows without one
+pass every filter and are packed under a null id.
+"""
 
 from __future__ import annotations
 
@@ -7,26 +13,61 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.llm.decontam import contamination
 from lodestone.llm.near_dedup import near_duplicates
+from lodestone.llm.packing import packed_documents
+from lodestone.llm.pii import sanitised
+from lodestone.llm.toxicity import toxicity
 from lodestone.session import checkpoint_dir
+from lodestone.sources.tables import read_table
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose doc_id is among ``rejected``."""
+    return docs.join(rejected.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_anti").select(
+        *docs.columns)
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity chain rejects go."""
+    return _without(docs, toxicity(docs, read_table(spark, sf_dir, "labels")).where("toxic"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the smallest doc_id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, "doc_id").select(*docs.columns)
+    """One document of each near-duplicate group stays, the one with the smallest doc_id; of
+    rows with one doc_id one stays."""
+    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return (_without(named, near_duplicates(named).where("not kept"))
+            .unionByName(docs.where("doc_id is null")))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents contaminated by the benchmark go."""
+    return _without(docs, contamination(docs, read_table(spark, sf_dir, "benchmark")).where("contaminated"))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and terms that disclose it are replaced; every document stays."""
+    return sanitised(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed into sequences."""
+    return packed_documents(docs)
+
 
+STAGES = [("toxicity", toxicity_filter), ("near_dedup", near_dedup), ("decontamination", decontamination),
+          ("pii", pii), ("packing", packing)]
 
-STAGES = [("near_dedup", near_dedup)]
+#: The stages fit models, connect components and tokenise: not expressible; the stages are
+#: tested against brute-force versions instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each stage's result is written to the shared
     checkpoint folder and read again as the next one's input."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = read_table(spark, sf_dir, "documents")
     base = f"{checkpoint_dir(spark).rstrip('/')}/pipeline/{uuid.uuid4().hex}"
     for name, stage in STAGES:
         path = f"{base}/{name}"
