@@ -27,6 +27,7 @@ K = 20
 SAMPLE, MAX_LISTS, LIST_SIZE = 20_000, 1024, 400
 BOUNDARY, REPLICAS, RATIO = 0.05, 4, 0.2
 QUERY_BLOCK, LIST_BLOCK, HELD = 256, 1024, 20_000
+FIRST = 2  # lists searched before the others
 
 
 def lift(x: np.ndarray, largest: float) -> np.ndarray:
@@ -70,15 +71,15 @@ class CentroidGraph:
         d = _distances(c, c)
         links: list[set[int]] = [set() for _ in c]
         for i, row in enumerate(np.argsort(d, axis=1, kind="stable")[:, 1:degree + 1]):
-            for j in row.tolist():
+            for j in [*row.tolist(), (i + 1) % len(c)]:  # the ring joins all parts of the graph
                 links[i].add(j), links[j].add(i)
         self.links = [np.array(sorted(s), dtype=np.int64) for s in links]
         self.entry = sorted({0, len(c) // 3, 2 * len(c) // 3})
 
-    def within(self, q: np.ndarray, ratio: float, least: int = 8) -> list[int]:
-        """Lists whose centroids are within ``1 + ratio`` times the nearest one's distance.
-        The walk goes on a little beyond (``least`` nodes, and a tenth of the ratio) before
-        it gives up."""
+    def within(self, q: np.ndarray, ratio: float, sizes: np.ndarray, need: int, least: int = 8) -> list[int]:
+        """Lists whose centroids are within ``1 + ratio`` times the nearest one's distance, and
+        the next ones until they hold ``need`` entries.  The walk goes on a little beyond
+        (``least`` nodes, and a tenth of the ratio) before it gives up."""
         seen = np.zeros(len(self.c), dtype=bool)
         heap: list[tuple[float, int]] = []
 
@@ -92,15 +93,21 @@ class CentroidGraph:
 
         push(np.array(self.entry))
         taken: list[tuple[float, int]] = []
-        best = np.inf
+        best, held = np.inf, 0
         while heap:
             d, i = heapq.heappop(heap)
-            if len(taken) >= least and d > best * (1 + 1.1 * ratio) + 1e-12:
+            if len(taken) >= least and held >= need and d > best * (1 + 1.1 * ratio) + 1e-12:
                 break
-            best = min(best, d)
+            best, held = min(best, d), held + int(sizes[i])
             taken.append((d, i))
             push(self.links[i])
-        return [i for d, i in taken if d <= best * (1 + ratio) + 1e-12]
+        out, held = [], 0
+        for d, i in sorted(taken):
+            if held >= need and d > best * (1 + ratio) + 1e-12:
+                break
+            out.append(i)
+            held += int(sizes[i])
+        return out
 
 
 def lists_of(x: np.ndarray, c: np.ndarray, boundary: float = BOUNDARY, replicas: int = REPLICAS) -> list[list[int]]:
@@ -148,18 +155,19 @@ def usable(vectors: DataFrame) -> DataFrame:
 def nearest(vectors: DataFrame, is_query, k: int = K, ratio: float = RATIO, sample: int = SAMPLE,
             max_lists: int = MAX_LISTS, list_size: int = LIST_SIZE) -> DataFrame:
     """(query_id, rank, vec_id, score): for every usable row of ``vectors`` (vec_id, embedding;
-    other columns are ignored) for which ``is_query`` holds, its ``k`` nearest others found, by
+    other columns are ignored) for which ``is_query`` (a column over ``vectors``) holds, its ``k`` nearest others found, by
     largest inner product in double precision, ties to the smaller vec_id.
 
     Every usable row is indexed; the sample of at most about ``sample`` vectors only places
-    the centroids and gives each query a score that its k-th neighbour surely reaches.  Rows
-    that are not usable neither ask nor answer; repeated rows count once; one vec_id with
+    the centroids.  Rows that are not usable neither ask nor answer; repeated rows count once; one vec_id with
     several vectors is several candidates under one id, none of them for itself; an empty
     table gives no rows."""
     spark = vectors.sparkSession
     ship_package(spark)
     key = [F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(7), "embedding").alias("h2")]
-    rows = cut_lineage(usable(vectors).dropDuplicates(["vec_id", "embedding"]).select("vec_id", "embedding", *key))
+    asks = usable(vectors.where(is_query)).select("vec_id").distinct().withColumn("asks", F.lit(True))
+    rows = cut_lineage(usable(vectors).dropDuplicates(["vec_id", "embedding"]).join(asks, "vec_id", "left")
+                       .select("vec_id", "embedding", F.coalesce("asks", F.lit(False)).alias("asks"), *key))
     first = Window.partitionBy("h1", "h2").orderBy("vec_id")
     members = cut_lineage(rows.select("vec_id", "h1", "h2").withColumn("place", F.row_number().over(first))
                           .where(F.col("place") <= k + 1))
@@ -193,31 +201,28 @@ def nearest(vectors: DataFrame, is_query, k: int = K, ratio: float = RATIO, samp
         for batch in batches:
             if batch.num_rows:
                 x = _vectors(batch.column("embedding"))
-                # the (k + 2)nd best of the sample: itself and one more apart, k are as good
-                near = np.sort(x @ points.T, axis=1)
-                bound = near[:, -(k + 2)] if len(points) >= k + 2 else np.full(len(x), -np.inf)
                 asked = np.hstack([x, np.zeros((len(x), 1))])
                 asked *= (largest / np.sqrt((asked * asked).sum(axis=1)))[:, None]
-                own = [graph.within(q, ratio) for q in asked]
+                own = [graph.within(q, ratio, counts, REPLICAS * (k + 2)) for q in asked]
                 at = pa.array(np.repeat(np.arange(len(own)), [len(o) for o in own]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([j for o in own for j in o], pa.int32()), batch.column("id").take(at),
-                     batch.column("embedding").take(at), pa.array(bound - 1e-9).take(at)],
-                    ["list", "id", "embedding", "bound"])
+                     batch.column("embedding").take(at), pa.array([i for o in own for i in range(len(o))], pa.int32())],
+                    ["list", "id", "embedding", "place"])
 
     entry = "list int, id long, embedding array<double>"
     posted = cut_lineage(classes.select("id", "embedding").mapInArrow(index, entry))
-    sizes = posted.groupBy("list").agg(F.ceil(F.count("*") / LIST_BLOCK).alias("parts"))
+    sizes = posted.groupBy("list").agg(F.count("*").alias("n"))  # at most max_lists rows
+    counts = np.zeros(len(centroids), dtype=np.int64)
+    for r in sizes.collect():
+        counts[r["list"]] = r["n"]
     pack = F.collect_list(F.struct("id", "embedding", "bound"))
-    blocks = (posted.join(F.broadcast(sizes), "list")  # at most max_lists rows
-              .withColumn("bound", F.lit(0.0)).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    blocks = (posted.join(F.broadcast(sizes), "list").withColumn("bound", F.lit(0.0))
+              .withColumn("part", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / LIST_BLOCK)))
               .groupBy("list", "part").agg(pack.alias("vectors")))
-    queries = cut_lineage(rows.where(is_query).select(F.col("vec_id").alias("id"), "embedding")
-                          .mapInArrow(ask, entry + ", bound double"))
-    q_parts = max(1, -(-rows.where(is_query).count() // QUERY_BLOCK))
-    asked = (queries.withColumn("q_part", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(q_parts)))
-             .groupBy("list", "q_part").agg(pack.alias("queries")))
-
+    queries = cut_lineage(rows.where("asks").select(F.col("vec_id").alias("id"), "embedding")
+                          .mapInArrow(ask, entry + ", place int"))
+    q_parts = max(1, -(-rows.where("asks").count() // QUERY_BLOCK))
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, float], list[np.ndarray]] = {}
 
@@ -258,11 +263,22 @@ def nearest(vectors: DataFrame, is_query, k: int = K, ratio: float = RATIO, samp
         if held:
             yield out()
 
-    hits = (asked.join(blocks, "list").select("queries", "vectors").mapInArrow(
-        search, "query_id long, id long, score double"))
-    by_class = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    def hits_of(asked: DataFrame) -> DataFrame:
+        blocked = (asked.withColumn("q_part", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(q_parts)))
+                   .groupBy("list", "q_part").agg(pack.alias("queries")))
+        return blocked.join(blocks, "list").select("queries", "vectors").mapInArrow(
+            search, "query_id long, id long, score double")
+
+    # the nearest lists first; what they hold bounds what the others must reach
+    near = cut_lineage(hits_of(queries.where(F.col("place") < FIRST).withColumn("bound", F.lit(float("-inf")))))
+    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    kth = (near.dropDuplicates(["query_id", "id"]).withColumn("place", F.row_number().over(by_score))
+           .where(F.col("place") == k + 1).select(F.col("query_id").alias("id"), (F.col("score") - 1e-9).alias("bound")))
+    rest = (queries.where(F.col("place") >= FIRST).join(kth, "id", "left")
+            .withColumn("bound", F.coalesce("bound", F.lit(float("-inf")))))
+    hits = near.unionByName(hits_of(rest))
     hits = (hits.groupBy("query_id", "id").agg(F.max("score").alias("score"))
-            .withColumn("place", F.row_number().over(by_class)).where(F.col("place") <= k + 1).drop("place"))
+            .withColumn("place", F.row_number().over(by_score)).where(F.col("place") <= k + 1).drop("place"))
     answers = members.join(lead, ["h1", "h2"]).select("id", "vec_id")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (hits.join(answers, "id").where("vec_id != query_id").select("query_id", "vec_id", "score").distinct()
