@@ -47,9 +47,15 @@ def date_is_invalid(c) -> Column:
     return F.coalesce(raw != "", F.lit(False)) & parse_multi_date(raw).isNull()
 
 
+# Shape of a number in text: decimal or exponent form, or a name of infinity or NaN.  A cast
+# alone also takes the type suffixes of Java literals ("1d", "5f").
+NUMBER_SHAPE = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf(inity)?|nan))\s*$"
+
+
 def safe_double(c) -> Column:
     """Text or number -> double; non-numeric -> NULL instead of an error."""
-    return _c(c).try_cast("double")
+    text = _c(c).cast("string")
+    return F.when(text.rlike(NUMBER_SHAPE), F.trim(text).try_cast("double"))
 
 
 def falsy_to_null_double(c) -> Column:
@@ -60,7 +66,7 @@ def falsy_to_null_double(c) -> Column:
 def is_falsy(c) -> Column:
     """Python-style falsiness for a text value: NULL, ``''`` or a zero number."""
     raw = _c(c).cast("string")
-    return raw.isNull() | (raw == "") | F.coalesce(raw.try_cast("double") == 0, F.lit(False))
+    return raw.isNull() | (raw == "") | F.coalesce(safe_double(raw) == 0, F.lit(False))
 
 
 def year_of(c) -> Column:

@@ -21,12 +21,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Resolution statuses, resolution methods, and the number of search
-# hits the source returns per name.
+# Resolution statuses and resolution methods.
 SUCCESS, PAGE_NOT_FOUND = "SUCCESS", "PAGE_NOT_FOUND"
 AMBIGUOUS_RESOLUTION, DISAMBIGUATION_PAGE = "AMBIGUOUS_RESOLUTION", "DISAMBIGUATION_PAGE"
 DIRECT_TITLE, SEARCH, REDIRECT = "DIRECT_TITLE", "SEARCH", "REDIRECT"
-MAX_HITS = 5
 
 
 def resolve_titles(names: DataFrame, directory: DataFrame, hits: DataFrame, *,
@@ -34,29 +32,29 @@ def resolve_titles(names: DataFrame, directory: DataFrame, hits: DataFrame, *,
     """``names(name)``, ``directory(query_title, page_title, is_disambiguation,
     was_redirected)``, ``hits(name, rank, hit_title, snippet)`` ->
     ``name, status, resolved_via, title, candidates``."""
-    d = directory.select(F.col(dir_key).alias("_dk"), "page_title", "is_disambiguation",
-                         "was_redirected")
-    ranked = hits.where(F.col("rank") <= MAX_HITS)
-    per_name = ranked.groupBy(name).agg(
+    per_name = hits.groupBy(name).agg(
         F.count(F.lit(1)).alias("n_hits"),
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "hit_title"))),
                     lambda s: s["hit_title"]).alias("candidates"),
         F.min_by(F.struct("hit_title", "snippet"), "rank").alias("top"),
         F.min_by(F.when(F.col("rank") > 1, F.struct("hit_title", "snippet")),
                  F.when(F.col("rank") > 1, F.col("rank"))).alias("second"))
-
-    def page(prefix: str, title_col):
-        return d.select(F.col("_dk").alias(f"{prefix}_key"),
-                        F.lit(True).alias(f"{prefix}_exists"),
-                        F.col("is_disambiguation").alias(f"{prefix}_disambig"),
-                        F.col("page_title").alias(f"{prefix}_page_title"),
-                        F.col("was_redirected").alias(f"{prefix}_redirected"))
-
-    j = (names.select(name).join(page("direct", None),
-                                 F.col(name) == F.col("direct_key"), "left")
-         .join(per_name, name, "left"))
-    j = j.join(page("top", None), F.col("top.hit_title") == F.col("top_key"), "left")
-    j = j.join(page("sec", None), F.col("second.hit_title") == F.col("sec_key"), "left")
+    base = names.select(name).distinct().join(per_name, name, "left")
+    # the three titles a name may lead to, looked up in the directory by one join
+    roles = {"direct": F.col(name), "top": F.col("top.hit_title"), "sec": F.col("second.hit_title")}
+    wanted = base.select(name, F.explode(F.array(*[
+        F.struct(F.lit(r).alias("role"), c.alias("title")) for r, c in roles.items()])).alias("w")).select(
+        name, "w.role", F.col("w.title").alias("_dk")).where("_dk is not null")
+    found = wanted.join(directory.select(F.col(dir_key).alias("_dk"), F.struct(
+        "page_title", "is_disambiguation", "was_redirected").alias("page")), "_dk")
+    pages = found.groupBy(name).agg(*[F.first(F.when(F.col("role") == r, F.col("page")), ignorenulls=True)
+                                      .alias(f"_{r}") for r in roles])
+    pages = pages.select(name, *[c for r in roles for c in (
+        F.col(f"_{r}").isNotNull().alias(f"{r}_exists"),
+        F.col(f"_{r}.is_disambiguation").alias(f"{r}_disambig"),
+        F.col(f"_{r}.page_title").alias(f"{r}_page_title"),
+        F.col(f"_{r}.was_redirected").alias(f"{r}_redirected"))])
+    j = names.select(name).join(base, name, "left").join(pages, name, "left")
 
     low = F.lower(F.col(name))
 

@@ -79,15 +79,6 @@ def quarantine_rows(df: DataFrame, source: str, batch_id, record_key) -> DataFra
                                F.col(REASON), ctx.alias(CONTEXT))
 
 
-def write_split(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """One scan, one write: rows land under ``outcome=valid`` or ``outcome=rejected``
-    (plus any extra partition columns); dynamic overwrite keeps reruns idempotent."""
-    out = df.withColumn("outcome", F.when(F.col(REASON).isNull(), F.lit("valid"))
-                        .otherwise(F.lit("rejected")))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("outcome", *partition_by).parquet(path))
-
-
 def reject_report(*quarantines: DataFrame) -> DataFrame:
     """Count of rejected records by source and reason, over quarantine tables."""
     u = quarantines[0]

@@ -1,21 +1,23 @@
 """Nearest-neighbour search over a vector table, with parent dedupe and filters.
 
-Physical plan (no cross join, no all-pairs):
-
-1. the query set is small by contract and **size-checked** (``max_queries``);
-   its vectors are broadcast once to the executors;
-2. the vector table is scanned once in ``mapInArrow``: every partition keeps
-   only its own top-n per query (BLAS pre-filter on ``|x|^2 + |q|^2 - 2 q.x``,
-   then exact distances for the few candidates), so at most
-   ``partitions x n`` rows per query leave the scan;
+Exact search (no cross join, no limit on the number of queries):
+
+1. the query vectors are written once and dealt, row by row, into blocks of at most
+   ``BLOCK_BYTES``; one block at a time is sent to the executors;
+2. for a block the vector table is scanned once in ``mapInArrow``: every partition keeps only
+   its own top-n per query (BLAS pre-filter on ``|x|^2 + |q|^2 - 2 q.x`` in tiles of bounded
+   size, then exact distances for the few candidates);
 3. a windowed top-n over those candidates gives the global answer.
 
-A partition-local top-n is enough: an element of the global top-n is also in
-the top-n of its own partition.  With ``per_parent=True`` the unit is the
-parent (best vector per parent); the same argument holds for parents.
+A partition-local top-n is enough: an element of the global top-n is also in the top-n of its
+own partition.  With ``per_parent=True`` the unit is the parent (best vector per parent); the
+same argument holds for parents.
+
+Approximate search (``hash_buckets`` and ``knn_hashed``): bucket numbers are stored with the
+vectors, candidates come from an equi-join on (table, bucket).
 
-Distances are squared L2 (smaller is better); the exact value is summed in
-dimension order in float64, so it is reproducible by any engine.
+Distances are squared L2 (smaller is better); the exact value is summed in dimension order in
+float64, so it is reproducible by any engine.
 """
 
 from __future__ import annotations
@@ -28,13 +30,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship_package
-from ..sources.tables import bounded_broadcast
+from ..session import cut_lineage, ship_package
 
-DEFAULT_MAX_QUERIES = 100_000
-MAX_QUERY_BYTES = 256 * 1024 * 1024  # broadcast payload of the query matrix (float64)
-MAX_BROADCAST_PARENTS = 5_000_000    # qualifying parent keys broadcast in pre-filter mode
-_MARGIN = 1e-6  # absolute slack over the BLAS estimate before exact re-ranking
+BLOCK_BYTES = 64 * 1024 * 1024  # query vectors sent to the executors at a time
+TILE = 4_000_000                # estimated distances a task holds at a time
+_MARGIN = 1e-12  # relative to |x|^2 + |q|^2: the rounding error of the estimated distance
 
 
 def _arrow_batches(batches: Iterator[pa.RecordBatch], id_col: str, parent_col: str | None,
@@ -88,140 +88,143 @@ def _parent_threshold(approx: np.ndarray, parents: np.ndarray, n: int) -> np.nda
     return np.partition(best, m - 1, axis=1)[:, m - 1]
 
 
-def _codes(m: np.ndarray, planes: np.ndarray) -> np.ndarray:
-    """Bucket code per LSH table: sign bits of the projections, packed into an int."""
-    tables, bits, _ = planes.shape
-    proj = np.einsum("nd,tbd->ntb", m, planes) >= 0
-    return (proj * (1 << np.arange(bits))[None, None, :]).sum(axis=2)
-
-
-def _partition_topn(batches, qmat: np.ndarray, n: int, per_parent: bool,
-                    planes: np.ndarray | None = None) -> tuple:
+def _partition_topn(batches, qmat: np.ndarray, n: int, per_parent: bool) -> tuple:
     """Top-n per query over one partition; ``batches`` yields (vectors, ids, parents)."""
     qn = (qmat * qmat).sum(axis=1)
-    qcodes = _codes(qmat, planes) if planes is not None else None
     acc = None
     for x, ids, parents in batches:
-        if planes is not None:
-            xc = _codes(x, planes)
-            qi, xi = np.nonzero((qcodes[:, None, :] == xc[None, :, :]).any(axis=2))
-            cand = (qi, ids[xi], parents[xi], _exact(x[xi], qmat[qi]))
+        xn = (x * x).sum(axis=1)
+        step = max(1, TILE // len(x))
+        for lo in range(0, len(qmat), step):
+            q, norms = qmat[lo:lo + step], xn[None, :] + qn[lo:lo + step, None]
+            approx = norms - 2.0 * (q @ x.T)
+            if per_parent:
+                thr = _parent_threshold(approx, parents, n)
+            else:
+                m = min(n, x.shape[0])
+                thr = np.partition(approx, m - 1, axis=1)[:, m - 1]
+            # both the threshold and the row may be off by the rounding error of their norms
+            slack = _MARGIN * x.shape[1] * (norms + norms.max(axis=1)[:, None])
+            qi, xi = np.nonzero(approx <= thr[:, None] + slack)
+            cand = (qi + lo, ids[xi], parents[xi], _exact(x[xi], q[qi]))
             if acc is not None:
                 cand = tuple(np.concatenate([a, c]) for a, c in zip(acc, cand))
             acc = _select(*cand, n=n, per_parent=per_parent)
-            continue
-        approx = (x * x).sum(axis=1)[None, :] + qn[:, None] - 2.0 * (qmat @ x.T)
-        m = min(n, x.shape[0])
-        if per_parent:
-            thr = _parent_threshold(approx, parents, n)
-        else:
-            thr = np.partition(approx, m - 1, axis=1)[:, m - 1]
-        qi, xi = np.nonzero(approx <= (thr + _MARGIN)[:, None])
-        dist = _exact(x[xi], qmat[qi])
-        cand = (qi, ids[xi], parents[xi], dist)
-        if acc is not None:
-            cand = tuple(np.concatenate([a, c]) for a, c in zip(acc, cand))
-        acc = _select(*cand, n=n, per_parent=per_parent)
     return acc
 
 
-class _TooManyQueries(Exception):
-    def __init__(self, n: int):
-        self.n = n
-
-
-def _query_payload(queries: DataFrame, qid: str, qvec: str, max_queries: int):
-    n_q = queries.count()
-    if n_q > max_queries:
-        raise _TooManyQueries(n_q)
-    rows = queries.select(qid, qvec).collect()  # bounded by the check above
-    ids = [r[0] for r in rows]
-    mat = np.array([np.asarray(r[1], dtype=np.float64) for r in rows]) if rows else np.zeros((0, 0))
-    if mat.nbytes > MAX_QUERY_BYTES:
-        raise ValueError(f"query vectors take {mat.nbytes} bytes, over the broadcast bound "
-                         f"of {MAX_QUERY_BYTES}; split the query set")
-    return ids, mat
-
-
 def knn(vectors: DataFrame, queries: DataFrame, n: int, *, id_col: str = "chunk_id",
         vec_col: str = "embedding", parent_col: str | None = None, per_parent: bool = False,
         query_id: str = "query_id", query_vec: str = "query_vec",
-        max_queries: int = DEFAULT_MAX_QUERIES, ann_tables: int = 0, ann_bits: int = 3,
-        seed: int = 7) -> DataFrame:
+        block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Top-``n`` nearest vectors (or parents, ``per_parent=True``) for every query.
 
-    ``ann_tables > 0`` switches to approximate search: only vectors that share a
-    random-hyperplane bucket (``ann_bits`` sign bits) with the query in at least one
-    of ``ann_tables`` tables are scored - far fewer exact distances, recall < 1.
-
-    A query set over ``max_queries`` is split by a hash of the query id into blocks
-    that each pass the bound; every block is one broadcast and one scan of the
-    vectors, and the block results are unioned (no cross join, no unbounded
-    broadcast).
-
-    Returns ``query_id, id_col, [parent_col], distance, rank`` (rank 1 = nearest;
-    ties broken by id)."""
-    try:
-        q_ids, qmat = _query_payload(queries, query_id, query_vec, max_queries)
-    except _TooManyQueries as too_many:
-        blocks = -(-too_many.n // max_queries) * 2  # expected block size <= half the bound
-        block = F.pmod(F.xxhash64(F.col(query_id)), F.lit(blocks))
-        parts = [knn(vectors, queries.where(block == b), n, id_col=id_col, vec_col=vec_col,
-                     parent_col=parent_col, per_parent=per_parent, query_id=query_id,
-                     query_vec=query_vec, max_queries=max_queries, ann_tables=ann_tables,
-                     ann_bits=ann_bits, seed=seed) for b in range(blocks)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-    planes = None
-    if ann_tables and len(q_ids):
-        planes = np.random.default_rng(seed).standard_normal((ann_tables, ann_bits, qmat.shape[1]))
+    Query rows are numbered and cut into blocks of at most ``block_bytes``, whatever their ids
+    (several rows may share one); each block is one scan of the vectors, and the results are
+    unioned.  Queries without a vector, and vectors of another length than the queries', give
+    nothing.
+
+    Returns ``query_id, id_col, [parent_col], distance, rank`` (rank 1 = nearest; ties broken by
+    id)."""
     spark = vectors.sparkSession
-    id_type = vectors.schema[id_col].dataType
-    qid_type = queries.schema[query_id].dataType
-    fields = [T.StructField("_q", T.IntegerType()), T.StructField(id_col, id_type)]
+    asked = cut_lineage(queries.where(F.col(query_vec).isNotNull()).select(query_id, query_vec))
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(query_vec)).alias("dim")).first()
+    fields = [T.StructField(query_id, queries.schema[query_id].dataType),
+              T.StructField(id_col, vectors.schema[id_col].dataType)]
     if parent_col:
         fields.append(T.StructField(parent_col, vectors.schema[parent_col].dataType))
     fields.append(T.StructField("distance", T.DoubleType()))
-    schema = T.StructType(fields)
-    cols = [id_col] + ([parent_col] if parent_col else []) + [vec_col]
-    dim = int(qmat.shape[1]) if len(q_ids) else 0
-    if len(q_ids) == 0 or n <= 0:
-        return spark.createDataFrame([], T.StructType(
-            [T.StructField(query_id, qid_type)] + fields[1:] + [T.StructField("rank", T.IntegerType())]))
+    if not size["n"] or n <= 0:
+        return spark.createDataFrame([], T.StructType(fields + [T.StructField("rank", T.IntegerType())]))
+    dim = size["dim"]
+    blocks = max(1, -(-size["n"] * dim * 8 // (block_bytes // 2)))  # the mean is half the bound
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
+    numbered = asked.withColumn("_block", block)
     ship_package(spark)  # the scoring stage runs this module's functions on the executors
-    bq = spark.sparkContext.broadcast(qmat)
-
-    arrow_schema = pa.schema([pa.field("_q", pa.int32())]
-                             + [_arrow_field(f) for f in schema.fields[1:]])
-
-    def per_partition(it):
-        res = _partition_topn(_arrow_batches(it, id_col, parent_col, vec_col, dim), bq.value, n,
-                              per_parent, planes)
-        if res is None:
-            return
-        qi, ids, parents, dist = res
-        arrays = [pa.array(qi.astype(np.int32)), pa.array(ids)]
-        if parent_col:
-            arrays.append(pa.array(parents))
-        arrays.append(pa.array(dist, type=pa.float64()))
-        yield pa.RecordBatch.from_arrays(
-            [a.cast(f.type) for a, f in zip(arrays, arrow_schema)], schema=arrow_schema)
-
-    scored = (vectors.select(*cols)
-              .where(F.col(vec_col).isNotNull() & (F.size(vec_col) == dim)))
-    cand = scored.mapInArrow(per_partition, schema)
-    qmap = spark.createDataFrame(list(enumerate(q_ids)),
-                                 T.StructType([T.StructField("_q", T.IntegerType()),
-                                               T.StructField(query_id, qid_type)]))
-    if per_parent:
-        w1 = Window.partitionBy("_q", parent_col).orderBy("distance", id_col)
-        cand = cand.withColumn("_r", F.row_number().over(w1)).where("_r = 1").drop("_r")
-    w = Window.partitionBy("_q").orderBy("distance", id_col)
-    top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-    return (top.join(F.broadcast(qmap), "_q")  # one row per query, bounded above
-            .select(query_id, *[c for c in schema.names if c not in ("_q",)], "rank"))
+    scored = vectors.select(*[id_col] + ([parent_col] if parent_col else []) + [vec_col]).where(
+        F.col(vec_col).isNotNull() & (F.size(vec_col) == dim))
+    schema = T.StructType([T.StructField("_q", T.IntegerType()), *fields[1:]])
+    arrow_schema = pa.schema([pa.field("_q", pa.int32())] + [_arrow_field(f) for f in schema.fields[1:]])
+    out = None
+    for b in range(blocks):
+        rows = [r for r in numbered.where(F.col("_block") == b).collect() if len(r[query_vec]) == dim]
+        if not rows:
+            continue
+        sent = spark.sparkContext.broadcast(np.array([r[query_vec] for r in rows], dtype=np.float64))
+
+        def per_partition(it, sent=sent):
+            res = _partition_topn(_arrow_batches(it, id_col, parent_col, vec_col, dim), sent.value, n,
+                                  per_parent)
+            if res is None:
+                return
+            qi, ids, parents, dist = res
+            arrays = [pa.array(qi.astype(np.int32)), pa.array(ids)]
+            if parent_col:
+                arrays.append(pa.array(parents))
+            arrays.append(pa.array(dist, type=pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                [a.cast(f.type) for a, f in zip(arrays, arrow_schema)], schema=arrow_schema)
+
+        cand = scored.mapInArrow(per_partition, schema)
+        if per_parent:
+            w1 = Window.partitionBy("_q", parent_col).orderBy("distance", id_col)
+            cand = cand.withColumn("_r", F.row_number().over(w1)).where("_r = 1").drop("_r")
+        w = Window.partitionBy("_q").orderBy("distance", id_col)
+        top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+        names = spark.createDataFrame([(i, r[query_id]) for i, r in enumerate(rows)],
+                                      T.StructType([T.StructField("_q", T.IntegerType()), fields[0]]))
+        part = top.join(names, "_q").select(query_id, *[c for c in schema.names if c != "_q"], "rank")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# --- approximate search over stored buckets -------------------------------------------
+
+def plane_sign(table: int, bit: int, position: int) -> int:
+    """+1 or -1: the component of a hash table's plane at a position, from integer arithmetic
+    that any engine repeats (bit 16 of a multiplicative hash)."""
+    h = (position + 1) * (table * 31 + bit * 17 + 7) * 2654435761 % (1 << 32)
+    return 1 if h >> 16 & 1 else -1
+
+
+def hash_buckets(vectors: DataFrame, dim: int, tables: int = 8, bits: int = 4,
+                 vec_col: str = "embedding") -> DataFrame:
+    """``vectors`` with ``buckets``: per hash table the sign bits of ``bits`` projections.
+    Written once with the vectors, it makes a search an equi-join."""
+    planes = np.array([[[plane_sign(t, b, p) for p in range(dim)] for b in range(bits)]
+                       for t in range(tables)], dtype=np.float64)
+    fields = T.StructType([f for f in vectors.schema.fields] + [T.StructField("buckets", T.ArrayType(T.IntegerType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            if rb.num_rows:
+                x = rb.column(vec_col).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+                codes = ((np.einsum("nd,tbd->ntb", x, planes) >= 0) * (1 << np.arange(bits))).sum(axis=2)
+                yield pa.RecordBatch.from_arrays(
+                    [*rb.columns, pa.array(list(codes.astype(np.int32)), pa.list_(pa.int32()))],
+                    [*rb.schema.names, "buckets"])
+
+    ship_package(vectors.sparkSession)
+    return vectors.where(F.col(vec_col).isNotNull() & (F.size(vec_col) == dim)).mapInArrow(run, fields)
+
+
+def knn_hashed(bucketed: DataFrame, queries: DataFrame, n: int, *, id_col: str = "vec_id",
+               vec_col: str = "embedding", parent_col: str | None = None, query_id: str = "query_id",
+               query_vec: str = "query_vec") -> DataFrame:
+    """Top-``n`` among the vectors that share a bucket with the query in any hash table; both
+    sides carry ``buckets``.  Candidates come from an equi-join on (table, bucket), whose heavy
+    buckets adaptive execution splits; a pair met in several tables is scored once."""
+    cols = [id_col] + ([parent_col] if parent_col else []) + [vec_col]
+    q = queries.select(query_id, query_vec, F.col("buckets").alias("_qb"),
+                       F.posexplode("buckets").alias("_t", "_b"))
+    # a pair is kept in the first table it shares: needs the vector's own buckets
+    v = bucketed.select(*cols, F.col("buckets").alias("_vb"), F.posexplode("buckets").alias("_t", "_b"))
+    same = F.transform(F.arrays_zip("_vb", "_qb"), lambda z: z["_vb"] == z["_qb"])
+    pairs = v.join(q, ["_t", "_b"]).where(F.array_position(same, True) == F.col("_t") + 1)
+    dist = squared_l2(F.col(vec_col), F.col(query_vec)).alias("distance")
+    w = Window.partitionBy(query_id).orderBy("distance", id_col)
+    return (pairs.select(query_id, *cols[:-1], dist).withColumn("rank", F.row_number().over(w))
+            .where(F.col("rank") <= n))
 
 
 def _arrow_field(f: T.StructField) -> pa.Field:
@@ -265,24 +268,21 @@ def metadata_filter(meta: DataFrame, equals: dict | None = None, category: str |
 
 
 def search(vectors: DataFrame, queries: DataFrame, metadata: DataFrame, top_k: int = 5, *,
-           mode: str = "post", oversample: int = 5, id_col: str = "chunk_id",
+           mode: str = "pre", oversample: int = 5, id_col: str = "chunk_id",
            parent_col: str = "species_key", vec_col: str = "embedding", text_col: str = "text",
            title_col: str = "wikipedia_title", metadata_fields: Sequence[str] = (),
            query_id: str = "query_id", query_vec: str = "query_vec", **filters) -> DataFrame:
     """Top-``top_k`` parents per query: best chunk per parent, parent metadata attached.
 
-    ``mode='post'`` reproduces the reference: take the ``oversample * top_k`` nearest
-    chunks, dedupe by parent, drop hits without a parent, filter, keep ``top_k`` -
-    fewer rows can come back although more parents match.  ``mode='pre'`` filters
-    parents first and searches only their chunks (full recall)."""
+    ``mode='pre'`` (default) filters parents first and searches only their chunks: every
+    match is found.  ``mode='post'`` reproduces the reference: take the ``oversample * top_k``
+    nearest chunks, dedupe by parent, drop hits without a parent, filter, keep ``top_k`` -
+    fewer rows can come back although more parents match."""
     meta = metadata_filter(metadata, **filters)
     meta_cols = [parent_col, title_col] + [c for c in metadata_fields]
     meta = meta.select(*meta_cols)
     if mode == "pre":
-        # qualifying parents broadcast behind a count check: the vector table is then
-        # filtered in its scan and never shuffled
-        allowed = bounded_broadcast(meta.select(parent_col), MAX_BROADCAST_PARENTS)
-        vecs = vectors.join(allowed, parent_col, "left_semi")
+        vecs = vectors.join(meta.select(parent_col).distinct(), parent_col, "left_semi")
         hits = knn(vecs, queries, top_k, id_col=id_col, vec_col=vec_col, parent_col=parent_col,
                    per_parent=True, query_id=query_id, query_vec=query_vec)
     elif mode == "post":
@@ -292,12 +292,10 @@ def search(vectors: DataFrame, queries: DataFrame, metadata: DataFrame, top_k: i
         hits = raw.withColumn("_r", F.row_number().over(w1)).where("_r = 1").drop("_r", "rank")
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    # hits are bounded (queries x oversample x top_k) - broadcast them, scan metadata once
-    joined = meta.join(F.broadcast(hits.drop("rank")), parent_col)
+    joined = hits.drop("rank").join(meta, parent_col)
     w = Window.partitionBy(query_id).orderBy("distance", id_col)
     top = joined.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_k)
-    texts = vectors.select(id_col, text_col)
-    out = texts.join(F.broadcast(top), id_col)  # text last, and only for the bounded top rows
+    out = top.join(vectors.select(id_col, text_col), id_col)  # texts last, for the top rows only
     meta_struct = F.struct(*[F.col(c) for c in metadata_fields]) if metadata_fields else F.lit(None)
     return out.select(query_id, "rank", parent_col, title_col, F.col(text_col).alias("chunk_text"),
                       F.col("distance").alias("score"), id_col, meta_struct.alias("metadata"))

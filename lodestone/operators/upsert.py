@@ -4,19 +4,18 @@ Semantics of ``INSERT ... ON CONFLICT (key) DO UPDATE`` applied record by
 record in arrival order, expressed set-wise:
 
 * the batch collapses to one row per key: update columns take the **last**
-  record's value (``max_by`` over the order column), insert-only columns take
-  the **first** record's value (``min_by``) - both are partial aggregates, so a
-  hot key is reduced map-side before the shuffle;
+  record's values (one struct, so never a mixture of two records), insert-only
+  columns the **first** record's - both are partial aggregates, so a hot key is
+  reduced map-side before the shuffle;
 * a key already in the target keeps its insert-only columns and takes the
   batch's update columns; a new key takes the collapsed batch row;
 * evidence: ``new`` = batch keys absent from the target, ``updated`` = batch
   records minus ``new`` (a key repeated n times in one batch is 1 new + n-1
   updated), ``after`` = ``before`` + ``new``.
 
-Physical strategy: when the collapsed batch is provably small (row count under
-``broadcast_rows`` and serialized size under ``broadcast_bytes``) it is
-broadcast and the target is only scanned, never shuffled; otherwise a shuffled
-full outer join on the key is used.
+Physical strategy: one full outer join on the key, whatever the sizes; the
+target is scanned once, and the evidence is counted by the same job that writes
+the new version.
 """
 
 from __future__ import annotations
@@ -24,24 +23,29 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
 # Evidence columns (table, rows before, rows after, new rows, updated rows).
 EVIDENCE_COLUMNS = ("tabla", "filas_antes", "filas_despues", "filas_nuevas", "filas_actualizadas")
-DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_BROADCAST_BYTES = 512 * 1024 * 1024
+EVIDENCE_SCHEMA = ("tabla string, filas_antes long, filas_despues long, filas_nuevas long, "
+                   "filas_actualizadas long")
 
 
 def collapse_batch(batch: DataFrame, key: str, order: str, update_cols: Sequence[str],
                    insert_only: Sequence[str] = ()) -> DataFrame:
-    """One row per key: last value of update columns, first value of insert-only columns,
+    """One row per key: last record's update columns, first record's insert-only columns,
     and ``_n`` = number of records of that key in the batch."""
-    aggs = [F.max_by(c, order).alias(c) for c in update_cols]
-    aggs += [F.min_by(c, order).alias(c) for c in insert_only]
-    return batch.groupBy(key).agg(*aggs, F.count(F.lit(1)).alias("_n"))
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    if update_cols:
+        aggs.append(F.max_by(F.struct(*update_cols), order).alias("_last"))
+    if insert_only:
+        aggs.append(F.min_by(F.struct(*insert_only), order).alias("_first"))
+    return batch.groupBy(key).agg(*aggs).select(
+        key, *[F.col(f"_last.{c}").alias(c) for c in update_cols],
+        *[F.col(f"_first.{c}").alias(c) for c in insert_only], "_n")
 
 
 @dataclass
@@ -50,89 +54,71 @@ class UpsertResult:
     evidence: DataFrame
 
 
-def _evidence(spark, name: str, before: DataFrame, after: DataFrame,
-              collapsed: DataFrame) -> DataFrame:
-    """One evidence row from scalar subqueries (no driver round trip).  Keys are unique
-    in both table versions, so ``new = after - before``."""
-    n_before = before.select(F.count(F.lit(1))).scalar()
-    n_after = after.select(F.count(F.lit(1))).scalar()
-    n_records = collapsed.select(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
-    return spark.range(1).select(
-        F.lit(name).alias("tabla"), n_before.alias("filas_antes"), n_after.alias("filas_despues"),
-        (n_after - n_before).alias("filas_nuevas"),
-        (n_records - (n_after - n_before)).alias("filas_actualizadas"))
-
-
-def upsert(target: DataFrame, batch: DataFrame, key: str, order: str,
-           columns: Sequence[str], insert_only: Sequence[str] = (), name: str = "table",
-           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-           broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-           materialize: bool = True, derive=None) -> UpsertResult:
-    """Apply ``batch`` to ``target`` (both with ``key`` + ``columns``); ``order`` orders the
-    batch records.  Returns the new table version (same columns as target) and its evidence.
-    ``derive`` adds key-only columns to the collapsed batch (e.g. an origin flag looked
-    up by key) instead of joining every raw record.
-
-    With ``materialize`` (default) the new version is written once to the shared
-    checkpoint folder and read back: the evidence and later upserts read it instead of
-    replaying the lineage, and a lost executor does not recompute earlier batches.
-    Without it, table and evidence stay lazy plans."""
+def merge_plan(target: DataFrame, batch: DataFrame, key: str, order: str, columns: Sequence[str],
+               insert_only: Sequence[str] = (), derive=None) -> DataFrame:
+    """The new version's rows (key and ``columns``) with ``_in_t`` (the key was in the target)
+    and ``_n`` (batch records of the key).  ``derive`` adds key-only columns to the collapsed
+    batch (e.g. an origin flag looked up by key) instead of joining every raw record."""
     update_cols = [c for c in columns if c != key and c not in insert_only]
     ins_only = [c for c in insert_only if c != key]
-    out_cols = [key] + [c for c in columns if c != key]
     present = set(batch.columns)
     b = collapse_batch(batch, key, order, [c for c in update_cols if c in present],
                        [c for c in ins_only if c in present])
     if derive is not None:
-        # columns that depend on the key only are added after the collapse: one row per
-        # key, so a hot key cannot skew the enrichment join
         b = derive(b)
-    t = target.select(*out_cols)
-    if materialize:
-        b = b.persist()  # reused by the size check, the join and the evidence
-    # one pass over the collapsed batch: keys, records and serialized size (rows can be
-    # wide documents, so the broadcast bound is on bytes as well as on rows)
-    stats = b.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0)),
-                  F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*b.columns)))),
-                             F.lit(0))).first()
-    n_keys, n_records, size = stats[0], stats[1], stats[2]
-    small = (broadcast_rows is not None and n_keys <= broadcast_rows
-             and size <= broadcast_bytes)
-    if small:
-        # the collapsed batch is size-checked: broadcast it, scan the target, no shuffle of it
-        bb = F.broadcast(b.withColumn("_hit", F.lit(True)))
-        upd = t.join(bb, key, "left")
-        updated_rows = upd.select(
-            key, *[F.when(F.col("_hit"), bb[c]).otherwise(t[c]).alias(c) if c in update_cols
-                   else t[c].alias(c) for c in out_cols if c != key])
-        existing = t.select(key).join(F.broadcast(b.select(key)), key, "left_semi")
-        # existing keys are a subset of the (checked) batch keys: broadcast them too
-        inserted = b.join(F.broadcast(existing), key, "left_anti")
-        table = updated_rows.select(*out_cols).unionByName(inserted.select(*out_cols))
-    else:
-        tt = t.withColumn("_in_t", F.lit(True))
-        bb = b.withColumn("_in_b", F.lit(True))
-        j = tt.join(bb, tt[key] == bb[key], "full_outer")
-        cols = []
-        for c in out_cols:
-            if c == key:
-                continue
-            if c in update_cols:
-                cols.append(F.when(F.col("_in_b"), bb[c]).otherwise(tt[c]).alias(c))
-            else:
-                cols.append(F.when(F.col("_in_t"), tt[c]).otherwise(bb[c]).alias(c))
-        table = j.select(F.coalesce(tt[key], bb[key]).alias(key), *cols)
-    spark = target.sparkSession
-    if not materialize:
-        return UpsertResult(table, _evidence(spark, name, t, table, b))
-    table = cut_lineage(table)
-    b.unpersist()
-    before, after = t.count(), table.count()  # both read materialised versions
-    ev = spark.createDataFrame([(name, before, after, after - before,
-                                 n_records - (after - before))],
-                               "tabla string, filas_antes long, filas_despues long, "
-                               "filas_nuevas long, filas_actualizadas long")
-    return UpsertResult(table, ev)
+    t = target.select(key, *update_cols, *ins_only).withColumn("_in_t", F.lit(True))
+    b = b.withColumn("_in_b", F.lit(True))
+    kept = [F.when(F.col("_in_b"), b[c]).otherwise(t[c]).alias(c) if c in update_cols else
+            F.when(F.col("_in_t"), t[c]).otherwise(b[c]).alias(c) for c in columns if c != key]
+    return t.join(b, t[key] == b[key], "full_outer").select(
+        F.coalesce(t[key], b[key]).alias(key), *kept, "_in_t", "_n")
+
+
+def observed_write(merged: DataFrame, write) -> tuple:
+    """Write the rows of a merge plan with ``write(df)``; returns what that returns and
+    (before, after, records), counted by the writing job itself."""
+    seen = Observation()
+    out = write(merged.observe(seen, F.count("_in_t").alias("before"), F.count(F.lit(1)).alias("after"),
+                               F.coalesce(F.sum("_n"), F.lit(0)).alias("records")).drop("_in_t", "_n"))
+    got = seen.get
+    return out, (got["before"], got["after"], got["records"])
+
+
+def evidence_row(spark, name: str, before: int, after: int, records: int) -> DataFrame:
+    new = after - before
+    return spark.createDataFrame([(name, before, after, new, records - new)], EVIDENCE_SCHEMA)
+
+
+def upsert(target: DataFrame, batch: DataFrame, key: str, order: str, columns: Sequence[str],
+           insert_only: Sequence[str] = (), name: str = "table", derive=None) -> UpsertResult:
+    """Apply ``batch`` to ``target`` (both with ``key`` + ``columns``); ``order`` orders the
+    batch records.  The new version is written once to the shared checkpoint folder and read
+    back: later upserts do not replay the lineage, and a lost executor does not recompute
+    earlier batches."""
+    merged = merge_plan(target, batch, key, order, columns, insert_only, derive)
+    table, counts = observed_write(merged, cut_lineage)
+    return UpsertResult(table, evidence_row(target.sparkSession, name, *counts))
+
+
+def evidence_of_steps(batches: Sequence[DataFrame], key: str, name: str = "table") -> DataFrame:
+    """(step, evidence columns) of applying ``batches`` in turn to an empty table, from keys
+    and counts alone: one aggregation, no version is written.  A key is new in the first step
+    that brings it."""
+    tagged = [b.select(key, F.lit(i).alias("_step")) for i, b in enumerate(batches, 1)]
+    union = tagged[0]
+    for t in tagged[1:]:
+        union = union.unionByName(t)
+    steps = range(1, len(batches) + 1)
+    per_key = union.groupBy(key).agg(F.min("_step").alias("_first"),
+                                     *[F.count_if(F.col("_step") == i).alias(f"_n{i}") for i in steps])
+    sums = per_key.agg(*[F.count_if(F.col("_first") == i).alias(f"new{i}") for i in steps],
+                       *[F.coalesce(F.sum(f"_n{i}"), F.lit(0)).alias(f"n{i}") for i in steps])
+    def after(i):
+        return sum((F.col(f"new{j}") for j in range(1, i + 1)), F.lit(0))
+    rows = [F.struct(F.lit(i).alias("step"), F.lit(name).alias("tabla"), after(i - 1).alias("filas_antes"),
+                     after(i).alias("filas_despues"), F.col(f"new{i}").alias("filas_nuevas"),
+                     (F.col(f"n{i}") - F.col(f"new{i}")).alias("filas_actualizadas")) for i in steps]
+    return sums.select(F.inline(F.array(*rows)))
 
 
 def empty_like(df: DataFrame) -> DataFrame:

@@ -37,6 +37,31 @@ def _vpresent(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "variant").isNotNull()
 
 
+def _vtype(v: Column, path: str) -> Column:
+    """The JSON type at the path as a type name (``STRING``, ``BIGINT``, ``VOID``, ..); NULL
+    when the path is absent."""
+    return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+
+
+def _not_text(v: Column, path: str) -> Column:
+    """Present, but not a JSON string."""
+    return F.coalesce(_vtype(v, path) != "STRING", F.lit(False))
+
+
+def _not_text_or_null(v: Column, path: str) -> Column:
+    return F.coalesce(~_vtype(v, path).isin("STRING", "VOID"), F.lit(False))
+
+
+def _not_integer(v: Column, path: str) -> Column:
+    """Present, but neither a whole number nor a text of one."""
+    kind = _vtype(v, path)
+    number = F.try_variant_get(v, path, "double")
+    text = F.try_variant_get(v, path, "string")
+    whole = F.when(kind == "STRING", text.rlike(r"^\s*[+-]?[0-9]+\s*$")).when(
+        kind.rlike("^(BIGINT|DECIMAL|DOUBLE)"), number == F.floor(number)).otherwise(F.lit(False))
+    return kind.isNotNull() & ~F.coalesce(whole, F.lit(False))
+
+
 def validate_pages(df: DataFrame, key: str = "species_key", summary_status="summary_status",
                    summary_data="summary_data", extracts_data="extracts_data",
                    resolved_via=None) -> DataFrame:
@@ -44,7 +69,8 @@ def validate_pages(df: DataFrame, key: str = "species_key", summary_status="summ
     non-200 -> HTTP_ERROR (absent status counts as 200); no summary body ->
     PAGE_NOT_FOUND; disambiguation -> DISAMBIGUATION_PAGE; extract shorter than 50
     code points -> EXTRACT_TOO_SHORT; empty sections text -> MISSING_SECTIONS_TEXT;
-    empty title or unusable URL -> HTTP_ERROR (contract)."""
+    a title that is empty or no text, or a URL that is present but no text -> HTTP_ERROR
+    (contract; an absent URL is '')."""
     status = F.coalesce(_col(summary_status).cast("int"), F.lit(200))
     # one parse of the summary payload; fields are read from the variant
     staged = df.select("*", F.try_parse_json(_col(summary_data)).alias("_sv"))
@@ -62,7 +88,9 @@ def validate_pages(df: DataFrame, key: str = "species_key", summary_status="summ
     sections = F.coalesce(first_page["extract"], F.lit(""))
     out = staged.select(*df.columns, status.alias("_status"), title.alias("title"),
                         extract.alias("extract"), sections.alias("sections_text"),
-                        page_url.alias("page_url"), no_body.alias("_no_body"),
+                        page_url.alias("page_url"),
+                        (_not_text(sv, "$.title") | _not_text(sv, "$.content_urls.desktop.page"))
+                        .alias("_mistyped"), no_body.alias("_no_body"),
                         (F.try_variant_get(sv, "$.type", "string") == "disambiguation")
                         .alias("_disambig"),
                         (_col(resolved_via) if resolved_via is not None else F.lit(None))
@@ -77,6 +105,7 @@ def validate_pages(df: DataFrame, key: str = "species_key", summary_status="summ
         (R.EXTRACT_TOO_SHORT, F.coalesce(F.length("extract"), F.lit(0)) < 50),
         (R.MISSING_SECTIONS_TEXT, F.col("sections_text") == ""),
         (R.HTTP_ERROR, F.coalesce(F.length("title"), F.lit(0)) < 1),
+        (R.HTTP_ERROR, F.col("_mistyped")),
     ]
     contexts = [
         (st != 200, [("http_status", st), ("species_key", k)]),
@@ -84,19 +113,21 @@ def validate_pages(df: DataFrame, key: str = "species_key", summary_status="summ
         (F.col(R.REASON) == R.EXTRACT_TOO_SHORT,
          [("species_key", k), ("extract_length", F.coalesce(F.length("extract"), F.lit(0)))]),
         (F.col(R.REASON) == R.HTTP_ERROR,
-         [("species_key", k), ("error", F.lit("title: string should have at least 1 character"))]),
+         [("species_key", k), ("error", F.when(F.col("_mistyped"), F.lit("title or page_url: not a string")).otherwise(
+             F.lit("title: string should have at least 1 character")))]),
         (F.lit(True), [("species_key", k)]),
     ]
     out = R.with_rules(out, rules, contexts)
     return (out.withColumn("is_disambiguation", F.lit(False))
-            .drop("_status", "_no_body", "_disambig", "_via"))
+            .drop("_status", "_no_body", "_disambig", "_via", "_mistyped"))
 
 
 def validate_taxonomy(df: DataFrame, key: str = "species_key", status="status",
                       data="data") -> DataFrame:
     """Taxonomy contract: non-200 -> HTTP_ERROR; empty or non-object body ->
     NO_MATCH_RETURNED; match type other than EXACT (or absent) -> MATCH_TYPE_NOT_EXACT;
-    required field present but null / mistyped -> HTTP_ERROR (contract).
+    a field present but null (optional ranks may be null) or of another JSON type than
+    text or whole number -> HTTP_ERROR (contract).
     Absent optional keys take defaults (usage key 0, names '', confidence 0)."""
     st = F.coalesce(_col(status).cast("int"), F.lit(200))
     out = df.select("*", st.alias("_status"), F.try_parse_json(_col(data)).alias("_v"))
@@ -109,8 +140,10 @@ def validate_taxonomy(df: DataFrame, key: str = "species_key", status="status",
                 ("confidence", "confidence", "int", F.lit(0))]
     broken = F.lit(False)
     for src, _, typ, _ in required:
-        broken = broken | (_vpresent(v, f"$.{src}")
-                           & F.try_variant_get(v, f"$.{src}", typ).isNull())
+        wrong = _not_integer if typ == "int" else _not_text
+        broken = broken | wrong(v, f"$.{src}")
+    for src in ("kingdom", "phylum", "class"):
+        broken = broken | _not_text_or_null(v, f"$.{src}")
     match_type = F.try_variant_get(v, "$.matchType", "string")
     is_object = F.coalesce(F.size(F.try_variant_get(v, "$", "map<string,variant>")), F.lit(0)) > 0
     rules = [
@@ -185,17 +218,12 @@ def validate_occurrences(df: DataFrame, key: str = "species_key") -> DataFrame:
 
 
 def occurrence_records(envelope_rows: DataFrame, key: str = "species_key",
-                       data: str = "data", max_records: int | None = None) -> DataFrame:
+                       data: str = "data") -> DataFrame:
     """Explode ``data.results[]`` of occurrence responses into one row per record,
     keeping the array position (tie-breaks depend on it).  Only object payloads
-    carry records; text payloads give none.  ``max_records`` reproduces the
-    source's page size (the reference asks for at most 50 records per name); it is
-    off by default, every landed record is kept."""
+    carry records; text payloads give none; every landed record is kept."""
     parsed = F.from_json(F.when(is_nonempty_object(F.col(data)), F.col(data)),
                          OCCURRENCE_RESULTS_SCHEMA)
-    results = parsed["results"]
-    if max_records is not None:
-        results = F.slice(results, 1, max_records)
-    return (envelope_rows.select("*", F.posexplode(results).alias("pos", "_rec"))
+    return (envelope_rows.select("*", F.posexplode(parsed["results"]).alias("pos", "_rec"))
             .select(*envelope_rows.columns, "pos",
                     *[F.col("_rec")[f].alias(f) for f in OCCURRENCE_FIELDS]))

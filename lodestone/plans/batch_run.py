@@ -13,7 +13,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import slugify
+from ..functions import non_null_map, slugify
 from ..operators import embed as EMB
 from ..operators import merge as M
 from ..operators import rules as R
@@ -24,8 +24,8 @@ from ..operators import validate as VAL
 from ..session import cut_lineage
 from ..sources import bronze as B
 from ..sources.store import TableStore
-from ..sources.tables import bounded_broadcast
 
+# The columns of the tables, in their order.
 PAGE_COLUMNS = ["species_key", "title", "resolved_via", "extract", "sections_text", "page_url",
                 "is_disambiguation"]
 TAXONOMY_COLUMNS = ["species_key", "usage_key", "scientific_name", "canonical_name", "rank",
@@ -44,10 +44,13 @@ WAREHOUSE_TABLES = ["silver_wikipedia", "silver_gbif_taxonomy", "silver_gbif_occ
                     "species_merged", "species_catalog"]
 # Resolution statuses that send a name to quarantine.
 REJECTED_RESOLUTION = ("PAGE_NOT_FOUND", "AMBIGUOUS_RESOLUTION", "DISAMBIGUATION_PAGE")
+# Metadata a search hit carries.
 METADATA_FIELDS = ("kingdom", "phylum", "class_name", "rank", "taxonomy_status",
                    "iucn_red_list_category", "paises", "anio_min", "anio_max",
                    "n_occurrences_validas", "augmentation_status")
 
+METADATA_TYPES = ("string",) * 6 + ("array<string>", "int", "int", "int", "string")
+
 
 @dataclass
 class BatchRun:
@@ -64,40 +67,55 @@ def _counts(df: DataFrame, by: str) -> dict:
 def silver_frames(spark: SparkSession, names: DataFrame, bronze_root: str, batch_id: str,
                   resolution: DataFrame | None = None) -> dict[str, DataFrame]:
     """Checked silver rows (with ``rejection_reason``) of the three sources of one batch."""
-    keys = names.select(slugify("name").alias("species_key"), "name")
-    resp = (B.responses_of(B.read_bronze(spark, bronze_root))
-            .where(F.col("batch_id") == batch_id)
-            .withColumn("species_key", slugify("queried"))
-            .join(bounded_broadcast(keys.select("species_key").distinct()), "species_key",
-                  "left_semi"))
+    keys = names.select(slugify("name").alias("species_key"), "name").dropDuplicates(["species_key"])
+    env = cut_lineage(B.read_bronze(spark, bronze_root).where(F.col("batch_id") == batch_id))
+    # of several fetches of one query the latest counts, for all sources
+    landed = B.latest_fetch(B.responses_of(env))
+    # the title a name's page was fetched under: the resolved one, else the name itself
+    titled = keys.withColumn("title_q", F.col("name")).withColumn("resolution_via", F.lit(None).cast("string"))
     blocked = None
     if resolution is not None:
-        blocked = (resolution.where(F.col("status").isin(*REJECTED_RESOLUTION))
-                   .select(slugify("name").alias("species_key"), "status", "candidates"))
-        resp = resp.join(blocked.select("species_key"), "species_key", "left_anti")
-    pages = B.pair_page_responses(resp.where(F.col("source") == "wikipedia"),
-                                  by=("batch_id", "species_key"))
-    via = None
-    if resolution is not None:
-        pages = pages.join(resolution.select(slugify("name").alias("species_key"),
-                                             F.col("resolved_via").alias("resolution_via")),
-                           "species_key", "left")
-        via = F.col("resolution_via")
-    pages = VAL.validate_pages(pages, key="species_key", resolved_via=via)
+        res = resolution.select(slugify("name").alias("species_key"), F.col("status").alias("_status"),
+                                F.col("resolved_via").alias("_via"), F.col("candidates").alias("_cands"),
+                                (F.col("title") if "title" in resolution.columns else
+                                 F.lit(None).cast("string")).alias("_title")).dropDuplicates(["species_key"])
+        joined = keys.join(res, "species_key", "left")
+        rejected = F.coalesce(F.col("_status").isin(*REJECTED_RESOLUTION), F.lit(False))
+        blocked = joined.where(rejected)
+        keys = joined.where(~rejected).select("species_key", "name")
+        titled = joined.where(~rejected).select("species_key", F.coalesce("_title", "name").alias("title_q"),
+                                                F.col("_via").alias("resolution_via"))
+    paired = B.pair_page_responses(landed.where(F.col("source") == "wikipedia"), by=("batch_id",))
+    pages = titled.select("species_key", "title_q", "resolution_via").join(paired, "title_q", "left")
+    # a name for which no page was landed is an outcome too
+    missing = F.col("batch_id").isNull()
+    unlanded = pages.where(missing)
+    pages = VAL.validate_pages(pages.where(~missing), key="species_key", resolved_via=F.col("resolution_via"))
+    resp = landed.withColumn("species_key", slugify("queried")).join(
+        keys.select("species_key"), "species_key", "left_semi")
     tax = VAL.validate_taxonomy(resp.where(F.col("source") == "gbif_taxonomy"), key="species_key")
     occ_resp = resp.where(F.col("source") == "gbif_occurrence")
-    occ = VAL.validate_occurrences(
-        VAL.occurrence_records(occ_resp.where(F.coalesce(F.col("status"), F.lit(200)) == 200)),
-        key="species_key")
-    out = {"pages": pages, "taxonomy": tax, "occurrences": occ}
+    status = F.coalesce(F.col("status"), F.lit(200))
+    occ = VAL.validate_occurrences(VAL.occurrence_records(occ_resp.where(status == 200)), key="species_key")
+
+    def reject(df: DataFrame, origin: str, reason, key: str = "species_key", /, **details) -> DataFrame:
+        return df.select(F.lit(origin).alias("source"), F.lit(batch_id).alias("batch_id"),
+                         F.col(key).alias("record_key"), reason.alias(R.REASON),
+                         non_null_map(*details.items()).alias(R.CONTEXT))
+
+    other = [reject(unlanded, "wikipedia", F.lit(R.PAGE_NOT_FOUND), species_key="species_key", title="title_q"),
+             reject(occ_resp.where(status != 200), "gbif_occurrence", F.lit(R.HTTP_ERROR),
+                    species_key="species_key", http_status="status"),
+             reject(B.corrupt_lines(env).withColumn("line", F.substring("record", 1, 200)), "bronze",
+                    F.lit(R.HTTP_ERROR), "line", source="source")]
     if blocked is not None:
-        out["resolution_rejects"] = blocked.select(
-            F.lit("wikipedia").alias("source"), F.lit(batch_id).alias("batch_id"),
-            F.col("species_key").alias("record_key"), F.col("status").alias(R.REASON),
-            F.create_map(F.lit("species_key"), F.col("species_key"), F.lit("resolution_status"),
-                         F.col("status"), F.lit("candidates"),
-                         F.array_join("candidates", "|")).alias(R.CONTEXT))
-    return out
+        other.append(reject(blocked.withColumn("_c", F.array_join("_cands", "|")), "wikipedia", F.col("_status"),
+                            species_key="species_key", scientific_name="name", title="_title",
+                            resolution_status="_status", candidates="_c"))
+    rest = other[0]
+    for o in other[1:]:
+        rest = rest.unionByName(o)
+    return {"pages": pages, "taxonomy": tax, "occurrences": occ, "other_rejects": rest}
 
 
 def merged_frame(pages: DataFrame, tax: DataFrame, occ: DataFrame) -> DataFrame:
@@ -113,7 +131,7 @@ def merged_frame(pages: DataFrame, tax: DataFrame, occ: DataFrame) -> DataFrame:
 def run_batch(spark: SparkSession, names: DataFrame, bronze_root: str, warehouse_root: str,
               batch_id: str | None = None, seed: DataFrame | None = None,
               resolution: DataFrame | None = None,
-              encoder=None, occurrence_buckets: int | None = 64,
+              encoder=None, occurrence_buckets: int | None = None,
               full_gold_rebuild: bool = False) -> BatchRun:
     """Process one batch; returns the run summary and the upsert evidence."""
     if names.isEmpty():
@@ -125,99 +143,98 @@ def run_batch(spark: SparkSession, names: DataFrame, bronze_root: str, warehouse
     # read the checkpointed rows (reliable checkpoint in the shared folder)
     pages, tax, occ = (cut_lineage(fr[k]) for k in ("pages", "taxonomy", "occurrences"))
 
-    # quarantine: one partitioned write per batch, idempotent on rerun (dynamic overwrite)
+    # quarantine: the batch's rows replace all of its former ones, also where none are left
     quarantine = (R.quarantine_rows(pages, "wikipedia", batch_id, "species_key")
                   .unionByName(R.quarantine_rows(tax, "gbif_taxonomy", batch_id, "species_key"))
                   .unionByName(R.quarantine_rows(occ, "gbif_occurrence", batch_id, "gbifID")))
-    if "resolution_rejects" in fr:
-        quarantine = quarantine.unionByName(fr["resolution_rejects"])
-    # dynamic mode on the write itself: only this batch's partitions are replaced, whatever
-    # the session default is
-    (quarantine.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source", "batch_id").parquet(f"{warehouse_root.rstrip('/')}/quarantine"))
+    rest = cut_lineage(fr["other_rejects"])
+    quarantine = quarantine.unionByName(rest)
+    store.write_partition("quarantine", quarantine, batch_id)
 
+    ordered = F.struct("species_key", "fetch", "pos")
     valid_pages = R.valid(pages)
     valid_tax = R.valid(tax)
-    valid_occ = R.valid(occ).withColumn("_order", F.struct("species_key", "pos"))
+    valid_occ = R.valid(occ).withColumn("_order", ordered)
 
     evidence = [
-        store.upsert("silver_wikipedia", valid_pages.withColumn("_o", F.lit(0)), "species_key",
-                     "_o", PAGE_COLUMNS),
-        store.upsert("silver_gbif_taxonomy", valid_tax.withColumn("_o", F.lit(0)), "species_key",
-                     "_o", TAXONOMY_COLUMNS),
-        store.upsert("silver_gbif_occurrences", valid_occ, "gbif_id", "_order",
-                     OCCURRENCE_COLUMNS, buckets=occurrence_buckets),
+        store.upsert_bucketed("silver_wikipedia", valid_pages, "species_key", "title_q", PAGE_COLUMNS),
+        store.upsert_bucketed("silver_gbif_taxonomy", valid_tax, "species_key", "fetch", TAXONOMY_COLUMNS),
+        store.upsert_bucketed("silver_gbif_occurrences", valid_occ, "gbif_id", "_order",
+                              OCCURRENCE_COLUMNS, buckets=occurrence_buckets),
     ]
-    merged = merged_frame(valid_pages, valid_tax, valid_occ)
-    evidence.append(store.upsert("species_merged", merged.withColumn("_o", F.lit(0)),
-                                 "species_key", "_o", MERGED_COLUMNS))
+    merged = cut_lineage(merged_frame(valid_pages, valid_tax, valid_occ))
+    evidence.append(store.upsert_bucketed("species_merged", merged, "species_key", "updated_at", MERGED_COLUMNS))
     keys = names.select(slugify("name").alias("species_key"), "name").dropDuplicates(["species_key"])
     origin = F.lit("AD_HOC")
     cat = merged.select("species_key", "wikipedia_title").join(keys, "species_key")
     if seed is not None:
-        cat = cat.join(seed.select(F.col("name").alias("_seed_name"), F.lit(True).alias("_seed")),
+        cat = cat.join(seed.select(F.col("name").alias("_seed_name"), F.lit(True).alias("_seed")).distinct(),
                        F.col("name") == F.col("_seed_name"), "left")
         origin = F.when(F.col("_seed"), F.lit("SEED")).otherwise(F.lit("AD_HOC"))
     now = F.current_timestamp()
     cat = cat.select("species_key", F.col("name").alias("scientific_name"), "wikipedia_title",
                      F.lit(batch_id).alias("first_seen_batch_id"), now.alias("first_processed_at"),
-                     now.alias("last_processed_at"), origin.alias("origin"), F.lit(0).alias("_o"))
-    evidence.append(store.upsert("species_catalog", cat, "species_key", "_o", CATALOG_COLUMNS,
-                                 CATALOG_INSERT_ONLY))
+                     now.alias("last_processed_at"), origin.alias("origin"))
+    evidence.append(store.upsert_bucketed("species_catalog", cat, "species_key", "last_processed_at", CATALOG_COLUMNS,
+                                          CATALOG_INSERT_ONLY))
     ev = evidence[0]
     for e in evidence[1:]:
         ev = ev.unionByName(e)
 
     # gold: the vector table always equals a rebuild from the whole merged table.  Only the
     # species merged in this batch are re-chunked and re-embedded (the encoder is
-    # deterministic); the other species' rows are carried over from the previous version.
+    # deterministic), and only their buckets are rewritten.
     all_merged = store.read("species_merged")
     if full_gold_rebuild or not store.exists("chunk_vectors"):
         parents = SEC.build_sections(all_merged)
+        store.replace_keys("gold_species", parents, "species_key")
         vectors = EMB.embed(SEC.chunks(parents), "text", "embedding", encoder).drop("ord")
-        store.write("gold_species", parents)
-        gold = store.write("chunk_vectors", vectors)
+        store.replace_keys("chunk_vectors", vectors, "species_key")
     else:
-        changed = bounded_broadcast(merged.select("species_key").distinct())
-        fresh = all_merged.join(changed, "species_key", "left_semi")
-        parents_new = SEC.build_sections(fresh)
-        vectors_new = EMB.embed(SEC.chunks(parents_new), "text", "embedding", encoder).drop("ord")
-        keep = lambda df: df.join(changed, "species_key", "left_anti")
-        store.write("gold_species", keep(store.read("gold_species")).unionByName(parents_new))
-        gold = store.write("chunk_vectors",
-                           keep(store.read("chunk_vectors")).unionByName(vectors_new))
+        fresh = all_merged.join(merged.select("species_key"), "species_key", "left_semi")
+        parents = cut_lineage(SEC.build_sections(fresh))
+        store.replace_keys("gold_species", parents, "species_key")
+        store.replace_keys("chunk_vectors", EMB.embed(SEC.chunks(parents), "text", "embedding", encoder).drop("ord"),
+                           "species_key", gone=merged.select("species_key"))
+    for table in store.tables():
+        store.vacuum(table)
+    gold_counts = {t: store.read(t).count() for t in ("species_merged", "chunk_vectors")}
 
     n_names = keys.count()
     page_counts = _counts(pages.withColumn("ok", F.col(R.REASON).isNull()), "ok")
     tax_counts = _counts(tax.withColumn("ok", F.col(R.REASON).isNull()), "ok")
     occ_counts = _counts(occ.withColumn("ok", F.col(R.REASON).isNull()), "ok")
-    n_blocked = fr["resolution_rejects"].count() if "resolution_rejects" in fr else 0
+    other = _counts(rest, "source")
     n_merged = merged.count()
     summary = {
         "batch_id": batch_id, "n_species": n_names,
         "silver": {
             "wikipedia_valid": page_counts.get(True, 0),
-            "wikipedia_rejected": page_counts.get(False, 0) + n_blocked,
+            "wikipedia_rejected": page_counts.get(False, 0) + other.get("wikipedia", 0),
             "gbif_taxonomy_valid": tax_counts.get(True, 0),
             "gbif_taxonomy_rejected": tax_counts.get(False, 0),
             "gbif_occurrence_valid": occ_counts.get(True, 0),
-            "gbif_occurrence_rejected": occ_counts.get(False, 0),
+            "gbif_occurrence_rejected": occ_counts.get(False, 0) + other.get("gbif_occurrence", 0),
+            "bronze_corrupt": other.get("bronze", 0),
         },
         "merge": {"merged": n_merged, "skipped_no_wikipedia": n_names - n_merged},
         "warehouse": [r.asDict() for r in ev.collect()],  # five rows
-        "gold": {"n_species": all_merged.count(), "n_chunks": gold.count(),
-                 "index_size": gold.count()},
+        "gold": {"n_species": gold_counts["species_merged"], "n_chunks": gold_counts["chunk_vectors"],
+                 "index_size": gold_counts["chunk_vectors"]},
     }
     return BatchRun(summary, ev, quarantine)
 
 
 def search_text(spark: SparkSession, warehouse_root: str, queries: DataFrame, top_k: int = 5,
-                mode: str = "post", encoder=None, **filters) -> DataFrame:
+                mode: str = "pre", encoder=None, **filters) -> DataFrame:
     """Text queries ``(query_id, text)`` against the gold chunk vectors (K10).
     An empty query text gives no rows."""
     store = TableStore(spark, warehouse_root)
     if not store.exists("chunk_vectors"):
-        return spark.createDataFrame([], "query_id string, rank int")
+        kind = queries.schema["query_id"].dataType.simpleString()
+        return spark.createDataFrame([], f"query_id {kind}, rank int, species_key string, wikipedia_title string, "
+                                         "chunk_text string, score double, chunk_id string, metadata struct<"
+                                     + ", ".join(f"{c}: {t}" for c, t in zip(METADATA_FIELDS, METADATA_TYPES)) + ">")
     q = EMB.embed(queries.where(F.coalesce(F.length("text"), F.lit(0)) > 0), "text", "query_vec",
                   encoder).select("query_id", "query_vec")
     meta = store.read("species_merged")

@@ -104,9 +104,11 @@ FROM pd
 
 ORACLE["safe_number"] = "WITH " + _EVENT_DATES + """,
 r AS (SELECT event_id, CASE WHEN event_type = 'error' THEN CAST(k AS VARCHAR) || 'x'
+                            WHEN event_type = 'purchase' THEN CAST(k AS VARCHAR) || 'd'
+                            WHEN event_type = 'signup' THEN ' ' || CAST(k AS VARCHAR) || '.5e1'
                             WHEN event_type = 'view' THEN '' ELSE CAST(k AS VARCHAR) END AS raw FROM ev)
-SELECT event_id, raw, TRY_CAST(raw AS DOUBLE) AS as_double,
-       NULLIF(TRY_CAST(raw AS DOUBLE), 0) AS falsy_null
+SELECT event_id, raw, TRY_CAST(trim(raw) AS DOUBLE) AS as_double,
+       NULLIF(TRY_CAST(trim(raw) AS DOUBLE), 0) AS falsy_null
 FROM r
 """
 
@@ -153,7 +155,9 @@ _TAX = """
 tx AS (SELECT *, CASE WHEN p_type = 'PROMO' AND p_size > 45 THEN 'HTTP_ERROR'
                       WHEN (p_type = 'LARGE' AND p_size < 5) OR (p_type = 'SMALL' AND p_size < 3) THEN 'NO_MATCH_RETURNED'
                       WHEN p_size >= 40 THEN 'MATCH_TYPE_NOT_EXACT'
-                      WHEN p_type = 'MEDIUM' AND p_size = 1 THEN 'HTTP_ERROR' END AS rejection_reason,
+                      WHEN p_type = 'MEDIUM' AND p_size = 1 THEN 'HTTP_ERROR'
+                      WHEN (p_type = 'PROMO' AND p_size < 6) OR (p_type = 'SMALL' AND p_size < 8)
+                           OR (p_type = 'LARGE' AND p_size < 10) THEN 'HTTP_ERROR' END AS rejection_reason,
               (p_type = 'PROMO' AND p_size > 45) AS status_err
        FROM part)
 """
@@ -184,7 +188,7 @@ pg AS (SELECT *, CASE WHEN source = 'src1' THEN 'PAGE_NOT_FOUND'
                       WHEN source = 'src4' THEN 'DISAMBIGUATION_PAGE'
                       WHEN length(text) < 50 THEN 'EXTRACT_TOO_SHORT'
                       WHEN lang = 'de' OR text = '' THEN 'MISSING_SECTIONS_TEXT'
-                      WHEN source = 'src5' THEN 'HTTP_ERROR' END AS rejection_reason
+                      WHEN source IN ('src5', 'src6', 'src7') THEN 'HTTP_ERROR' END AS rejection_reason
        FROM documents)
 """
 
@@ -416,11 +420,26 @@ WITH d AS (SELECT q.vec_id AS query_id, e.vec_id,
                   list_reduce(list_transform(range(1, len(e.embedding) + 1),
                       lambda i: (e.embedding[i]::DOUBLE - q.embedding[i]::DOUBLE) * (e.embedding[i]::DOUBLE - q.embedding[i]::DOUBLE)),
                       lambda a, b: a + b) AS distance
-           FROM embeddings q CROSS JOIN embeddings e WHERE q.vec_id <> e.vec_id)
+           FROM embeddings q CROSS JOIN embeddings e WHERE q.vec_id <> e.vec_id AND q.vec_id % 100 = 0)
 SELECT query_id, vec_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank, distance
 FROM d QUALIFY rank <= 5
 """
 
+ORACLE["ann_search"] = "WITH " + _VEC + """,
+planes AS (SELECT t, b, p, CASE WHEN ((((p + 1) * (t * 31 + b * 17 + 7) * 2654435761) % 4294967296) >> 16) & 1 = 1
+                            THEN 1.0 ELSE -1.0 END AS s
+           FROM range(8) x(t), range(4) y(b), range(64) z(p)),
+vals AS (SELECT 'q' AS side, query_id AS id, unnest(range(len(qv))) AS p, unnest(qv) AS x FROM cent
+         UNION ALL SELECT 'v', vec_id, unnest(range(len(embedding))), unnest(embedding)::DOUBLE FROM embeddings),
+bits AS (SELECT side, id, t, b, sum(x * s) >= 0 AS bit FROM vals JOIN planes USING (p) GROUP BY ALL),
+codes AS (SELECT side, id, t, sum(CASE WHEN bit THEN 1 << b ELSE 0 END) AS code FROM bits GROUP BY ALL),
+cand AS (SELECT DISTINCT q.id AS query_id, v.id AS vec_id FROM codes q JOIN codes v ON q.t = v.t AND q.code = v.code
+         WHERE q.side = 'q' AND v.side = 'v')
+SELECT query_id, vec_id, label, distance,
+       CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank
+FROM dist JOIN cand USING (query_id, vec_id) QUALIFY rank <= 25
+"""
+
 ORACLE["embed_chunks"] = """
 SELECT doc_id, 384 AS dims,
        CAST(len(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9_]+'), lambda s: s <> '')) AS INTEGER) AS n_tokens,
@@ -439,12 +458,12 @@ WITH names AS (SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS name FROM documents),
 dir AS (SELECT 'doc-' || CAST(page_id AS VARCHAR) AS k,
                regexp_extract(html, '<title>(.*?)</title>', 1) AS page_title,
                contains(url, '?page=') AS dis, contains(url, '#') AS red
-        FROM pages WHERE contains(url, '/en/')),
+        FROM pages),
 hits AS (SELECT 'doc-' || CAST(conv_id AS VARCHAR) AS name, turn + 1 AS rnk,
                 CASE WHEN role = 'assistant' THEN 'p-' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)
                      ELSE 'doc-' || CAST(conv_id AS VARCHAR) || CAST(turn AS VARCHAR) END AS hit_title,
                 text AS snippet
-         FROM conversations WHERE turn + 1 <= 5),
+         FROM conversations),
 agg AS (SELECT name, count(*) AS n_hits, string_agg(hit_title, '|' ORDER BY rnk) AS cands,
                arg_min(hit_title, rnk) AS top_title, arg_min(snippet, rnk) AS top_snip,
                arg_min(hit_title, rnk) FILTER (WHERE rnk > 1) AS sec_title,

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ..functions import slugify
 from ..operators import merge as M
 from ..operators import summarize as S
-from ..sources.tables import Tables, spread
+from ..session import checkpoint_dir, cut_lineage
+from ..sources.tables import Tables
 from . import views as V
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +134,8 @@ def q_safe_number(spark, sf_dir):
     """P6 / P7 safe numeric cast and falsy -> NULL on text derived from event props."""
     e = V.event_date_text(Tables(spark, sf_dir))
     raw = (F.when(F.col("event_type") == "error", F.concat(F.col("k").cast("string"), F.lit("x")))
+           .when(F.col("event_type") == "purchase", F.concat(F.col("k").cast("string"), F.lit("d")))
+           .when(F.col("event_type") == "signup", F.concat(F.lit(" "), F.col("k").cast("string"), F.lit(".5e1")))
            .when(F.col("event_type") == "view", F.lit("")).otherwise(F.col("k").cast("string")))
     e = e.select("event_id", raw.alias("raw"))
     return e.select("event_id", "raw", safe_double("raw").alias("as_double"),
@@ -210,40 +213,38 @@ def q_reconcile(spark, sf_dir):
 from ..operators import upsert as U  # noqa: E402
 
 
-def _order_upserts(t: Tables):
+def _order_table(t: Tables) -> DataFrame:
     b1, b2 = V.order_batches(t)
     cols = list(V.ORDER_COLUMNS)
-    empty = U.empty_like(b1.select(*cols))
-    r1 = U.upsert(empty, b1, "o_orderkey", "ord", cols, name="orders_table")
-    r2 = U.upsert(r1.table, b2, "o_orderkey", "ord", cols, name="orders_table")
-    r3 = U.upsert(r2.table, b2, "o_orderkey", "ord", cols, name="orders_table")
-    return r1, r2, r3
+    first = U.upsert(U.empty_like(b1.select(*cols)), b1, "o_orderkey", "ord", cols).table
+    return U.upsert(first, b2, "o_orderkey", "ord", cols).table
 
 
-def _catalog_upserts(t: Tables):
+def _catalog_batches(t: Tables) -> tuple[DataFrame, DataFrame]:
     rec = V.catalog_records(t)
     split = F.lit(V.CATALOG_SPLIT).cast("timestamp_ntz")
-    first, second = rec.where(F.col("ts") < split), rec.where(F.col("ts") >= split)
-    cols = list(V.CATALOG_COLUMNS)
-    empty = U.empty_like(rec.withColumn("origin", F.lit("")).select(*cols))
-    derive = V.with_origin(t)
-    r1 = U.upsert(empty, first, "species_key", "event_id", cols, V.CATALOG_INSERT_ONLY,
-                  name="catalog", derive=derive)
-    r2 = U.upsert(r1.table, second, "species_key", "event_id", cols, V.CATALOG_INSERT_ONLY,
-                  name="catalog", derive=derive)
-    return r1, r2
+    return rec.where(F.col("ts") < split), rec.where(F.col("ts") >= split)
+
+
+def _catalog_table(t: Tables) -> DataFrame:
+    first, second = _catalog_batches(t)
+    cols, derive = list(V.CATALOG_COLUMNS), V.with_origin(t)
+    empty = U.empty_like(first.withColumn("origin", F.lit("")).select(*cols))
+    r1 = U.upsert(empty, first, "species_key", "event_id", cols, V.CATALOG_INSERT_ONLY, derive=derive)
+    return U.upsert(r1.table, second, "species_key", "event_id", cols, V.CATALOG_INSERT_ONLY,
+                    derive=derive).table
 
 
 @register("upsert_all")
 def q_upsert_all(spark, sf_dir):
     """U1 / O6 two overlapping order batches, last write wins inside a batch."""
-    return _order_upserts(Tables(spark, sf_dir))[1].table
+    return _order_table(Tables(spark, sf_dir))
 
 
 @register("upsert_catalog")
 def q_upsert_catalog(spark, sf_dir):
     """U3 catalog: insert-only columns keep the first value, others take the last."""
-    cat = _catalog_upserts(Tables(spark, sf_dir))[1].table
+    cat = _catalog_table(Tables(spark, sf_dir))
     return cat.select("species_key", "scientific_name", "wikipedia_title", "first_seen_batch_id",
                       F.date_format("first_processed_at", _TS).alias("first_processed_at"),
                       F.date_format("last_processed_at", _TS).alias("last_processed_at"),
@@ -254,20 +255,15 @@ def q_upsert_catalog(spark, sf_dir):
 def q_upsert_evidence(spark, sf_dir):
     """U4 / U5 evidence of each step; the rerun of a batch inserts nothing."""
     t = Tables(spark, sf_dir)
-    o1, o2, o3 = _order_upserts(t)
-    c1, c2 = _catalog_upserts(t)
-    steps = [(1, o1), (2, o2), (3, o3), (1, c1), (2, c2)]
-    out = None
-    for i, r in steps:
-        e = r.evidence.select(F.lit(i).alias("step"), *U.EVIDENCE_COLUMNS)
-        out = e if out is None else out.unionByName(e)
-    return out
+    b1, b2 = V.order_batches(t)
+    orders = U.evidence_of_steps([b1, b2, b2], "o_orderkey", "orders_table")
+    return orders.unionByName(U.evidence_of_steps(_catalog_batches(t), "species_key", "catalog"))
 
 
 @register("catalog_listing")
 def q_catalog_listing(spark, sf_dir):
     """O1 catalog listing ordered by key."""
-    cat = _catalog_upserts(Tables(spark, sf_dir))[1].table
+    cat = _catalog_table(Tables(spark, sf_dir))
     return cat.select("species_key", "wikipedia_title", "origin", "first_seen_batch_id") \
         .orderBy("species_key")
 
@@ -275,7 +271,7 @@ def q_catalog_listing(spark, sf_dir):
 @register("by_origin")
 def q_by_origin(spark, sf_dir):
     """A8 / P11 catalog entries per origin (seed list vs ad hoc)."""
-    cat = _catalog_upserts(Tables(spark, sf_dir))[1].table
+    cat = _catalog_table(Tables(spark, sf_dir))
     return cat.groupBy("origin").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -283,7 +279,7 @@ def q_by_origin(spark, sf_dir):
 def q_trace(spark, sf_dir):
     """J6 which result tables hold each key: pivot, catalog, valid occurrences."""
     t = Tables(spark, sf_dir)
-    cat = _catalog_upserts(t)[1].table
+    cat = _catalog_table(t)
     occ = R.valid(checked_occurrences(t))
     tagged = (t.customer.select(F.col("c_custkey").alias("k"), F.lit("pivot").alias("tbl"))
               .unionByName(cat.select(F.col("species_key").alias("k"), F.lit("catalog").alias("tbl")))
@@ -359,7 +355,7 @@ def q_knn_topk(spark, sf_dir):
 def q_knn_parent(spark, sf_dir):
     """K4 / K5 oversampled hits deduped to the best vector per parent, parent joined."""
     t = Tables(spark, sf_dir)
-    out = K.search(V.vector_chunks(t), V.label_centroids(t), V.label_metadata(t), top_k=5,
+    out = K.search(V.vector_chunks(t), V.label_centroids(t), V.label_metadata(t), top_k=5, mode="post",
                    id_col="vec_id", parent_col="label")
     return out.select("query_id", "rank", "label", "wikipedia_title", "vec_id", "score")
 
@@ -387,12 +383,11 @@ def q_search_pre(spark, sf_dir):
 
 @register("batch_search")
 def q_batch_search(spark, sf_dir):
-    """K12 every vector as a query: its 5 nearest other vectors."""
+    """K12 every hundredth vector as a query against all: its 5 nearest other vectors."""
     t = Tables(spark, sf_dir)
-    vecs = V.vector_chunks(t)
-    queries = t.embeddings.select(F.col("vec_id").alias("query_id"),
-                                  F.col("embedding").alias("query_vec"))
-    hits = K.knn(vecs, queries, 6, id_col="vec_id").where(F.col("vec_id") != F.col("query_id"))
+    queries = t.embeddings.where(F.col("vec_id") % 100 == 0).select(
+        F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    hits = K.knn(V.vector_chunks(t), queries, 6, id_col="vec_id").where(F.col("vec_id") != F.col("query_id"))
     w = Window.partitionBy("query_id").orderBy("distance", "vec_id")
     return (hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 5)
             .select("query_id", "vec_id", "rank", "distance"))
@@ -406,7 +401,7 @@ from ..operators import embed as EMB  # noqa: E402
 @register("embed_chunks")
 def q_embed_chunks(spark, sf_dir):
     """K1 every document text -> unit vector (hashing encoder, 384 dims)."""
-    d = spread(Tables(spark, sf_dir).documents).select("doc_id", "text")
+    d = Tables(spark, sf_dir).documents.select("doc_id", "text")
     toks = F.filter(F.split(F.lower(F.col("text")), "\\W+"), lambda s: s != "")
     e = EMB.embed(d.withColumn("n_tokens", F.size(toks)))
     return e.select("doc_id", F.size("embedding").alias("dims"), "n_tokens",
@@ -415,17 +410,18 @@ def q_embed_chunks(spark, sf_dir):
 
 @register("ann_search")
 def q_ann_search(spark, sf_dir):
-    """K3 approximate: 25 nearest of each label centroid among LSH-bucket candidates."""
+    """K3 approximate: 25 nearest of each label centroid among vectors of a shared bucket."""
     t = Tables(spark, sf_dir)
-    return K.knn(V.vector_chunks(t), V.label_centroids(t), 25, id_col="vec_id",
-                 parent_col="label", ann_tables=16, ann_bits=3)
+    stored = cut_lineage(K.hash_buckets(t.embeddings.select("vec_id", "label", "embedding"), V.VECTOR_DIM))
+    asked = K.hash_buckets(V.label_centroids(t), V.VECTOR_DIM, vec_col="query_vec")
+    return K.knn_hashed(stored, asked, 25, parent_col="label").select(
+        "query_id", "vec_id", "label", "distance", "rank")
 
 
 # --- bronze landing and incremental ingestion ------------------------------------------
 
 import uuid  # noqa: E402
 
-from ..session import checkpoint_dir  # noqa: E402
 from ..sources import bronze as B  # noqa: E402
 from ..streaming.incremental import ingest_new_bronze  # noqa: E402
 
@@ -467,7 +463,7 @@ def q_bronze_pages(spark, sf_dir):
 def q_incremental_bronze(spark, sf_dir):
     """L5 / S1 / S4 pages landed as text payloads, picked up once by a streaming run;
     a second run finds no new file."""
-    pages = spread(Tables(spark, sf_dir).pages)
+    pages = Tables(spark, sf_dir).pages
     rows = pages.select(F.concat(F.lit("page:"), F.col("page_id").cast("string")).alias("query"),
                         F.lit(200).alias("status"), F.col("html").alias("data"))
     root, target = _scratch(spark, "landing"), _scratch(spark, "landed")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import Tables, spread
+from ..sources.tables import Tables
 
 
 def taxonomy_view(t: Tables) -> DataFrame:
@@ -48,7 +48,7 @@ def _k(props: str = "props") -> F.Column:
 def event_date_text(t: Tables) -> DataFrame:
     """Event times rendered in the shapes landed sources use, some of them invalid."""
     # the property is parsed once here; the expressions below reference the column
-    ev = spread(t.events).select("event_id", "user_id", "event_type", "value", "ts",
+    ev = t.events.select("event_id", "user_id", "event_type", "value", "ts",
                                  _k().alias("k"))
     k, et, ts = F.col("k"), F.col("event_type"), F.col("ts")
     raw = (F.when(et == "click", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
@@ -86,7 +86,7 @@ def occurrence_raw(t: Tables) -> DataFrame:
 
 def taxonomy_responses(t: Tables) -> DataFrame:
     """Parts as landed taxonomy responses: HTTP status plus JSON body text."""
-    p = spread(t.part)
+    p = t.part
     body = F.to_json(F.struct(
         F.when((F.col("p_type") == "MEDIUM") & (F.col("p_size") == 1), F.lit(None))
         .otherwise(F.col("p_partkey")).alias("usageKey"),
@@ -101,6 +101,15 @@ def taxonomy_responses(t: Tables) -> DataFrame:
         F.when(F.col("p_size") >= 10, F.concat(F.lit("size_"), F.col("p_size").cast("string")))
         .alias("class"),
     ), {"ignoreNullFields": "false"})
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size")
+    # some bodies get values of the wrong JSON type: a fraction as id, numbers as names
+    body = (F.when((F.col("p_type") == "PROMO") & (size < 6), F.replace(
+                body, F.concat(F.lit('"usageKey":'), key), F.concat(F.lit('"usageKey":'), key, F.lit(".5"))))
+            .when((F.col("p_type") == "SMALL") & (size < 8), F.replace(
+                body, F.concat(F.lit('"scientificName":"'), F.col("p_name"), F.lit('"')), F.lit('"scientificName":5')))
+            .when((F.col("p_type") == "LARGE") & (size < 10), F.replace(
+                body, F.concat(F.lit('"kingdom":"'), F.col("p_brand"), F.lit('"')), F.lit('"kingdom":7')))
+            .otherwise(body))
     data = (F.when((F.col("p_type") == "LARGE") & (F.col("p_size") < 5), F.lit("{}"))
             .when((F.col("p_type") == "SMALL") & (F.col("p_size") < 3), F.lit("not found"))
             .otherwise(body))
@@ -111,7 +120,7 @@ def taxonomy_responses(t: Tables) -> DataFrame:
 
 def page_responses(t: Tables) -> DataFrame:
     """Documents as landed page responses: summary status/body and extracts body."""
-    d = spread(t.documents)
+    d = t.documents
     src, key = F.col("source"), F.col("doc_id").cast("string")
     title = F.when(src == "src5", F.lit("")).otherwise(F.concat(F.lit("Doc "), key))
     summary = F.to_json(F.struct(
@@ -119,6 +128,11 @@ def page_responses(t: Tables) -> DataFrame:
         F.when(src == "src4", F.lit("disambiguation")).otherwise(F.lit("standard")).alias("type"),
         F.struct(F.struct(F.concat(F.lit("https://docs.example/"), key).alias("page"))
                  .alias("desktop")).alias("content_urls")))
+    # some bodies get a number as title or a null page address
+    summary = (F.when(src == "src6", F.replace(summary, F.concat(F.lit('"title":"Doc '), key, F.lit('"')),
+                                              F.concat(F.lit('"title":'), key)))
+               .when(src == "src7", F.replace(summary, F.concat(F.lit('"page":"https://docs.example/'), key, F.lit('"')),
+                                              F.lit('"page":null'))).otherwise(summary))
     page = F.struct(title.alias("title"),
                     F.when(F.col("lang") == "de", F.lit("")).otherwise(F.col("text"))
                     .alias("extract"))
@@ -198,7 +212,7 @@ TURN_HEADINGS = ["Description and morphology", "Distribution and habitat", "Habi
 def turn_blocks(t: Tables) -> DataFrame:
     """Each conversation turn as one headed block: ``== heading ==`` (``===`` for
     assistant turns) and the turn text below; system turns carry only the heading."""
-    c = spread(t.conversations)
+    c = t.conversations
     idx = F.pmod(F.col("conv_id") * 7 + F.col("turn"), F.lit(len(TURN_HEADINGS))) + 1
     heading = F.element_at(F.array(*[F.lit(h) for h in TURN_HEADINGS]), idx.cast("int"))
     marks = F.when(F.col("role") == "assistant", F.lit("===")).otherwise(F.lit("=="))
@@ -233,9 +247,12 @@ def conversation_documents(t: Tables) -> DataFrame:
         F.concat(F.lit("turns_"), F.col("_turns").cast("string")).alias("rank"))
 
 
+VECTOR_DIM = 64  # of the driver's embeddings
+
+
 def vector_chunks(t: Tables) -> DataFrame:
     """Embeddings as chunk vectors: chunk id = vec_id, parent = label."""
-    return spread(t.embeddings).select("vec_id", "label", "embedding",
+    return t.embeddings.select("vec_id", "label", "embedding",
                                F.concat(F.lit("vector "), F.col("vec_id").cast("string"))
                                .alias("text"))
 
@@ -272,11 +289,11 @@ def label_centroids(t: Tables) -> DataFrame:
 
 
 def resolution_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Names = one per document; directory = English pages (plus their disambiguation and
+    """Names = one per document; directory = all pages (plus their disambiguation and
     redirect flags from the URL); search hits = the turns of the conversation with the
     same number (rank = turn + 1)."""
     names = t.documents.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("name"))
-    p = t.pages.where(F.col("url").contains("/en/"))
+    p = t.pages
     directory = p.select(
         F.concat(F.lit("doc-"), F.col("page_id").cast("string")).alias("query_title"),
         F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("page_title"),

@@ -5,21 +5,21 @@ Envelope (one JSON line per fetch)::
     {source, lote, ingested_at "yyyy-MM-ddTHH:mm:ssZ", species_queried: [..],
      raw_responses: [{query, response: {status, data}}]}
 
-``data`` is the parsed body when the response was JSON, else its raw text.  It
-is written as a JSON value (object or string) through Spark's variant type and
-read back with an explicit schema as *text*, so object and text payloads come
-back uniformly as strings and are parsed downstream with ``from_json``.
-Landing is append-only and partitioned by ``source`` and ``batch_id``; file
-names are generated by Spark and never collide.
+``data`` is landed as the response's text, byte for byte (key order and number forms included),
+and is parsed downstream.  Files written by others, whose ``data`` is a JSON object, are read
+the same way: the object's own text.  Landing is append-only and partitioned by ``source`` and
+``batch_id``; file names are generated by Spark and never collide.  Lines that are no JSON are
+kept in ``_corrupt_record``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship_package
+from ..functions.text import py_strip
+from ..session import cut_lineage
 
 RESPONSE = T.StructType([T.StructField("status", T.IntegerType()),
                          T.StructField("data", T.StringType())])
@@ -31,15 +31,10 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("raw_responses", T.ArrayType(T.StructType([
         T.StructField("query", T.StringType()), T.StructField("response", RESPONSE)]))),
 ])
-# partition columns of the landing layout
+CORRUPT = "_corrupt_record"
+# with what landing adds: the batch, and the text of lines that are no envelope
 LANDED_SCHEMA = T.StructType(ENVELOPE_SCHEMA.fields + [
-    T.StructField("batch_id", T.StringType())])
-
-
-def _as_json_value(text: Column) -> Column:
-    """JSON text -> its value; any other text -> a JSON string (variant either way)."""
-    as_string = F.variant_get(F.parse_json(F.to_json(F.array(text))), "$[0]", "variant")
-    return F.coalesce(F.try_parse_json(text), as_string)
+    T.StructField("batch_id", T.StringType()), T.StructField(CORRUPT, T.StringType())])
 
 
 def envelopes(responses: DataFrame, source: str, lote: int = 1, query_col: str = "query",
@@ -50,19 +45,15 @@ def envelopes(responses: DataFrame, source: str, lote: int = 1, query_col: str =
     Groups are per fetch, so an envelope stays small whatever the batch size."""
     resp = F.struct(F.col(query_col).alias("query"),
                     F.struct(F.col(status_col).cast("int").alias("status"),
-                             _as_json_value(F.col(data_col)).alias("data")).alias("response"))
+                             F.col(data_col).cast("string").alias("data")).alias("response"))
     queried = F.col(queried_col) if queried_col else F.col(query_col)
     # UTC wall clock whatever the session time zone is (the 'Z' suffix must be true)
     now_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.localtimestamp())
     now = F.date_format(now_utc, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     if group_col:
-        by_query = lambda a, b: F.when(a["_k"] < b["_k"], -1).when(a["_k"] > b["_k"], 1) \
-            .otherwise(0)  # noqa: E731  (variant payloads are not orderable themselves)
-        grouped = responses.groupBy(group_col).agg(
-            F.array_sort(F.collect_list(F.struct(F.col(query_col).alias("_k"), resp.alias("r"))),
-                         by_query).alias("_rs"), F.first(queried).alias("_q"))
-        rs = F.transform(F.col("_rs"), lambda s: s["r"])
-        base, q = grouped, F.col("_q")
+        base = responses.groupBy(group_col).agg(
+            F.array_sort(F.collect_list(resp)).alias("_rs"), F.first(queried).alias("_q"))
+        rs, q = F.col("_rs"), F.col("_q")
     else:
         base, rs, q = responses, F.array(resp), queried
     return base.select(F.lit(source).alias("source"), F.lit(lote).alias("lote"),
@@ -76,31 +67,64 @@ def write_bronze(env: DataFrame, root: str, batch_id: str) -> None:
      .write.mode("append").partitionBy("source", "batch_id").json(root))
 
 
+def _with_place(env: DataFrame) -> DataFrame:
+    """Adds ``landed``: when and where an envelope landed, for the latest-fetch rule."""
+    return env.withColumn("landed", F.struct("_metadata.file_modification_time", "_metadata.file_path",
+                                             "_metadata.file_block_start"))
+
+
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
-    """Landed envelopes with an explicit schema (never inferred)."""
-    return spark.read.schema(LANDED_SCHEMA).json(root)
+    """Landed envelopes with an explicit schema (never inferred); corrupt lines too."""
+    return _with_place(spark.read.schema(LANDED_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT).json(root))
+
+
+def read_envelope_files(spark: SparkSession, root: str) -> DataFrame:
+    """Envelopes in the layout ``root/{source}/lote_{n}.json``, one (multi-line) document a
+    file; the batch is the file's lote."""
+    env = (spark.read.schema(LANDED_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT)
+           .option("multiLine", True).json(f"{root.rstrip('/')}/*/*.json"))
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    return _with_place(env.withColumn("batch_id", F.regexp_replace(name, r"\.json$", "")))
+
+
+def corrupt_lines(env: DataFrame) -> DataFrame:
+    """(source, batch_id, record): landed lines that are no JSON, for quarantine."""
+    return env.where(F.col(CORRUPT).isNotNull()).select("source", "batch_id", F.col(CORRUPT).alias("record"))
 
 
 def responses_of(env: DataFrame) -> DataFrame:
-    """One row per raw response: source, batch, ingestion time, query, status, data."""
-    return (env.select("source", "batch_id", "ingested_at", "species_queried",
-                       F.inline("raw_responses"))
+    """One row per raw response: source, batch, ingestion time, query, status, data, and
+    ``fetch``, which orders fetches in time."""
+    landed = F.col("landed") if "landed" in env.columns else F.lit(None).cast("string")
+    return (env.select("source", "batch_id", "ingested_at", "species_queried", landed.alias("landed"),
+                       F.posexplode("raw_responses").alias("_pos", "_r"))
             .select("source", "batch_id", "ingested_at",
-                    F.get(F.col("species_queried"), 0).alias("queried"), "query",
-                    F.col("response.status").alias("status"), F.col("response.data").alias("data")))
+                    F.get(F.col("species_queried"), 0).alias("queried"), F.col("_r.query").alias("query"),
+                    F.col("_r.response.status").alias("status"), F.col("_r.response.data").alias("data"),
+                    F.struct("ingested_at", "landed", F.col("_pos").alias("pos")).alias("fetch")))
+
+
+def latest_fetch(resp: DataFrame, by=("source", "batch_id", "query")) -> DataFrame:
+    """The latest response of every query: one struct per query, so a status never meets the
+    body of another fetch."""
+    rest = [c for c in resp.columns if c not in by]
+    return resp.groupBy(*by).agg(F.max_by(F.struct(*rest), F.struct("fetch", "status", "data")).alias("_l")).select(
+        *by, *[F.col(f"_l.{c}").alias(c) for c in rest])
 
 
 def pair_page_responses(resp: DataFrame, by=("batch_id", "queried")) -> DataFrame:
-    """Re-join ``summary:{title}`` and ``extracts:{title}`` responses per title."""
+    """Re-join the latest ``summary:{title}`` and ``extracts:{title}`` responses per title."""
     parts = F.split(F.col("query"), ":", 2)
     kinds = resp.select(*by, F.get(parts, 0).alias("_kind"), F.get(parts, 1).alias("title_q"),
-                        "status", "data")
-    pick = lambda kind, c: F.max(F.when(F.col("_kind") == kind, F.col(c)))
-    return kinds.groupBy(*by, "title_q").agg(
-        pick("summary", "status").alias("summary_status"),
-        pick("summary", "data").alias("summary_data"),
-        pick("extracts", "status").alias("extracts_status"),
-        pick("extracts", "data").alias("extracts_data"))
+                        F.struct("status", "data").alias("_v"), F.struct("fetch", "status", "data").alias("_f"))
+
+    def latest(kind: str):
+        mine = F.col("_kind") == kind
+        return F.max_by(F.when(mine, F.col("_v")), F.when(mine, F.col("_f"))).alias(kind)
+
+    return kinds.groupBy(*by, "title_q").agg(latest("summary"), latest("extracts")).select(
+        *by, "title_q", F.col("summary.status").alias("summary_status"), F.col("summary.data").alias("summary_data"),
+        F.col("extracts.status").alias("extracts_status"), F.col("extracts.data").alias("extracts_data"))
 
 
 def batch_names(spark: SparkSession, *, path: str | None = None, text: str | None = None,
@@ -108,13 +132,13 @@ def batch_names(spark: SparkSession, *, path: str | None = None, text: str | Non
     """Batch input as ``names(name)``: a text file (one name per line, stripped, blank
     lines dropped), a JSON array string or a comma-separated string, or a list."""
     if path is not None:
-        df = spark.read.text(path).select(F.trim(F.col("value")).alias("name"))
+        df = spark.read.text(path).select(py_strip("value").alias("name"))
     elif text is not None:
-        raw = F.trim(F.lit(text))
+        raw = py_strip(F.lit(text))
         arr = F.when(raw.startswith("["), F.from_json(raw, "array<string>")) \
             .otherwise(F.split(raw, ","))
         df = spark.range(1).select(F.explode(arr).alias("name")) \
-            .select(F.trim(F.col("name")).alias("name"))
+            .select(py_strip("name").alias("name"))
     else:
         df = spark.createDataFrame([(n,) for n in (names or [])], "name string")
     return df.where(F.col("name").isNotNull() & (F.col("name") != ""))
@@ -122,13 +146,17 @@ def batch_names(spark: SparkSession, *, path: str | None = None, text: str | Non
 
 def split_batches(names: DataFrame, order: str, n_batches: int) -> DataFrame:
     """Add ``batch_no`` (1..n): consecutive slices of the list in ``order`` of equal size
-    (the first slices take the remainder), e.g. first / last half of a seed list.
-    Uses ``zipWithIndex`` (distributed), not a single-partition window."""
-    ship_package(names.sparkSession)
+    (the last slice may be shorter), e.g. first / last half of a seed list; an empty list gives
+    no rows.  Rows are numbered in two steps, ranges of the order first and then within each
+    range, so no task sees the whole list."""
     total = names.count()
-    size = -(-total // n_batches) if total else 1
-    ordered = names.orderBy(order)
-    indexed = ordered.rdd.zipWithIndex().map(lambda p: (*p[0], p[1]))
-    cols = names.columns + ["_i"]
-    out = indexed.toDF(cols)
-    return out.withColumn("batch_no", (F.floor(F.col("_i") / size) + 1).cast("int")).drop("_i")
+    size = -(-total // n_batches) or 1
+    ranged = cut_lineage(names.repartitionByRange(order).sortWithinPartitions(order)
+                         .withColumn("_p", F.spark_partition_id()))
+    counts = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))  # a row per range
+    before = counts.select("_p", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    row = F.row_number().over(Window.partitionBy("_p").orderBy(order)) - 1
+    return (ranged.withColumn("_i", row).join(before, "_p")
+            .withColumn("batch_no", (F.floor((F.col("_before") + F.col("_i")) / size) + 1).cast("int"))
+            .select(*names.columns, "batch_no"))

@@ -17,6 +17,7 @@ untouched buckets are neither read nor copied.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 from ..operators import upsert as U
 
 BUCKET = "key_bucket"  # no leading underscore: Spark hides such paths
+ROWS_PER_BUCKET = 500_000
 
 
 class TableStore:
@@ -66,10 +68,7 @@ class TableStore:
         return self.version(table) is not None
 
     def is_bucketed(self, table: str) -> bool:
-        v = self.version(table)
-        return v is not None and any(
-            st.getPath().getName().startswith(f"{BUCKET}=")
-            for st in self._fs.listStatus(self._Path(self.path(table, v))))
+        return self._fs.exists(self._Path(f"{self.root}/{table}/_buckets"))
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         """Current version; an absent table reads as empty with ``schema`` (create-if-absent)."""
@@ -97,15 +96,9 @@ class TableStore:
             return self.upsert_bucketed(table, batch, key, order, columns, insert_only,
                                         buckets=buckets or self._bucket_count(table))
         target = self.read(table, schema or batch.select(*columns).schema)
-        res = U.upsert(target, batch, key, order, columns, insert_only, name=table,
-                       materialize=False)
-        before = target.select(F.count(F.lit(1))).first()[0]
-        after_df = self.write(table, res.table)
-        after = after_df.count()  # Parquet footers only
-        records = batch.count()
-        rows = [(table, before, after, after - before, records - (after - before))]
-        return self.spark.createDataFrame(rows, "tabla string, filas_antes long, filas_despues long, "
-                                                "filas_nuevas long, filas_actualizadas long")
+        merged = U.merge_plan(target, batch, key, order, columns, insert_only)
+        _, counts = U.observed_write(merged, lambda df: self.write(table, df))
+        return U.evidence_row(self.spark, table, *counts)
 
     def counts(self, tables: Sequence[str]) -> DataFrame:
         """``(tabla, count)`` for the current version of each table (A7)."""
@@ -127,9 +120,25 @@ class TableStore:
                                           "column string, type string")
 
     def lookup(self, table: str, key: str, value) -> DataFrame:
-        """Rows of one key; the equality filter is pushed down to the Parquet scan (V6)."""
+        """Rows of one key; the equality filter is pushed down to the Parquet scan (V6).  Of a
+        bucketed table only the key's bucket is read."""
+        if self.is_bucketed(table):
+            kind = self._schema(table)[key].dataType
+            spot = self.spark.range(1).select(F.pmod(F.xxhash64(F.lit(value).cast(kind)),
+                                                     F.lit(self._bucket_count(table))).cast("int")).first()[0]
+            return self.read_bucketed(table, buckets=[spot]).where(F.col(key) == F.lit(value))
         return self.read(table).where(F.col(key) == F.lit(value))
 
+    def vacuum(self, table: str) -> int:
+        """Remove versions that hold nothing current (a plain table: all but the newest;
+        a bucketed one: those no bucket is read from).  Returns how many went."""
+        versions = self._versions(table)
+        current = set(self._bucket_versions(table).values()) if self.is_bucketed(table) else set()
+        gone = [v for v in versions[:-1] if v not in current]
+        for v in gone:
+            self._fs.delete(self._Path(self.path(table, v)), True)
+        return len(gone)
+
     # --- bucketed tables -------------------------------------------------------------
 
     def _bucket_versions(self, table: str) -> dict[int, int]:
@@ -147,21 +156,26 @@ class TableStore:
                 break
         return out
 
-    def _bucket_count(self, table: str) -> int:
-        """Bucket count of an existing bucketed table (recorded next to its versions)."""
-        p = self._Path(f"{self.root}/{table}/_buckets")
-        stream = self._fs.open(p)
+    def _note(self, table: str, name: str) -> str:
+        stream = self._fs.open(self._Path(f"{self.root}/{table}/{name}"))
         try:
-            return int(stream.readUTF())
+            return stream.readUTF()
         finally:
             stream.close()
 
-    def _record_bucket_count(self, table: str, buckets: int) -> None:
-        p = self._Path(f"{self.root}/{table}/_buckets")
-        if not self._fs.exists(p):
-            out = self._fs.create(p, False)
+    def _bucket_count(self, table: str) -> int:
+        """Bucket count of an existing bucketed table (recorded next to its versions)."""
+        return int(self._note(table, "_buckets"))
+
+    def _schema(self, table: str) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self._note(table, "_schema")))
+
+    def _create_bucketed(self, table: str, buckets: int, schema: T.StructType) -> None:
+        for name, text in (("_schema", schema.json()), ("_buckets", str(buckets))):
+            p = self._Path(f"{self.root}/{table}/{name}")
+            out = self._fs.create(p, True)
             try:
-                out.writeUTF(str(buckets))
+                out.writeUTF(text)
             finally:
                 out.close()
 
@@ -172,37 +186,57 @@ class TableStore:
         wanted = sorted(cur) if buckets is None else sorted(b for b in set(buckets) if b in cur)
         paths = [f"{self.path(table, cur[b])}/{BUCKET}={b}" for b in wanted]
         if not paths:
-            if schema is None:
+            if schema is None and not self.is_bucketed(table):
                 raise FileNotFoundError(f"table {table!r} has no committed bucket")
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], schema or self._schema(table))
         return self.spark.read.parquet(*paths)
 
     def upsert_bucketed(self, table: str, batch: DataFrame, key: str, order: str,
                         columns: Sequence[str], insert_only: Sequence[str] = (),
-                        buckets: int = 64) -> DataFrame:
+                        buckets: int | None = None) -> DataFrame:
         """Keyed upsert that rewrites only the buckets touched by the batch; returns the
-        evidence row.  The bucket count is fixed when the table is created."""
-        if self._versions(table):
-            if not self.is_bucketed(table):
-                raise ValueError(f"table {table!r} was created without buckets; "
-                                 "its layout cannot change in place")
-            buckets = self._bucket_count(table)  # fixed at creation
+        evidence row.  The bucket count is fixed when the table is created: as given, else one
+        bucket per ``ROWS_PER_BUCKET`` rows of the first batch.  An empty first batch creates
+        the table without rows."""
+        if self.is_bucketed(table):
+            buckets = self._bucket_count(table)
+        elif self._versions(table):
+            raise ValueError(f"table {table!r} was created without buckets; "
+                             "its layout cannot change in place")
         else:
-            self._record_bucket_count(table, buckets)
+            buckets = buckets or max(1, -(-batch.count() // ROWS_PER_BUCKET))
+            self._create_bucketed(table, buckets, batch.select(*columns).schema)
         bucket_of = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
         touched = [r[0] for r in batch.select(bucket_of.alias("b")).distinct().collect()]
-        schema = batch.select(*columns).schema  # at most `buckets` ids come back above
+        schema = self._schema(table)  # at most `buckets` ids come back above
+        before_all = self.read_bucketed(table, schema).count()  # Parquet footers only
         target = self.read_bucketed(table, schema, touched)
-        res = U.upsert(target, batch, key, order, columns, insert_only, name=table,
-                       materialize=False)
-        before_all = self.read_bucketed(table, schema).count() if self._versions(table) else 0
-        before_touched = target.count()
+        # a bucket's rows meet in one task: one file each
+        merged = (U.merge_plan(target, batch, key, order, columns, insert_only)
+                  .withColumn(BUCKET, bucket_of).repartition(BUCKET))
         v = self._next_version(table)
-        (res.table.withColumn(BUCKET, bucket_of)
-         .write.mode("errorifexists").partitionBy(BUCKET).parquet(self.path(table, v)))
-        after_touched = self.read_bucketed(table, schema, touched).count()
-        new = after_touched - before_touched
-        records = batch.count()
-        rows = [(table, before_all, before_all + new, new, records - new)]
-        return self.spark.createDataFrame(rows, "tabla string, filas_antes long, filas_despues long, "
-                                                "filas_nuevas long, filas_actualizadas long")
+
+        def write(df: DataFrame) -> None:
+            (df.write.mode("errorifexists").partitionBy(BUCKET).parquet(self.path(table, v)))
+
+        _, (before, after, records) = U.observed_write(merged, write)
+        return U.evidence_row(self.spark, table, before_all, before_all + after - before, records)
+
+    def replace_keys(self, table: str, rows: DataFrame, key: str, gone: DataFrame | None = None) -> None:
+        """Replace all rows of the keys in ``rows`` (and of ``gone``) of a bucketed table that
+        holds any number of rows per key; only touched buckets are rewritten."""
+        if not self.is_bucketed(table):
+            self._create_bucketed(table, max(1, -(-rows.count() // ROWS_PER_BUCKET)), rows.schema)
+        buckets = self._bucket_count(table)
+        bucket_of = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+        keys = rows.select(key) if gone is None else rows.select(key).unionByName(gone.select(key))
+        touched = [r[0] for r in keys.select(bucket_of.alias("b")).distinct().collect()]
+        kept = self.read_bucketed(table, self._schema(table), touched).join(keys.distinct(), key, "left_anti")
+        (kept.select(*rows.columns).unionByName(rows).withColumn(BUCKET, bucket_of).repartition(BUCKET)
+         .write.mode("errorifexists").partitionBy(BUCKET).parquet(self.path(table, self._next_version(table))))
+
+    def write_partition(self, table: str, rows: DataFrame, batch_id: str) -> None:
+        """Make ``rows`` all there is of the batch, none included."""
+        path = f"{self.root}/{table}"
+        here = self._Path(f"{path}/batch_id={batch_id}")
+        rows.drop("batch_id").write.mode("overwrite").parquet(here.toString())

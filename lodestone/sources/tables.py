@@ -9,48 +9,14 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
-SPREAD_MAX_SPLITS = 64  # about 8 GB of input at the default split size
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
-
-    A small file with a single row group is read by one task, which would run all
-    narrow CPU work (parsing, validation, splitting, encoding) on one core.  Only
-    scans with fewer than ``SPREAD_MAX_SPLITS`` splits (and fewer than cores) are
-    spread, so a large table is never shuffled for this.  Filters and column
-    pruning still reach the scan below."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # sessions without an RDD view (Spark Connect): leave the scan as is
-        return df
-    # only small scans (few splits) are spread: a large table already has enough tasks and
-    # a round-robin shuffle of it would cost more than it gains
-    return df.repartition(cores) if parts < min(cores, SPREAD_MAX_SPLITS) else df
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 5_000_000) -> DataFrame:
-    """``broadcast(df)`` when a count proves it small (key sets of one batch, qualifying
-    parents), so the large side of the join is scanned and never shuffled; beyond the
-    bound the frame is returned as is and the join shuffles both sides."""
-    from pyspark.sql import functions as F
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; column pruning and filters reach the Parquet scan."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if balance else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:
-    """Lazy accessor: ``Tables(spark, dir).orders`` reads ``orders.parquet``.
-
-    Scans are returned as they are; views that run narrow CPU-heavy work
-    (parsing, splitting, encoding, scoring) wrap them in ``spread``.  Scans that
-    feed an aggregation or join need no spreading: their partial aggregation is
-    cheap and the shuffle after it parallelises the rest."""
+    """Lazy accessor: ``Tables(spark, dir).orders`` reads ``orders.parquet``.  Scans are
+    returned as they are, with as many tasks as the files have splits."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir

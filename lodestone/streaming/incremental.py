@@ -10,18 +10,19 @@ instead of appending twice (exactly-once into a plain Parquet sink).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.bronze import LANDED_SCHEMA, responses_of
+from ..operators.rules import valid
+from ..sources.bronze import CORRUPT, LANDED_SCHEMA, responses_of
 
 
 def ingest_new_bronze(spark: SparkSession, bronze_root: str, target: str, checkpoint: str,
                       transform: Callable[[DataFrame], DataFrame] = responses_of,
                       max_files_per_trigger: int | None = None) -> int:
     """Process new landed files once; returns the number of rows written by this run."""
-    reader = spark.readStream.schema(LANDED_SCHEMA)
+    reader = spark.readStream.schema(LANDED_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.json(bronze_root)
@@ -37,3 +38,22 @@ def ingest_new_bronze(spark: SparkSession, bronze_root: str, target: str, checkp
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return written["rows"]
+
+
+def upsert_new_bronze(spark: SparkSession, bronze_root: str, store, table: str, checkpoint: str,
+                      checked: Callable[[DataFrame], DataFrame], key: str, columns: Sequence[str],
+                      order: str = "fetch") -> list[dict]:
+    """Validate new landed files and upsert them by key: ``checked`` turns responses into rows
+    with ``rejection_reason``; valid ones go to ``table`` of the store.  Returns the evidence of
+    each micro-batch.  A repeated micro-batch upserts the same keys again and adds none."""
+    evidence: list[dict] = []
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        rows = valid(checked(responses_of(batch)))
+        evidence.extend(r.asDict() for r in store.upsert(table, rows, key, order, columns).collect())
+
+    q = (spark.readStream.schema(LANDED_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT).json(bronze_root)
+         .writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return evidence

@@ -7,6 +7,7 @@ import os
 
 from lodestone.plans.batch_run import run_batch, search_text
 from lodestone.sources.bronze import batch_names
+from lodestone.sources.store import TableStore
 
 SECTIONS = ("== Description ==\nLarge predatory shark.\n== Distribution and habitat ==\n"
             "Coastal waters worldwide.\n== Diet ==\nSeals and fish.\n== Etymology ==\nGreek.")
@@ -20,7 +21,8 @@ def envelope(source, queried, responses):
 
 
 def land(root, batch_id, species):
-    """Write envelopes the way the landing writer lays them out (JSON lines)."""
+    """Write envelopes the way the landing writer lays them out (JSON lines); pages are
+    queried under their title."""
     for source in ("wikipedia", "gbif_taxonomy", "gbif_occurrence"):
         os.makedirs(f"{root}/source={source}/batch_id={batch_id}", exist_ok=True)
     files = {s: open(f"{root}/source={s}/batch_id={batch_id}/part-0.json", "w")
@@ -29,7 +31,7 @@ def land(root, batch_id, species):
         summary = ({"title": title, "extract": "x" * 60, "type": "standard",
                     "content_urls": {"desktop": {"page": "https://w/" + title}}}
                    if page_ok else None)
-        files["wikipedia"].write(json.dumps(envelope("wikipedia", name, [
+        files["wikipedia"].write(json.dumps(envelope("wikipedia", title, [
             (f"summary:{title}", 200 if page_ok else 404, summary),
             (f"extracts:{title}", 200, {"query": {"pages": {"1": {"extract": SECTIONS}}}})])) + "\n")
         tax = {"usageKey": 1, "scientificName": name, "canonicalName": name, "rank": "SPECIES",
@@ -59,14 +61,19 @@ def test_batch_end_to_end(spark, tmp_path):
         ("Nothing here", "Nothing", False, "EXACT", [occ(5, "US", "", "LC")]),
     ])
     names = batch_names(spark, text="Carcharodon carcharias, Rhincodon typus, Nothing here")
+    resolution = spark.createDataFrame(
+        [("Carcharodon carcharias", "Great white shark"), ("Rhincodon typus", "Whale shark"), ("Nothing here", "Nothing")],
+        "name string, title string").selectExpr("*", "'SUCCESS' as status", "'REDIRECT' as resolved_via",
+                                                "cast(null as array<string>) as candidates")
     seed = spark.createDataFrame([("Carcharodon carcharias",)], "name string")
-    r1 = run_batch(spark, names, bronze, wh, "b1", seed=seed)
+    r1 = run_batch(spark, names, bronze, wh, "b1", seed=seed, resolution=resolution)
     s = r1.summary
     assert s["silver"]["wikipedia_valid"] == 2 and s["silver"]["wikipedia_rejected"] == 1
     assert s["silver"]["gbif_taxonomy_valid"] == 2 and s["silver"]["gbif_taxonomy_rejected"] == 1
     assert s["silver"]["gbif_occurrence_valid"] == 3 and s["silver"]["gbif_occurrence_rejected"] == 2
     assert s["merge"] == {"merged": 2, "skipped_no_wikipedia": 1}
-    merged = {r.species_key: r for r in spark.read.parquet(f"{wh}/species_merged/v=000001").collect()}
+    st = TableStore(spark, wh)
+    merged = {r.species_key: r for r in st.read("species_merged").collect()}
     gw = merged["carcharodon_carcharias"]
     assert gw.taxonomy_status == "MATCHED" and gw.n_occurrences_validas == 2
     assert gw.paises == ["US", "ZA"] and (gw.anio_min, gw.anio_max) == (2019, 2020)
@@ -77,16 +84,16 @@ def test_batch_end_to_end(spark, tmp_path):
     assert ("wikipedia", "PAGE_NOT_FOUND") in reasons
     assert ("gbif_occurrence", "INVALID_EVENT_DATE") in reasons
     assert ("gbif_occurrence", "COORDINATES_OUT_OF_RANGE") in reasons
-    cat = {r.species_key: r for r in spark.read.parquet(f"{wh}/species_catalog/v=000001").collect()}
+    cat = {r.species_key: r for r in st.read("species_catalog").collect()}
     assert cat["carcharodon_carcharias"].origin == "SEED" and cat["rhincodon_typus"].origin == "AD_HOC"
-    gold = spark.read.parquet(f"{wh}/chunk_vectors/v=000001")
+    gold = st.read("chunk_vectors")
     ids = {r.chunk_id for r in gold.collect()}
     assert "carcharodon_carcharias__Identity__0" in ids and "carcharodon_carcharias__Diet__0" in ids
     assert "carcharodon_carcharias__Habitat__0" not in ids
     assert s["gold"]["n_chunks"] == len(ids)
 
     # rerun of the same batch: nothing new anywhere, values unchanged
-    r2 = run_batch(spark, names, bronze, wh, "b1", seed=seed)
+    r2 = run_batch(spark, names, bronze, wh, "b1", seed=seed, resolution=resolution)
     assert all(e["filas_nuevas"] == 0 for e in r2.summary["warehouse"])
     assert spark.read.parquet(f"{wh}/quarantine").count() == len(q)
 
@@ -94,10 +101,13 @@ def test_batch_end_to_end(spark, tmp_path):
     land(bronze, "b2", [("Carcharodon carcharias", "Great white shark (updated)", True, "EXACT", []),
                         ("Prionace glauca", "Blue shark", True, "EXACT", [occ(9, "PT", "2022", "NT")])])
     r3 = run_batch(spark, batch_names(spark, names=["Carcharodon carcharias", "Prionace glauca"]),
-                   bronze, wh, "b2", seed=seed)
+                   bronze, wh, "b2", seed=seed, resolution=spark.createDataFrame(
+                       [("Carcharodon carcharias", "Great white shark (updated)"), ("Prionace glauca", "Blue shark")],
+                       "name string, title string").selectExpr("*", "'SUCCESS' as status", "'SEARCH' as resolved_via",
+                                                               "cast(null as array<string>) as candidates"))
     ev = {e["tabla"]: e for e in r3.summary["warehouse"]}
     assert ev["species_catalog"]["filas_nuevas"] == 1 and ev["species_catalog"]["filas_actualizadas"] == 1
-    cat = {r.species_key: r for r in spark.read.parquet(f"{wh}/species_catalog/v=000003").collect()}
+    cat = {r.species_key: r for r in st.read("species_catalog").collect()}
     gw = cat["carcharodon_carcharias"]
     assert gw.wikipedia_title == "Great white shark (updated)" and gw.first_seen_batch_id == "b1"
     assert gw.last_processed_at >= gw.first_processed_at
@@ -105,8 +115,6 @@ def test_batch_end_to_end(spark, tmp_path):
     # the incrementally maintained vectors equal a full rebuild
     from lodestone.operators import embed as EMB
     from lodestone.operators import sections as SEC
-    from lodestone.sources.store import TableStore
-    st = TableStore(spark, wh)
     rebuilt = EMB.embed(SEC.chunks(SEC.build_sections(st.read("species_merged"))),
                         "text", "embedding").drop("ord")
     cols = ["chunk_id", "species_key", "section", "text", "embedding"]
@@ -116,8 +124,6 @@ def test_batch_end_to_end(spark, tmp_path):
     assert st.is_bucketed("silver_gbif_occurrences")
 
     from lodestone.operators import quality as QC
-    from lodestone.sources.store import TableStore
-    st = TableStore(spark, wh)
     checks = QC.run_checks([
         QC.subset_check("gold within catalog", st.read("chunk_vectors"), st.read("species_catalog"),
                         "species_key"),
@@ -162,7 +168,7 @@ def test_store_introspection_lookup_and_json_round_trip(spark, tmp_path):
     assert halves["n00"] == 1 and halves["n08"] == 1 and halves["n09"] == 2 and halves["n17"] == 2
 
 
-def test_resolution_rejects_and_record_cap(spark, tmp_path):
+def test_resolution_rejects(spark, tmp_path):
     from lodestone.operators import validate as VAL
     from lodestone.sources.bronze import read_bronze, responses_of
     bronze, wh = str(tmp_path / "bronze"), str(tmp_path / "wh")
@@ -170,21 +176,72 @@ def test_resolution_rejects_and_record_cap(spark, tmp_path):
                         ("Beta two", "Beta", True, "EXACT", [])])
     names = batch_names(spark, names=["Alpha one", "Beta two"])
     resolution = spark.createDataFrame(
-        [("Alpha one", "SUCCESS", "SEARCH", None),
-         ("Beta two", "AMBIGUOUS_RESOLUTION", None, ["Beta (a)", "Beta (b)"])],
-        "name string, status string, resolved_via string, candidates array<string>")
+        [("Alpha one", "SUCCESS", "SEARCH", "Alpha", None),
+         ("Beta two", "AMBIGUOUS_RESOLUTION", None, None, ["Beta (a)", "Beta (b)"])],
+        "name string, status string, resolved_via string, title string, candidates array<string>")
     r = run_batch(spark, names, bronze, wh, "b1", resolution=resolution)
     assert r.summary["merge"] == {"merged": 1, "skipped_no_wikipedia": 1}
     assert r.summary["silver"]["wikipedia_rejected"] == 1
     q = [x for x in spark.read.parquet(f"{wh}/quarantine").collect() if x.source == "wikipedia"]
     assert [(x.record_key, x.rejection_reason) for x in q] == [("beta_two", "AMBIGUOUS_RESOLUTION")]
     assert q[0].context["candidates"] == "Beta (a)|Beta (b)"
-    page = spark.read.parquet(f"{wh}/silver_wikipedia/v=000001").first()
+    page = TableStore(spark, wh).read("silver_wikipedia").first()
     assert (page.species_key, page.resolved_via) == ("alpha_one", "SEARCH")
     resp = responses_of(read_bronze(spark, bronze)).where("source = 'gbif_occurrence'")
     assert VAL.occurrence_records(resp).count() == 7
-    capped = VAL.occurrence_records(resp, max_records=5)
-    assert capped.count() == 5 and sorted(x.pos for x in capped.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_one_outcome_per_name_latest_fetch_and_stale_quarantine(spark, tmp_path):
+    """A refetch (500, then 200) counts once; a name without a page, a failed occurrence
+    response and a corrupt line are in quarantine, and leave it when a rerun mends them."""
+    bronze, wh = str(tmp_path / "bronze"), str(tmp_path / "wh")
+    land(bronze, "b1", [("Alpha one", "Alpha", True, "EXACT", [])])
+    page = f"{bronze}/source=wikipedia/batch_id=b1"
+    failed = envelope("wikipedia", "Alpha", [("summary:Alpha", 500, None)])
+    failed["ingested_at"] = "2023-12-31T00:00:00Z"
+    with open(f"{page}/part-1.json", "w") as f:
+        f.write(json.dumps(failed) + "\n{broken\n")
+    with open(f"{bronze}/source=gbif_occurrence/batch_id=b1/part-1.json", "w") as f:
+        late = envelope("gbif_occurrence", "Alpha one", [("Alpha one", 503, None)])
+        late["ingested_at"] = "2024-01-02T00:00:00Z"
+        f.write(json.dumps(late) + "\n")
+    resolution = spark.createDataFrame([("Alpha one", "Alpha"), ("Gamma", "Gamma page")], "name string, title string").selectExpr(
+        "*", "'SUCCESS' as status", "'SEARCH' as resolved_via", "cast(null as array<string>) as candidates")
+    names = batch_names(spark, names=["Alpha one", "Gamma"])
+    r = run_batch(spark, names, bronze, wh, "b1", resolution=resolution)
+    assert r.summary["merge"] == {"merged": 1, "skipped_no_wikipedia": 1}
+    got = {(q.source, q.rejection_reason, q.record_key) for q in spark.read.parquet(f"{wh}/quarantine").collect()}
+    assert got == {("wikipedia", "PAGE_NOT_FOUND", "gamma"), ("gbif_occurrence", "HTTP_ERROR", "alpha_one"),
+                   ("bronze", "HTTP_ERROR", "{broken")}
+    # an occurrence table that began without rows takes the next batch
+    land(bronze, "b2", [("Alpha one", "Alpha", True, "EXACT", [occ(1, "US", "2020", "LC")])])
+    run_batch(spark, batch_names(spark, names=["Alpha one"]), bronze, wh, "b2", resolution=resolution)
+    st = TableStore(spark, wh)
+    assert st.read("silver_gbif_occurrences").count() == 1
+    assert st.lookup("silver_gbif_occurrences", "gbif_id", 1).count() == 1
+    # everything mended: nothing of the batch stays in quarantine
+    os.remove(f"{bronze}/source=gbif_occurrence/batch_id=b1/part-1.json")
+    with open(f"{page}/part-1.json", "w") as f:
+        f.write(json.dumps(failed) + "\n")
+    run_batch(spark, batch_names(spark, names=["Alpha one"]), bronze, wh, "b1", resolution=resolution)
+    assert spark.read.parquet(f"{wh}/quarantine").where("batch_id = 'b1'").count() == 0
+
+
+def test_reference_layout_and_exact_text(spark, tmp_path):
+    from lodestone.sources import bronze as B
+    os.makedirs(tmp_path / "wikipedia")
+    env = envelope("wikipedia", "T", [("extracts:T", 200, {"9": {"n": 1.0}, "10": {}}), ("summary:T", 200, "plain")])
+    with open(tmp_path / "wikipedia" / "lote_1.json", "w") as f:
+        json.dump(env, f, indent=2)
+    rows = {r.query: r for r in B.responses_of(B.read_envelope_files(spark, str(tmp_path))).collect()}
+    assert list(json.loads(rows["extracts:T"].data)) == ["9", "10"] and "1.0" in rows["extracts:T"].data
+    assert rows["summary:T"].data == "plain" and rows["summary:T"].batch_id == "lote_1"
+    text = '{"9":{"x":1.0},  "10":[]}'
+    one = spark.createDataFrame([("q", 200, text), ("r", 200, None)], "query string, status int, data string")
+    B.write_bronze(B.envelopes(one, "s"), str(tmp_path / "own"), "b")
+    back = {r.query: r.data for r in B.responses_of(B.read_bronze(spark, str(tmp_path / "own"))).collect()}
+    assert back == {"q": text, "r": None}
+    assert [r.name for r in batch_names(spark, text="\ta b\n,,c ").collect()] == ["a b", "c"]
 
 
 def test_split_batches_with_remainder(spark):

@@ -42,7 +42,7 @@ def test_query_sets_over_the_bound_run_in_blocks(spark):
                                  "chunk_id long, embedding array<float>")
     q = spark.createDataFrame([(j, qs[j].tolist()) for j in range(23)],
                               "query_id int, query_vec array<double>")
-    got = K.knn(vecs, q, 3, max_queries=5).collect()  # 23 queries, at most 5 per broadcast
+    got = K.knn(vecs, q, 3, block_bytes=500).collect()  # 23 queries, at most about 10 sent at a time
     assert len(got) == 23 * 3
     for j in range(23):
         ids = [r.chunk_id for r in sorted((r for r in got if r.query_id == j), key=lambda r: r.rank)]
@@ -54,7 +54,7 @@ def test_search_shape_filters_and_recall(spark):
     from lodestone.sources.tables import Tables
     t = Tables(spark, SF01)
     vec, q, meta = V.vector_chunks(t), V.label_centroids(t), V.label_metadata(t)
-    post = K.search(vec, q, meta, 3, id_col="vec_id", parent_col="label", category="VU",
+    post = K.search(vec, q, meta, 3, mode="post", id_col="vec_id", parent_col="label", category="VU",
                     metadata_fields=("kingdom", "iucn_red_list_category")).collect()
     pre = K.search(vec, q, meta, 3, mode="pre", id_col="vec_id", parent_col="label", category="VU",
                    metadata_fields=("kingdom", "iucn_red_list_category")).collect()
@@ -69,7 +69,8 @@ def test_search_shape_filters_and_recall(spark):
                     equals={"no_such_column": "x"}).count()
     assert none == 0
     exact = K.knn(vec, q, 25, id_col="vec_id").collect()
-    approx = K.knn(vec, q, 25, id_col="vec_id", ann_tables=16, ann_bits=3).collect()
+    approx = K.knn_hashed(K.hash_buckets(vec.select("vec_id", "embedding"), 64, tables=16, bits=3),
+                          K.hash_buckets(q, 64, tables=16, bits=3, vec_col="query_vec"), 25).collect()
     e = {(r.query_id, r.vec_id) for r in exact}
     a = {(r.query_id, r.vec_id) for r in approx}
     assert len(e & a) / len(e) >= 0.8
@@ -90,3 +91,22 @@ def test_per_parent_with_string_keys(spark):
         best = sorted(((min(d[i] for i in range(300) if i % 11 == p), f"p{p}") for p in range(11)))[:4]
         rows = sorted((r for r in got if r.query_id == j), key=lambda r: r.rank)
         assert [r.parent for r in rows] == [p for _, p in best]
+
+
+def test_repeated_query_ids_and_large_norms(spark):
+    rng = np.random.default_rng(7)
+    x = (rng.standard_normal((200, 4)) * 1e-3 + 1e6).astype(np.float64)  # neighbours far from the origin
+    vecs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "chunk_id long, embedding array<double>")
+    q = spark.createDataFrame([(1, x[5].tolist())] * 40, "query_id int, query_vec array<double>")
+    got = K.knn(vecs, q, 3, block_bytes=200).collect()
+    assert len(got) == 120 and {r.chunk_id for r in got if r.rank == 1} == {5}
+    assert {r.chunk_id for r in got} == set(brute(x, x[5], 3))
+
+
+def test_ninety_thousand_wide_queries(spark):
+    """More query bytes than any one block: no limit on the query set."""
+    from pyspark.sql import functions as F
+    vecs = spark.createDataFrame([(0, [0.0] * 384), (1, [1.0] * 384)], "chunk_id long, embedding array<double>")
+    q = spark.range(90_000).select(F.col("id").alias("query_id"), F.array_repeat((F.col("id") % 2).cast("double"), 384).alias("query_vec"))
+    got = K.knn(vecs, q, 1)
+    assert got.where("query_id % 2 = chunk_id and distance = 0").count() == 90_000

@@ -55,21 +55,26 @@ def test_random_against_duckdb_on_conflict(spark):
         con.execute("INSERT INTO t VALUES (?, ?, ?) ON CONFLICT (k) DO UPDATE SET v = EXCLUDED.v",
                     [k, v, f])
     want = sorted(con.execute("SELECT * FROM t").fetchall())
-    for limit in (None, 10**6):  # shuffled full outer join and broadcast path
-        t = spark.createDataFrame(target, "k string, v string, first string")
-        r = U.upsert(t, spark.createDataFrame(batch, SCHEMA), "k", "o", COLS, ["first"],
-                     broadcast_rows=limit)
-        assert sorted(tuple(x) for x in r.table.collect()) == want
-        new = len({k for k, *_ in batch} - {k for k, *_ in target})
-        assert ev(r) == (40, 40 + new, new, 120 - new)
-
-
-def test_wide_batch_takes_the_shuffled_path(spark):
-    wide = spark.createDataFrame([(f"k{i}", "x" * 2000, "f", i) for i in range(50)], SCHEMA)
-    t = spark.createDataFrame([("k1", "old", "keep")], "k string, v string, first string")
-    r = U.upsert(t, wide, "k", "o", COLS, ["first"], broadcast_bytes=10_000)
-    got = {x.k: x for x in r.table.collect()}
-    assert len(got) == 50 and got["k1"].first == "keep" and ev(r) == (1, 50, 49, 1)
+    t = spark.createDataFrame(target, "k string, v string, first string")
+    b = spark.createDataFrame(batch, SCHEMA)
+    r = U.upsert(t, b, "k", "o", COLS, ["first"])
+    assert sorted(tuple(x) for x in r.table.collect()) == want
+    new = len({k for k, *_ in batch} - {k for k, *_ in target})
+    assert ev(r) == (40, 40 + new, new, 120 - new)
+    # the evidence from keys alone equals that of the upserts
+    steps = [t.withColumn("o", F.lit(0)), b, b]
+    table, want = U.empty_like(t), []
+    for s in steps:
+        done = U.upsert(table, s, "k", "o", COLS, ["first"])
+        table = done.table
+        want.append(ev(done))
+    assert [tuple(x)[2:] for x in U.evidence_of_steps(steps, "k").orderBy("step").collect()] == want
+
+
+def test_values_of_one_record_stay_together(spark):
+    b = spark.createDataFrame([("a", "1", None, 1), ("a", None, "y", 1)], SCHEMA)
+    row = tuple(U.upsert(U.empty_like(b.select(*COLS)), b, "k", "o", COLS).table.first())
+    assert row in {("a", "1", None), ("a", None, "y")}
 
 
 def test_hot_key_batch(spark):

@@ -97,18 +97,3 @@ def test_no_silent_loss(spark):
     row = R.outcome_counts(VAL.validate_taxonomy(df, key="k"), "t").first()
     assert (row.n_input, row.n_valid, row.n_rejected, row.balanced) == (2, 1, 1, True)
 
-
-def test_split_write_replaces_only_its_partitions(spark, tmp_path):
-    path = str(tmp_path / "checked")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
-    try:
-        df = spark.createDataFrame([(1, None, "b1"), (2, "R", "b1")], "k int, rejection_reason string, b string")
-        R.write_split(df, path, ["b"])
-        R.write_split(df.withColumn("b", F.lit("b2")), path, ["b"])
-        R.write_split(df.where("k = 1"), path, ["b"])  # rerun of b1 with fewer rows
-        got = sorted((r.b, r.outcome, r.k) for r in spark.read.parquet(path).collect())
-        # b2 untouched by the b1 rerun; b1's valid partition replaced by the rerun's rows
-        assert got == [("b1", "rejected", 2), ("b1", "valid", 1), ("b2", "rejected", 2),
-                       ("b2", "valid", 1)]
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
