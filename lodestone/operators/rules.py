@@ -104,11 +104,14 @@ def reject_report_checked(checked: Sequence[tuple[str, DataFrame]]) -> DataFrame
     return agg.where(F.col("_rejected")).drop("_rejected")
 
 
-def outcome_counts(checked: DataFrame, source: str) -> DataFrame:
-    """Reconciliation row per source: input = valid + rejected (no silent loss)."""
-    return checked.agg(
-        F.count(F.lit(1)).alias("n_input"),
-        F.count_if(F.col(REASON).isNull()).alias("n_valid"),
+def outcome_counts(source_rows: DataFrame, checked: DataFrame, source: str) -> DataFrame:
+    """Reconciliation row per source: the rows of the source table against the valid and
+    rejected ones of its checked frame (no silent loss)."""
+    tagged = source_rows.select(F.lit(True).alias("_in"), F.lit(None).cast("string").alias(REASON)).unionByName(
+        checked.select(F.lit(False).alias("_in"), F.col(REASON)))
+    return tagged.agg(
+        F.count_if(F.col("_in")).alias("n_input"),
+        F.count_if(~F.col("_in") & F.col(REASON).isNull()).alias("n_valid"),
         F.count_if(F.col(REASON).isNotNull()).alias("n_rejected"),
     ).select(F.lit(source).alias("source"), "n_input", "n_valid", "n_rejected",
              (F.col("n_input") == F.col("n_valid") + F.col("n_rejected")).alias("balanced"))

@@ -58,7 +58,7 @@ tax AS (SELECT n_nationkey AS tax_key,
 """
 
 ORACLE["pivot_merge"] = "WITH " + _SUMMARY.format(
-    k="o_custkey", ts="o_orderdate", t="orders", v="o_orderpriority", o="o_orderkey",
+    k="o_custkey", ts="o_orderdate", t="(SELECT * FROM orders WHERE year(o_orderdate) >= 2000)", v="o_orderpriority", o="o_orderkey",
     c="o_orderstatus") + "," + _TAXONOMY + """
 SELECT c.c_custkey, c.c_name AS title,
        tax.kingdom, tax.phylum, tax.class_name, tax.rank,
@@ -73,7 +73,7 @@ LEFT JOIN summ s ON c.c_custkey = s.k
 
 ORACLE["unmatched_pivot"] = """
 SELECT DISTINCT o_custkey AS c_custkey FROM orders
-WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey)
+WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment <> 'MACHINERY')
 """
 
 _GATE = r"^[0-9]{4}(-[0-9]{1,2}-[0-9]{1,2}([Tt][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})?)?$"
@@ -347,7 +347,7 @@ FROM ch GROUP BY section
 """
 
 ORACLE["metadata_view"] = "WITH " + _SUMMARY.format(
-    k="o_custkey", ts="o_orderdate", t="orders", v="o_orderpriority", o="o_orderkey",
+    k="o_custkey", ts="o_orderdate", t="(SELECT * FROM orders WHERE year(o_orderdate) >= 2000)", v="o_orderpriority", o="o_orderkey",
     c="o_orderstatus") + "," + _TAXONOMY + """
 SELECT c.c_custkey, tax.kingdom, tax.phylum, tax.class_name, tax.rank,
        CASE WHEN tax.tax_key IS NOT NULL THEN 'MATCHED' ELSE 'UNMATCHED' END AS taxonomy_status,
@@ -519,7 +519,64 @@ WITH c AS (
   SELECT 'customer.c_custkey unique', (SELECT count(*) FROM customer),
          (SELECT count(*) FROM (SELECT c_custkey FROM customer GROUP BY 1 HAVING count(*) > 1))
   UNION ALL
+  SELECT 'orders.o_custkey in AUTOMOBILE customers', (SELECT count(DISTINCT o_custkey) FROM orders),
+         (SELECT count(DISTINCT o_custkey) FROM orders
+          WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'AUTOMOBILE'))
+  UNION ALL
+  SELECT 'orders.o_custkey unique', (SELECT count(*) FROM orders),
+         (SELECT count(*) FROM (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) > 1))
+  UNION ALL
   SELECT 'orders.o_orderkey unique', (SELECT count(*) FROM orders),
          (SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)))
 SELECT "check", n_checked, n_failed, n_failed = 0 AS passed FROM c
 """
+
+ORACLE["search_country"] = "WITH " + _VEC + """,
+best AS (SELECT d.* FROM dist d JOIN nation n ON d.label = n.n_nationkey
+         WHERE n.n_regionkey IN (SELECT n_regionkey FROM nation WHERE n_name = 'NATION_7')
+         QUALIFY row_number() OVER (PARTITION BY d.query_id, d.label ORDER BY d.distance, d.vec_id) = 1)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS rank,
+       label, 'label_' || CAST(label AS VARCHAR) AS wikipedia_title, vec_id, distance AS score
+FROM best QUALIFY rank <= 2
+"""
+
+ORACLE["batch_silver"] = "WITH " + _OCC + "," + _TAX + "," + _PAGES + """,
+o AS (SELECT *, CASE WHEN source = 'src8' THEN 'AMBIGUOUS_RESOLUTION' WHEN source = 'src9' THEN 'PAGE_NOT_FOUND'
+                     ELSE coalesce(rejection_reason, 'MERGED') END AS outcome FROM pg),
+n AS (SELECT species_key, count(*) AS n FROM occ_checked WHERE rejection_reason IS NULL GROUP BY 1)
+SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS species_key, outcome,
+       CASE WHEN outcome = 'MERGED' THEN 'Doc ' || CAST(doc_id AS VARCHAR) END AS wikipedia_title,
+       CASE WHEN outcome = 'MERGED' THEN CASE WHEN tx.p_partkey IS NOT NULL AND tx.rejection_reason IS NULL
+            THEN 'MATCHED' ELSE 'UNMATCHED' END END AS taxonomy_status,
+       CASE WHEN outcome = 'MERGED' THEN CAST(coalesce(n.n, 0) AS INTEGER) END AS n_occurrences_validas
+FROM o LEFT JOIN tx ON tx.p_partkey = o.doc_id LEFT JOIN n ON n.species_key = o.doc_id
+"""
+
+ORACLE["incremental_upsert"] = "WITH " + _TAX + """,
+v AS (SELECT count(*) AS n FROM tx WHERE rejection_reason IS NULL)
+SELECT 1 AS run, 0 AS filas_antes, n AS filas_despues, n AS filas_nuevas, 0 AS filas_actualizadas FROM v
+UNION ALL SELECT 2, n, n, 0, n FROM v
+"""
+
+ORACLE["store_operations"] = "WITH " + _ORDER_BATCHES + """,
+k AS (SELECT o_orderkey FROM b1 UNION SELECT o_orderkey FROM b2)
+SELECT 'first_load' AS what, '0' AS value UNION ALL SELECT 'vacuumed', '2'
+UNION ALL SELECT 'lookup_status', (SELECT arg_max(o_orderstatus, b * 10 + ord) FROM (
+    SELECT *, 0 AS b FROM b1 UNION ALL SELECT *, 1 AS b FROM b2) WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders))
+UNION ALL SELECT 'count', (SELECT CAST(count(*) AS VARCHAR) FROM k) UNION ALL SELECT 'tables', 'orders'
+UNION ALL SELECT 'columns', 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderpriority'
+"""
+
+ORACLE["seed_halves"] = """
+WITH s AS (SELECT c_custkey AS species_key, row_number() OVER (ORDER BY c_custkey) - 1 AS i, count(*) OVER () AS n
+           FROM customer WHERE c_mktsegment = 'AUTOMOBILE')
+SELECT species_key, CAST(i // CAST(ceil(n / 2) AS BIGINT) + 1 AS INTEGER) AS batch_no FROM s
+"""
+
+ORACLE["page_urls"] = """
+SELECT p_partkey, 'https://wiki.example/' || replace(p_name, ' ', '_') AS url FROM part
+"""
+
+ORACLE["json_round_trip"] = """
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
+"""

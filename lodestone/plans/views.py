@@ -31,8 +31,9 @@ def taxonomy_view(t: Tables) -> DataFrame:
 
 
 def order_observations(t: Tables) -> DataFrame:
-    """Orders as observations of their customer: arrival order = order key."""
-    return t.orders.select("o_custkey", "o_orderkey", "o_orderpriority", "o_orderstatus",
+    """Orders from 2000 on as observations of their customer (some customers have none):
+    arrival order = order key."""
+    return t.orders.where(F.year("o_orderdate") >= 2000).select("o_custkey", "o_orderkey", "o_orderpriority", "o_orderstatus",
                            "o_orderdate")
 
 
@@ -250,6 +251,35 @@ def conversation_documents(t: Tables) -> DataFrame:
 VECTOR_DIM = 64  # of the driver's embeddings
 
 
+def resolved_pages(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Names, their resolution and landed page responses: the page of name ``doc-7`` is fetched
+    under its resolved title ``Page 7``.  Names of src8 are ambiguous, pages of src9 were never
+    landed, and pages of src10 were fetched twice, first with an error."""
+    d, key = t.documents, F.col("doc_id").cast("string")
+    name, title = F.concat(F.lit("doc-"), key), F.concat(F.lit("Page "), key)
+    ambiguous = F.col("source") == "src8"
+    resolution = d.select(
+        name.alias("name"), F.when(ambiguous, F.lit("AMBIGUOUS_RESOLUTION")).otherwise(F.lit("SUCCESS")).alias("status"),
+        F.when(~ambiguous, F.lit("SEARCH")).alias("resolved_via"), F.when(~ambiguous, title).alias("title"),
+        F.when(ambiguous, F.array(title, F.concat(title, F.lit(" (other)")))).alias("candidates"))
+    pr = page_responses(t).join(d.select("doc_id", "source"), "doc_id").where("source != 'src9'")
+    summary = pr.select(title.alias("title"), F.concat(F.lit("summary:"), title).alias("query"),
+                        F.col("summary_status").alias("status"), F.col("summary_data").alias("data"), "source")
+    extracts = pr.select(title.alias("title"), F.concat(F.lit("extracts:"), title).alias("query"),
+                         F.lit(200).alias("status"), F.col("extracts_data").alias("data"), "source")
+    return d.select(name.alias("name")), resolution, summary.unionByName(extracts)
+
+
+def occurrence_responses(t: Tables) -> DataFrame:
+    """Events as landed occurrence responses of their user's name, one record a page."""
+    o = occurrence_raw(t)
+    record = F.struct(*[F.col(c) for c in ("gbifID", "decimalLatitude", "decimalLongitude", "country", "eventDate",
+                                           "basisOfRecord", "iucnRedListCategory", "coordinateUncertaintyInMeters")])
+    name = F.concat(F.lit("doc-"), F.col("species_key").cast("string"))
+    return o.select(name.alias("name"), F.concat(name, F.lit("?offset="), F.col("event_id").cast("string")).alias("query"),
+                    F.lit(200).alias("status"), F.to_json(F.struct(F.array(record).alias("results"))).alias("data"))
+
+
 def vector_chunks(t: Tables) -> DataFrame:
     """Embeddings as chunk vectors: chunk id = vec_id, parent = label."""
     return t.embeddings.select("vec_id", "label", "embedding",

@@ -94,6 +94,9 @@ def test_occurrence_rules(spark):
 def test_no_silent_loss(spark):
     df = spark.createDataFrame([(1, 404, None), (2, 200, '{"matchType": "EXACT"}')],
                                "k int, status int, data string")
-    row = R.outcome_counts(VAL.validate_taxonomy(df, key="k"), "t").first()
+    checked = VAL.validate_taxonomy(df, key="k")
+    row = R.outcome_counts(df, checked, "t").first()
     assert (row.n_input, row.n_valid, row.n_rejected, row.balanced) == (2, 1, 1, True)
+    lost = R.outcome_counts(df, R.valid(checked), "t").first()
+    assert (lost.n_input, lost.balanced) == (2, False)
 
