@@ -580,3 +580,16 @@ SELECT p_partkey, 'https://wiki.example/' || replace(p_name, ' ', '_') AS url FR
 ORACLE["json_round_trip"] = """
 SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
 """
+
+ORACLE["batch_warehouse"] = "WITH " + _OCC + "," + _TAX + "," + _PAGES + """,
+names AS (SELECT doc_id FROM documents WHERE source <> 'src8'),
+m AS (SELECT count(*) AS n FROM pg WHERE source NOT IN ('src8', 'src9') AND rejection_reason IS NULL),
+c AS (SELECT 'silver_wikipedia' AS tabla, n FROM m
+      UNION ALL SELECT 'species_merged', n FROM m UNION ALL SELECT 'species_catalog', n FROM m
+      UNION ALL SELECT 'silver_gbif_taxonomy', count(*) FROM tx JOIN names ON p_partkey = doc_id
+                WHERE rejection_reason IS NULL
+      UNION ALL SELECT 'silver_gbif_occurrences', count(*) FROM occ_checked JOIN names ON species_key = doc_id
+                WHERE rejection_reason IS NULL)
+SELECT 1 AS run, tabla, 0 AS filas_antes, n AS filas_despues, n AS filas_nuevas, 0 AS filas_actualizadas FROM c
+UNION ALL SELECT 2, tabla, n, n, 0, n FROM c
+"""

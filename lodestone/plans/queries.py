@@ -549,11 +549,8 @@ from ..streaming.incremental import upsert_new_bronze  # noqa: E402
 from . import batch_run as BR  # noqa: E402
 
 
-@register("batch_silver")
-def q_batch_silver(spark, sf_dir):
-    """L1 / V5 / S6 one landed batch: pages under their resolved titles, taxonomy and occurrences
-    under the names; validated, merged, and exactly one outcome per name."""
-    t = Tables(spark, sf_dir)
+def _land_batch(spark, t: Tables) -> tuple[str, DataFrame, DataFrame]:
+    """A landed batch ``b1``: its folder, the names and their resolution."""
     names, resolution, pages = V.resolved_pages(t)
     root, name = _scratch(spark, "batch"), F.concat(F.lit("doc-"), F.col("p_partkey").cast("string"))
     # a failed first fetch of some pages lands before the good one
@@ -563,6 +560,14 @@ def q_batch_silver(spark, sf_dir):
     B.write_bronze(B.envelopes(pages, "wikipedia", group_col="title", queried_col="title"), root, "b1")
     B.write_bronze(B.envelopes(V.taxonomy_responses(t).withColumn("query", name), "gbif_taxonomy"), root, "b1")
     B.write_bronze(B.envelopes(V.occurrence_responses(t), "gbif_occurrence", queried_col="name"), root, "b1")
+    return root, names, resolution
+
+
+@register("batch_silver")
+def q_batch_silver(spark, sf_dir):
+    """V5 / S6 one landed batch: pages under their resolved titles, taxonomy and occurrences
+    under the names; validated, merged, and exactly one outcome per name."""
+    root, names, resolution = _land_batch(spark, Tables(spark, sf_dir))
     fr = BR.silver_frames(spark, names, root, "b1", resolution)
     checked, tax, occ = (cut_lineage(fr[k]) for k in ("pages", "taxonomy", "occurrences"))
     merged = BR.merged_frame(R.valid(checked), R.valid(tax), R.valid(occ))
@@ -575,6 +580,19 @@ def q_batch_silver(spark, sf_dir):
                                            F.col(R.REASON).alias("outcome"), *blank))
 
 
+@register("batch_warehouse")
+def q_batch_warehouse(spark, sf_dir):
+    """L1 / S5 / U2 / U5 the whole batch run twice: evidence of every warehouse table; the rerun
+    adds nothing."""
+    root, names, resolution = _land_batch(spark, Tables(spark, sf_dir))
+    store, out = _scratch(spark, "warehouse"), None
+    for run in (1, 2):
+        done = BR.run_batch(spark, names, root, store, "b1", resolution=resolution)
+        rows = done.evidence.select(F.lit(run).alias("run"), *U.EVIDENCE_COLUMNS)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @register("incremental_upsert")
 def q_incremental_upsert(spark, sf_dir):
     """L5 new landed files are validated and upserted; the same responses landed again add
