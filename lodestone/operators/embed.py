@@ -11,6 +11,7 @@ to a transformer model, only shape-, norm- and determinism-compatible.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,14 +42,14 @@ def hashing_encoder(dim: int = DEFAULT_DIM) -> Callable[[DataFrame, str, str], D
     return encode
 
 
-_MODELS: dict[int, object] = {}
+_MODELS: dict[str, object] = {}
 
 
 def model_encoder(factory: Callable[[], Callable[[list[str]], np.ndarray]], dim: int,
                   batch_size: int = 256) -> Callable[[DataFrame, str, str], DataFrame]:
     """Encoder backed by a model: ``factory()`` returns ``texts -> (n, dim)`` and is
     called once per Python worker process; vectors are L2-normalised float32."""
-    key = id(factory)
+    key = uuid.uuid4().hex  # of this encoder, also on workers that served others before
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

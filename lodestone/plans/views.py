@@ -2,7 +2,7 @@
 
 The operators are generic (key column, rule list, section map are parameters);
 these views bind them to the driver's tables.  Every view reads whole tables:
-no id subsets, no row caps.  Derived dirty values come from the data itself
+no id subsets, no row caps (batch search asks for every hundredth vector against all).  Derived dirty values come from the data itself
 (event types, sources, languages, value ranges), so the work grows with the data.
 """
 
@@ -202,8 +202,8 @@ def with_origin(t: Tables):
 CATALOG_SPLIT = "2024-01-16"
 
 
-# Heading titles given to conversation turns (some map to the same
-# canonical section, some to none).
+# Test input: heading titles given to conversation turns (some map to the same canonical
+# section, some to none).
 TURN_HEADINGS = ["Description and morphology", "Distribution and habitat", "Habitat", "Behavior",
                  "Diet and feeding", "Prey", "Reproduction", "Conservation status",
                  "Human interaction", "References", "Gallery", "Etymology", "Identity",
