@@ -41,8 +41,8 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
         enc = encoder(path)
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = enc.ids(text) + end
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text").to_pylist())):
+                ids += end
                 n = len(ids) // 4
                 stop = n % capacity or min(n, capacity)
                 start = piece = 0

@@ -63,24 +63,29 @@ class TokenFileWriter:
 
     def __init__(self, bits: int):
         self.bits, self.blocks, self.docs, self.starts = bits, [], [], []
-        self.n, self.rest = 0, np.empty(0, dtype="<u4")
+        self.n, self.rest, self.waiting = 0, [], 0
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         self.docs.append(_NULL_ID if doc_id is None else doc_id)
         self.starts.append(self.n)
-        got = np.frombuffer(ids, dtype="<u4")
-        self.n += len(got)
-        self.rest = np.concatenate([self.rest, got]) if len(self.rest) else got
-        full = len(self.rest) // BLOCK_IDS * BLOCK_IDS
-        for i in range(0, full, BLOCK_IDS):
-            self.blocks.append(pack_bits(self.rest[i:i + BLOCK_IDS], self.bits))
-        self.rest = self.rest[full:]
+        self.n += len(ids) // 4
+        self.rest.append(ids)
+        self.waiting += len(ids) // 4
+        if self.waiting >= BLOCK_IDS:
+            self._close(all_of_it=False)
+
+    def _close(self, all_of_it: bool) -> None:
+        """Pack whole blocks of what waits, and the rest of it as the last block."""
+        data = np.frombuffer(b"".join(self.rest), dtype="<u4")
+        stop = len(data) if all_of_it else len(data) // BLOCK_IDS * BLOCK_IDS
+        for i in range(0, stop, BLOCK_IDS):
+            self.blocks.append(pack_bits(data[i:min(i + BLOCK_IDS, stop)], self.bits))
+        self.rest, self.waiting = [data[stop:].tobytes()], len(data) - stop
 
     def write(self, uri: str) -> None:
         """Write under a name of this attempt, then rename: a lost or doubled task leaves one
         whole file with the same content."""
-        if len(self.rest):
-            self.blocks.append(pack_bits(self.rest, self.bits))
+        self._close(all_of_it=True)
         head = HEADER.size + 8 * (len(self.blocks) + 1) + 16 * len(self.docs)
         offsets = head + np.cumsum([0] + [len(b) for b in self.blocks], dtype="<i8")
         files, path = _filesystem(uri)
@@ -159,8 +164,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
                            ("n_ids", pa.int64()), ("n_docs", pa.int64())]))
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                writer.add(doc_id, enc.ids(text) + end)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text").to_pylist())):
+                writer.add(doc_id, ids + end)
                 if writer.n >= file_ids:
                     yield done()
                     writer, k = TokenFileWriter(bits), k + 1

@@ -1,68 +1,136 @@
 """Token ids of whole texts by a public tokenizer, each distinct word encoded once per task.
 
-The pre-tokenizer of the byte-level vocabularies never joins text across a single space that
-is followed by a character other than white space: that space begins a new piece.  So a text
-can be cut before every such space and the parts encoded one by one; a part seen before is
-looked up.  Texts holding a special token's string, where the cut is not safe, are encoded
-whole, and tokenizers of another kind are used without the cut.
+The pre-tokenizer of the byte-level vocabularies never joins text across a single space, which
+begins the next piece, or across a single line feed, which is a piece of its own, where both
+neighbours are no white space.  So such a text can be cut there and its parts looked up.  Parts
+not seen before are encoded together, as lines of one text, whose ids are cut again at the line
+feed's.  Texts with other white space, or with a special token's string, are encoded whole, and
+so is everything for tokenizers of another kind.
 """
 
 from __future__ import annotations
 
 import json
-import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-_OPEN = re.compile(r" (?:\s|\Z)")
-_CUT = re.compile(r" (?=\S)")
+#: White space other than the space and the line feed.
+_OTHER_SPACE = [chr(c) for c in (9, 11, 12, 13, *range(28, 32), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+_MARKS = ".,;:!?"
 
 
-class _Parts(dict):
-    """part -> its ids as little-endian 32-bit bytes; bounded, long parts are not kept."""
+def _plain(text: str) -> bool:
+    """Only single spaces and line feeds between words, none at the ends."""
+    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0] in " \n" or text[-1] in " \n":
+        return False
+    for c in _OTHER_SPACE:
+        if c in text:
+            return False
+    return True
 
-    def __init__(self, tokenizer, prefix: str, limit: int, longest: int = 48):
-        super().__init__()
-        self.tokenizer, self.prefix, self.limit, self.longest = tokenizer, prefix, limit, longest
 
-    def __missing__(self, part: str) -> bytes:
-        ids = self.tokenizer.encode(self.prefix + part, add_special_tokens=False).ids
-        value = np.array(ids, dtype="<u4").tobytes()
-        if len(part) <= self.longest:
-            if len(self) >= self.limit:
-                self.clear()
-            self[part] = value
-        return value
+def _bytes(ids: list[int]) -> bytes:
+    return np.array(ids, dtype="<u4").tobytes()
 
 
 class TextEncoder:
     """Encode texts with the tokenizer file at ``path`` (tokenizers library, no special tokens
-    added)."""
+    added).  Remembers at most about ``limit`` parts, none longer than ``longest``."""
 
-    def __init__(self, path: str, limit: int = 500_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, limit: int = 800_000, longest: int = 48):
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        # the same model for lines that are one piece each: no pattern to match
+        self._light = Tokenizer.from_file(path)
+        self._light.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.Split("\n", "isolated"), pre_tokenizers.ByteLevel(False, use_regex=False)])
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.specials = [t["content"] for t in spec.get("added_tokens") or []]
         pre = spec.get("pre_tokenizer") or {}
+        self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.cuts = (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
-                     and pre.get("use_regex", True) and not spec.get("normalizer"))
+                     and pre.get("use_regex", True) and not spec.get("normalizer") and len(self.line_feed) == 1)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self._inner = _Parts(self.tokenizer, " ", limit)
-        self._first = _Parts(self.tokenizer, "", limit // 10)
+        self.limit, self.longest = limit, longest
+        self._known: dict[str, bytes] = {}  # a part after a space, or with its line feed before it
+        self._long: list[str] = []  # parts not to be kept
+        self._marks = {m: self._whole(m) for m in _MARKS}
+
+    def _whole(self, text: str) -> bytes:
+        return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _learn(self, parts: set[str]) -> None:
+        known, marks = self._known, self._marks
+        missing = parts.difference(known)
+        # letters and one mark after them are pieces apart: the letters' ids are learnt once
+        marked = [m for m in missing if m[-1:] in marks and m[:-1].isalpha()]
+        missing.difference_update(marked)
+        missing.update({m[:-1] for m in marked}.difference(known))
+        words, others = [], []
+        for m in missing:
+            (words if m.isalpha() else others).append(m)  # letters alone are one piece
+        self._add(words, self._light)
+        self._add(others, self.tokenizer)
+        for m in marked:
+            known[m] = known[m[:-1]] + marks[m[-1]]
+        self._long += [m for m in missing if len(m) > self.longest]
+
+    def _add(self, names: list[str], tokenizer) -> None:
+        if not names:
+            return
+        known, feed = self._known, _bytes(self.line_feed)
+        lines = "\n".join([m[1:] if m[:1] == "\n" else " " + m for m in names])
+        ids = np.array(tokenizer.encode_batch_fast([lines], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = (4 * np.append(np.flatnonzero(ids == self.line_feed[0]), len(ids))).tolist()
+        data, start = ids.tobytes(), 0
+        for m, end in zip(names, ends, strict=True):
+            known[m] = feed + data[start:end] if m[:1] == "\n" else data[start:end]
+            start = end + 4
+
+    def _forget(self) -> None:
+        for m in self._long:
+            del self._known[m]
+        self._long.clear()
+        if len(self._known) > self.limit:
+            self._known.clear()
+
+    def _encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        cut: list[list[str] | None] = []
+        seen: set[str] = set()
+        for text in texts:
+            if not text or not self.cuts or not _plain(text) or any(s in text for s in self.specials):
+                cut.append(None)
+                continue
+            parts = f"\n{text}".replace("\n", " \n").split(" ")[1:]
+            seen.update(parts)
+            cut.append(parts)
+        self._learn(seen)
+        known = self._known.__getitem__
+        for text, parts in zip(texts, cut):
+            if parts is None:
+                yield self._whole(text) if text else b""
+            else:
+                yield b"".join(map(known, parts))[4:]  # less the line feed put before the text
+        self._forget()
+
+    def encode(self, texts: Iterable[str | None], most: int = 2_000_000) -> Iterator[bytes]:
+        """Each text's ids, 4 bytes each, little-endian; null and empty texts have none.  About
+        ``most`` characters are cut up at a time."""
+        held: list[str | None] = []
+        size = 0
+        for text in texts:
+            held.append(text)
+            size += len(text or "")
+            if size >= most:
+                yield from self._encode(held)
+                held, size = [], 0
+        yield from self._encode(held)
 
     def ids(self, text: str | None) -> bytes:
-        """The text's ids, 4 bytes each, little-endian; null and empty texts have none."""
-        if not text:
-            return b""
-        if not self.cuts or any(s in text for s in self.specials):
-            got = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(got, dtype="<u4").tobytes()
-        parts = _CUT.split(text) if _OPEN.search(text) else text.split(" ")
-        # a text that begins with a single space has an empty first part
-        head = self._first[parts[0]] if parts[0] else b""
-        return head + b"".join(map(self._inner.__getitem__, parts[1:]))
+        return next(self.encode([text]))
 
 
 _ENCODERS: dict[str, TextEncoder] = {}
