@@ -22,11 +22,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ship_package
+from .text import bounded_batches
 
 K = 20
 SAMPLE, MAX_LISTS, LIST_SIZE = 20_000, 1024, 400
 BOUNDARY, REPLICAS, RATIO = 0.05, 4, 0.2
-QUERY_BLOCK, LIST_BLOCK, HELD = 256, 1024, 20_000
+QUERY_BLOCK, LIST_BLOCK, HELD = 128, 512, 20_000
 FIRST = 2  # lists searched before the others
 
 
@@ -164,6 +165,7 @@ def nearest(vectors: DataFrame, is_query, k: int = K, ratio: float = RATIO, samp
     table gives no rows."""
     spark = vectors.sparkSession
     ship_package(spark)
+    bounded_batches(vectors, 64)  # a row of the search is a pair of blocks
     key = [F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(7), "embedding").alias("h2")]
     asks = usable(vectors.where(is_query)).select("vec_id").distinct().withColumn("asks", F.lit(True))
     rows = cut_lineage(usable(vectors).dropDuplicates(["vec_id", "embedding"]).join(asks, "vec_id", "left")
