@@ -2,7 +2,9 @@
 
 FP-growth (Spark's) finds the combinations of URL tokens and label that are frequent among the
 labelled URLs; the rules "tokens => block" and "tokens => allow" with enough confidence are
-kept, less those that a shorter rule of at least the same confidence already implies.  Each rule
+kept, less those that a shorter rule of at least the same confidence already implies.  Which of
+the fitting rules counts is decided by lift, the confidence over the base rate of the verdict:
+with mostly good labels nearly any token "allows" at the base rate, which says nothing.  Each rule
 is indexed under its rarest token, so a URL meets only rules one of whose tokens it has.
 """
 
@@ -63,12 +65,12 @@ def url_tokens(url: Column) -> Column:
 
 
 def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """(rule_id, tokens, verdict, confidence, support) from (tokens, bad); two marks cannot
+    """(rule_id, tokens, verdict, confidence, support, lift) from (tokens, bad); two marks cannot
     both hold, and equal rules cannot appear twice.  A rule needs ``support`` of the labelled
     URLs and ``LEAST_URLS`` of them at least."""
     mark = F.when(F.col("bad"), F.lit("label:block")).otherwise(F.lit("label:allow"))
     baskets = cut_lineage(labelled.where("bad is not null").select(F.array_append("tokens", mark).alias("items")))
-    schema = "rule_id long, tokens array<string>, verdict string, confidence double, support double"
+    schema = "rule_id long, tokens array<string>, verdict string, confidence double, support double, lift double"
     n = baskets.count()
     if n < LEAST_URLS:
         return labelled.sparkSession.createDataFrame([], schema)
@@ -77,30 +79,41 @@ def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float
     rules = cut_lineage(
         model.associationRules.where(F.size("consequent") == 1)
         .select(F.array_sort("antecedent").alias("tokens"), F.col("consequent")[0].alias("head"),
-                "confidence", "support")
+                "confidence", "support", "lift")
         .where(F.startswith("head", F.lit("label:")) & ~F.exists("tokens", lambda t: F.startswith(t, F.lit("label:"))))
-        .select("tokens", F.substring_index("head", ":", -1).alias("verdict"), "confidence", "support"))
+        .select("tokens", F.substring_index("head", ":", -1).alias("verdict"), "confidence", "support", "lift"))
     # a rule is implied by one with all but one of its tokens, the same verdict and no less confidence
     shorter = rules.select(F.col("tokens").alias("part"), F.col("verdict").alias("v"), F.col("confidence").alias("c"))
     parts = rules.select("tokens", "verdict", "confidence", F.explode(F.transform(
         F.col("tokens"), lambda t: F.array_remove(F.col("tokens"), t))).alias("part"))
     implied = (parts.join(shorter, "part").where("verdict = v and c >= confidence")
                .select("tokens", "verdict").distinct())
-    return (rules.join(implied, ["tokens", "verdict"], "left_anti")
+    # but not if it is an exception: to a rule with a part of its tokens, the other verdict and more lift
+    wider = rules.select(F.col("tokens")[0].alias("token"), F.col("tokens").alias("wide"),
+                         F.col("verdict").alias("other"), F.col("lift").alias("more"))
+    exceptions = (rules.select("tokens", "verdict", "lift", F.explode("tokens").alias("token")).join(wider, "token")
+                  .where((F.col("other") != F.col("verdict")) & (F.col("more") > F.col("lift"))
+                         & (F.size("wide") < F.size("tokens")) & (F.size(F.array_except("wide", "tokens")) == 0))
+                  .select("tokens", "verdict").distinct())
+    return (rules.join(implied.join(exceptions, ["tokens", "verdict"], "left_anti"), ["tokens", "verdict"], "left_anti")
             .withColumn("rule_id", F.xxhash64("tokens", "verdict")))
 
 
 def match_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """(row, verdict, confidence): the best fitting rule of each of ``pages`` (row, tokens)
-    that any rule fits: highest confidence, then support, then more tokens, then the rule id."""
+    that any rule fits.  A rule gives way to a fitting one with all its tokens and more; of the
+    others the one of the highest lift counts, then confidence, support, more tokens, the rule id."""
     df = pages.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
     listed = rules.select("rule_id", F.explode("tokens").alias("token"))
     index = (listed.join(df, "token").groupBy("rule_id").agg(F.min_by("token", F.struct("df", "token")).alias("token"))
              .join(rules.withColumnRenamed("tokens", "needs"), "rule_id"))
-    best = F.struct("confidence", "support", F.size("needs").alias("n"), "rule_id", "verdict")
+    rule = F.struct("lift", "confidence", "support", F.size("needs").alias("n"), "rule_id", "verdict", "needs")
+    narrower = lambda r: lambda q: (F.size(q["needs"]) > F.size(r["needs"])) & (
+        F.size(F.array_except(r["needs"], q["needs"])) == 0)
     return (pages.select("row", "tokens", F.explode("tokens").alias("token")).join(index, "token")
             .where(F.size(F.array_except("needs", "tokens")) == 0)
-            .groupBy("row").agg(F.max(best).alias("best"))
+            .groupBy("row").agg(F.collect_list(rule).alias("fit"))
+            .select("row", F.array_max(F.filter("fit", lambda r: ~F.exists("fit", narrower(r)))).alias("best"))
             .select("row", F.col("best.verdict").alias("verdict"), F.col("best.confidence").alias("confidence")))
 
 

@@ -196,6 +196,20 @@ def test_mined_rules_are_minimal(spark):
     assert rules == {(("host1:spam",), "block"), (("host1:fine",), "allow")}
 
 
+def test_block_rules_take_effect_among_clean_labels(spark):
+    """95 % of the labels are good; a rule of 0.8 for block still blocks, its exception still allows."""
+    rows = [(f"https://a.fine{i % 9}.org/{'about/' if i % 4 == 0 else ''}page{i}", False) for i in range(1000)]
+    rows += [(f"https://a.spam.org/win/p{i}", i % 5 != 0) for i in range(60)]
+    rows += [(f"https://a.spam.org/about/p{i}", i % 10 == 0) for i in range(10)]
+    marked = spark.createDataFrame(rows, "url string, bad boolean")
+    assert 0.94 < marked.where("not bad").count() / len(rows) < 0.96
+    pages = spark.createDataFrame([(1, "https://a.spam.org/win/new"), (2, "https://a.fine1.org/new"),
+                                   (3, "https://a.spam.org/about/new")], "page_id long, url string")
+    got = {r["page_id"]: (r["verdict"], r["confidence"]) for r in judge_urls(pages, marked, []).collect()}
+    assert got[1][0] == "block" and abs(got[1][1] - 0.8) < 1e-9
+    assert got[2][0] == "allow" and got[3][0] == "allow"
+
+
 def test_nearest_against_brute_force(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(1500, 16)) * rng.uniform(0.5, 2, (1500, 1))
