@@ -1,15 +1,18 @@
 """Personal data: base patterns, and terms that give protected values away.
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers.  Each value found is a
-protected entity.  Over the whole corpus three document counts are taken: of an entity, of a
+protected entity, and so is the domain of an address: what gives the domain away does so for all
+addresses there, each of which may occur once.  Over the whole corpus three document counts are taken: of an entity, of a
 term (a word) and of the term within ``REACH`` words of the entity.  The share of an entity's
 information that a term discloses is
 
     PMI(entity; term) / IC(entity),   IC = -log2 p(entity)
 
-(1: who sees the term knows the entity).  Terms at or over ``THRESHOLD``, seen with the entity
-in ``SUPPORT`` or more different texts, get spans too wherever they stand near the entity;
-sanitising generalises them (numbers) or removes them (words).
+(1: who sees the term knows the entity).  Terms at or over ``THRESHOLD`` get spans too wherever
+they stand near the entity, if the entity and the term meet in ``SUPPORT`` or more different texts
+or, in fewer, more often than chance lets any of the pairs (Bonferroni over all pairs, ``ALPHA``).
+Sanitising generalises them (numbers) or removes them (words).  A pair met in a single text is
+hardly ever over chance: each word that only this text has would disclose the value fully.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from .decontam import item_words
 from .text import U64, WordHash, bounded_batches, texts_of
 
 KINDS = ("email", "ip", "card", "phone", "term")
-REACH, SUPPORT, THRESHOLD = 8, 3, 0.8
+REACH, SUPPORT, THRESHOLD, ALPHA = 8, 3, 0.8, 0.05
 BITS = 1 << 22
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -89,9 +92,17 @@ def _entity(kind: str, value: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{kind}:{value}") - (1 << 63)
 
 
+def _entities(kind: str, value: str) -> list[int]:
+    """The ids a base span stands for: its value's and, of an e-mail address, its domain's."""
+    ids = [_entity(kind, value)]
+    if kind == "email":
+        ids.append(xxhash.xxh3_64_intdigest(f"domain:{value.rpartition('@')[2].lower()}") - (1 << 63))
+    return ids
+
+
 def contexts(text: str, spans: list[tuple[int, int, str]], reach: int = REACH) -> list[dict]:
     """The words within ``reach`` words of each base span, outside of all base spans, with the
-    span's entity: entity, term, start, end."""
+    span's entities, each: entity, term, start, end."""
     if not spans:
         return []
     taken = np.array([(a, b) for a, b, _ in spans])
@@ -104,10 +115,11 @@ def contexts(text: str, spans: list[tuple[int, int, str]], reach: int = REACH) -
             after.append(m.span())
             if len(after) == reach:
                 break
-        entity = _entity(kind, text[a:b])
+        entities = _entities(kind, text[a:b])
         for s, e in before + after:
             if not ((taken[:, 0] < e) & (s < taken[:, 1])).any():
-                out.append({"entity": entity, "term": text[s:e].translate(_LOWER), "start": s, "end": e})
+                term = text[s:e].translate(_LOWER)
+                out.extend({"entity": i, "term": term, "start": s, "end": e} for i in entities)
     return out
 
 
@@ -172,26 +184,46 @@ def _slots(terms: DataFrame) -> DataFrame:
     return terms.select("term").mapInArrow(run, "term string, slot long")
 
 
+def _chance(both, entity, term, texts):
+    """Bound of the probability that ``both`` or more of ``entity`` texts are among ``term`` texts
+    by chance: the expected number of sets of ``both`` such texts, of ``texts`` in all."""
+    return F.aggregate(F.sequence(F.lit(0).cast("long"), both - 1), F.lit(1.0), lambda acc, i: acc * (
+        (entity - i) / (i + 1)) * ((term - i) / (texts - i)))
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
-                     threshold: float = THRESHOLD) -> DataFrame:
+                     threshold: float = THRESHOLD, alpha: float = ALPHA) -> DataFrame:
     """(entity, term, disclosure) at or over the threshold.  Equal texts are first summed to
     one row with their number, so a large group of copies costs one row."""
     texts = (found.where(F.size("contexts") > 0).groupBy("key")
              .agg(F.count("*").alias("n"), F.first("contexts").alias("contexts")))
     near = texts.select("key", "n", F.explode("contexts").alias("c")).select(
         "key", "n", F.col("c.entity").alias("entity"), F.col("c.term").alias("term"))
-    entities = cut_lineage(near.select("key", "n", "entity").distinct()
-                           .groupBy("entity").agg(F.count("*").alias("texts"), F.sum("n").alias("n_entity"))
-                           .where(F.col("texts") >= support))
-    pairs = cut_lineage(near.join(entities.select("entity"), "entity", "left_semi").distinct()
-                        .groupBy("entity", "term").agg(F.count("*").alias("texts"), F.sum("n").alias("n_both"))
-                        .where(F.col("texts") >= support).drop("texts"))
-    df = document_frequency(docs, cut_lineage(_slots(pairs.select("term").distinct())))
+    entities = (near.select("key", "n", "entity").distinct()
+                .groupBy("entity").agg(F.count("*").alias("entity_texts"), F.sum("n").alias("n_entity")))
+    terms = (near.select("key", "n", "term").distinct()
+             .groupBy("term").agg(F.count("*").alias("near_texts"), F.sum("n").alias("n_near")))
+    met = cut_lineage(near.distinct().groupBy("entity", "term")
+                      .agg(F.count("*").alias("both"), F.sum("n").alias("n_both"))
+                      .join(entities, "entity").join(terms, "term"))
+    tests, different = max(met.count(), 1), F.lit(max(found.select("key").distinct().count(), 1))
     total = found.count()
-    p = F.col("n_entity") / F.lit(max(total, 1))
-    pmi = F.log2(F.col("n_both") * F.lit(float(max(total, 1))) / (F.col("n_entity") * F.col("df")))
-    return (pairs.join(entities.drop("texts"), "entity").join(df, "term")
-            .withColumn("disclosure", F.when(p < 1, pmi / -F.log2(p)).otherwise(F.lit(0.0)))
+
+    def enough(term_texts):
+        return F.when(F.col("both") >= support, F.lit(True)).otherwise(
+            _chance(F.col("both"), F.col("entity_texts"), term_texts, different) * tests <= alpha)
+
+    def disclosure(df):
+        p = F.col("n_entity") / F.lit(max(total, 1))
+        pmi = F.log2(F.col("n_both") * F.lit(float(max(total, 1))) / (F.col("n_entity") * df))
+        return F.when(p < 1, pmi / -F.log2(p)).otherwise(F.lit(0.0))
+
+    # a term is in as many texts as it has near any entity at least: pairs that fail even so go
+    pairs = cut_lineage(met.where(enough(F.col("near_texts")) & (disclosure(F.col("n_near")) >= threshold)))
+    df = document_frequency(docs, cut_lineage(_slots(pairs.select("term").distinct())))
+    # rows with the term, the copies of texts that have it near an entity counted once
+    term_texts = F.least(different, F.greatest("near_texts", F.col("df") - F.col("n_near") + F.col("near_texts")))
+    return (pairs.join(df, "term").where(enough(term_texts)).withColumn("disclosure", disclosure(F.col("df")))
             .where(F.col("disclosure") >= threshold).select("entity", "term", "disclosure"))
 
 
@@ -209,7 +241,8 @@ def personal_spans(docs: DataFrame, reach: int = REACH, support: int = SUPPORT,
     ignored): the base spans, and all spans with those of disclosing terms, as arrays of
     (kind, start, end) in code points, end exclusive, by start and kind.  ``key`` hashes the
     text.  Null and empty texts have no spans; null doc_ids stay; repeated rows get equal rows
-    and count as documents each, but as one text for ``support``; an empty table gives none."""
+    and count as documents each, but as one text for ``support`` and chance; an empty table gives
+    none."""
     docs = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                                         F.xxhash64("text").alias("key"))
     ship_package(docs.sparkSession)

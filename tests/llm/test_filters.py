@@ -84,6 +84,18 @@ def test_disclosing_terms(spark):
     assert "filler0" in clean[0]
 
 
+def test_terms_of_rare_values(spark):
+    """A value in two texts, and a domain whose addresses occur once each; copies are one text."""
+    rows = [(i, f"alpha{i} Zorvath ann@two.example.org beta{i}") for i in range(2)]
+    rows += [(10 + i, f"gamma{i} Blimpco user{i}@corp.example.com delta{i}") for i in range(5)]
+    rows += [(20 + i, "epsilon Quill one@solo.example.net zeta") for i in range(30)]
+    rows += [(100 + i, f"the quick brown fox{i} jumps over") for i in range(300)]
+    got = {r["doc_id"]: r["text"] for r in sanitised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == "alpha0  <EMAIL> beta0" and got[1] == "alpha1  <EMAIL> beta1"
+    assert all(got[10 + i] == f"gamma{i}  <EMAIL> delta{i}" for i in range(5))
+    assert got[20] == got[49] == "epsilon Quill <EMAIL> zeta" and got[100] == rows[-300][1]
+
+
 def test_pii_odd_rows(spark, odd_documents, no_documents):
     got = personal_spans(odd_documents).select("doc_id", *(count_kind("base", k).alias(k) for k in ("email", "ip", "card", "phone")))
     assert got.count() == odd_documents.count()
