@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +101,18 @@ def _entities(kind: str, value: str) -> list[int]:
     return ids
 
 
+def words_before(text: str, at: int, count: int) -> list[tuple[int, int]]:
+    """The last ``count`` words before ``at``, whole: the part looked at grows until it holds them."""
+    size = 64 * count
+    while True:
+        low = max(0, at - size)
+        # a word at the edge may go on before it
+        words = [m.span() for m in _WORD.finditer(text, low, at) if m.start() > low or low == 0]
+        if len(words) >= count or low == 0:
+            return words[-count:] if count else []
+        size *= 2
+
+
 def contexts(text: str, spans: list[tuple[int, int, str]], reach: int = REACH) -> list[dict]:
     """The words within ``reach`` words of each base span, outside of all base spans, with the
     span's entities, each: entity, term, start, end."""
@@ -108,13 +121,8 @@ def contexts(text: str, spans: list[tuple[int, int, str]], reach: int = REACH) -
     taken = np.array([(a, b) for a, b, _ in spans])
     out = []
     for a, b, kind in spans:
-        # words before are looked for in as much text as holds them, at most 64 characters each
-        before = [m.span() for m in _WORD.finditer(text, max(0, a - 64 * reach), a)][-reach:]
-        after = []
-        for m in _WORD.finditer(text, b, b + 64 * reach):
-            after.append(m.span())
-            if len(after) == reach:
-                break
+        before = words_before(text, a, reach)
+        after = [m.span() for m in islice(_WORD.finditer(text, b), reach)]
         entities = _entities(kind, text[a:b])
         for s, e in before + after:
             if not ((taken[:, 0] < e) & (s < taken[:, 1])).any():

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.ann import nearest
 from lodestone.llm.decontam import contamination
-from lodestone.llm.pii import base_spans, count_kind, personal_spans, sanitised, span_string
+from lodestone.llm.pii import base_spans, contexts, count_kind, personal_spans, sanitised, span_string
 from lodestone.llm.quality import isotonic, quality
 from lodestone.llm.toxicity import toxicity
 from lodestone.llm.url_rules import judge_urls, mine_rules, url_tokens
@@ -96,6 +96,17 @@ def test_terms_of_rare_values(spark):
     assert got[20] == got[49] == "epsilon Quill <EMAIL> zeta" and got[100] == rows[-300][1]
 
 
+def test_contexts_hold_whole_words_however_long():
+    for word, gap in (("é" * 300, " "), ("x" * 7, "=" * 400), ("long" * 200, " | ")):
+        words = [f"{word}{i}" for i in range(20)]
+        text = gap.join(words[:10]) + gap + "a@b.example.org" + gap + gap.join(words[10:])
+        got = {(c["start"], c["term"]) for c in contexts(text, base_spans(text))}
+        assert {t for _, t in got} == set(words[2:18])
+        assert all(text.startswith(t, s) for s, t in got)
+    dense = "a@b.de " * 2_000
+    assert contexts(dense, base_spans(dense)) == []
+
+
 def test_pii_odd_rows(spark, odd_documents, no_documents):
     got = personal_spans(odd_documents).select("doc_id", *(count_kind("base", k).alias(k) for k in ("email", "ip", "card", "phone")))
     assert got.count() == odd_documents.count()
