@@ -1,9 +1,9 @@
 """Corpus pipeline: the stages that turn raw ``documents`` into packed training sequences.
 
 Every stage takes all that the one before kept, reads it from a written table and returns the
-columns of ``documents``; the last returns the packed pieces.  Documents are identified by
-doc_id: rows that repeat one are reduced to one by the near-duplicate stage, rows without one
-pass every filter and are packed under a null id.
+columns of ``documents``; the last returns the packed pieces.  Every row is judged by its own
+text: stages that drop rows number them first, in a written table, so that rows without a doc_id
+or with a repeated one are dropped or kept one by one.
 """
 
 from __future__ import annotations
@@ -18,32 +18,46 @@ from lodestone.llm.near_dedup import near_duplicates
 from lodestone.llm.packing import packed_documents
 from lodestone.llm.pii import sanitised
 from lodestone.llm.toxicity import toxicity
-from lodestone.session import checkpoint_dir
+from lodestone.session import checkpoint_dir, cut_lineage
 from lodestone.sources.tables import read_table
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` less the rows whose doc_id is among ``rejected``."""
-    return docs.join(rejected.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_anti").select(
-        *docs.columns)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs``, written, with a number ``_row`` of each row."""
+    return cut_lineage(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
+def _by_row(rows: DataFrame) -> DataFrame:
+    """``rows`` under their number as doc_id."""
+    return rows.withColumn("doc_id", F.col("_row"))
+
+
+def _without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``rows`` less those whose number is among the doc_ids of ``rejected``."""
+    return rows.join(rejected.select(F.col("doc_id").alias("_row")), "_row", "left_anti").select(
+        *[c for c in rows.columns if c != "_row"])
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity chain rejects go."""
-    return _without(docs, toxicity(docs, read_table(spark, sf_dir, "labels")).where("toxic"))
+    """Rows that the toxicity chain rejects go."""
+    rows = _numbered(docs)
+    return _without(rows, toxicity(rows, read_table(spark, sf_dir, "labels"), row="_row").where("toxic"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, the one with the smallest doc_id; of
-    rows with one doc_id one stays."""
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return (_without(named, near_duplicates(named).where("not kept"))
-            .unionByName(docs.where("doc_id is null")))
+    """One row of each near-duplicate group stays, the one with the smallest doc_id, and of its
+    rows without a doc_id one more."""
+    rows = _numbered(docs)
+    group = near_duplicates(_by_row(rows)).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
+    first = (rows.select("_row", "doc_id").join(group, "_row").groupBy("_group", F.col("doc_id").isNull().alias("_null"))
+             .agg(F.min(F.struct("doc_id", "_row")).alias("first")).select("first._row"))
+    return rows.join(first, "_row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents contaminated by the benchmark go."""
-    return _without(docs, contamination(docs, read_table(spark, sf_dir, "benchmark")).where("contaminated"))
+    """Rows contaminated by the benchmark go."""
+    rows = _numbered(docs)
+    return _without(rows, contamination(_by_row(rows), read_table(spark, sf_dir, "benchmark")).where("contaminated"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -167,8 +167,9 @@ LANGUAGES = ("en", "de", "fr", "es")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
-             max_rows: int = MAX_ROWS) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, lang; other columns are ignored): doc_id, the
+             max_rows: int = MAX_ROWS, row: str = "doc_id") -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text, lang; other columns are ignored): doc_id (the
+    column ``row``, where rows have a key besides the doc_id that the labels know), the
     chain's probabilities toxic_en, toxic_de, toxic_fr, toxic_es and toxicity, and ``toxic``
     (toxicity at or over the threshold).
 
@@ -184,5 +185,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
     categories["toxicity"] = F.col("toxic") == 1
     chain = fit_chain(bounded_batches(named), marked, categories, max_rows)
     known = bool(len(chain.features))
-    return score_chain(docs, chain).withColumn(
+    return score_chain(docs.select(F.col(row).alias("doc_id"), "text"), chain).withColumn(
         "toxic", (F.col("toxicity") >= threshold) if known else F.lit(False))

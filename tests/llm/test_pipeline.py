@@ -43,6 +43,28 @@ def test_decisions_take_effect(spark):
     assert {r["doc_id"] for r in P.packing(spark, docs, SF001).collect()} == {1, 2, 3, 4, 5}
 
 
+def test_rows_are_judged_by_their_own_text(spark):
+    """Null and repeated doc_ids: each row's own text decides."""
+    def frame(rows):
+        return spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows],
+                                     "doc_id long, text string, lang string, source string, n_chars long")
+
+    def texts(df):
+        return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+
+    item = spark.read.parquet(f"{SF001}/benchmark.parquet").first()["text"]
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in ("plain", "other", "third"))
+    toxic = " ".join(f"q{i}" for i in range(40)) + " idiot moron scum stupid loser"
+    assert texts(P.decontamination(spark, frame([(None, item), (7, item), (7, a), (None, b)]), SF001)) == [(7, a), (None, b)]
+    got = P.near_dedup(spark, frame([(1, a), (1, b), (2, a + " tail"), (None, c), (None, c + " tail")]), SF001)
+    assert [(d, t.removesuffix(" tail")) for d, t in texts(got)] == [(1, b), (1, a), (None, c)]
+    far = 20_000_000  # no label of theirs
+    learn = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select(*COLUMNS)
+    kept = P.toxicity_filter(spark, learn.unionByName(frame([(None, toxic), (far, toxic), (far, a), (None, b)])),
+                             "/root/testdata/sf0.1")
+    assert texts(kept.where(f"doc_id is null or doc_id = {far}")) == [(far, a), (None, b)]
+
+
 def test_run(spark):
     packed = P.run(spark, SF001)
     assert 0 < packed.count() and packed.columns[:2] == ["doc_id", "piece"]
