@@ -12,6 +12,7 @@ from .near_dedup import near_duplicates
 from .packing import packed_documents
 from .pii import KINDS, count_kind, personal_spans, span_string
 from .quality import quality
+from .repair import damage, repair_conversations
 from .token_io import tokens_round_trip
 from .toxicity import toxicity
 from .url_rules import judge_urls
@@ -82,11 +83,24 @@ def op10_association_url_filter(spark, sf_dir):
     return judge_urls(pages, labelled.join(labels, "doc_id").select("url", "bad"), URL_RULES)
 
 
+def op13_auction_structure_repair(spark, sf_dir):
+    """All conversations, damaged; those without a row afterwards are all zero and empty."""
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    report, _ = repair_conversations(damage(rows))
+    every = rows.where("conv_id is not null").select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(report, "conv_id", "left").select(
+        "conv_id", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 REGISTRY = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_toxicity_classifier_chain, op3_chat_template_compiler,
     op4_posting_list_search, op5_information_theoretic_pii,
     op6_winnowing_decontamination, op7_fourier_quality, op8_vector_best_fit_packing,
-    op9_bit_packed_token_files, op10_association_url_filter)}
+    op9_bit_packed_token_files, op10_association_url_filter,
+    op13_auction_structure_repair)}
 
 # one statement over the planted rows and the table, escaped as the template escapes
 _OP3_SQL = r"""
