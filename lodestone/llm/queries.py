@@ -10,6 +10,7 @@ from .chat_template import formatted, read_back
 from .decontam import contamination, item_digest
 from .near_dedup import near_duplicates
 from .packing import packed_documents
+from .prefix_trie import conversation_turns, trie_nodes, with_shared_heads
 from .pii import KINDS, count_kind, personal_spans, span_string
 from .quality import quality
 from .repair import damage, repair_conversations
@@ -83,6 +84,12 @@ def op10_association_url_filter(spark, sf_dir):
     return judge_urls(pages, labelled.join(labels, "doc_id").select("url", "bad"), URL_RULES)
 
 
+def op12_range_minimum_prefix_trie(spark, sf_dir):
+    """The trie of all conversations, each rebuilt with the head of its hundred's first."""
+    turns = conversation_turns(read_table(spark, sf_dir, "conversations"))
+    return trie_nodes(with_shared_heads(turns))
+
+
 def op13_auction_structure_repair(spark, sf_dir):
     """All conversations, damaged; those without a row afterwards are all zero and empty."""
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -100,7 +107,7 @@ REGISTRY = {f.__name__: f for f in (
     op4_posting_list_search, op5_information_theoretic_pii,
     op6_winnowing_decontamination, op7_fourier_quality, op8_vector_best_fit_packing,
     op9_bit_packed_token_files, op10_association_url_filter,
-    op13_auction_structure_repair)}
+    op12_range_minimum_prefix_trie, op13_auction_structure_repair)}
 
 # one statement over the planted rows and the table, escaped as the template escapes
 _OP3_SQL = r"""
@@ -170,8 +177,96 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)"""
 
+# CRC-32 of an ASCII string: a list of bytes, each followed by eight shifts, folded
+def _crc32_sql(text: str) -> str:
+    steps = ", ".join(["-1"] * 8)
+    return f"""xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+    string_split({text}, ''), lambda c: [CAST(ascii(c) AS BIGINT), {steps}]))),
+    lambda c, v: CASE WHEN v >= 0 THEN xor(c, v) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"""
+
+
+# every prefix as a list of turns; a node's subtree by the prefixes of its smallest member
+_OP12_SQL = f"""
+WITH t AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS l
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, {_crc32_sql("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM t),
+r AS (
+  SELECT t.conv_id, list_concat(coalesce(b.l[1:h], []), t.l[h + 1:]) AS l
+  FROM t JOIN h USING (conv_id) LEFT JOIN t b ON b.conv_id = t.conv_id - t.conv_id % 100),
+p AS (SELECT conv_id, l, unnest(range(len(l) + 1)) AS d FROM r),
+k AS (SELECT conv_id, d, l[1:d] AS k, CASE WHEN d > 0 THEN length(l[d].x) ELSE 0 END AS chars, len(l) = d AS ended FROM p),
+n AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(CASE WHEN ended THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM k GROUP BY k, d),
+m AS (SELECT k.conv_id, k.d, n.conv_id AS node FROM k JOIN n ON n.k = k.k AND n.d = k.d),
+c AS (
+  SELECT m.node AS parent, m.d, count(*) AS n_children FROM n JOIN m ON m.conv_id = n.conv_id AND m.d = n.d - 1 GROUP BY ALL),
+w AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM n LEFT JOIN c ON c.parent = n.conv_id AND c.d = n.d),
+s AS (
+  SELECT m.node, m.d, count(*) FILTER (WHERE w.n_children = 0) AS n_leaves, sum((w.n_convs - 1) * w.chars) AS saved
+  FROM w JOIN m ON m.conv_id = w.conv_id AND m.d <= w.d GROUP BY ALL)
+SELECT w.conv_id, w.d AS depth, m.node AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM w JOIN s ON s.node = w.conv_id AND s.d = w.d LEFT JOIN m ON m.conv_id = w.conv_id AND m.d = w.d - 1"""
+
+# least (cost, audit) of every grammar state, row by row, with up to two inserts after each
+_OP13_SQL = rf"""
+WITH RECURSIVE g AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32_sql("CAST(conv_id AS VARCHAR) || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS what
+  FROM conversations WHERE conv_id IS NOT NULL),
+d AS (
+  SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN what = 1 THEN '' WHEN what = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN what = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM g WHERE what <> 0),
+o AS (SELECT *, row_number() OVER w - 1 AS pos, left(role, 1) AS i, lag(left(role, 1)) OVER w AS before
+  FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+f AS (
+  SELECT *, CASE WHEN regexp_full_match(text, '[ 	-]*') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+    WHEN right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?')
+    THEN 'truncated' ELSE '' END AS fault FROM o),
+ins(s, t, role) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+kept(s, i, t) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+more(s, t, cost, audit, turns) AS (
+  SELECT s, s, 0, '', CAST([] AS VARCHAR[]) FROM ins UNION ALL SELECT s, t, 2, 'I', [role || ':'] FROM ins
+  UNION ALL SELECT a.s, b.t, 4, 'II', [a.role || ':', b.role || ':'] FROM ins a JOIN ins b ON b.s = a.t),
+done AS (
+  SELECT f.conv_id, f.pos, ins.s, ins.s AS t, 3 AS cost, 'D' AS audit, CAST([] AS VARCHAR[]) AS turns FROM f, ins
+  UNION ALL SELECT conv_id, pos, s, t, CASE fault WHEN 'truncated' THEN 1 ELSE 0 END, 'K', [role || ':' || text]
+  FROM f JOIN kept USING (i) WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL SELECT conv_id, pos, s, t, CASE fault WHEN 'truncated' THEN 3 ELSE 2 END, 'R', [ins.role || ':' || text]
+  FROM f, ins WHERE fault NOT IN ('blank', 'duplicate')),
+step AS (
+  SELECT conv_id, pos, done.s, more.t, done.cost + more.cost AS cost, done.audit || more.audit AS audit,
+    list_concat(done.turns, more.turns) AS turns FROM done JOIN more ON more.s = done.t),
+path(conv_id, k, s, cost, audit, turns) AS (
+  SELECT c.conv_id, CAST(0 AS BIGINT), t, cost, audit, turns FROM (SELECT DISTINCT conv_id FROM f) c, more WHERE more.s = 0
+  UNION ALL SELECT conv_id, k, s, b.cost, b.audit, b.turns FROM (
+    SELECT path.conv_id, k + 1 AS k, step.t AS s, min({{'cost': path.cost + step.cost, 'audit': path.audit || step.audit,
+      'turns': list_concat(path.turns, step.turns)}}) AS b
+    FROM path JOIN step ON step.conv_id = path.conv_id AND step.pos = path.k AND step.s = path.s GROUP BY ALL)),
+n AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+b AS (
+  SELECT n.conv_id, min({{'cost': cost, 'audit': audit, 'turns': turns}}) AS b
+  FROM n JOIN path ON path.conv_id = n.conv_id AND path.k = n.n WHERE s IN (0, 3) GROUP BY n.conv_id)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(b.b.cost, 0) AS BIGINT) AS cost,
+  coalesce(b.b.audit, '') AS audit, sha256(coalesce(array_to_string(b.b.turns, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM g UNION SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL) a
+LEFT JOIN n USING (conv_id) LEFT JOIN b USING (conv_id)"""
+
 ORACLE: dict[str, str] = {
     "op1_minhash_near_dedup": _OP1_SQL,
     "op3_chat_template_compiler": _OP3_SQL,
     "op6_winnowing_decontamination": _OP6_SQL,
+    "op12_range_minimum_prefix_trie": _OP12_SQL,
+    "op13_auction_structure_repair": _OP13_SQL,
 }
