@@ -8,6 +8,7 @@ from ..sources.tables import read_table
 from .ann import nearest
 from .chat_template import formatted, read_back
 from .decontam import contamination, item_digest
+from .gated_lm import language_scores
 from .near_dedup import near_duplicates
 from .packing import packed_documents
 from .prefix_trie import conversation_turns, trie_nodes, with_shared_heads
@@ -84,6 +85,10 @@ def op10_association_url_filter(spark, sf_dir):
     return judge_urls(pages, labelled.join(labels, "doc_id").select("url", "bad"), URL_RULES)
 
 
+def op11_gated_language_model(spark, sf_dir):
+    return language_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op12_range_minimum_prefix_trie(spark, sf_dir):
     """The trie of all conversations, each rebuilt with the head of its hundred's first."""
     turns = conversation_turns(read_table(spark, sf_dir, "conversations"))
@@ -107,7 +112,7 @@ REGISTRY = {f.__name__: f for f in (
     op4_posting_list_search, op5_information_theoretic_pii,
     op6_winnowing_decontamination, op7_fourier_quality, op8_vector_best_fit_packing,
     op9_bit_packed_token_files, op10_association_url_filter,
-    op12_range_minimum_prefix_trie, op13_auction_structure_repair)}
+    op11_gated_language_model, op12_range_minimum_prefix_trie, op13_auction_structure_repair)}
 
 # one statement over the planted rows and the table, escaped as the template escapes
 _OP3_SQL = r"""
@@ -225,7 +230,8 @@ d AS (
 o AS (SELECT *, row_number() OVER w - 1 AS pos, left(role, 1) AS i, lag(left(role, 1)) OVER w AS before
   FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
 f AS (
-  SELECT *, CASE WHEN regexp_full_match(text, '[ 	-]*') THEN 'blank'
+  SELECT *, CASE WHEN regexp_full_match(text, '[ 	-
+]*') THEN 'blank'
     WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
     WHEN right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?')
     THEN 'truncated' ELSE '' END AS fault FROM o),
