@@ -17,6 +17,7 @@ words are joined with the counts on Spark.
 
 from __future__ import annotations
 
+import ctypes
 import heapq
 import math
 import uuid
@@ -34,7 +35,9 @@ from .text import shingle_words, texts_of
 
 CLASSES = MEMBERS = 64
 SIZE = HIDDEN = 16
-WINDOW, LANES, ROUNDS, RATE = 32, 128, 4, 0.02
+WINDOW, LANES, ROUNDS, RATE = 16, 512, 4, 0.04
+#: Windows that a lane of training has at least.
+LEAST_WINDOWS = 8
 HEAD = 1 << 18
 #: Distinct words that a task counts before it passes them on.
 COUNTED = 200_000
@@ -45,14 +48,27 @@ _NEVER = -1e4
 _LN10 = math.log(10)
 
 
+def _steady_heap() -> None:
+    """Let the C library keep freed memory of up to 64 MB for the next step's arrays (on others
+    than glibc nothing happens): handing it back and fetching it anew doubles a step's time."""
+    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
+    if mallopt is not None:
+        for option in (-1, -3):  # fixed values: trim and mmap thresholds
+            mallopt(option, 64 << 20)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
+def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(``x`` made exponentials, their sums) of logits less their maxima."""
     x -= x.max(axis=-1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=-1, keepdims=True))
-    return x
+    np.exp(x, out=x)
+    return x, x.sum(axis=-1, keepdims=True)
 
 
 class GatedModel:
@@ -89,89 +105,115 @@ class GatedModel:
         states before, ``fresh`` where a document begins.  ``keep`` takes what training needs."""
         steps, lanes, _ = x.shape
         out = np.empty((steps, lanes, HIDDEN), dtype=np.float32)
-        two, kept = 2 * HIDDEN, {k: [] for k in ("h", "z", "r", "n", "u")}
+        two = 2 * HIDDEN
+        if keep is not None:
+            keep.update({k: np.empty((steps, lanes, w), dtype=np.float32) for k, w in
+                         (("h", HIDDEN), ("gates", two), ("n", HIDDEN), ("u", HIDDEN))})
         for t in range(steps):
-            h = np.where(fresh[t][:, None], np.float32(0), h)
+            h = h * ~fresh[t][:, None]
             u = h @ self.state
-            gates = _sigmoid(x[t, :, :two] + u[:, :two])
-            z, r, u = gates[:, :HIDDEN], gates[:, HIDDEN:], u[:, two:]
-            n = np.tanh(x[t, :, two:] + r * u)
+            gates, u = u[:, :two], u[:, two:]
+            gates += x[t, :, :two]
+            _sigmoid(gates)
+            z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
+            n = r * u
+            n += x[t, :, two:]
+            np.tanh(n, out=n)
             if keep is not None:
-                for k, v in zip(kept, (h, z, r, n, u)):
-                    kept[k].append(v)
-            h = out[t] = n + z * (h - n)
-        if keep is not None:
-            keep.update({k: np.stack(v) for k, v in kept.items()})
+                for k, v in (("h", h), ("gates", gates), ("n", n), ("u", u)):
+                    keep[k][t] = v
+            h -= n
+            h *= z
+            h += n
+            out[t] = h
         return out
 
     def _output(self, states: np.ndarray, target: np.ndarray):
-        """(order of the tokens by class, states with a constant, class log-probabilities, member
-        log-probabilities, bounds of the classes), in that order."""
-        order = np.argsort(target >> BITS, kind="stable")
+        """(order of the tokens by class, bounds of the classes) and, in that order, the tokens'
+        members, states with a constant, and exponentials with their sums of classes and of
+        members."""
+        of = (target >> BITS).astype(np.uint8)
+        order = np.argsort(of, kind="stable")
         s = np.empty((len(target), HIDDEN + 1), dtype=np.float32)
         s[:, :-1], s[:, -1] = states[order], 1
-        bounds = np.searchsorted(target[order] >> BITS, np.arange(CLASSES + 1))
+        bounds = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=CLASSES))])
         members = np.empty((len(target), MEMBERS), dtype=np.float32)
-        for c in range(CLASSES):
-            if bounds[c] < bounds[c + 1]:
-                np.dot(s[bounds[c]:bounds[c + 1]], self.members[c], out=members[bounds[c]:bounds[c + 1]])
-        return order, s, _log_softmax(s @ self.classes), _log_softmax(members), bounds
+        for c in np.flatnonzero(np.diff(bounds)):
+            np.dot(s[bounds[c]:bounds[c + 1]], self.members[c], out=members[bounds[c]:bounds[c + 1]])
+        return order, bounds, target[order] & (MEMBERS - 1), s, _softmax(s @ self.classes), _softmax(members)
 
     def log_probabilities(self, states: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log-probability of every token, given the state before it."""
-        order, _, classes, members, _ = self._output(states, target)
-        t, at = target[order], np.arange(len(target))
+        order, bounds, member, _, (classes, c_sum), (members, m_sum) = self._output(states, target)
+        at = np.arange(len(target))
+        of = np.repeat(np.arange(CLASSES), np.diff(bounds))
+        least = np.float32(1e-37)
         out = np.empty(len(target))
-        out[order] = classes[at, t >> BITS].astype(np.float64) + members[at, t & (MEMBERS - 1)]
+        out[order] = (np.log(np.maximum(classes[at, of], least)) - np.log(c_sum[:, 0])
+                      + np.log(np.maximum(members[at, member], least)) - np.log(m_sum[:, 0]))
         return out
 
     def gradient(self, previous: np.ndarray, target: np.ndarray, weight: np.ndarray, h: np.ndarray):
-        """One window (steps, lanes): (mean loss of its tokens, gradient, states after it)."""
+        """One window (steps, lanes): (gradient of the mean loss of its tokens, states after it)."""
         steps, lanes = target.shape
         g = GatedModel(np.zeros(self.LENGTH, dtype=np.float32))
         e = np.ones((steps * lanes, SIZE + 1), dtype=np.float32)
-        e[:, :-1] = self.embed[previous.ravel()]
-        keep: dict = {}
-        out = self.run((e @ self.input).reshape(steps, lanes, -1), h, previous == END, keep)
-        flat_target = target.ravel()
-        order, s, classes, members, bounds = self._output(out.reshape(-1, HIDDEN), flat_target)
-        t, at, w = flat_target[order], np.arange(len(order)), weight.ravel()[order]
-        total = max(1.0, float(w.sum()))
-        loss = -float(((classes[at, t >> BITS] + members[at, t & (MEMBERS - 1)]) * w).sum()) / total
-        w = (w / total)[:, None].astype(np.float32)
-        dc, dm = np.exp(classes) * w, np.exp(members) * w
-        dc[at, t >> BITS] -= w[:, 0]
-        dm[at, t & (MEMBERS - 1)] -= w[:, 0]
-        g.classes[:] = s.T @ dc
-        ds = dc @ self.classes.T
-        for c in range(CLASSES):
+        before = previous.ravel()
+        e[:, :-1] = self.embed[before]
+        fresh, keep = previous == END, {}
+        out = self.run((e @ self.input).reshape(steps, lanes, -1), h, fresh, keep)
+        order, bounds, member, s, (dc, c_sum), (dm, m_sum) = self._output(out.reshape(-1, HIDDEN), target.ravel())
+        w = weight.ravel()[order][:, None] / max(1.0, float(weight.sum()))
+        dc *= w / c_sum
+        dm *= w / m_sum
+        at = np.arange(len(order))
+        dm[at, member] -= w[:, 0]
+        present = np.flatnonzero(np.diff(bounds))
+        for c in present:
+            dc[bounds[c]:bounds[c + 1], c] -= w[bounds[c]:bounds[c + 1], 0]
+        np.dot(s.T, dc, out=g.classes)
+        ds = dc @ self.classes[:-1].T
+        for c in present:
             own = slice(bounds[c], bounds[c + 1])
-            if bounds[c] < bounds[c + 1]:
-                np.dot(s[own].T, dm[own], out=g.members[c])
-                ds[own] += dm[own] @ self.members[c].T
+            np.dot(s[own].T, dm[own], out=g.members[c])
+            ds[own] += dm[own] @ self.members[c, :-1].T
         dout = np.empty((steps * lanes, HIDDEN), dtype=np.float32)
-        dout[order] = ds[:, :-1]
+        dout[order] = ds
         dout = dout.reshape(steps, lanes, HIDDEN)
-        dx = np.empty((steps, lanes, 3 * HIDDEN), dtype=np.float32)
-        du = np.empty_like(dx)
-        carry, two = np.zeros((lanes, HIDDEN), dtype=np.float32), 2 * HIDDEN
+        # all steps at once: the factors that the way back multiplies
+        two = 2 * HIDDEN
+        z, r, n = keep["gates"][:, :, :HIDDEN], keep["gates"][:, :, HIDDEN:], keep["n"]
+        to_n = (1 - z) * (1 - n * n)
+        to_gates = np.concatenate([(keep["h"] - n) * z * (1 - z), to_n * keep["u"] * r * (1 - r)], axis=2)
+        du = np.empty((steps, lanes, 3 * HIDDEN), dtype=np.float32)
+        dn = np.empty((steps, lanes, HIDDEN), dtype=np.float32)
+        carry, back = np.zeros((lanes, HIDDEN), dtype=np.float32), np.ascontiguousarray(self.state.T)
         for k in range(steps - 1, -1, -1):
-            before, z, r, n, u = (keep[c][k] for c in ("h", "z", "r", "n", "u"))
-            d = dout[k] + carry
-            dn = d * (1 - z) * (1 - n * n)
-            dx[k, :, :HIDDEN] = d * (before - n) * z * (1 - z)
-            dx[k, :, HIDDEN:two] = dn * u * r * (1 - r)
-            dx[k, :, two:] = dn
-            du[k, :, :two], du[k, :, two:] = dx[k, :, :two], dn * r
-            carry = np.where((previous[k] == END)[:, None], np.float32(0), d * z + du[k] @ self.state.T)
-        g.state[:] = keep["h"].reshape(-1, HIDDEN).T @ du.reshape(-1, 3 * HIDDEN)
-        dx = dx.reshape(-1, 3 * HIDDEN)
-        g.input[:] = e.T @ dx
-        de = dx @ self.input[:-1].T
-        by = np.argsort(previous.ravel(), kind="stable")
-        ids, first = np.unique(previous.ravel()[by], return_index=True)
-        g.embed[ids] = np.add.reduceat(de[by], first)
-        return loss, g.flat, out[-1]
+            carry += dout[k]
+            np.multiply(carry, to_n[k], out=dn[k])
+            np.multiply(np.tile(carry, 2), to_gates[k], out=du[k, :, :two])
+            np.multiply(dn[k], r[k], out=du[k, :, two:])
+            carry *= z[k]
+            carry += du[k] @ back
+            carry *= ~fresh[k][:, None]
+        flat = du.reshape(-1, 3 * HIDDEN)
+        np.dot(keep["h"].reshape(-1, HIDDEN).T, flat, out=g.state)
+        du[:, :, two:] = dn  # the inputs reach the candidate past the reset gate
+        np.dot(e.T, flat, out=g.input)
+        de = flat @ self.input[:-1].T
+        by = np.argsort(before.astype(np.uint16), kind="stable")
+        ids = before[by]
+        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        g.embed[ids[first]] = np.add.reduceat(de[by], first)
+        return g.flat, out[-1]
+
+
+def loss_of(model: GatedModel, previous: np.ndarray, target: np.ndarray, weight: np.ndarray, h: np.ndarray) -> float:
+    """The mean loss that ``GatedModel.gradient`` descends."""
+    x = model.embed[previous] @ model.input[:-1] + model.input[-1]
+    states = model.run(x, h, previous == END)
+    lp = model.log_probabilities(states.reshape(-1, HIDDEN), target.ravel())
+    return -float((lp * weight.ravel()).sum()) / max(1.0, float(weight.sum()))
 
 
 class Lanes:
@@ -209,28 +251,44 @@ def _documents(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 
 def train_on(model: GatedModel, batches: Iterator[list[np.ndarray]], rate: float) -> int:
-    """Adam steps over all documents; returns the number of tokens."""
+    """Adam steps over all documents; returns the number of tokens.  A batch is one stream of
+    tokens, cut into lanes of equal length."""
     first, second, step, tokens = np.zeros_like(model.flat), np.zeros_like(model.flat), 0, 0
     for documents in batches:
         if not documents:
             continue
-        lanes = Lanes(documents, LANES)
-        h = np.zeros((len(lanes.size), HIDDEN), dtype=np.float32)
-        for t, previous, target in lanes.windows(WINDOW):
-            weight = (t + np.arange(len(target))[:, None] < lanes.size[:target.shape[1]]).astype(np.float32)
-            _, g, h = model.gradient(previous, target, weight, h[:target.shape[1]])
+        stream = np.concatenate(documents)
+        lanes = max(1, min(LANES, len(stream) // (WINDOW * LEAST_WINDOWS)))
+        size = -(-len(stream) // lanes)
+        ids = np.full(lanes * size, END, dtype=np.int64)
+        ids[:len(stream)] = stream
+        ids = np.ascontiguousarray(ids.reshape(lanes, size).T)
+        weight = (np.arange(lanes * size).reshape(lanes, size).T < len(stream)).astype(np.float32)
+        before = np.concatenate([np.concatenate([[END], ids[-1, :-1]])[None], ids[:-1]])
+        h = np.zeros((lanes, HIDDEN), dtype=np.float32)
+        for t in range(0, size, WINDOW):
+            g, h = model.gradient(before[t:t + WINDOW], ids[t:t + WINDOW], weight[t:t + WINDOW], h)
             norm = float(np.sqrt(g @ g))
             if norm > 1:
                 g /= norm
             step += 1
-            first += 0.1 * (g - first)
-            second += 0.01 * (g * g - second)
-            model.flat -= (rate * math.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step)) * first / (np.sqrt(second) + 1e-7)
-        tokens += int(lanes.size.sum())
+            g2 = g * g
+            g2 -= second
+            g2 *= 0.01
+            second += g2
+            g -= first
+            g *= 0.1
+            first += g
+            np.sqrt(second, out=g)
+            g += 1e-7
+            np.divide(first, g, out=g)
+            g *= rate * math.sqrt(1 - 0.99 ** step) / (1 - 0.9 ** step)
+            model.flat -= g
+        tokens += len(stream)
     return tokens
 
 
-def document_scores(model: GatedModel, documents: list[np.ndarray], lanes: int = 256, steps: int = 64) -> np.ndarray:
+def document_scores(model: GatedModel, documents: list[np.ndarray], lanes: int = 512, steps: int = WINDOW) -> np.ndarray:
     """log10 probability of every document; the state is carried through all of it."""
     out = np.zeros(len(documents))
     if not documents:
@@ -371,6 +429,7 @@ def _mean_weights(documents: DataFrame, model: GatedModel, rate: float) -> Gated
     bounds = np.linspace(0, GatedModel.LENGTH, SLICES + 1).astype(int)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _steady_heap()
         own = GatedModel(start.value.copy())
         tokens = train_on(own, map(_documents, batches), rate)
         if tokens:
@@ -444,6 +503,7 @@ def language_scores(docs: DataFrame, held_out: Column | None = None, rounds: int
     trained = spark.sparkContext.broadcast(model.flat)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _steady_heap()
         own = GatedModel(trained.value)
         for batch in batches:
             scores = document_scores(own, _documents(batch))
