@@ -64,11 +64,26 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(``x`` made exponentials, their sums) of logits less their maxima."""
-    x -= x.max(axis=-1, keepdims=True)
+_ONES = np.ones((CLASSES + MEMBERS, 1), dtype=np.float32)
+#: Weights whose logits can spread wider than this are not bounded by their sums.
+_SPREAD = 40.0
+
+
+def _bounded(weights: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Output weights (.., HIDDEN + 1, n), the last row the bias, with biases lowered so that no
+    logit is over 0: states are within [-1, 1].  False if logits could then be too small."""
+    reach = np.abs(weights[..., :-1, :]).sum(axis=-2)
+    lowered = weights.copy()
+    lowered[..., -1, :] -= (weights[..., -1, :] + reach).max(axis=-1, keepdims=True)
+    return lowered, bool(reach.max() < _SPREAD / 2)
+
+
+def _softmax(x: np.ndarray, bounded: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(``x`` made exponentials, their sums) of logits."""
+    if not bounded:
+        x -= x.max(axis=-1, keepdims=True)
     np.exp(x, out=x)
-    return x, x.sum(axis=-1, keepdims=True)
+    return x, x @ _ONES[:x.shape[1]]
 
 
 class GatedModel:
@@ -128,7 +143,7 @@ class GatedModel:
             out[t] = h
         return out
 
-    def _output(self, states: np.ndarray, target: np.ndarray):
+    def _output(self, states: np.ndarray, target: np.ndarray, output=None):
         """(order of the tokens by class, bounds of the classes) and, in that order, the tokens'
         members, states with a constant, and exponentials with their sums of classes and of
         members."""
@@ -138,13 +153,21 @@ class GatedModel:
         s[:, :-1], s[:, -1] = states[order], 1
         bounds = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=CLASSES))])
         members = np.empty((len(target), MEMBERS), dtype=np.float32)
+        if output is None:
+            output = self.output()
+        (to_classes, c_bounded), (to_members, m_bounded) = output
         for c in np.flatnonzero(np.diff(bounds)):
-            np.dot(s[bounds[c]:bounds[c + 1]], self.members[c], out=members[bounds[c]:bounds[c + 1]])
-        return order, bounds, target[order] & (MEMBERS - 1), s, _softmax(s @ self.classes), _softmax(members)
+            np.dot(s[bounds[c]:bounds[c + 1]], to_members[c], out=members[bounds[c]:bounds[c + 1]])
+        return (order, bounds, target[order] & (MEMBERS - 1), s, _softmax(s @ to_classes, c_bounded),
+                _softmax(members, m_bounded))
+
+    def output(self):
+        """The output weights as ``_output`` uses them."""
+        return _bounded(self.classes), _bounded(self.members)
 
-    def log_probabilities(self, states: np.ndarray, target: np.ndarray) -> np.ndarray:
+    def log_probabilities(self, states: np.ndarray, target: np.ndarray, output=None) -> np.ndarray:
         """Natural log-probability of every token, given the state before it."""
-        order, bounds, member, _, (classes, c_sum), (members, m_sum) = self._output(states, target)
+        order, bounds, member, _, (classes, c_sum), (members, m_sum) = self._output(states, target, output)
         at = np.arange(len(target))
         of = np.repeat(np.arange(CLASSES), np.diff(bounds))
         least = np.float32(1e-37)
@@ -296,11 +319,11 @@ def document_scores(model: GatedModel, documents: list[np.ndarray], lanes: int =
     dealt = Lanes(documents, lanes)
     to_gates = model.embed @ model.input[:-1] + model.input[-1]
     h = np.zeros((len(dealt.size), HIDDEN), dtype=np.float32)
-    known = np.empty(dealt.ids.shape, dtype=np.float32)
+    known, output = np.empty(dealt.ids.shape, dtype=np.float32), model.output()
     for t, previous, target in dealt.windows(steps):
         states = model.run(to_gates[previous], h[:target.shape[1]], previous == END)
         known[t:t + len(target), :target.shape[1]] = model.log_probabilities(
-            states.reshape(-1, HIDDEN), target.ravel()).reshape(target.shape)
+            states.reshape(-1, HIDDEN), target.ravel(), output).reshape(target.shape)
         h = states[-1]
     for j, own in enumerate(dealt.documents):
         begins = np.cumsum([0] + [len(documents[d]) for d in own])[:-1]
