@@ -21,17 +21,16 @@ import ctypes
 import heapq
 import math
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, cut_lineage, ship_package
-from .text import shingle_words, texts_of
 
 CLASSES = MEMBERS = 64
 SIZE = HIDDEN = 16
@@ -39,13 +38,12 @@ WINDOW, LANES, ROUNDS, RATE = 16, 512, 4, 0.04
 #: Windows that a lane of training has at least.
 LEAST_WINDOWS = 8
 HEAD = 1 << 18
-#: Distinct words that a task counts before it passes them on.
-COUNTED = 200_000
 END, UNKNOWN = 0, 1
 ADD = 0.1
 BITS = MEMBERS.bit_length() - 1  # a token's class is id >> BITS
 _NEVER = -1e4
 _LN10 = math.log(10)
+_END_HASH = xxhash.xxh64_intdigest(b"", seed=42)  # Spark's xxhash64 of the empty word
 
 
 def _steady_heap() -> None:
@@ -334,23 +332,24 @@ def document_scores(model: GatedModel, documents: list[np.ndarray], lanes: int =
 # --- on Spark ---------------------------------------------------------------------------
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts -> (word, count); the end of a text is the empty word."""
-    counts: Counter[bytes] = Counter()
+def words_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(text of each word, its place among the distinct words, the distinct words) of a batch of
+    texts: words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, in order; null texts have none."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(batch.column("text"), "")))
+    flat = lists.flatten()
+    text = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    real = pc.not_equal(flat, "")  # white space at either end makes empty words
+    words = flat.filter(real).dictionary_encode()
+    return text[real.to_numpy(zero_copy_only=False)], words.indices.to_numpy(), words.dictionary.cast(pa.binary())
 
-    def rows():
-        out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()),
-                                          pa.array(list(counts.values()), pa.int64())], ["word", "n"])
-        counts.clear()
-        return out
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts -> (word, count); the end of a text is the empty word."""
     for batch in batches:
-        for text in texts_of(batch):
-            counts.update(shingle_words(text))
-            counts[b""] += 1
-            if len(counts) > COUNTED:
-                yield rows()
-    yield rows()
+        _, place, distinct = words_of(batch)
+        counts = np.append(np.bincount(place, minlength=len(distinct)), batch.num_rows)
+        yield pa.RecordBatch.from_arrays(
+            [pa.concat_arrays([distinct, pa.array([b""], pa.binary())]), pa.array(counts, pa.int64())], ["word", "n"])
 
 
 class Vocabulary:
@@ -358,10 +357,9 @@ class Vocabulary:
 
     def __init__(self, hashes: np.ndarray, counts: np.ndarray, n: int, v: int):
         self.n, self.v = n, v
-        end_hash = np.uint64(xxhash.xxh64_intdigest(b"", seed=42))
         order = np.lexsort((hashes, -counts))
         hashes, counts = hashes[order], counts[order]
-        ends = hashes == end_hash
+        ends = hashes == np.uint64(_END_HASH)
         self.hashes, self.counts = hashes, counts
         self.ids = np.full(len(hashes), UNKNOWN, dtype=np.uint16)
         words = np.flatnonzero(~ends)[:CLASSES * MEMBERS - 2]
@@ -382,25 +380,6 @@ class Vocabulary:
         return self.unknown_n + ADD * (self.unknown_v + 1)
 
 
-class _HeadIndex(dict):
-    """word -> its place among the head words, -1 for others; forgets beyond ``limit`` words."""
-
-    limit = 300_000
-
-    def __init__(self, hashes: np.ndarray):
-        super().__init__()
-        self._of = dict(zip(hashes.tolist(), range(len(hashes))))
-
-    def __missing__(self, word: bytes) -> int:
-        at = self[word] = self._of.get(xxhash.xxh64_intdigest(word, seed=42), -1)
-        return at
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.limit:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
-
-
 ENCODED = ("doc_id long, held_out boolean, part int, n_tokens long, head_known long, head_base double, "
            "head_unknown double, ids binary, rare array<struct<word: binary, tf: long>>")
 
@@ -409,34 +388,47 @@ def _encoder(shared):
     """Texts -> ids in the model's vocabulary, sums over the head words, and the other words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary: Vocabulary = shared.value
-        index = _HeadIndex(vocabulary.hashes)
-        base = np.log10((vocabulary.counts + ADD) / vocabulary.base_total)
-        share = np.where(vocabulary.ids == UNKNOWN, np.log10((vocabulary.counts + ADD) / vocabulary.unknown_total), 0.0)
+        v: Vocabulary = shared.value
+        place_of = dict(zip(v.hashes.tolist(), range(len(v.hashes))))
+        base = np.log10((v.counts + ADD) / v.base_total)
+        share = np.where(v.ids == UNKNOWN, np.log10((v.counts + ADD) / v.unknown_total), 0.0)
+        end = place_of.get(_END_HASH, -1)
         for batch in batches:
-            tokens, sums, ids, offsets, words, tf = [], [], [], [0], [], []
-            for text in texts_of(batch):
-                own = shingle_words(text)
-                own.append(b"")
-                at = index.of(own)
-                known = at >= 0
-                inside = at[known]
-                of_model = np.full(len(own), UNKNOWN, dtype=np.uint16)
-                of_model[known] = vocabulary.ids[inside]
-                of_model[-1] = END
-                rare = Counter(own[i] for i in np.flatnonzero(~known))
-                tokens.append(len(own))
-                sums.append((len(inside), base[inside].sum(), share[inside].sum()))
-                ids.append(of_model.tobytes())
-                words += rare.keys()
-                tf += rare.values()
-                offsets.append(len(words))
-            flat = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(tf, pa.int64())], ["word", "tf"])
+            rows = batch.num_rows
+            text, place, distinct = words_of(batch)
+            head = np.fromiter((place_of.get(xxhash.xxh64_intdigest(w, seed=42), -1) for w in distinct.to_pylist()),
+                               dtype=np.int64, count=len(distinct))
+            at = head[place]
+            known = at >= 0
+            of, inside = text[known], at[known]
+            n_words = np.bincount(text, minlength=rows)
+            sums = [np.bincount(of, weights=w, minlength=rows) for w in (None, base[inside], share[inside])]
+            if end >= 0:
+                sums[0], sums[1] = sums[0] + 1, sums[1] + base[end]
+            # the ids of all texts one after the other, each closed by the end
+            ids = np.full(len(text) + rows, END, dtype=np.uint16)
+            of_word = np.full(len(text), UNKNOWN, dtype=np.uint16)
+            of_word[known] = v.ids[inside]
+            ids[np.arange(len(text)) + text] = of_word
+            starts = np.concatenate([[0], np.cumsum(n_words + 1)])
+            # other words: one entry a text and word, with its number
+            pairs, tf = np.unique(text[~known] * max(1, len(distinct)) + place[~known], return_counts=True)
+            of_pair, word = np.divmod(pairs, max(1, len(distinct)))
+            entries = np.bincount(of_pair, minlength=rows)
+            words, number = distinct.take(pa.array(word)), tf
+            if end < 0:  # the end is a word like others, the last of its text
+                after = np.cumsum(entries)
+                words = pa.concat_arrays([words, pa.array([b""], pa.binary())]).take(
+                    pa.array(np.insert(np.arange(len(word)), after, len(word))))
+                number, entries = np.insert(tf, after, 1), entries + 1
+            rare = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum(entries)]), pa.int32()),
+                pa.StructArray.from_arrays([words, pa.array(number, pa.int64())], ["word", "tf"]))
+            packed = pa.Array.from_buffers(pa.binary(), rows, [
+                None, pa.py_buffer((2 * starts).astype(np.int32)), pa.py_buffer(ids)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), batch.column("part"), pa.array(tokens, pa.int64()),
-                 pa.array([s[0] for s in sums], pa.int64()), pa.array([s[1] for s in sums], pa.float64()),
-                 pa.array([s[2] for s in sums], pa.float64()), pa.array(ids, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)],
+                [batch.column("doc_id"), batch.column("held_out"), batch.column("part"), pa.array(n_words + 1, pa.int64()),
+                 pa.array(sums[0], pa.int64()), pa.array(sums[1], pa.float64()), pa.array(sums[2], pa.float64()), packed, rare],
                 ["doc_id", "held_out", "part", "n_tokens", "head_known", "head_base", "head_unknown", "ids", "rare"])
 
     return run

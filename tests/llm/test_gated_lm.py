@@ -36,6 +36,19 @@ def same(got, want):
     assert np.allclose([g[5] for g in got], [w[5] for w in want], rtol=1e-9)
 
 
+def test_words_are_those_of_the_pattern():
+    import re
+
+    import pyarrow as pa
+    texts = ["", None, " ", "A b\tC\nd\x0be\x0cf\rg", "  É İ ẞ a\u00a0b \u2003x\x1cy ", "\x85q", "one", "ONE  one\n", "é" * 3000]
+    text, place, distinct = G.words_of(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]).slice(1))
+    got = [[] for _ in texts[1:]]
+    for t, p in zip(text, place):
+        got[t].append(distinct[int(p)].as_py().decode())
+    lower = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
+    assert got == [re.findall("[^\x20\x09-\x0D]+", lower(t or "")) for t in texts[1:]]
+
+
 def test_gradient_by_differences():
     rng = np.random.default_rng(0)
     m = G.GatedModel.from_counts(rng.integers(1, 50, 700).astype(float))
@@ -109,12 +122,12 @@ def test_query_equals_brute_force(spark, sf):
         assert sum(r[6] for r in held) > sum(r[5] for r in held)
 
 
-def test_small_head_leaves_results_alone(spark, monkeypatch):
-    """Nearly all words through the join."""
+@pytest.mark.parametrize("head", [0, 5])
+def test_small_head_leaves_results_alone(spark, monkeypatch, head):
+    """All or nearly all words through the join."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = docs.select("doc_id", "text").collect()
-    monkeypatch.setattr(G, "HEAD", 5)
-    monkeypatch.setattr(G, "COUNTED", 10)
+    monkeypatch.setattr(G, "HEAD", head)
     got = [tuple(r[c] for c in COLUMNS) for r in G.language_scores(docs, rounds=1).collect()]
     same(got, brute_base(rows))
 
