@@ -226,8 +226,10 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
         pmi = F.log2(F.col("n_both") * F.lit(float(max(total, 1))) / (F.col("n_entity") * df))
         return F.when(p < 1, pmi / -F.log2(p)).otherwise(F.lit(0.0))
 
-    # a term is in as many texts as it has near any entity at least: pairs that fail even so go
-    pairs = cut_lineage(met.where(enough(F.col("near_texts")) & (disclosure(F.col("n_near")) >= threshold)))
+    # a term is in as many texts as it has near any entity at least: pairs of one text that fail
+    # even so go; those of more stay at any size of the corpus, so they grow as it does
+    pairs = cut_lineage(met.where(((F.col("both") >= 2) | enough(F.col("near_texts")))
+                                  & (disclosure(F.col("n_near")) >= threshold)))
     df = document_frequency(docs, cut_lineage(_slots(pairs.select("term").distinct())))
     # rows with the term, the copies of texts that have it near an entity counted once
     term_texts = F.least(different, F.greatest("near_texts", F.col("df") - F.col("n_near") + F.col("near_texts")))
@@ -298,7 +300,8 @@ def sanitised(docs: DataFrame, **options) -> DataFrame:
     columns stay, texts without spans are returned unchanged."""
     spans = (personal_spans(docs, **options).where(F.size("spans") > 0)
              .dropDuplicates(["key"]).select(F.col("key").alias("_key"), F.col("spans").alias("_spans")))
-    joined = docs.withColumn("_key", F.xxhash64("text")).join(spans, "_key", "left")
+    # a struct, so that no column of ``docs`` can clash with those made here
+    joined = docs.select(F.struct(*docs.columns).alias("doc"), F.xxhash64("text").alias("_key")).join(spans, "_key", "left")
 
     @F.pandas_udf("string")
     def clean(text, found):
@@ -306,5 +309,5 @@ def sanitised(docs: DataFrame, **options) -> DataFrame:
         return pd.Series([t if s is None or t is None else redact(t, list(s)) for t, s in zip(text, found)],
                          dtype=object)
 
-    return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text"))
-                             .otherwise(clean("text", "_spans"))).drop("_key", "_spans").select(*docs.columns)
+    text = F.when(F.col("_spans").isNull(), F.col("doc.text")).otherwise(clean("doc.text", "_spans"))
+    return joined.select(*(text.alias(c) if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns))
