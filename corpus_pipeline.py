@@ -2,8 +2,7 @@
 
 Every stage takes all that the one before kept, reads it from a written table and returns the
 columns of ``documents``; the last returns the packed pieces.  Every row is judged by its own
-text: stages that drop rows number them first, in a written table, so that rows without a doc_id
-or with a repeated one are dropped or kept one by one.
+text, also where it has no doc_id or a repeated one.
 """
 
 from __future__ import annotations
@@ -13,60 +12,48 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.decontam import contamination
+from lodestone.llm.decontam import decontaminated
 from lodestone.llm.near_dedup import near_duplicates
 from lodestone.llm.packing import packed_documents
 from lodestone.llm.pii import sanitised
-from lodestone.llm.toxicity import toxicity
+from lodestone.llm.toxicity import without_toxic
 from lodestone.session import checkpoint_dir, cut_lineage
 from lodestone.sources.tables import read_table
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs``, written, with a number ``_row`` of each row."""
-    return cut_lineage(docs.withColumn("_row", F.monotonically_increasing_id()))
-
-
-def _by_row(rows: DataFrame) -> DataFrame:
-    """``rows`` under their number as doc_id."""
-    return rows.withColumn("doc_id", F.col("_row"))
-
-
-def _without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``rows`` less those whose number is among the doc_ids of ``rejected``."""
-    return rows.join(rejected.select(F.col("doc_id").alias("_row")), "_row", "left_anti").select(
-        *[c for c in rows.columns if c != "_row"])
-
-
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the toxicity chain rejects go."""
-    rows = _numbered(docs)
-    return _without(rows, toxicity(rows, read_table(spark, sf_dir, "labels"), row="_row").where("toxic"))
+    """Rows that the toxicity chain rejects go.  Null and empty texts say nothing toxic and stay;
+    an empty table gives no rows."""
+    return without_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group stays, the one with the smallest doc_id, and of its
-    rows without a doc_id one more."""
-    rows = _numbered(docs)
-    group = near_duplicates(_by_row(rows)).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
-    first = (rows.select("_row", "doc_id").join(group, "_row").groupBy("_group", F.col("doc_id").isNull().alias("_null"))
-             .agg(F.min(F.struct("doc_id", "_row")).alias("first")).select("first._row"))
-    return rows.join(first, "_row", "left_semi").select(*docs.columns)
+    rows without a doc_id one more.  Rows without words are alone in their group; repeated rows
+    are a group; an empty table gives no rows.  Rows are numbered in a written table, as they
+    are read twice."""
+    rows = cut_lineage(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc")))
+    group = near_duplicates(rows.select(F.col("row").alias("doc_id"), "doc.text")).select(
+        F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    first = (rows.select("row", F.col("doc.doc_id").alias("id")).join(group, "row")
+             .groupBy("group", F.col("id").isNull()).agg(F.min(F.struct("id", "row")).alias("first")).select("first.row"))
+    return rows.join(first, "row", "left_semi").select("doc.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows contaminated by the benchmark go."""
-    rows = _numbered(docs)
-    return _without(rows, contamination(_by_row(rows), read_table(spark, sf_dir, "benchmark")).where("contaminated"))
+    """Rows contaminated by the benchmark go.  Null and empty texts have no words and stay; an
+    empty table gives no rows."""
+    return decontaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and terms that disclose it are replaced; every document stays."""
+    """Personal data and terms that disclose it are replaced; every document stays, null and
+    empty texts as they are."""
     return sanitised(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, packed into sequences."""
+    """The pieces of all documents, packed into sequences (null texts as empty ones)."""
     return packed_documents(docs)
 
 

@@ -159,7 +159,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, n_words,
     n_hit, items (ids of benchmark items with an occurring window, sorted), spans (runs of hit
-    words), contaminated (a twentieth of the words or more are hit).
+    words), contaminated (a twentieth of the words or more are hit), key (xxhash64 of the text).
 
     A word is hit when it lies inside an occurrence of a window of 13 consecutive words of an
     item (a shorter item is one window; one without words none).  Null and empty texts have no
@@ -189,7 +189,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             .select("s.doc_id", "s.n_words", n_hit.alias("n_hit"),
                     F.coalesce("c.items", F.array().cast("array<string>")).alias("items"),
                     F.coalesce("c.spans", F.array().cast("array<struct<start:long,stop:long>>")).alias("spans"),
-                    ((n_hit > 0) & (20 * n_hit >= F.col("s.n_words"))).alias("contaminated")))
+                    ((n_hit > 0) & (20 * n_hit >= F.col("s.n_words"))).alias("contaminated"), "s.key"))
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, all their columns; rows are told apart by
+    doc_id and text, so equal ones share their fate."""
+    hit = contamination(docs, benchmark).where("contaminated").select(
+        "doc_id", "key").distinct()
+    same = F.col("d.doc_id").cast("long").eqNullSafe(F.col("h.doc_id")) & (F.xxhash64("d.text") == F.col("h.key"))
+    return docs.alias("d").join(hit.alias("h"), same, "left_anti")
 
 
 def item_digest(items):

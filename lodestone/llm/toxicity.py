@@ -166,6 +166,31 @@ def score_chain(docs: DataFrame, chain: Chain) -> DataFrame:
 LANGUAGES = ("en", "de", "fr", "es")
 
 
+def language_chain(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Chain:
+    """The chain of abuse by language and, last, any abuse."""
+    named = docs.select("doc_id", "text", "lang")
+    marked = labels.select("doc_id", "toxic").where("toxic is not null")
+    categories = {f"toxic_{c}": (F.col("toxic") == 1) & (F.col("lang") == c) for c in LANGUAGES}
+    categories["toxicity"] = F.col("toxic") == 1
+    return fit_chain(bounded_batches(named), marked, categories, max_rows)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
+                  max_rows: int = MAX_ROWS) -> DataFrame:
+    """The rows of ``docs`` that ``toxicity`` does not call toxic, all their columns, in one pass:
+    each row is judged by its own text, whatever its doc_id."""
+    chain = language_chain(docs, labels, max_rows)
+    known = bool(len(chain.features))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHash()
+        for batch in batches:
+            p = chain.predict(chain.design([features_of(t, cache) for t in texts_of(batch)]))[:, -1]
+            yield batch.filter(pa.array(p < threshold)) if known else batch
+
+    return bounded_batches(docs).mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
              max_rows: int = MAX_ROWS, row: str = "doc_id") -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, lang; other columns are ignored): doc_id (the
@@ -179,11 +204,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
     on; repeated rows are scored each; several labels of one doc_id count as one of them.
     Without labels every score is one half less than nothing known: 0.5, and nothing is toxic.
     An empty table gives no rows."""
-    named = docs.select("doc_id", "text", "lang")
-    marked = labels.select("doc_id", "toxic").where("toxic is not null")
-    categories = {f"toxic_{c}": (F.col("toxic") == 1) & (F.col("lang") == c) for c in LANGUAGES}
-    categories["toxicity"] = F.col("toxic") == 1
-    chain = fit_chain(bounded_batches(named), marked, categories, max_rows)
+    chain = language_chain(docs, labels, max_rows)
     known = bool(len(chain.features))
     return score_chain(docs.select(F.col(row).alias("doc_id"), "text"), chain).withColumn(
         "toxic", (F.col("toxicity") >= threshold) if known else F.lit(False))

@@ -25,6 +25,20 @@ def test_stages(spark, odd_documents):
     assert sum(r["doc_id"] is None for r in kept) == 3
 
 
+def test_clashing_columns_pass_the_stages(spark, odd_documents):
+    """Columns named like those that stages make come through with their values."""
+    clash = {"_row": "1", "row": "2", "_group": "'g'", "group": "4", "_key": "'k'", "key": "6", "_spans": "'s'", "doc": "'d'", "h": "9", "_id": "10",
+             "toxic": "true", "first": "12"}
+    docs = odd_documents.select(*COLUMNS).selectExpr("*", *(f"{v} as `{k}`" for k, v in clash.items()))
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SF001)
+        plain = stage(spark, docs.select(*COLUMNS), SF001)
+        assert out.columns == docs.columns and out.count() == plain.count(), name
+        assert [tuple(r) for r in out.select(*clash).distinct().collect()] == [(1, 2, "g", 4, "k", 6, "s", "d", 9, 10, True, 12)], name
+    assert stage(spark, docs, SF001).where("text like '%a.b@c.example.com%'").count() == 0
+    assert P.packing(spark, docs, SF001).count() >= docs.count()
+
+
 def test_decisions_take_effect(spark):
     items = spark.read.parquet(f"{SF001}/benchmark.parquet").limit(1).collect()[0]
     base = " ".join(f"plain{i}" for i in range(60))
