@@ -58,20 +58,23 @@ def merge_plan(target: DataFrame, batch: DataFrame, key: str, order: str, column
                insert_only: Sequence[str] = (), derive=None) -> DataFrame:
     """The new version's rows (key and ``columns``) with ``_in_t`` (the key was in the target)
     and ``_n`` (batch records of the key).  ``derive`` adds key-only columns to the collapsed
-    batch (e.g. an origin flag looked up by key) instead of joining every raw record."""
-    update_cols = [c for c in columns if c != key and c not in insert_only]
-    ins_only = [c for c in insert_only if c != key]
-    present = set(batch.columns)
-    b = collapse_batch(batch, key, order, [c for c in update_cols if c in present],
-                       [c for c in ins_only if c in present])
-    if derive is not None:
-        b = derive(b)
-    t = target.select(key, *update_cols, *ins_only).withColumn("_in_t", F.lit(True))
+    batch (e.g. an origin flag looked up by key) instead of joining every raw record.  Null
+    keys are one key."""
+    present = [c for c in columns if c != key and c in set(batch.columns)]
+    b = collapse_batch(batch, key, order, [c for c in present if c not in insert_only],
+                       [c for c in present if c in insert_only])
+    return merge_collapsed(target, b if derive is None else derive(b), key, columns, insert_only, null_keys=True)
+
+
+def merge_collapsed(target: DataFrame, b: DataFrame, key: str, columns: Sequence[str],
+                    insert_only: Sequence[str] = (), null_keys: bool = False) -> DataFrame:
+    """``merge_plan`` of a batch that is one row per key already (with ``_n``)."""
+    t = target.select(key, *[c for c in columns if c != key]).withColumn("_in_t", F.lit(True))
     b = b.withColumn("_in_b", F.lit(True))
-    kept = [F.when(F.col("_in_b"), b[c]).otherwise(t[c]).alias(c) if c in update_cols else
-            F.when(F.col("_in_t"), t[c]).otherwise(b[c]).alias(c) for c in columns if c != key]
-    return t.join(b, t[key] == b[key], "full_outer").select(
-        F.coalesce(t[key], b[key]).alias(key), *kept, "_in_t", "_n")
+    kept = [F.when(F.col("_in_t"), t[c]).otherwise(b[c]).alias(c) if c in insert_only else
+            F.when(F.col("_in_b"), b[c]).otherwise(t[c]).alias(c) for c in columns if c != key]
+    same = t[key].eqNullSafe(b[key]) if null_keys else t[key] == b[key]
+    return t.join(b, same, "full_outer").select(F.coalesce(t[key], b[key]).alias(key), *kept, "_in_t", "_n")
 
 
 def observed_write(merged: DataFrame, write) -> tuple:

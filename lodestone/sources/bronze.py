@@ -9,7 +9,7 @@ Envelope (one JSON line per fetch)::
 and is parsed downstream.  Files written by others, whose ``data`` is a JSON object, are read
 the same way: the object's own text.  Landing is append-only and partitioned by ``source`` and
 ``batch_id``; file names are generated by Spark and never collide.  Lines that are no JSON are
-kept in ``_corrupt_record``.
+kept in ``_corrupt_record``; lines that are JSON but no envelope are found by ``corrupt_lines``.
 """
 
 from __future__ import annotations
@@ -67,7 +67,7 @@ def write_bronze(env: DataFrame, root: str, batch_id: str) -> None:
      .write.mode("append").partitionBy("source", "batch_id").json(root))
 
 
-def _with_place(env: DataFrame) -> DataFrame:
+def with_place(env: DataFrame) -> DataFrame:
     """Adds ``landed``: when and where an envelope landed, for the latest-fetch rule."""
     return env.withColumn("landed", F.struct("_metadata.file_modification_time", "_metadata.file_path",
                                              "_metadata.file_block_start"))
@@ -75,7 +75,7 @@ def _with_place(env: DataFrame) -> DataFrame:
 
 def read_bronze(spark: SparkSession, root: str) -> DataFrame:
     """Landed envelopes with an explicit schema (never inferred); corrupt lines too."""
-    return _with_place(spark.read.schema(LANDED_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT).json(root))
+    return with_place(spark.read.schema(LANDED_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT).json(root))
 
 
 def read_envelope_files(spark: SparkSession, root: str) -> DataFrame:
@@ -84,12 +84,27 @@ def read_envelope_files(spark: SparkSession, root: str) -> DataFrame:
     env = (spark.read.schema(LANDED_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT)
            .option("multiLine", True).json(f"{root.rstrip('/')}/*/*.json"))
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    return _with_place(env.withColumn("batch_id", F.regexp_replace(name, r"\.json$", "")))
+    return with_place(env.withColumn("batch_id", F.regexp_replace(name, r"\.json$", "")))
 
 
 def corrupt_lines(env: DataFrame) -> DataFrame:
-    """(source, batch_id, record): landed lines that are no JSON, for quarantine."""
-    return env.where(F.col(CORRUPT).isNotNull()).select("source", "batch_id", F.col(CORRUPT).alias("record"))
+    """(source, batch_id, record, file): landed lines that are no JSON, and lines that are JSON but
+    hold no list of responses, each as its whole text, for quarantine.  The parser keeps the
+    text of the former only; the files of the latter, if there are any, are read again."""
+    cols = ("source", "batch_id", "record", "file")
+    file = F.col("landed.file_path").alias("file")
+    broken = env.where(F.col(CORRUPT).isNotNull()).select("source", "batch_id", F.col(CORRUPT).alias("record"), file)
+    odd = env.where(F.col(CORRUPT).isNull() & F.col("raw_responses").isNull()).select("source", "batch_id", file)
+    files = [r["file"] for r in odd.select("file").distinct().collect()]  # names of files, not rows
+    if not files:
+        return broken.select(*cols)
+    lines = env.sparkSession.read.text(files).select("value", F.col("_metadata.file_path").alias("file"))
+    known = F.from_json("value", T.StructType([f for f in ENVELOPE_SCHEMA.fields if f.name == "raw_responses"])
+                        .add(CORRUPT, T.StringType()), {"columnNameOfCorruptRecord": CORRUPT})
+    other = lines.where(F.length(F.trim("value")) > 0).withColumn("_e", known).where(
+        F.col(f"_e.{CORRUPT}").isNull() & F.col("_e.raw_responses").isNull())
+    return broken.select(*cols).unionByName(
+        other.join(odd.distinct(), "file").select("source", "batch_id", F.col("value").alias("record"), "file"))
 
 
 def responses_of(env: DataFrame) -> DataFrame:

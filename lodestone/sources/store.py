@@ -1,117 +1,231 @@
 """Versioned Parquet tables for keyed upserts and full rebuilds.
 
-Plain Parquet has no MERGE and cannot be overwritten while it is being read,
-so every write goes to a new folder ``<root>/<table>/v=<n>`` (a number no
-folder uses yet, written create-only) and readers take the highest version
-that has Spark's ``_SUCCESS`` marker.  A failed write leaves no marker and is
-ignored; the switch to a new version is atomic.
-Listing goes through the Hadoop FileSystem API, so the root may be any shared
-file system the cluster uses.
-
-Bucketed tables (``upsert_bucketed``) are for large targets: rows are spread
-over ``B`` buckets by ``pmod(xxhash64(key), B)`` and laid out as
-``v=<n>/bucket=<i>``.  A bucket's current data is its highest committed
-version, so an upsert reads and rewrites only the buckets its batch touches;
-untouched buckets are neither read nor copied.
+Plain Parquet has no MERGE and cannot be overwritten while it is being read, so every write goes
+to a new data folder ``<root>/<table>/v=<n>`` and becomes current by a **commit record**
+``<root>/<table>/_log/<n>.json``, which names the folder of every part of the table.  A record is
+written aside and renamed into place only if no record of that number exists: a version appears
+whole or not at all, and of two writers that started from the same version one gets
+``ConcurrentCommit``.  A part that a commit leaves empty is not in its record, so nothing of it
+comes back.  Files go through the Hadoop FileSystem API, so the root may be any shared storage.
+
+A table is *plain* (one part), *partitioned* (a part per batch, replaced whole) or *bucketed* by
+key, for large targets.  Buckets grow by **linear hashing**: ``modulus`` buckets, of which the
+first ``split`` are split in two; the address of a key is its hash modulo ``modulus``, or modulo
+twice that where the former is below ``split``.  A table that outgrows ``rows_per_bucket`` gets as
+many buckets more as it needs, one after the other, and only those are rewritten besides the
+buckets a batch touches.  Files are written as Spark buckets (``2 * modulus`` of them, so every
+store bucket holds one or two), and an upsert reads its target through a temporary bucketed table
+over the record's folders: the target is joined where it lies, without an exchange.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import upsert as U
+from ..session import cut_lineage
 
 BUCKET = "key_bucket"  # no leading underscore: Spark hides such paths
+PARTITION = "batch_id"
 ROWS_PER_BUCKET = 500_000
+LOG = "_log"
+
+
+class ConcurrentCommit(RuntimeError):
+    """Another writer committed first; nothing of this write is visible."""
+
+
+@dataclass(frozen=True)
+class Part:
+    """One part of a table: its folder under the table's, its rows, and the number of Spark
+    buckets its files are named by (0: none)."""
+
+    path: str
+    rows: int
+    files: int = 0
+
+
+@dataclass(frozen=True)
+class Commit:
+    version: int
+    kind: str  # plain, partitioned or bucketed
+    schema: T.StructType
+    parts: dict[str, Part] = field(default_factory=dict)
+    key: str | None = None
+    modulus: int = 1
+    split: int = 0
+    data: int = 0  # number of the newest data folder
+    applied: tuple[str, ...] = ()  # deltas merged into the table
+
+    @property
+    def rows(self) -> int:
+        return sum(p.rows for p in self.parts.values())
+
+    @property
+    def buckets(self) -> int:
+        return self.modulus + self.split
+
+    def address(self, key: Column) -> Column:
+        """The bucket of a key (of the key column's type)."""
+        coarse, fine = (F.pmod(F.hash(key), F.lit(m)) for m in (self.modulus, 2 * self.modulus))
+        return F.when(coarse < self.split, fine).otherwise(coarse)
+
+    def resolution(self, bucket: int) -> int:
+        """What the hash is taken modulo for the keys of a bucket."""
+        return 2 * self.modulus if bucket % self.modulus < self.split else self.modulus
+
+    def grown(self, buckets: int) -> Commit:
+        """The same table with at least so many buckets."""
+        modulus, split = self.modulus, self.split
+        while modulus + split < buckets:
+            split += 1
+            if split == modulus:
+                modulus, split = 2 * modulus, 0
+        return replace(self, modulus=modulus, split=split)
+
+    def to_json(self) -> str:
+        return json.dumps({"version": self.version, "kind": self.kind, "schema": self.schema.jsonValue(), "key": self.key,
+                           "modulus": self.modulus, "split": self.split, "data": self.data,
+                           "applied": list(self.applied),
+                           "parts": {n: [p.path, p.rows, p.files] for n, p in self.parts.items()}})
+
+    @staticmethod
+    def from_json(text: str) -> Commit:
+        d = json.loads(text)
+        return Commit(d["version"], d["kind"], T.StructType.fromJson(d["schema"]),
+                      {n: Part(*p) for n, p in d["parts"].items()}, d["key"], d["modulus"], d["split"], d["data"],
+                      tuple(d["applied"]))
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    def __init__(self, spark: SparkSession, root: str, rows_per_bucket: int = ROWS_PER_BUCKET):
+        self.spark, self.root, self.rows_per_bucket = spark, root.rstrip("/"), rows_per_bucket
+        self._jvm = spark.sparkContext._jvm
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._Path = self._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._Path(self.root).getFileSystem(self._conf)
+
+    # --- files and commit records --------------------------------------------------------
+
+    def _names(self, folder: str) -> list[str]:
+        p = self._Path(folder)
+        return [st.getPath().getName() for st in self._fs.listStatus(p)] if self._fs.exists(p) else []
+
+    def _write_text(self, path: str, text: str) -> None:
+        out = self._fs.create(self._Path(path), False)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
+    def _read_text(self, path: str) -> str:
+        stream = self._fs.open(self._Path(path))
+        try:
+            return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        finally:
+            stream.close()
 
     def _versions(self, table: str) -> list[int]:
-        p = self._Path(f"{self.root}/{table}")
-        if not self._fs.exists(p):
-            return []
-        out = []
-        for st in self._fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v=") and self._fs.exists(self._Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
-
-    def _next_version(self, table: str) -> int:
-        """A version number no folder uses yet (failed attempts keep theirs, unused)."""
-        p = self._Path(f"{self.root}/{table}")
-        used = [0]
-        if self._fs.exists(p):
-            used += [int(st.getPath().getName()[2:]) for st in self._fs.listStatus(p)
-                     if st.getPath().getName().startswith("v=")]
-        return max(used) + 1
+        return sorted(int(n[:-5]) for n in self._names(f"{self.root}/{table}/{LOG}")
+                      if n.endswith(".json") and n[:-5].isdigit())
 
-    def version(self, table: str) -> int | None:
-        v = self._versions(table)
-        return v[-1] if v else None
+    def current(self, table: str) -> Commit | None:
+        """The newest commit record, None for a table without one."""
+        versions = self._versions(table)
+        return Commit.from_json(self._read_text(f"{self.root}/{table}/{LOG}/{versions[-1]:06d}.json")) if versions else None
+
+    def _claim(self, table: str) -> int:
+        """The number of a data folder that is this write's alone."""
+        log = f"{self.root}/{table}/{LOG}"
+        taken = [int(n[6:]) for n in self._names(log) if n.startswith("claim-")]
+        n = max(taken, default=0) + 1
+        while True:
+            try:
+                self._write_text(f"{log}/claim-{n:06d}", "")
+                return n
+            except Py4JJavaError as e:
+                if "AlreadyExists" not in e.java_exception.getClass().getName():
+                    raise
+                n += 1
+
+    def commit(self, table: str, new: Commit) -> None:
+        """Make ``new`` current if its predecessor still is."""
+        log = f"{self.root}/{table}/{LOG}"
+        aside = f"{log}/aside-{uuid.uuid4().hex}"
+        self._write_text(aside, new.to_json())
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._Path(log).toUri(), self._conf)
+        none = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        absolute = self._fs.makeQualified(self._Path(f"{log}/{new.version:06d}.json"))
+        try:
+            context.rename(self._fs.makeQualified(self._Path(aside)), absolute, none)
+        except Py4JJavaError as e:
+            self._fs.delete(self._Path(aside), False)
+            if "AlreadyExists" in e.java_exception.getClass().getName():
+                raise ConcurrentCommit(f"version {new.version} of {table!r} was committed by another writer") from e
+            raise
 
     def path(self, table: str, version: int) -> str:
+        """The data folder of a number."""
         return f"{self.root}/{table}/v={version:06d}"
 
+    # --- reading ---------------------------------------------------------------------------
+
+    def version(self, table: str) -> int | None:
+        now = self.current(table)
+        return now.version if now else None
+
     def exists(self, table: str) -> bool:
-        return self.version(table) is not None
+        return bool(self._versions(table))
 
     def is_bucketed(self, table: str) -> bool:
-        return self._fs.exists(self._Path(f"{self.root}/{table}/_buckets"))
+        now = self.current(table)
+        return now is not None and now.kind == "bucketed"
+
+    def _read_parts(self, table: str, now: Commit, parts: Iterable[str]) -> DataFrame:
+        paths = [f"{self.root}/{table}/{now.parts[p].path}" for p in parts]
+        if not paths:
+            return self.spark.createDataFrame([], now.schema)
+        if now.kind != "partitioned":
+            return self.spark.read.schema(now.schema).parquet(*paths)
+        fields = [f for f in now.schema.fields if f.name != PARTITION]
+        whole = T.StructType([*fields, T.StructField(PARTITION, T.StringType()), T.StructField("v", T.IntegerType())])
+        return (self.spark.read.option("basePath", f"{self.root}/{table}").schema(whole).parquet(*paths)
+                .select(*now.schema.names))
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
-        """Current version; an absent table reads as empty with ``schema`` (create-if-absent)."""
-        if self.is_bucketed(table):
-            return self.read_bucketed(table, schema)
-        v = self.version(table)
-        if v is None:
+        """Current rows; an absent table reads as empty with ``schema`` (create-if-absent)."""
+        now = self.current(table)
+        if now is None:
             if schema is None:
                 raise FileNotFoundError(f"table {table!r} has no committed version")
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(self.path(table, v))
+        return self._read_parts(table, now, now.parts)
 
-    def write(self, table: str, df: DataFrame) -> DataFrame:
-        """Write ``df`` as the next version and return it read back."""
-        v = self._next_version(table)
-        df.write.mode("errorifexists").parquet(self.path(table, v))
-        return self.spark.read.parquet(self.path(table, v))
-
-    def upsert(self, table: str, batch: DataFrame, key: str, order: str,
-               columns: Sequence[str], insert_only: Sequence[str] = (),
-               schema: T.StructType | None = None, buckets: int | None = None) -> DataFrame:
-        """Keyed upsert into a new version; returns the one-row evidence DataFrame.
-        A bucketed table (or ``buckets`` given for a new one) rewrites touched buckets only."""
-        if buckets or self.is_bucketed(table):
-            return self.upsert_bucketed(table, batch, key, order, columns, insert_only,
-                                        buckets=buckets or self._bucket_count(table))
-        target = self.read(table, schema or batch.select(*columns).schema)
-        merged = U.merge_plan(target, batch, key, order, columns, insert_only)
-        _, counts = U.observed_write(merged, lambda df: self.write(table, df))
-        return U.evidence_row(self.spark, table, *counts)
+    def read_bucketed(self, table: str, schema: T.StructType | None = None,
+                      buckets: Sequence[int] | None = None) -> DataFrame:
+        """Current rows of a bucketed table (optionally of some buckets only)."""
+        now = self.current(table)
+        if now is None:
+            return self.read(table, schema)
+        wanted = now.parts if buckets is None else [str(b) for b in sorted(set(buckets)) if str(b) in now.parts]
+        return self._read_parts(table, now, wanted)
 
     def counts(self, tables: Sequence[str]) -> DataFrame:
-        """``(tabla, count)`` for the current version of each table (A7)."""
-        rows = [(t, self.read(t).count() if self.exists(t) else 0) for t in tables]
+        """``(tabla, count)`` for the current version of each table, from the commit records (A7)."""
+        rows = [(t, now.rows if (now := self.current(t)) else 0) for t in tables]
         return self.spark.createDataFrame(rows, "tabla string, count long")
 
     def tables(self) -> list[str]:
-        """Tables with at least one committed version (L4)."""
-        root = self._Path(self.root)
-        if not self._fs.exists(root):
-            return []
-        names = [st.getPath().getName() for st in self._fs.listStatus(root) if st.isDirectory()]
-        return sorted(n for n in names if self._versions(n))
+        """Tables with a committed version (L4)."""
+        return sorted(n for n in self._names(self.root) if self._versions(n))
 
     def describe(self, table: str) -> DataFrame:
         """``(column, type)`` of the current version (L4)."""
@@ -119,124 +233,234 @@ class TableStore:
         return self.spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in fields],
                                           "column string, type string")
 
+    def bucket_rows(self, table: str) -> dict[int, int]:
+        """Rows of every bucket that has any."""
+        now = self.current(table)
+        return {int(n): p.rows for n, p in now.parts.items()}
+
     def lookup(self, table: str, key: str, value) -> DataFrame:
         """Rows of one key; the equality filter is pushed down to the Parquet scan (V6).  Of a
-        bucketed table only the key's bucket is read."""
-        if self.is_bucketed(table):
-            kind = self._schema(table)[key].dataType
-            spot = self.spark.range(1).select(F.pmod(F.xxhash64(F.lit(value).cast(kind)),
-                                                     F.lit(self._bucket_count(table))).cast("int")).first()[0]
-            return self.read_bucketed(table, buckets=[spot]).where(F.col(key) == F.lit(value))
+        bucketed table only the key's bucket is read; its files are sorted by key and hold a
+        Bloom filter, so row groups without the key are skipped."""
+        now = self.current(table)
+        if now is not None and now.kind == "bucketed":
+            literal = F.lit(value).cast(now.schema[key].dataType)
+            spot = self.spark.range(1).select(now.address(literal)).first()[0]
+            return self.read_bucketed(table, buckets=[spot]).where(F.col(key) == literal)
         return self.read(table).where(F.col(key) == F.lit(value))
 
     def vacuum(self, table: str) -> int:
-        """Remove versions that hold nothing current (a plain table: all but the newest;
-        a bucketed one: those no bucket is read from).  Returns how many went."""
-        versions = self._versions(table)
-        current = set(self._bucket_versions(table).values()) if self.is_bucketed(table) else set()
-        gone = [v for v in versions[:-1] if v not in current]
-        for v in gone:
-            self._fs.delete(self._Path(self.path(table, v)), True)
-        return len(gone)
-
-    # --- bucketed tables -------------------------------------------------------------
-
-    def _bucket_versions(self, table: str) -> dict[int, int]:
-        """Current version of every bucket: the highest committed version holding it.
-        Versions are listed newest first and the walk stops once every bucket is found."""
-        out: dict[int, int] = {}
-        versions = self._versions(table)
-        total = self._bucket_count(table) if versions else 0
-        for v in reversed(versions):
-            for st in self._fs.listStatus(self._Path(self.path(table, v))):
-                name = st.getPath().getName()
-                if st.isDirectory() and name.startswith(f"{BUCKET}="):
-                    out.setdefault(int(name.split("=", 1)[1]), v)
-            if len(out) >= total:
-                break
-        return out
+        """Remove data folders, or parts of them, that hold nothing current, and their records.
+        Folders newer than the current version's (a write under way) stay.  Returns how many
+        whole data folders went."""
+        now = self.current(table)
+        if now is None:
+            return 0
+        base, used, gone = f"{self.root}/{table}", {p.path for p in now.parts.values()}, 0
+        for name in self._names(base):
+            if not name.startswith("v=") or int(name[2:]) > now.data:
+                continue
+            if not any(u == name or u.startswith(f"{name}/") for u in used):
+                self._fs.delete(self._Path(f"{base}/{name}"), True)
+                gone += int(name[2:]) < now.data
+            elif name not in used:
+                for part in self._names(f"{base}/{name}"):
+                    if "=" in part and f"{name}/{part}" not in used:
+                        self._fs.delete(self._Path(f"{base}/{name}/{part}"), True)
+        for v in self._versions(table)[:-1]:
+            self._fs.delete(self._Path(f"{base}/{LOG}/{v:06d}.json"), False)
+        return gone
+
+    # --- plain and partitioned tables --------------------------------------------------------
+
+    def _next(self, table: str, kind: str, schema: T.StructType) -> Commit:
+        now = self.current(table)
+        if now is None:
+            return Commit(1, kind, schema)
+        if now.kind != kind:
+            raise ValueError(f"table {table!r} was created {'without buckets' if kind == 'bucketed' else now.kind}; "
+                             "its layout cannot change in place")
+        return replace(now, version=now.version + 1)
 
-    def _note(self, table: str, name: str) -> str:
-        stream = self._fs.open(self._Path(f"{self.root}/{table}/{name}"))
-        try:
-            return stream.readUTF()
-        finally:
-            stream.close()
+    def write(self, table: str, df: DataFrame) -> DataFrame:
+        """Write ``df`` as the next version of a plain table and return it read back."""
+        new, n = self._next(table, "plain", df.schema), self._claim(table)
+        df.write.mode("errorifexists").parquet(self.path(table, n))
+        out = self.spark.read.parquet(self.path(table, n))
+        self.commit(table, replace(new, schema=df.schema, data=n, parts={"": Part(f"v={n:06d}", out.count())}))
+        return out
 
-    def _bucket_count(self, table: str) -> int:
-        """Bucket count of an existing bucketed table (recorded next to its versions)."""
-        return int(self._note(table, "_buckets"))
+    def write_partition(self, table: str, rows: DataFrame, batch_id: str) -> None:
+        """Make ``rows`` all there is of the batch, none included."""
+        schema = T.StructType([*rows.drop(PARTITION).schema.fields, T.StructField(PARTITION, T.StringType())])
+        new, n = self._next(table, "partitioned", schema), self._claim(table)
+        part = f"v={n:06d}/{PARTITION}={batch_id}"
+        rows.drop(PARTITION).write.mode("errorifexists").parquet(f"{self.root}/{table}/{part}")
+        count = self.spark.read.parquet(f"{self.root}/{table}/{part}").count()  # from the footers
+        self.commit(table, replace(new, data=n, parts={**new.parts, f"{PARTITION}={batch_id}": Part(part, count)}))
 
-    def _schema(self, table: str) -> T.StructType:
-        return T.StructType.fromJson(json.loads(self._note(table, "_schema")))
+    def upsert(self, table: str, batch: DataFrame, key: str, order: str,
+               columns: Sequence[str], insert_only: Sequence[str] = (),
+               schema: T.StructType | None = None, buckets: int | None = None) -> DataFrame:
+        """Keyed upsert into a new version; returns the one-row evidence DataFrame.
+        A bucketed table (or ``buckets`` given for a new one) rewrites touched buckets only."""
+        if buckets or self.is_bucketed(table):
+            return self.upsert_bucketed(table, batch, key, order, columns, insert_only, buckets=buckets)
+        target = self.read(table, schema or batch.select(*columns).schema)
+        merged = U.merge_plan(target, batch, key, order, columns, insert_only)
+        _, counts = U.observed_write(merged, lambda df: self.write(table, df))
+        return U.evidence_row(self.spark, table, *counts)
 
-    def _create_bucketed(self, table: str, buckets: int, schema: T.StructType) -> None:
-        for name, text in (("_schema", schema.json()), ("_buckets", str(buckets))):
-            p = self._Path(f"{self.root}/{table}/{name}")
-            out = self._fs.create(p, True)
-            try:
-                out.writeUTF(text)
-            finally:
-                out.close()
+    # --- bucketed tables ---------------------------------------------------------------------
+
+    def _bucketed_scan(self, table: str, now: Commit, parts: Sequence[str], made: list[str]) -> DataFrame:
+        """Parts whose files share one number of Spark buckets, as a temporary bucketed table of
+        the session: a join on the key needs no exchange of it.  ``made`` takes its name."""
+        name, files = f"lodestone_{uuid.uuid4().hex}", now.parts[parts[0]].files
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in now.schema.fields)
+        self.spark.sql(f"CREATE TABLE {name} ({columns}, {BUCKET} int) USING parquet PARTITIONED BY ({BUCKET}) "
+                       f"CLUSTERED BY (`{now.key}`) SORTED BY (`{now.key}`) INTO {files} BUCKETS "
+                       f"LOCATION '{self.root}/{table}/{LOG}/none'")
+        made.append(name)
+        for i in range(0, len(parts), 500):
+            spots = " ".join(f"PARTITION ({BUCKET}={p}) LOCATION '{self.root}/{table}/{now.parts[p].path}'"
+                             for p in parts[i:i + 500])
+            self.spark.sql(f"ALTER TABLE {name} ADD {spots}")
+        return self.spark.table(name).drop(BUCKET)
+
+    def _rewrite(self, table: str, now: Commit, new: Commit, keys: DataFrame, joined, made: list[str]):
+        """Rewrite the buckets that ``keys`` touch and those that split.  ``joined(target, own)``
+        gives the new rows of a part of the table (None: of no part), ``own`` being a filter for
+        the keys that belong to it.  Returns the rows and the names of the parts they replace."""
+        key = F.col(now.key)
+        touched = {str(r[0]) for r in keys.select(now.address(key)).distinct().collect()}  # at most one a bucket
+        split = {b for b in now.parts if new.resolution(int(b)) != now.resolution(int(b))}
+        old = sorted((touched & set(now.parts)) | split, key=int)
+        groups: dict[int, list[str]] = {}
+        for b in old:
+            groups.setdefault(now.parts[b].files, []).append(b)
+        out, absent = None, F.lit(True)
+        for parts in groups.values():
+            own = now.address(key).isin([int(b) for b in parts])
+            absent = absent & ~own
+            rows = joined(self._bucketed_scan(table, now, parts, made), own)
+            out = rows if out is None else out.unionByName(rows)
+        if out is None or touched - set(now.parts):
+            rows = joined(None, absent)
+            out = rows if out is None else out.unionByName(rows)
+        return out, old
+
+    def _write_buckets(self, table: str, rows: DataFrame, new: Commit, n: int) -> dict[str, Part]:
+        """Write rows as Spark buckets in store buckets; the parts written."""
+        name = f"lodestone_{uuid.uuid4().hex}"
+        files = 2 * new.modulus
+        try:
+            (rows.withColumn(BUCKET, new.address(F.col(new.key))).write.mode("errorifexists")
+             .option("path", self.path(table, n)).option(f"parquet.bloom.filter.enabled#{new.key}", "true")
+             .partitionBy(BUCKET).bucketBy(files, new.key).sortBy(new.key).format("parquet").saveAsTable(name))
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        written = [x for x in self._names(self.path(table, n)) if x.startswith(f"{BUCKET}=")]
+        if not written:
+            return {}
+        sizes = (self.spark.read.parquet(self.path(table, n)).groupBy(BUCKET)
+                 .agg(F.count(F.lit(1)).alias("n")).collect())  # one row a bucket
+        return {str(r[BUCKET]): Part(f"v={n:06d}/{BUCKET}={r[BUCKET]}", r["n"], files) for r in sizes}
+
+    def _bucketed(self, table: str, key: str, schema: T.StructType, buckets: int | None) -> tuple[Commit, bool]:
+        """(the current state, whether it is committed)."""
+        known = self.exists(table)
+        state = self._next(table, "bucketed", schema)
+        if not known:
+            state = replace(state, version=0, key=key, modulus=buckets or 1)
+        else:
+            state = replace(state, version=state.version - 1)
+        return state, known
 
-    def read_bucketed(self, table: str, schema: T.StructType | None = None,
-                      buckets: Sequence[int] | None = None) -> DataFrame:
-        """Current rows of a bucketed table (optionally only some buckets)."""
-        cur = self._bucket_versions(table)
-        wanted = sorted(cur) if buckets is None else sorted(b for b in set(buckets) if b in cur)
-        paths = [f"{self.path(table, cur[b])}/{BUCKET}={b}" for b in wanted]
-        if not paths:
-            if schema is None and not self.is_bucketed(table):
-                raise FileNotFoundError(f"table {table!r} has no committed bucket")
-            return self.spark.createDataFrame([], schema or self._schema(table))
-        return self.spark.read.parquet(*paths)
+    def _finish(self, table: str, now: Commit, new: Commit, n: int, gone: Sequence[str], made: dict[str, Part]) -> None:
+        kept = {b: p for b, p in now.parts.items() if b not in set(gone)}
+        self.commit(table, replace(new, version=now.version + 1, data=n, parts={**kept, **made}))
 
     def upsert_bucketed(self, table: str, batch: DataFrame, key: str, order: str,
                         columns: Sequence[str], insert_only: Sequence[str] = (),
                         buckets: int | None = None) -> DataFrame:
-        """Keyed upsert that rewrites only the buckets touched by the batch; returns the
-        evidence row.  The bucket count is fixed when the table is created: as given, else one
-        bucket per ``ROWS_PER_BUCKET`` rows of the first batch.  An empty first batch creates
-        the table without rows."""
-        if self.is_bucketed(table):
-            buckets = self._bucket_count(table)
-        elif self._versions(table):
-            raise ValueError(f"table {table!r} was created without buckets; "
-                             "its layout cannot change in place")
-        else:
-            buckets = buckets or max(1, -(-batch.count() // ROWS_PER_BUCKET))
-            self._create_bucketed(table, buckets, batch.select(*columns).schema)
-        bucket_of = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-        touched = [r[0] for r in batch.select(bucket_of.alias("b")).distinct().collect()]
-        schema = self._schema(table)  # at most `buckets` ids come back above
-        before_all = self.read_bucketed(table, schema).count()  # Parquet footers only
-        target = self.read_bucketed(table, schema, touched)
-        # a bucket's rows meet in one task: one file each
-        merged = (U.merge_plan(target, batch, key, order, columns, insert_only)
-                  .withColumn(BUCKET, bucket_of).repartition(BUCKET))
-        v = self._next_version(table)
-
-        def write(df: DataFrame) -> None:
-            (df.write.mode("errorifexists").partitionBy(BUCKET).parquet(self.path(table, v)))
-
-        _, (before, after, records) = U.observed_write(merged, write)
-        return U.evidence_row(self.spark, table, before_all, before_all + after - before, records)
-
-    def replace_keys(self, table: str, rows: DataFrame, key: str, gone: DataFrame | None = None) -> None:
+        """Keyed upsert that rewrites only the buckets touched by the batch, and those that split
+        because the table outgrows ``rows_per_bucket``; returns the evidence row.  ``buckets``
+        is the number a new table begins with (1).  An empty first batch creates the table
+        without rows.  A null key is an error, as it would be another row in every rerun."""
+        now, known = self._bucketed(table, key, batch.select(*columns).schema, buckets)
+        kind = now.schema[key].dataType
+        present = [c for c in columns if c != key and c in batch.columns]
+        # one row a key, written: the batch's plan runs once
+        one = cut_lineage(U.collapse_batch(batch.withColumn(key, F.col(key).cast(kind)), key, order,
+                                           [c for c in present if c not in insert_only],
+                                           [c for c in present if c in insert_only]))
+        size = one.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls")).first()
+        if size["nulls"]:
+            raise ValueError(f"a record for table {table!r} has no {key}")
+        if known and not size["n"]:
+            return U.evidence_row(self.spark, table, now.rows, now.rows, 0)
+        new = now.grown(-(-(now.rows + size["n"]) // self.rows_per_bucket))
+        n, made = self._claim(table), []
+        empty = self.spark.createDataFrame([], now.schema)
+
+        def joined(target: DataFrame | None, own: Column) -> DataFrame:
+            return U.merge_collapsed(empty if target is None else target, one.where(own), key, columns, insert_only)
+
+        try:
+            rows, gone = self._rewrite(table, now, new, one, joined, made)
+            parts, (before, after, records) = U.observed_write(
+                rows, lambda df: self._write_buckets(table, df, new, n))
+        finally:
+            for name in made:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._finish(table, now, new, n, gone, parts)
+        return U.evidence_row(self.spark, table, now.rows, now.rows + after - before, records)
+
+    def merge_delta(self, table: str, delta: DataFrame, key: str, name: str,
+                    merge: Callable[[Sequence[DataFrame], str], DataFrame]) -> bool:
+        """Merge a delta into a table of mergeable state: ``merge([now, delta], key)`` gives the
+        new rows of the delta's keys, and only their buckets are rewritten.  The delta's ``name``
+        is committed with the rows, so a delta that is applied again changes nothing (False)."""
+        now = self.current(table)
+        if now is not None and name in now.applied:
+            return False
+        delta = cut_lineage(delta)
+        old = self.read(table, delta.schema)
+        if now is not None:
+            keys = delta.select(key).distinct()
+            spots = [r[0] for r in keys.select(now.address(F.col(key).cast(now.schema[key].dataType))).distinct().collect()]
+            old = self.read_bucketed(table, buckets=spots).join(keys, key, "left_semi")
+        self.replace_keys(table, merge([old, delta], key).select(*delta.columns), key, applied=name, base=now)
+        return True
+
+    def replace_keys(self, table: str, rows: DataFrame, key: str, gone: DataFrame | None = None,
+                     applied: str | None = None, base: Commit | None = None) -> None:
         """Replace all rows of the keys in ``rows`` (and of ``gone``) of a bucketed table that
-        holds any number of rows per key; only touched buckets are rewritten."""
-        if not self.is_bucketed(table):
-            self._create_bucketed(table, max(1, -(-rows.count() // ROWS_PER_BUCKET)), rows.schema)
-        buckets = self._bucket_count(table)
-        bucket_of = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+        holds any number of rows per key; only touched and split buckets are rewritten.
+        ``applied`` is a name to commit with them; ``base`` the version they derive from."""
+        now, _ = self._bucketed(table, key, rows.schema, None)
+        if base is not None and base.version != now.version:
+            raise ConcurrentCommit(f"{table!r} is no longer at version {base.version}")
+        if applied is not None:
+            now = replace(now, applied=(*now.applied, applied))
+        rows = cut_lineage(rows.select(*now.schema.names))
         keys = rows.select(key) if gone is None else rows.select(key).unionByName(gone.select(key))
-        touched = [r[0] for r in keys.select(bucket_of.alias("b")).distinct().collect()]
-        kept = self.read_bucketed(table, self._schema(table), touched).join(keys.distinct(), key, "left_anti")
-        (kept.select(*rows.columns).unionByName(rows).withColumn(BUCKET, bucket_of).repartition(BUCKET)
-         .write.mode("errorifexists").partitionBy(BUCKET).parquet(self.path(table, self._next_version(table))))
+        keys = cut_lineage(keys.select(F.col(key).cast(now.schema[key].dataType).alias(key)).distinct())
+        if keys.where(F.col(key).isNull()).limit(1).count():
+            raise ValueError(f"a record for table {table!r} has no {key}")
+        new = now.grown(-(-(now.rows + rows.count()) // self.rows_per_bucket))
+        n, made = self._claim(table), []
 
-    def write_partition(self, table: str, rows: DataFrame, batch_id: str) -> None:
-        """Make ``rows`` all there is of the batch, none included."""
-        path = f"{self.root}/{table}"
-        here = self._Path(f"{path}/batch_id={batch_id}")
-        rows.drop("batch_id").write.mode("overwrite").parquet(here.toString())
+        def joined(target: DataFrame | None, own: Column) -> DataFrame:
+            fresh = rows.where(own).repartition(2 * new.modulus, key)  # a bucket's rows meet in one task
+            return fresh if target is None else target.join(keys, key, "left_anti").select(
+                *now.schema.names).unionByName(fresh)
+
+        try:
+            out, old = self._rewrite(table, now, new, keys, joined, made)
+            parts = self._write_buckets(table, out, new, n)
+        finally:
+            for name in made:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._finish(table, now, new, n, old, parts)
