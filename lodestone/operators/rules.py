@@ -32,6 +32,8 @@ COORDINATES_OUT_OF_RANGE = "COORDINATES_OUT_OF_RANGE"
 MISSING_GBIF_ID = "MISSING_GBIF_ID"
 INVALID_EVENT_DATE = "INVALID_EVENT_DATE"
 MISSING_BASIS_OF_RECORD = "MISSING_BASIS_OF_RECORD"
+#: A record that cannot be stored for want of its table's key.
+MISSING_KEY = "MISSING_KEY"
 
 Rule = tuple[str, Column]
 
@@ -79,6 +81,12 @@ def quarantine_rows(df: DataFrame, source: str, batch_id, record_key) -> DataFra
                                F.col(REASON), ctx.alias(CONTEXT))
 
 
+def line_key(line: str) -> Column:
+    """Record key of a landed line: the line, or the beginning of a long one with its hash."""
+    return F.when(F.length(line) <= 200, F.col(line)).otherwise(
+        F.concat(F.substring(line, 1, 200), F.lit("#"), F.sha2(F.col(line).cast("binary"), 256)))
+
+
 def reject_report(*quarantines: DataFrame) -> DataFrame:
     """Count of rejected records by source and reason, over quarantine tables."""
     u = quarantines[0]

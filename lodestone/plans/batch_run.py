@@ -106,8 +106,8 @@ def silver_frames(spark: SparkSession, names: DataFrame, bronze_root: str, batch
     other = [reject(unlanded, "wikipedia", F.lit(R.PAGE_NOT_FOUND), species_key="species_key", title="title_q"),
              reject(occ_resp.where(status != 200), "gbif_occurrence", F.lit(R.HTTP_ERROR),
                     species_key="species_key", http_status="status"),
-             reject(B.corrupt_lines(env).withColumn("line", F.substring("record", 1, 200)), "bronze",
-                    F.lit(R.HTTP_ERROR), "line", source="source")]
+             reject(B.corrupt_lines(env).withColumn("line", R.line_key("record")), "bronze",
+                    F.lit(R.HTTP_ERROR), "line", source="source", line="record", file="file")]
     if blocked is not None:
         other.append(reject(blocked.withColumn("_c", F.array_join("_cands", "|")), "wikipedia", F.col("_status"),
                             species_key="species_key", scientific_name="name", title="_title",

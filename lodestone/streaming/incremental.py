@@ -6,26 +6,41 @@ processes only files not seen by earlier runs (the checkpoint keeps the file
 log), then stops.  ``foreachBatch`` writes every micro-batch to its own
 ``epoch=N`` folder with overwrite, so a retried epoch replaces its own output
 instead of appending twice (exactly-once into a plain Parquet sink).
+
+``upsert_new_bronze`` keeps the time of every key's newest fetch in the state store of the query, so
+files may land in any order: a fetch older than what its key already has changes nothing,
+however late it comes (there is no watermark that would drop it unseen; the state is one time a
+key).  Everything an epoch rejects, records as well as lines that are no envelopes, is in the
+quarantine table as that epoch's part.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.rules import valid
+from ..operators import rules as R
+from ..session import cut_lineage, ship_package
+from ..sources import bronze as B
 from ..sources.bronze import CORRUPT, LANDED_SCHEMA, responses_of
 
 
+def landed_stream(spark: SparkSession, bronze_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Envelopes as they land."""
+    reader = spark.readStream.schema(LANDED_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.json(bronze_root)
+
+
 def ingest_new_bronze(spark: SparkSession, bronze_root: str, target: str, checkpoint: str,
                       transform: Callable[[DataFrame], DataFrame] = responses_of,
                       max_files_per_trigger: int | None = None) -> int:
     """Process new landed files once; returns the number of rows written by this run."""
-    reader = spark.readStream.schema(LANDED_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.json(bronze_root)
+    stream = landed_stream(spark, bronze_root, max_files_per_trigger)
     written = {"rows": 0}
 
     def sink(batch: DataFrame, epoch: int) -> None:
@@ -40,20 +55,81 @@ def ingest_new_bronze(spark: SparkSession, bronze_root: str, target: str, checkp
     return written["rows"]
 
 
+_ROW, _REJECT, _LINE = "row", "reject", "line"
+_TAGGED = "kind string, record_key string, fetched string, reason string, payload string"
+
+
+def _newest(key: tuple, frames: Iterator, state) -> Iterator:
+    """Rows of one key less those fetched before what the key's state knows; rejects pass."""
+    known = state.get[0] if state.exists else ""
+    newest = known
+    for pdf in frames:
+        row = pdf["kind"] == _ROW
+        fetched = pdf["fetched"].fillna("")
+        if row.any():
+            newest = max(newest, fetched[row].max())
+        yield pdf[~row | (fetched >= known)]
+    if newest != known:
+        state.update((newest,))
+
+
+def newest_rows(checked: DataFrame, lines: DataFrame, key: str, columns: Sequence[str], order: str) -> DataFrame:
+    """Streaming: (kind, record_key, fetched, reason, payload) of checked rows that are not older
+    than their key's newest fetch, of rejects and of lines that are no envelopes."""
+    kept = list(dict.fromkeys([*columns, key]))
+    reason = F.when(F.col(R.REASON).isNull() & F.col(key).isNull(), R.MISSING_KEY).otherwise(F.col(R.REASON))
+    rows = checked.select(
+        F.when(reason.isNull(), _ROW).otherwise(_REJECT).alias("kind"), F.col(key).cast("string").alias("record_key"),
+        F.col(f"{order}.ingested_at").alias("fetched"), reason.alias("reason"),
+        F.when(reason.isNull(), F.to_json(F.struct(*kept, order))).otherwise(
+            F.to_json(F.struct(R.CONTEXT, "source"))).alias("payload"))
+    other = lines.where(F.col(CORRUPT).isNotNull() | F.col("raw_responses").isNull()).select(
+        F.lit(_LINE).alias("kind"), F.col("landed.file_path").alias("record_key"), F.lit(None).cast("string").alias("fetched"),
+        F.lit(R.HTTP_ERROR).alias("reason"),
+        F.to_json(F.struct("source", "batch_id", F.col(CORRUPT).alias("record"), F.col("landed.file_path").alias("file"))).alias("payload"))
+    return rows.unionByName(other).groupBy("kind", "record_key").applyInPandasWithState(
+        _newest, _TAGGED, "fetched string", "update", "NoTimeout")
+
+
 def upsert_new_bronze(spark: SparkSession, bronze_root: str, store, table: str, checkpoint: str,
                       checked: Callable[[DataFrame], DataFrame], key: str, columns: Sequence[str],
-                      order: str = "fetch") -> list[dict]:
+                      order: str = "fetch", quarantine: str = "quarantine",
+                      max_files_per_trigger: int | None = None) -> list[dict]:
     """Validate new landed files and upsert them by key: ``checked`` turns responses into rows
-    with ``rejection_reason``; valid ones go to ``table`` of the store.  Returns the evidence of
-    each micro-batch.  A repeated micro-batch upserts the same keys again and adds none."""
+    with ``rejection_reason`` and context; valid ones that are not older than their key's newest
+    fetch go to ``table`` of the store, rejects and broken lines to ``quarantine``.  Returns the
+    evidence of each micro-batch.  A repeated micro-batch upserts the same keys again and adds
+    none."""
     evidence: list[dict] = []
+    ship_package(spark)
+    stream = B.with_place(landed_stream(spark, bronze_root, max_files_per_trigger))
+    rows = checked(responses_of(stream))
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    kept = list(dict.fromkeys([*columns, key]))
+    row_type = T.StructType([T.StructField(c, kinds[c]) for c in (*kept, order)])
+    reject_type = T.StructType([T.StructField(R.CONTEXT, T.MapType(T.StringType(), T.StringType())),
+                                T.StructField("source", T.StringType())])
+    line_type = T.StructType([T.StructField(c, T.StringType()) for c in ("source", "batch_id", "record", "file")])
+
+    def of(batch: DataFrame, kind: str, schema: T.StructType) -> DataFrame:
+        return batch.where(F.col("kind") == kind).select("record_key", "reason", F.from_json("payload", schema).alias("p"))
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        rows = valid(checked(responses_of(batch)))
+        batch = cut_lineage(batch)
+        rejects = of(batch, _REJECT, reject_type).select(
+            F.col("p.source").alias("source"), F.coalesce("record_key", F.lit("None")).alias("record_key"),
+            F.col("reason").alias(R.REASON), F.col(f"p.{R.CONTEXT}").alias(R.CONTEXT))
+        lines = of(batch, _LINE, line_type).select("p.*")
+        lines = lines.select("source", "batch_id", F.col("record").alias(CORRUPT), F.lit(None).cast("string").alias("raw_responses"),
+                             F.struct(F.col("file").alias("file_path")).alias("landed"))
+        broken = B.corrupt_lines(lines).select(
+            F.lit("bronze").alias("source"), R.line_key("record").alias("record_key"), F.lit(R.HTTP_ERROR).alias(R.REASON),
+            R.non_null_map(("source", "source"), ("line", "record"), ("file", "file")).alias(R.CONTEXT))
+        store.write_partition(quarantine, rejects.unionByName(broken), f"{table}-epoch-{epoch}")
+        rows = of(batch, _ROW, row_type).select("p.*")
         evidence.extend(r.asDict() for r in store.upsert(table, rows, key, order, columns).collect())
 
-    q = (spark.readStream.schema(LANDED_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT).json(bronze_root)
-         .writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    q = (newest_rows(rows, stream, key, columns, order).writeStream.outputMode("update")
+         .foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return evidence
