@@ -121,23 +121,31 @@ def knn(vectors: DataFrame, queries: DataFrame, n: int, *, id_col: str = "chunk_
 
     Query rows are numbered and cut into blocks of at most ``block_bytes``, whatever their ids
     (several rows may share one); each block is one scan of the vectors, and the results are
-    unioned.  Queries without a vector, and vectors of another length than the queries', give
-    nothing.
+    unioned.  Queries of different lengths are answered each among the vectors of its length;
+    those without a vector get nothing.
 
     Returns ``query_id, id_col, [parent_col], distance, rank`` (rank 1 = nearest; ties broken by
     id)."""
     spark = vectors.sparkSession
     asked = cut_lineage(queries.where(F.col(query_vec).isNotNull()).select(query_id, query_vec))
-    size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(query_vec)).alias("dim")).first()
+    sizes = asked.groupBy(F.size(query_vec).alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy("dim").collect()
     fields = [T.StructField(query_id, queries.schema[query_id].dataType),
               T.StructField(id_col, vectors.schema[id_col].dataType)]
     if parent_col:
         fields.append(T.StructField(parent_col, vectors.schema[parent_col].dataType))
     fields.append(T.StructField("distance", T.DoubleType()))
-    if not size["n"] or n <= 0:
+    if not sizes or n <= 0:
         return spark.createDataFrame([], T.StructType(fields + [T.StructField("rank", T.IntegerType())]))
-    dim = size["dim"]
-    blocks = max(1, -(-size["n"] * dim * 8 // (block_bytes // 2)))  # the mean is half the bound
+    if len(sizes) > 1:  # one search a length
+        parts = [knn(vectors, asked.where(F.size(query_vec) == s["dim"]), n, id_col=id_col, vec_col=vec_col,
+                     parent_col=parent_col, per_parent=per_parent, query_id=query_id, query_vec=query_vec,
+                     block_bytes=block_bytes) for s in sizes]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+    dim, count = sizes[0]["dim"], sizes[0]["n"]
+    blocks = max(1, -(-count * dim * 8 // (block_bytes // 2)))  # the mean is half the bound
     block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
     numbered = asked.withColumn("_block", block)
     ship_package(spark)  # the scoring stage runs this module's functions on the executors
@@ -147,7 +155,7 @@ def knn(vectors: DataFrame, queries: DataFrame, n: int, *, id_col: str = "chunk_
     arrow_schema = pa.schema([pa.field("_q", pa.int32())] + [_arrow_field(f) for f in schema.fields[1:]])
     out = None
     for b in range(blocks):
-        rows = [r for r in numbered.where(F.col("_block") == b).collect() if len(r[query_vec]) == dim]
+        rows = numbered.where(F.col("_block") == b).collect()
         if not rows:
             continue
         sent = spark.sparkContext.broadcast(np.array([r[query_vec] for r in rows], dtype=np.float64))
@@ -187,7 +195,7 @@ def plane_sign(table: int, bit: int, position: int) -> int:
     return 1 if h >> 16 & 1 else -1
 
 
-def hash_buckets(vectors: DataFrame, dim: int, tables: int = 8, bits: int = 4,
+def hash_buckets(vectors: DataFrame, dim: int, tables: int = 16, bits: int = 3,
                  vec_col: str = "embedding") -> DataFrame:
     """``vectors`` with ``buckets``: per hash table the sign bits of ``bits`` projections.
     Written once with the vectors, it makes a search an equi-join."""
