@@ -8,37 +8,33 @@ from pyspark.sql import functions as F
 
 from .keys import _c
 
-# Accepted date shapes, each must match the whole string:
-# year-month-dayThour:minute:second, year-month-day, year.
-FULL_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
-DATE_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
-YEAR_SHAPE = r"^[0-9]{4}$"
+# Fixed value: accepted date shapes, matching the whole string: year, year-month-day, or
+# year-month-dayThour:minute:second.
+DATE_SHAPES = r"^[0-9]{4}(-[0-9]{1,2}-[0-9]{1,2}([Tt][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})?)?$"
+
+
+def date_parts(c) -> Column:
+    """The numbers of a text of an accepted shape (1, 3 or 6 texts), else NULL."""
+    raw = _c(c)
+    return F.when(raw.rlike(DATE_SHAPES), F.split(F.translate(raw, "Tt:", "---"), "-"))
+
+
+def date_of_parts(parts: Column) -> Column:
+    """``date_parts`` -> naive timestamp (``timestamp_ntz``), NULL where they name no time.  The
+    parts are assembled with ``try_make_timestamp_ntz``: no parse exceptions on dirty rows,
+    invalid calendar dates (Feb 30) give NULL, and the result does not depend on the session time
+    zone.  Year 0000, hour 24, minute or second 60 are rejected as a strict parse rejects them."""
+    year, month, day, hour, minute, second = (
+        F.coalesce(F.get(parts, i).cast("int"), F.lit(int(i in (1, 2)))) for i in range(6))
+    return F.when((year != 0) & (hour < 24) & (minute < 60) & (second < 60),
+                  F.try_make_timestamp_ntz(year, month, day, hour, minute, second))
 
 
 def parse_multi_date(c) -> Column:
-    """Text -> naive timestamp (``timestamp_ntz``) using the first matching shape; NULL for
-    empty or unparseable text.
-
-    The shape is recognised with a regex and the parts are assembled with
-    ``try_make_timestamp_ntz``: no parse exceptions on dirty rows, invalid calendar
-    dates (Feb 30) give NULL, and the result does not depend on the session time
-    zone.  Signs, three-digit months, year 0000, hour 24, minute or second 60 are
-    rejected as a strict whole-string parse rejects them.  ``T`` may be lower-case.
-    """
-    s = F.regexp_replace(_c(c), "t", "T")
-    parts = F.split(s, "[-T:]")
-
-    def part(i: int) -> Column:
-        return F.get(parts, i).try_cast("int")
-    full, date, year = s.rlike(FULL_SHAPE), s.rlike(DATE_SHAPE), s.rlike(YEAR_SHAPE)
-    zero, one = F.lit(0), F.lit(1)
-    month = F.when(year, one).otherwise(part(1))
-    day = F.when(year, one).otherwise(part(2))
-    hour = F.when(full, part(3)).otherwise(zero)
-    minute = F.when(full, part(4)).otherwise(zero)
-    second = F.when(full, part(5)).otherwise(zero)
-    ok = (full | date | year) & (part(0) != 0) & (hour < 24) & (minute < 60) & (second < 60)
-    return F.when(ok, F.try_make_timestamp_ntz(part(0), month, day, hour, minute, second))
+    """Text -> naive timestamp by its shape; NULL for empty or unparseable text.  Signs and
+    three-digit months are no accepted shape.  Where a row's parts are needed as a column of their
+    own (they are read six times), use ``date_parts`` and ``date_of_parts``."""
+    return date_of_parts(date_parts(c))
 
 
 def date_is_invalid(c) -> Column:

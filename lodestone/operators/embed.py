@@ -27,9 +27,10 @@ from ..session import ship_package
 DEFAULT_DIM = 384  # fixed value: dimension of the reference's sentence vectors
 
 
-def hashing_encoder(dim: int = DEFAULT_DIM) -> Callable[[DataFrame, str, str], DataFrame]:
+def hashing_encoder(dim: int = DEFAULT_DIM, count_col: str | None = None) -> Callable[[DataFrame, str, str], DataFrame]:
     """Deterministic bag-of-words encoder: lower-cased ``\\W+`` tokens hashed into
-    ``dim`` buckets, L2-normalised (all-zero vector when the text has no token)."""
+    ``dim`` buckets, L2-normalised (all-zero vector when the text has no token).
+    ``count_col`` takes the number of tokens, so a text is split once for both."""
     def encode(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
         tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern="\\W+",
                              toLowercase=True, minTokenLength=1)
@@ -37,6 +38,8 @@ def hashing_encoder(dim: int = DEFAULT_DIM) -> Callable[[DataFrame, str, str], D
         norm = Normalizer(inputCol="_tf", outputCol="_vec", p=2.0)
         staged = norm.transform(tf.transform(tok.transform(
             df.withColumn(text_col, F.coalesce(F.col(text_col), F.lit(""))))))
+        if count_col:
+            staged = staged.withColumn(count_col, F.size("_tok"))
         return (staged.withColumn(out_col, vector_to_array("_vec", "float32"))
                 .drop("_tok", "_tf", "_vec"))
     return encode

@@ -13,11 +13,14 @@ Plan shape (one scan; every shuffle after the first is over reduced rows):
    per key sorts its value list once and picks the mode with ``max_by``.
    Per-key lists are bounded by the number of distinct values of one key (e.g.
    countries), never by the number of observations.
-``frequency_ranked`` / ``mode_latest`` compute A2 / A4 alone from the same entries.
+``frequency_ranked`` / ``mode_latest`` compute A2 / A4 alone from the same entries.  The entries
+are also the state of a summary that is kept up to date by batches (``TableStore.merge_delta``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,9 +101,33 @@ def summarize_observations(obs: DataFrame, key: str, order: str, value: str, cat
     into tagged entries (value / category / totals), re-aggregated per (key, tag,
     item) with hash aggregation, and each key then sorts its value list once and
     picks its mode with ``max_by`` - no per-value scans of the item list."""
-    pre = pre_aggregate(obs, key, order, value, category, ts)
+    return summary_of_state(summary_state(obs, key, order, value, category, ts), key, count_out=count_out,
+                            values_out=values_out, year_min_out=year_min_out, year_max_out=year_max_out, mode_out=mode_out)
+
+
+def summary_state(obs: DataFrame, key: str, order: str, value: str, category: str, ts: str) -> DataFrame:
+    """What a summary needs to know of its observations: per key and entry (each distinct value,
+    each category, the totals) a count, first position, latest time and year span.  Sums,
+    minima and maxima alone, so states of disjoint batches merge exactly."""
+    return tagged_entries(pre_aggregate(obs, key, order, value, category, ts), key)
+
+
+def merge_states(states: Sequence[DataFrame], key: str) -> DataFrame:
+    """The state of all observations of ``states``."""
+    union = states[0]
+    for s in states[1:]:
+        union = union.unionByName(s)
+    return union.groupBy(key, "tag", "item").agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.max("latest").alias("latest"),
+        F.min("y0").alias("y0"), F.max("y1").alias("y1"))
+
+
+def summary_of_state(state: DataFrame, key: str, *, count_out: str = "n_occurrences_validas",
+                     values_out: str = "paises", year_min_out: str = "anio_min",
+                     year_max_out: str = "anio_max", mode_out: str = "iucn_red_list_category") -> DataFrame:
+    """The observation summary of a state: one aggregation, lists bounded by distinct values."""
     is_t = F.col("tag") == "t"
-    per_key = tagged_entries(pre, key).groupBy(key).agg(
+    per_key = state.groupBy(key).agg(
         F.sum(F.when(is_t, F.col("n"))).alias("_total"),
         F.min(F.when(is_t, F.col("y0"))).alias("_y0"), F.max(F.when(is_t, F.col("y1"))).alias("_y1"),
         _ranked_values().alias("_values"), _mode().alias("_mode"))

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import (falsy_to_null_double, first_map_value, is_falsy, is_nonempty_object,
-                         parse_multi_date, safe_double)
+from ..functions import (date_of_parts, date_parts, first_map_value, is_falsy, is_nonempty_object,
+                         safe_double)
 from . import rules as R
 
 EXTRACTS_SCHEMA = T.StructType([T.StructField("query", T.StructType([
@@ -178,10 +178,14 @@ def validate_occurrences(df: DataFrame, key: str = "species_key") -> DataFrame:
     MISSING_BASIS_OF_RECORD; non-empty unparseable date -> INVALID_EVENT_DATE; id
     not an integer or uncertainty not numeric -> HTTP_ERROR (contract)."""
     gid, lat_raw, lon_raw = F.col("gbifID"), F.col("decimalLatitude"), F.col("decimalLongitude")
-    lat, lon = safe_double(lat_raw), safe_double(lon_raw)
     unc_raw = F.col("coordinateUncertaintyInMeters")
-    unc_bad = ~is_falsy(unc_raw) & safe_double(unc_raw).isNull()
-    gid_long = gid.try_cast("long")
+    # columns of their own: rules, context and result read them, each text is parsed once
+    staged = df.select("*", safe_double(lat_raw).alias("_lat"), safe_double(lon_raw).alias("_lon"),
+                       safe_double(unc_raw).alias("_unc"), gid.try_cast("long").alias("_gid"),
+                       date_parts(F.col("eventDate")).alias("_parts"))
+    staged = staged.withColumn("_event_date", date_of_parts(F.col("_parts")))
+    lat, lon, unc, gid_long = F.col("_lat"), F.col("_lon"), F.col("_unc"), F.col("_gid")
+    unc_bad = (F.coalesce(unc_raw.cast("string"), F.lit("")) != "") & unc.isNull()
     in_range = lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0)
     rules = [
         (R.MISSING_GBIF_ID, is_falsy(gid)),
@@ -205,16 +209,14 @@ def validate_occurrences(df: DataFrame, key: str = "species_key") -> DataFrame:
                                   ("error", F.lit("gbif_id or uncertainty not numeric"))]),
         (F.lit(True), [("species_key", k), ("gbif_id", gid)]),
     ]
-    out = R.with_rules(df.withColumn("_event_date", parse_multi_date(F.col("eventDate"))),
-                       rules, contexts)
+    out = R.with_rules(staged, rules, contexts)
     return out.select(
-        "*", gid_long.alias("gbif_id"), lat.alias("decimal_latitude"),
-        lon.alias("decimal_longitude"), F.col("country").alias("country_"),
+        *[c for c in df.columns if c != "country"], R.REASON, R.CONTEXT, gid_long.alias("gbif_id"),
+        lat.alias("decimal_latitude"), lon.alias("decimal_longitude"), "country",
         F.col("_event_date").alias("event_date"),
         F.col("basisOfRecord").alias("basis_of_record"),
         F.col("iucnRedListCategory").alias("iucn_red_list_category"),
-        falsy_to_null_double(unc_raw).alias("coordinate_uncertainty_m"),
-    ).drop("country", "_event_date").withColumnRenamed("country_", "country")
+        F.nullif(unc, F.lit(0.0)).alias("coordinate_uncertainty_m"))
 
 
 def occurrence_records(envelope_rows: DataFrame, key: str = "species_key",

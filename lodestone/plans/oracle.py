@@ -197,6 +197,8 @@ SELECT doc_id, rejection_reason,
        CASE WHEN rejection_reason IS NULL THEN 'Doc ' || CAST(doc_id AS VARCHAR) END AS title,
        CASE WHEN rejection_reason IS NULL THEN CAST(length(text) AS INTEGER) END AS extract_length,
        CASE WHEN rejection_reason IS NULL THEN CAST(length(text) AS INTEGER) END AS sections_length,
+       CASE WHEN rejection_reason IS NULL THEN sha256(text) END AS extract_sha256,
+       CASE WHEN rejection_reason IS NULL THEN sha256(text) END AS sections_text_sha256,
        CASE WHEN rejection_reason IS NULL THEN 'https://docs.example/' || CAST(doc_id AS VARCHAR) END AS page_url,
        CASE WHEN rejection_reason IS NULL THEN 'DIRECT_TITLE' END AS resolved_via,
        CASE WHEN rejection_reason IS NULL THEN NULL
@@ -428,7 +430,7 @@ FROM d QUALIFY rank <= 5
 ORACLE["ann_search"] = "WITH " + _VEC + """,
 planes AS (SELECT t, b, p, CASE WHEN ((((p + 1) * (t * 31 + b * 17 + 7) * 2654435761) % 4294967296) >> 16) & 1 = 1
                             THEN 1.0 ELSE -1.0 END AS s
-           FROM range(8) x(t), range(4) y(b), range(64) z(p)),
+           FROM range(16) x(t), range(3) y(b), range(64) z(p)),
 vals AS (SELECT 'q' AS side, query_id AS id, unnest(range(len(qv))) AS p, unnest(qv) AS x FROM cent
          UNION ALL SELECT 'v', vec_id, unnest(range(len(embedding))), unnest(embedding)::DOUBLE FROM embeddings),
 bits AS (SELECT side, id, t, b, sum(x * s) >= 0 AS bit FROM vals JOIN planes USING (p) GROUP BY ALL),
@@ -450,7 +452,7 @@ FROM documents
 ORACLE["bronze_pages"] = ORACLE["validate_pages"]
 
 ORACLE["incremental_bronze"] = """
-SELECT page_id, 200 AS status, CAST(length(html) AS INTEGER) AS n_chars FROM pages
+SELECT page_id, 200 AS status, CAST(length(html) AS INTEGER) AS n_chars, sha256(html) AS data_sha256 FROM pages
 """
 
 ORACLE["resolve_titles"] = """
@@ -593,3 +595,97 @@ c AS (SELECT 'silver_wikipedia' AS tabla, n FROM m
 SELECT 1 AS run, tabla, 0 AS filas_antes, n AS filas_despues, n AS filas_nuevas, 0 AS filas_actualizadas FROM c
 UNION ALL SELECT 2, tabla, n, n, 0, n FROM c
 """
+
+# a table begins with the 18 smallest keys, takes every order, then the pending ones again;
+# its buckets follow the rows it holds and those that come
+ORACLE["store_growth"] = """
+WITH n AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'P') AS p,
+                  CAST(sum(CAST(o_totalprice + CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS DECIMAL(18,2))) AS DOUBLE) AS price
+           FROM orders)
+SELECT CAST(1 AS INTEGER) AS step, CAST(0 AS BIGINT) AS filas_antes, CAST(least(18, n) AS BIGINT) AS filas_despues,
+       CAST(least(18, n) AS BIGINT) AS filas_nuevas, CAST(0 AS BIGINT) AS filas_actualizadas, CAST(1 AS INTEGER) AS n_buckets,
+       true AS even, n AS n_rows, price FROM n
+UNION ALL SELECT 2, least(18, n), n, n - least(18, n), least(18, n), CAST(ceil((n + least(18, n)) / 1000) AS INTEGER), true, n, price FROM n
+UNION ALL SELECT 3, n, n, 0, p, CAST(greatest(ceil((n + least(18, n)) / 1000), ceil((n + p) / 1000)) AS INTEGER), true, n, price FROM n
+"""
+
+ORACLE["store_rebuild"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity + CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS l_quantity
+FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey WHERE coalesce(o_orderstatus, '') <> 'F'
+"""
+
+ORACLE["summary_by_deltas"] = ORACLE["occurrence_summary"]
+
+# lines that are no envelopes: key and length
+_LINES = """
+lines AS (SELECT unnest(['{broken', '{"foo": 1}', '[1, 2]', '{broken' || repeat(' and long', 60)]) AS line),
+lk AS (SELECT CASE WHEN length(line) <= 200 THEN line ELSE left(line, 200) || '#' || sha256(line) END AS record_key,
+              length(line) AS chars FROM lines)
+"""
+
+ORACLE["late_fetches"] = "WITH " + _TAX + "," + _LINES + """
+SELECT CAST(p_partkey AS VARCHAR) AS record, 'row' AS outcome,
+       CASE WHEN p_size < 10 THEN 'newest ' WHEN rejection_reason IS NULL THEN '' ELSE 'old ' END || p_name AS detail
+FROM tx
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'quarantine', rejection_reason FROM tx WHERE rejection_reason IS NOT NULL
+UNION ALL SELECT record_key, 'quarantine', 'HTTP_ERROR' FROM lk
+"""
+
+_BATCH = "WITH " + _OCC + "," + _TAX + "," + _PAGES + """,
+o AS (SELECT *, CASE WHEN source = 'src8' THEN 'AMBIGUOUS_RESOLUTION' WHEN source = 'src9' THEN 'PAGE_NOT_FOUND'
+                     ELSE coalesce(rejection_reason, 'MERGED') END AS outcome FROM pg),
+names AS (SELECT doc_id FROM documents WHERE source <> 'src8'),
+bt AS (SELECT tx.rejection_reason FROM tx JOIN names ON p_partkey = doc_id),
+bo AS (SELECT c.rejection_reason FROM occ_checked c JOIN names ON species_key = doc_id)
+"""
+
+ORACLE["batch_quarantine"] = _BATCH + "," + _LINES + """,
+q AS (SELECT 'wikipedia' AS source, outcome AS rejection_reason, 0 AS chars FROM o WHERE outcome <> 'MERGED'
+      UNION ALL SELECT 'gbif_taxonomy', rejection_reason, 0 FROM bt WHERE rejection_reason IS NOT NULL
+      UNION ALL SELECT 'gbif_occurrence', rejection_reason, 0 FROM bo WHERE rejection_reason IS NOT NULL
+      UNION ALL SELECT 'bronze', 'HTTP_ERROR', chars FROM lk)
+SELECT source, rejection_reason, 'b1' AS batch_id, count(*) AS n, CAST(sum(chars) AS BIGINT) AS line_chars FROM q GROUP BY 1, 2
+"""
+
+ORACLE["batch_summary"] = _BATCH + """,
+s AS (
+  SELECT 'n_species' AS what, count(*) AS n FROM o UNION ALL SELECT 'silver.wikipedia_valid', count(*) FROM o WHERE outcome = 'MERGED'
+  UNION ALL SELECT 'silver.wikipedia_rejected', count(*) FROM o WHERE outcome <> 'MERGED'
+  UNION ALL SELECT 'silver.gbif_taxonomy_valid', count(*) FROM bt WHERE rejection_reason IS NULL
+  UNION ALL SELECT 'silver.gbif_taxonomy_rejected', count(rejection_reason) FROM bt
+  UNION ALL SELECT 'silver.gbif_occurrence_valid', count(*) FROM bo WHERE rejection_reason IS NULL
+  UNION ALL SELECT 'silver.gbif_occurrence_rejected', count(rejection_reason) FROM bo
+  UNION ALL SELECT 'silver.bronze_corrupt', 0
+  UNION ALL SELECT 'merge.merged', count(*) FROM o WHERE outcome = 'MERGED'
+  UNION ALL SELECT 'merge.skipped_no_wikipedia', count(*) FROM o WHERE outcome <> 'MERGED'
+  UNION ALL SELECT 'gold.n_species', count(*) FROM o WHERE outcome = 'MERGED'
+  UNION ALL SELECT CASE WHEN lang = 'en' THEN 'origin.SEED' ELSE 'origin.AD_HOC' END, count(*) FROM o WHERE outcome = 'MERGED' GROUP BY 1)
+SELECT what, CAST(n AS VARCHAR) AS value FROM s UNION ALL SELECT 'status', 'empty_batch'
+"""
+
+ORACLE["batch_determinism"] = _BATCH + """,
+m AS (SELECT count(*) AS n FROM o WHERE outcome = 'MERGED'),
+c AS (SELECT unnest(['silver_wikipedia', 'species_merged', 'species_catalog', 'gold_species']) AS tab, n FROM m
+      UNION ALL SELECT 'silver_gbif_taxonomy', count(*) FROM bt WHERE rejection_reason IS NULL
+      UNION ALL SELECT 'silver_gbif_occurrences', count(*) FROM bo WHERE rejection_reason IS NULL
+      UNION ALL SELECT 'quarantine', (SELECT count(*) FROM o WHERE outcome <> 'MERGED') + (SELECT count(rejection_reason) FROM bt)
+                + (SELECT count(rejection_reason) FROM bo)
+      UNION ALL SELECT 'chunk_vectors', NULL)
+SELECT tab AS "table", n AS n_first, n AS n_second, true AS same FROM c UNION ALL SELECT 'changed', n, n, false FROM m
+"""
+
+# at least nine tenths of the 25 nearest
+ORACLE["graph_search"] = "WITH " + _VEC + """
+SELECT query_id, least(25, count(*)) AS n_found, true AS recalled, min(distance) AS nearest FROM dist GROUP BY query_id
+"""
+
+# every parent that passes the filters has its vectors found
+ORACLE["graph_search_filtered"] = "WITH " + _VEC + """,
+ok AS (SELECT label FROM meta WHERE iucn_red_list_category = 'VU' AND anio_max >= 2005),
+pool AS (SELECT count(*) AS n FROM embeddings WHERE label IN (SELECT label FROM ok))
+SELECT DISTINCT label AS query_id, least(25, n) AS n_found, n > 0 AS recalled, CAST(0 AS BIGINT) AS outside FROM embeddings, pool WHERE n > 0
+"""
+
+ORACLE["key_lookup"] = """
+SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders)
+"""

@@ -187,6 +187,8 @@ def q_validate_pages(spark, sf_dir):
                     F.when(F.col(R.REASON).isNull(), F.length("extract")).alias("extract_length"),
                     F.when(F.col(R.REASON).isNull(), F.length("sections_text"))
                     .alias("sections_length"),
+                    *(F.when(F.col(R.REASON).isNull(), F.sha2(F.col(c).cast("binary"), 256)).alias(f"{c}_sha256")
+                      for c in ("extract", "sections_text")),
                     _if_valid("page_url"), _if_valid("resolved_via"), _ctx_keys())
 
 
@@ -411,8 +413,7 @@ from ..operators import embed as EMB  # noqa: E402
 def q_embed_chunks(spark, sf_dir):
     """K1 every document text -> unit vector (hashing encoder, 384 dims)."""
     d = Tables(spark, sf_dir).documents.select("doc_id", "text")
-    toks = F.filter(F.split(F.lower(F.col("text")), "\\W+"), lambda s: s != "")
-    e = EMB.embed(d.withColumn("n_tokens", F.size(toks)))
+    e = EMB.embed(d, encoder=EMB.hashing_encoder(count_col="n_tokens"))
     return e.select("doc_id", F.size("embedding").alias("dims"), "n_tokens",
                     F.round(EMB.vector_norm(F.col("embedding")), 4).alias("norm"))
 
@@ -427,6 +428,56 @@ def q_ann_search(spark, sf_dir):
         "query_id", "vec_id", "label", "distance", "rank")
 
 
+from ..operators import graph_index as G  # noqa: E402
+
+
+def _graph(t: Tables) -> DataFrame:
+    return G.build_graph(t.embeddings, id_col="vec_id", parent_col="label")
+
+
+def _recalled(found: DataFrame, exact: DataFrame, asked: DataFrame) -> DataFrame:
+    """(query_id, n_found, hits, n_exact) per query."""
+    hits = found.join(exact.select("query_id", "vec_id"), ["query_id", "vec_id"], "left_semi")
+    parts = [df.groupBy("query_id").agg(F.count(F.lit(1)).alias(c)) for df, c in
+             ((found, "n_found"), (hits, "hits"), (exact, "n_exact"))]
+    out = asked.select("query_id")
+    for p in parts:
+        out = out.join(p, "query_id", "left")
+    return out.na.fill(0)
+
+
+@register("graph_search")
+def q_graph_search(spark, sf_dir):
+    """K2 / K3 graph index: 25 nearest of each label centroid by walking every shard's graph, held
+    against the exact answer: nine tenths of it at least, each found vector with its exact place
+    among the found."""
+    t = Tables(spark, sf_dir)
+    asked = V.label_centroids(t)
+    found = cut_lineage(G.search_graph(_graph(t), asked, 25, id_col="vec_id", parent_col="label"))
+    exact = cut_lineage(K.knn(V.vector_chunks(t), asked, 25, id_col="vec_id"))
+    same = found.select("query_id", "vec_id", "distance").join(exact.select("query_id", "vec_id", F.col("distance").alias("d")),
+                                                             ["query_id", "vec_id"]).where("distance = d")
+    return _recalled(found, same, asked).join(exact.groupBy("query_id").agg(F.min("distance").alias("nearest")), "query_id").select(
+        "query_id", "n_found", (F.col("hits") >= 0.9 * F.least(F.lit(25), "n_found")).alias("recalled"), "nearest")
+
+
+@register("graph_search_filtered")
+def q_graph_search_filtered(spark, sf_dir):
+    """K6-K9 filters as bitmaps inside the graph search: complete answers, nine tenths of the
+    exact ones, nothing outside the filter."""
+    t = Tables(spark, sf_dir)
+    asked, meta = V.label_centroids(t), V.label_metadata(t)
+    parents, bitmaps = G.value_bitmaps(meta, "label", ["iucn_red_list_category", "anio_min", "anio_max"])
+    flt = {"category": "VU", "years": (2005, 2100)}
+    found = cut_lineage(G.search_graph_filtered(_graph(t), parents, bitmaps, asked, 25, id_col="vec_id", **flt))
+    ok = K.metadata_filter(meta, **flt).select(F.col("label").alias("parent")).distinct()
+    exact = K.knn(V.vector_chunks(t).join(ok, F.col("label") == F.col("parent"), "left_semi"), asked, 25, id_col="vec_id")
+    outside = found.join(ok, "parent", "left_anti").groupBy("query_id").agg(F.count(F.lit(1)).alias("outside"))
+    return _recalled(found, exact, asked).join(outside, "query_id", "left").where("n_exact > 0").select(
+        "query_id", "n_found", (F.col("hits") >= 0.9 * F.col("n_exact")).alias("recalled"),
+        F.coalesce("outside", F.lit(0).cast("long")).alias("outside"))
+
+
 # --- bronze landing and incremental ingestion ------------------------------------------
 
 import uuid  # noqa: E402
@@ -465,6 +516,8 @@ def q_bronze_pages(spark, sf_dir):
                     F.when(F.col(R.REASON).isNull(), F.length("extract")).alias("extract_length"),
                     F.when(F.col(R.REASON).isNull(), F.length("sections_text"))
                     .alias("sections_length"),
+                    *(F.when(F.col(R.REASON).isNull(), F.sha2(F.col(c).cast("binary"), 256)).alias(f"{c}_sha256")
+                      for c in ("extract", "sections_text")),
                     _if_valid("page_url"), _if_valid("resolved_via"), _ctx_keys())
 
 
@@ -484,7 +537,8 @@ def q_incremental_bronze(spark, sf_dir):
         raise RuntimeError(f"incremental landing re-read {again} rows")
     landed = spark.read.parquet(target)
     return landed.select(F.regexp_extract("query", "^page:([0-9]+)$", 1).cast("long")
-                         .alias("page_id"), "status", F.length("data").alias("n_chars"))
+                         .alias("page_id"), "status", F.length("data").alias("n_chars"),
+                         F.sha2(F.col("data").cast("binary"), 256).alias("data_sha256"))
 
 
 # --- title resolution -----------------------------------------------------------
@@ -631,6 +685,168 @@ def q_store_operations(spark, sf_dir):
     return spark.createDataFrame(rows, "what string, value string")
 
 
+@register("store_growth")
+def q_store_growth(spark, sf_dir):
+    """U1 / S5 a table that begins with 18 orders takes all of them and then a restated part: its
+    buckets are split one by one and stay about as large as they are meant to be, and the last
+    batch rewrites only buckets it touches."""
+    cols = list(V.ORDER_COLUMNS)
+    o = Tables(spark, sf_dir).orders.select(*cols).withColumn("ord", F.lit(1))
+    store = TableStore(spark, _scratch(spark, "store"), rows_per_bucket=1000)
+    again = o.where("o_orderstatus = 'P'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    out = []
+    for step, batch in enumerate((o.orderBy("o_orderkey").limit(18), o, again), 1):
+        e = store.upsert_bucketed("orders", batch, "o_orderkey", "ord", cols).first()
+        now, sizes = store.current("orders"), store.bucket_rows("orders")
+        # hashing spreads keys at random: an unsplit bucket holds twice the mean, and some more
+        even = max(sizes.values()) <= 2 * store.rows_per_bucket + 200 and sum(sizes.values()) == e["filas_despues"]
+        out.append((step, *(e[c] for c in U.EVIDENCE_COLUMNS[1:]), now.buckets, even))
+    total = store.read("orders").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)"))
+                                     .cast("double").alias("price")).first()
+    return spark.createDataFrame([(*r, total["n"], total["price"]) for r in out],
+                                 "step int, filas_antes long, filas_despues long, filas_nuevas long, "
+                                 "filas_actualizadas long, n_buckets int, even boolean, n_rows long, price double")
+
+
+@register("key_lookup")
+def q_key_lookup(spark, sf_dir):
+    """V6 / J6 one key of a stored table: its bucket alone is read, whose files are sorted by key
+    and hold a Bloom filter; a key that is absent reads nothing."""
+    o = Tables(spark, sf_dir).orders
+    store = TableStore(spark, _scratch(spark, "store"), rows_per_bucket=2000)
+    store.upsert_bucketed("orders", o.withColumn("ord", F.lit(1)), "o_orderkey", "ord", ["o_orderkey", "o_orderstatus", "o_totalprice"])
+    key = o.agg(F.max("o_orderkey")).first()[0]
+    if store.lookup("orders", "o_orderkey", key + 1).count():
+        raise RuntimeError("an absent key was found")
+    return store.lookup("orders", "o_orderkey", key)
+
+
+@register("store_rebuild")
+def q_store_rebuild(spark, sf_dir):
+    """U6 order lines kept by order: the lines of pending orders are replaced, those of filled
+    orders go; emptied buckets stay empty."""
+    t = Tables(spark, sf_dir)
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    state = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    store = TableStore(spark, _scratch(spark, "store"), rows_per_bucket=5000)
+    store.replace_keys("lines", lines, "l_orderkey")
+    pending = lines.join(state.where("o_orderstatus = 'P'").select("l_orderkey"), "l_orderkey", "left_semi")
+    store.replace_keys("lines", pending.withColumn("l_quantity", F.col("l_quantity") + 1), "l_orderkey",
+                       gone=state.where("o_orderstatus = 'F'"))
+    # a table whose last key goes is empty
+    store.replace_keys("few", lines.limit(0).unionByName(lines.orderBy("l_orderkey", "l_linenumber").limit(1)), "l_orderkey")
+    store.replace_keys("few", lines.limit(0), "l_orderkey", gone=state)
+    if store.read("few").count():
+        raise RuntimeError("deleted keys came back")
+    return store.read("lines")
+
+
+@register("summary_by_deltas")
+def q_summary_by_deltas(spark, sf_dir):
+    """A1-A4 the summaries of all users kept up to date by four batches in any order; a batch
+    that is applied again changes nothing."""
+    ev = Tables(spark, sf_dir).events
+    span = ev.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))).alias("a"),
+                  F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("b")).first()
+    quarter = F.least(F.lit(3), F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(span["a"])) * 4
+                                        / F.lit(max(1, span["b"] - span["a"]))))
+    store = TableStore(spark, _scratch(spark, "store"), rows_per_bucket=20_000)
+    applied = []
+    for k in (2, 0, 3, 1, 0):
+        batch = ev.where(F.coalesce(quarter, F.lit(0)) == k)
+        state = S.summary_state(batch, "user_id", "event_id", "event_type", "event_type", "ts")
+        applied.append(store.merge_delta("summaries", state, "user_id", f"quarter-{k}", S.merge_states))
+    if applied != [True] * 4 + [False]:
+        raise RuntimeError("a delta was applied twice")
+    out = S.summary_of_state(store.read("summaries"), "user_id", count_out="n_obs", values_out="types",
+                             year_min_out="year_min", year_max_out="year_max", mode_out="mode_type")
+    return out.select("user_id", "n_obs", _joined("types"), "year_min", "year_max", "mode_type")
+
+
+def _land_lines(spark, root: str, batch_id: str) -> None:
+    """Lines that are no envelopes, appended to a landing folder: broken JSON, JSON of another
+    shape, and a long one that begins like the first."""
+    lines = ["{broken", '{"foo": 1}', "[1, 2]", "{broken" + " and long" * 60]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(
+        f"{root}/source=gbif_taxonomy/batch_id={batch_id}")
+
+
+@register("late_fetches")
+def q_late_fetches(spark, sf_dir):
+    """L5 / S6 files land out of order: the newest valid fetch of every key stays, and everything
+    rejected, records and lines, is in the quarantine table."""
+    t = Tables(spark, sf_dir)
+    new = V.taxonomy_responses(t).withColumn("query", F.col("p_partkey").cast("string"))
+
+    def renamed(prefix: str, rows: DataFrame) -> DataFrame:
+        body = F.to_json(F.struct(F.lit(1).alias("usageKey"), F.concat(F.lit(prefix), "p_name").alias("scientificName"),
+                                  F.lit("EXACT").alias("matchType")))
+        return rows.select(F.col("p_partkey").cast("string").alias("query"), F.lit(200).alias("status"), body.alias("data"))
+
+    root, ckpt, store = _scratch(spark, "landing"), _scratch(spark, "stream"), TableStore(spark, _scratch(spark, "store"))
+    cols = ["query", "usage_key", "scientific_name", "match_type"]
+    for day, rows in (("2024-02-01", new), ("2024-01-01", renamed("old ", t.part)),
+                      ("2024-03-01", renamed("newest ", t.part.where("p_size < 10"))), ("2024-02-15", renamed("late ", t.part.where("p_size < 10")))):
+        env = B.envelopes(rows, "gbif_taxonomy").withColumn("ingested_at", F.lit(f"{day}T00:00:00Z"))
+        B.write_bronze(env, root, day)
+        if day == "2024-01-01":
+            _land_lines(spark, root, day)
+        upsert_new_bronze(spark, root, store, "taxonomy", ckpt,
+                          lambda df: VAL.validate_taxonomy(df, key="query"), "query", cols)
+    kept = store.read("taxonomy").select(F.col("query").alias("record"), F.lit("row").alias("outcome"), F.col("scientific_name").alias("detail"))
+    gone = store.read("quarantine").select(F.col("record_key").alias("record"), F.lit("quarantine").alias("outcome"), F.col(R.REASON).alias("detail"))
+    return kept.unionByName(gone)
+
+
+@register("batch_quarantine")
+def q_batch_quarantine(spark, sf_dir):
+    """S6 / S1 the quarantine table after a batch with broken lines: rejects by source and reason,
+    the same after a rerun, and whole lines in their context."""
+    root, names, resolution = _land_batch(spark, Tables(spark, sf_dir))
+    _land_lines(spark, root, "b1")
+    where = _scratch(spark, "warehouse")
+    for _ in (1, 2):
+        BR.run_batch(spark, names, root, where, "b1", resolution=resolution)
+    return TableStore(spark, where).read("quarantine").groupBy("source", R.REASON, "batch_id").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(F.col(R.CONTEXT)["line"])), F.lit(0)).alias("line_chars"))
+
+
+@register("batch_summary")
+def q_batch_summary(spark, sf_dir):
+    """A5 / L2 the run summary of one batch with a seed list, an empty batch's beside it."""
+    t = Tables(spark, sf_dir)
+    root, names, resolution = _land_batch(spark, t)
+    where = _scratch(spark, "warehouse")
+    empty = BR.run_batch(spark, names.limit(0), root, where, "b0")
+    seed = t.documents.where("lang = 'en'").select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("name"))
+    run = BR.run_batch(spark, names, root, where, "b1", seed=seed, resolution=resolution)
+    rows = [("status", str(empty.summary["status"])), ("n_species", str(run.summary["n_species"]))]
+    for part in ("silver", "merge", "gold"):
+        rows += [(f"{part}.{k}", str(v)) for k, v in run.summary[part].items() if k not in ("n_chunks", "index_size")]
+    origin = TableStore(spark, where).read("species_catalog").groupBy("origin").count().collect()
+    return spark.createDataFrame(rows + [(f"origin.{r['origin']}", str(r["count"])) for r in origin], "what string, value string")
+
+
+@register("batch_determinism")
+def q_batch_determinism(spark, sf_dir):
+    """L3 two runs of one batch into two warehouses give the same tables (times of processing
+    aside); a table of which one value was changed is told apart."""
+    root, names, resolution = _land_batch(spark, Tables(spark, sf_dir))
+    stores = []
+    for _ in (1, 2):
+        where = _scratch(spark, "warehouse")
+        BR.run_batch(spark, names, root, where, "b1", resolution=resolution)
+        stores.append(TableStore(spark, where))
+    times = ("updated_at", "first_processed_at", "last_processed_at")
+    rows = [QC.same_table(t, *(st.read(t) for st in stores), without=times) for t in stores[0].tables()]
+    merged = stores[0].read("species_merged")
+    key = merged.agg(F.min("species_key")).first()[0]
+    changed = merged.withColumn("n_occurrences_validas", F.col("n_occurrences_validas") + (F.col("species_key") == key).cast("int"))
+    out = QC.run_checks(rows + [QC.same_table("changed", merged, changed, without=times)])
+    return out.select("table", F.when(F.col("table") != "chunk_vectors", F.col("n_first")).alias("n_first"),
+                      F.when(F.col("table") != "chunk_vectors", F.col("n_second")).alias("n_second"), "same")
+
+
 @register("seed_halves")
 def q_seed_halves(spark, sf_dir):
     """O3 the seed list cut into a first and a last half in key order."""
