@@ -35,6 +35,8 @@ from .text import U64, WordHash, bounded_batches, texts_of
 KINDS = ("email", "ip", "card", "phone", "term")
 REACH, SUPPORT, THRESHOLD, ALPHA = 8, 3, 0.8, 0.05
 BITS = 1 << 22
+#: Distinct terms that a task counts before it passes them on.
+COUNTED = 200_000
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -157,24 +159,31 @@ def find_base(docs: DataFrame, reach: int = REACH) -> DataFrame:
 
 def document_frequency(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, df): how many rows hold each of ``terms``.  A bitmap of fixed size lets only
-    likely terms leave the scan, counted per batch; the join settles the rest."""
+    likely terms leave the scan, counted by task; the join settles the rest."""
     slots = terms.select(F.col("slot").cast("int").alias("s")).distinct().collect()  # BITS at most
     bits = np.zeros(BITS, dtype=np.uint8)
     bits[[r["s"] for r in slots]] = 1
     bitmap = np.packbits(bits, bitorder="little").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, bits = WordHash(), np.frombuffer(bitmap, dtype=np.uint8)
+        cache, bits, seen = WordHash(), np.frombuffer(bitmap, dtype=np.uint8), Counter()
+
+        def rows():
+            out = pa.RecordBatch.from_arrays(
+                [pa.array([w.decode("utf-8", "replace") for w in seen], pa.string()),
+                 pa.array(seen.values(), pa.int64())], ["term", "n"])
+            seen.clear()
+            return out
+
         for batch in batches:
-            seen: Counter = Counter()
             for text in texts_of(batch):
                 words = list(set(item_words(text)))
                 at = (cache.of(words) % U64(BITS)).astype(np.int64)
                 seen.update([words[i] for i in
                              np.flatnonzero((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w.decode("utf-8", "replace") for w in seen], pa.string()),
-                 pa.array(seen.values(), pa.int64())], ["term", "n"])
+                if len(seen) > COUNTED:
+                    yield rows()
+        yield rows()
 
     counted = docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("df"))
     return counted.join(terms.select("term").distinct(), "term", "left_semi")
