@@ -1,12 +1,14 @@
 """Approximate nearest neighbours by inner product over balanced posting lists.
 
 Vectors are put on a sphere by one more coordinate, so that the largest inner product is the
-smallest distance.  Centroids are trained on a bounded sample by k-means with a penalty on
-crowded lists; every vector is indexed in its nearest list and, near a boundary, in further
-lists whose centroids are almost as near and not behind one already taken.  A query walks an
+smallest distance.  Centroids come from a bounded sample: equal splits, then k-means in which a
+crowded list weighs its distances more.  Every vector is indexed in its list and, near a boundary,
+in further lists whose centroids are almost as near and lie in other directions.  A query walks an
 in-memory neighbour graph of the centroids, best first, and takes every list whose distance is
-within a ratio of the nearest one's.  Lists are cut into blocks of bounded size, queries too;
-Spark joins the blocks on the list and a task multiplies one pair of blocks at a time.
+within a ratio of the nearest one's.  The ratio is measured, not fixed: the true neighbours of a
+bounded number of queries are found by one scan, and the smallest ratio is taken under which the
+walk reaches the lists of nearly all of them.  Lists are cut into blocks of bounded size, each
+list's queries too; Spark joins the blocks on the list and a task multiplies one pair at a time.
 
 Equal vectors are one class: only its smallest ids can be among a query's nearest.
 """
@@ -25,10 +27,12 @@ from ..session import cut_lineage, ship_package
 from .text import bounded_batches
 
 K = 20
-SAMPLE, MAX_LISTS, LIST_SIZE = 20_000, 1024, 400
-BOUNDARY, REPLICAS, RATIO = 0.05, 4, 0.2
+SAMPLE, PER_LIST, LIST_SIZE = 200_000, 8, 400  # at most SAMPLE // PER_LIST lists
+BOUNDARY, REPLICAS, NEAR = 0.1, 3, 16
+TRIALS, RECALL = 256, 0.95  # queries that the ratio is measured on, and what it must reach
 QUERY_BLOCK, LIST_BLOCK, HELD = 128, 512, 20_000
 FIRST = 2  # lists searched before the others
+CELLS = 1 << 22  # distances held at once
 
 
 def lift(x: np.ndarray, largest: float) -> np.ndarray:
@@ -42,26 +46,70 @@ def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d, 0.0))
 
 
-def balanced_centroids(sample: np.ndarray, lists: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
-    """k-means in which a list over its share costs more to join; empty lists restart at the
-    rows farthest from their centroid."""
+def _parts(rows: int, width: int) -> Iterator[slice]:
+    """Slices of rows whose distances to ``width`` centroids fit in memory."""
+    step = max(1, CELLS // max(1, width))
+    return (slice(at, at + step) for at in range(0, rows, step))
+
+
+def _equal_splits(x: np.ndarray, lists: int, rng: np.random.Generator) -> np.ndarray:
+    """Means of about ``lists`` parts of ``x``, halved along the line between two means."""
+    means, stack = [], [(np.arange(len(x)), lists)]
+    while stack:
+        rows, share = stack.pop()
+        if share <= 1 or len(rows) < 2:
+            means.append(x[rows].mean(axis=0))
+            continue
+        here, half = x[rows], share // 2
+        cut = len(rows) * half // share or 1
+        low, high = here[rng.integers(len(rows))], here[rng.integers(len(rows))]
+        for _ in range(6):
+            order = np.argsort(here @ (high - low), kind="stable")
+            low, high = here[order[:cut]].mean(axis=0), here[order[cut:]].mean(axis=0)
+        stack += [(rows[order[:cut]], half), (rows[order[cut:]], share - half)]
+    return np.array(means)
+
+
+def _joined(x: np.ndarray, c: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(list of smallest weighted distance, squared distance to it) of each row."""
+    mine, near = np.empty(len(x), dtype=np.int64), np.empty(len(x))
+    for part in _parts(len(x), len(c)):
+        d = _distances(x[part], c) ** 2
+        mine[part] = (d * weight).argmin(axis=1)
+        near[part] = d[np.arange(len(d)), mine[part]]
+    return mine, near
+
+
+def balanced_centroids(sample: np.ndarray, lists: int, rounds: int = 12, splits: int = 6,
+                       seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """(centroids, weights): k-means in which a list over its share weighs its squared distances
+    more; empty lists restart at rows far from their centroid.  Lists that still hold over twice
+    their share are then split, so there may be some more than ``lists``."""
     rng = np.random.default_rng(seed)
-    c = sample[rng.permutation(len(sample))[:lists]].copy()
-    price = np.zeros(len(c))
+    c = _equal_splits(sample, lists, rng)
+    weight, share = np.ones(len(c)), len(sample) / len(c)
     for _ in range(rounds):
-        d = _distances(sample, c) ** 2
-        mine = (d + price).argmin(axis=1)
-        near = d[np.arange(len(sample)), mine]
+        mine, near = _joined(sample, c, weight)
         count = np.bincount(mine, minlength=len(c))
         sums = np.zeros_like(c)
         np.add.at(sums, mine, sample)
         c = np.where(count[:, None] > 0, sums / np.maximum(count, 1)[:, None], c)
+        weight *= np.clip(count / share, 0.25, 4.0) ** 0.03
         empty = np.flatnonzero(count == 0)
         if len(empty):
             c[empty] = sample[np.argsort(-near, kind="stable")[:len(empty)]]
-        price = 0.7 * price + 0.05 * near.mean() * np.maximum(count * len(c) / len(sample) - 1, -1)
-        price[empty] = 0.0
-    return c
+            weight[empty] = np.median(weight)
+    for _ in range(splits):
+        mine, _ = _joined(sample, c, weight)
+        count = np.bincount(mine, minlength=len(c))
+        full = np.flatnonzero(count > 2 * share)
+        if not len(full):
+            break
+        halves = [_equal_splits(sample[mine == i], int(np.ceil(count[i] / share)), rng) for i in full]
+        keep = count <= 2 * share
+        c = np.vstack([c[keep], *halves])
+        weight = np.concatenate([weight[keep], *(np.full(len(h), weight[i]) for h, i in zip(halves, full))])
+    return c, weight
 
 
 class CentroidGraph:
@@ -69,15 +117,16 @@ class CentroidGraph:
 
     def __init__(self, c: np.ndarray, degree: int = 16):
         self.c = c
-        d = _distances(c, c)
         links: list[set[int]] = [set() for _ in c]
-        for i, row in enumerate(np.argsort(d, axis=1, kind="stable")[:, 1:degree + 1]):
-            for j in [*row.tolist(), (i + 1) % len(c)]:  # the ring joins all parts of the graph
-                links[i].add(j), links[j].add(i)
+        for part in _parts(len(c), len(c)):
+            near = np.argsort(_distances(c[part], c), axis=1, kind="stable")[:, :degree + 1]
+            for i, row in enumerate(near.tolist(), part.start):
+                for j in {*row, (i + 1) % len(c)} - {i}:  # the ring joins all parts of the graph
+                    links[i].add(j), links[j].add(i)
         self.links = [np.array(sorted(s), dtype=np.int64) for s in links]
         self.entry = sorted({0, len(c) // 3, 2 * len(c) // 3})
 
-    def within(self, q: np.ndarray, ratio: float, sizes: np.ndarray, need: int, least: int = 8) -> list[int]:
+    def within(self, q: np.ndarray, ratio: float, sizes: np.ndarray, need: int, least: int = 64) -> list[int]:
         """Lists whose centroids are within ``1 + ratio`` times the nearest one's distance, and
         the next ones until they hold ``need`` entries.  The walk goes on a little beyond
         (``least`` nodes, and a tenth of the ratio) before it gives up."""
@@ -111,23 +160,55 @@ class CentroidGraph:
         return out
 
 
-def lists_of(x: np.ndarray, c: np.ndarray, boundary: float = BOUNDARY, replicas: int = REPLICAS) -> list[list[int]]:
-    """The nearest list of each row, and up to ``replicas - 1`` more within the boundary ratio,
-    none nearer to a centroid already taken than to the row."""
-    d, between = _distances(x, c), _distances(c, c)
-    near = np.argsort(d, axis=1, kind="stable")[:, :4 * replicas]
+def lists_of(x: np.ndarray, c: np.ndarray, weight: np.ndarray, boundary: float = BOUNDARY,
+             replicas: int = REPLICAS) -> list[list[int]]:
+    """Each row's own list (smallest weighted distance), and up to ``replicas - 1`` more within
+    the boundary ratio of the nearest, first those whose centroids lie across from the own one's:
+    a query that misses a row's list does so along its offset from that centroid."""
     out = []
-    for i, row in enumerate(near.tolist()):
-        own = [row[0]]
-        for j in row[1:]:
-            if d[i, j] > (1 + boundary) * d[i, row[0]] or len(own) == replicas:
-                break
-            if all(between[j, t] > d[i, j] for t in own):
-                own.append(j)
-        out.append(own)
+    for part in _parts(len(x), max(len(c), NEAR * c.shape[1])):
+        here = x[part]
+        d = _distances(here, c)
+        own = (d * d * weight).argmin(axis=1)
+        near = np.argsort(d, axis=1, kind="stable")[:, :NEAR]
+        dist = np.take_along_axis(d, near, axis=1)
+        offset = here - c[own]
+        offset /= np.maximum(np.sqrt((offset * offset).sum(axis=1)), 1e-300)[:, None]
+        along = np.einsum("rnk,rk->rn", here[:, None, :] - c[near], offset)
+        cost = np.where((dist <= (1 + boundary) * dist[:, :1]) & (near != own[:, None]), dist ** 2 + along ** 2, np.inf)
+        for i, order in enumerate(np.argsort(cost, axis=1, kind="stable")[:, :replicas - 1]):
+            out.append([int(own[i]), *(int(near[i, j]) for j in order if cost[i, j] < np.inf)])
     return out
 
 
+def asked(x: np.ndarray, largest: float) -> np.ndarray:
+    """Queries among lifted vectors: last coordinate 0, norm ``largest``."""
+    q = np.hstack([x, np.zeros((len(x), 1))])
+    return q * (largest / np.sqrt((q * q).sum(axis=1)))[:, None]
+
+
+def measured_ratio(graph: CentroidGraph, queries: np.ndarray, true_lists: list[list[list[int]]], sizes: np.ndarray,
+                   need: int, recall: float = RECALL) -> float:
+    """The smallest of some ratios under which the walks of ``queries`` reach a list of at least
+    ``recall`` of their true neighbours (``true_lists``: lists of each neighbour of each query);
+    infinite, so that all lists are taken, if none of them does."""
+    off = []
+    for q, neighbours in zip(queries, true_lists):
+        d = np.sqrt(((graph.c - q) ** 2).sum(axis=1))
+        off += [d[own].min() / max(d.min(), 1e-300) - 1 for own in neighbours]
+    if not off:
+        return float("inf")
+    for share in (recall, (1 + recall) / 2, (3 + recall) / 4, 1.0):
+        ratio = float(np.quantile(off, share)) + 1e-9
+        found = 0
+        for q, neighbours in zip(queries, true_lists):
+            taken = set(graph.within(q, ratio, sizes, need))
+            found += sum(not taken.isdisjoint(own) for own in neighbours)
+        if found >= recall * len(off):
+            return ratio
+    return float("inf")
+
+
 def _vectors(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
@@ -140,11 +221,12 @@ def _block(scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             v.field("bound").to_numpy(zero_copy_only=False))
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding as doubles) of the rows that take part: id and vector not null,
+def usable(vectors: DataFrame, is_query) -> DataFrame:
+    """(vec_id, embedding as doubles, asks) of the rows that take part: id and vector not null,
     every component finite, not all zero, and as many components as most rows have."""
     e = F.col("embedding")
-    good = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), e.cast("array<double>").alias("embedding")).where(
+    good = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), e.cast("array<double>").alias("embedding"),
+                          F.coalesce(is_query, F.lit(False)).alias("asks")).where(
         F.col("vec_id").isNotNull() & (F.size(e) > 0)
         & F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
         & F.exists(e, lambda v: v != 0))
@@ -153,22 +235,50 @@ def usable(vectors: DataFrame) -> DataFrame:
     return good.where(F.size("embedding") == (top["d"] if top else 0))
 
 
-def nearest(vectors: DataFrame, is_query, k: int = K, ratio: float = RATIO, sample: int = SAMPLE,
-            max_lists: int = MAX_LISTS, list_size: int = LIST_SIZE) -> DataFrame:
+def true_neighbours(classes: DataFrame, trials: list[tuple[int, int]], x: np.ndarray, k: int) -> DataFrame:
+    """(trial, id): the ``k`` vectors of ``classes`` with the largest inner products with each of
+    the few rows of ``x``, without the trial's own class; one scan, each task keeps its best."""
+    own = np.array([o for _, o in trials], dtype=np.int64)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, score = np.empty((len(x), 0), dtype=np.int64), np.empty((len(x), 0))
+        for batch in batches:
+            if batch.num_rows:
+                v_ids = batch.column("id").to_numpy(zero_copy_only=False)
+                s = x @ _vectors(batch.column("embedding")).T
+                s[own[:, None] == v_ids[None, :]] = -np.inf
+                ids = np.hstack([ids, np.broadcast_to(v_ids, s.shape)])
+                score = np.hstack([score, s])
+                best = np.argsort(-score, axis=1, kind="stable")[:, :k]
+                ids, score = np.take_along_axis(ids, best, axis=1), np.take_along_axis(score, best, axis=1)
+        good = np.isfinite(score)
+        yield pa.RecordBatch.from_arrays([pa.array(np.nonzero(good)[0].astype(np.int32)), pa.array(ids[good]),
+                                          pa.array(score[good])], ["trial", "id", "score"])
+
+    best = Window.partitionBy("trial").orderBy(F.desc("score"), "id")
+    return (classes.select("id", "embedding").mapInArrow(scan, "trial int, id long, score double")
+            .withColumn("place", F.row_number().over(best)).where(F.col("place") <= k).select("trial", "id"))
+
+
+def nearest(vectors: DataFrame, is_query, k: int = K, sample: int = SAMPLE, list_size: int = LIST_SIZE,
+            recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score): for every usable row of ``vectors`` (vec_id, embedding;
     other columns are ignored) for which ``is_query`` (a column over ``vectors``) holds, its ``k`` nearest others found, by
     largest inner product in double precision, ties to the smaller vec_id.
 
-    Every usable row is indexed; the sample of at most about ``sample`` vectors only places
-    the centroids.  Rows that are not usable neither ask nor answer; repeated rows count once; one vec_id with
-    several vectors is several candidates under one id, none of them for itself; an empty
-    table gives no rows."""
+    Every usable row is indexed; the sample of at most about ``sample`` vectors only places the
+    centroids (a list for every ``list_size`` vectors, but at most one for 8 of the sample), and
+    at most 256 queries are compared with all vectors to choose how far the others must look
+    for ``recall``.  Rows that are not usable neither ask nor answer; repeated rows count once;
+    one vec_id with several vectors is several candidates under one id, none of them for itself;
+    an empty table gives no rows."""
     spark = vectors.sparkSession
     ship_package(spark)
     bounded_batches(vectors, 64)  # a row of the search is a pair of blocks
     key = [F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(7), "embedding").alias("h2")]
-    asks = usable(vectors.where(is_query)).select("vec_id").distinct().withColumn("asks", F.lit(True))
-    rows = cut_lineage(usable(vectors).dropDuplicates(["vec_id", "embedding"]).join(asks, "vec_id", "left")
+    good = usable(vectors, is_query)
+    asks = good.where("asks").select("vec_id").distinct().withColumn("asks", F.lit(True))
+    rows = cut_lineage(good.drop("asks").dropDuplicates(["vec_id", "embedding"]).join(asks, "vec_id", "left")
                        .select("vec_id", "embedding", F.coalesce("asks", F.lit(False)).alias("asks"), *key))
     first = Window.partitionBy("h1", "h2").orderBy("vec_id")
     members = cut_lineage(rows.select("vec_id", "h1", "h2").withColumn("place", F.row_number().over(first))
@@ -184,28 +294,27 @@ def nearest(vectors: DataFrame, is_query, k: int = K, ratio: float = RATIO, samp
     largest = classes.agg(F.max(norm)).first()[0] * (1 + 1e-9)
     share = min(1.0, sample / n)
     picked = classes.where(F.pmod(F.xxhash64(F.lit("sample"), "h1"), F.lit(1 << 20)) < share * (1 << 20))
-    points = np.array([r["embedding"] for r in picked.select("embedding").collect()] or
-                      [classes.first()["embedding"]], dtype=np.float64)
-    lists = max(1, min(max_lists, n // list_size, len(points)))
-    centroids = balanced_centroids(lift(points, largest), lists)
+    points = _vectors(picked.select("embedding").toArrow().column("embedding").combine_chunks())
+    if not len(points):
+        points = np.array([classes.first()["embedding"]], dtype=np.float64)
+    slack = 8 * points.shape[1] * np.finfo(float).eps * largest * largest  # of a sum in another order
+    lists = max(1, min(n // list_size, len(points) // PER_LIST))
+    centroids, weight = balanced_centroids(lift(points, largest), lists)
+    graph = CentroidGraph(centroids)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                own = lists_of(lift(_vectors(batch.column("embedding")), largest), centroids)
+                own = lists_of(lift(_vectors(batch.column("embedding")), largest), centroids, weight)
                 at = np.repeat(np.arange(len(own)), [len(o) for o in own])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([j for o in own for j in o], pa.int32()), batch.column("id").take(pa.array(at)),
                      batch.column("embedding").take(pa.array(at))], ["list", "id", "embedding"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        graph = CentroidGraph(centroids)
         for batch in batches:
             if batch.num_rows:
-                x = _vectors(batch.column("embedding"))
-                asked = np.hstack([x, np.zeros((len(x), 1))])
-                asked *= (largest / np.sqrt((asked * asked).sum(axis=1)))[:, None]
-                own = [graph.within(q, ratio, counts, REPLICAS * (k + 2)) for q in asked]
+                own = [graph.within(q, ratio, counts, need) for q in asked(_vectors(batch.column("embedding")), largest)]
                 at = pa.array(np.repeat(np.arange(len(own)), [len(o) for o in own]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([j for o in own for j in o], pa.int32()), batch.column("id").take(at),
@@ -214,17 +323,31 @@ def nearest(vectors: DataFrame, is_query, k: int = K, ratio: float = RATIO, samp
 
     entry = "list int, id long, embedding array<double>"
     posted = cut_lineage(classes.select("id", "embedding").mapInArrow(index, entry))
-    sizes = posted.groupBy("list").agg(F.count("*").alias("n"))  # at most max_lists rows
+    sizes = posted.groupBy("list").agg(F.count("*").alias("n"))  # a row a list
     counts = np.zeros(len(centroids), dtype=np.int64)
     for r in sizes.collect():
         counts[r["list"]] = r["n"]
+    need = REPLICAS * (k + 2)
+    trial_rows = (rows.where("asks").orderBy(F.xxhash64(F.lit("trial"), "vec_id"), "h1").limit(TRIALS)
+                  .join(lead, ["h1", "h2"]).select("vec_id", "id", "embedding").collect())
+    ratio = float("inf")
+    if trial_rows:
+        x = np.array([r["embedding"] for r in trial_rows], dtype=np.float64)
+        homes: dict[tuple[int, int], list[int]] = {}
+        true = true_neighbours(classes, [(r["vec_id"], r["id"]) for r in trial_rows], x, k)
+        for r in posted.select("id", "list").join(F.broadcast(true), "id").collect():  # TRIALS * k * REPLICAS at most
+            homes.setdefault((r["trial"], r["id"]), []).append(r["list"])
+        near_lists: list[list[list[int]]] = [[] for _ in trial_rows]
+        for (trial, _), own in homes.items():
+            near_lists[trial].append(own)
+        ratio = measured_ratio(graph, asked(x, largest), near_lists, counts, need, recall)
     pack = F.collect_list(F.struct("id", "embedding", "bound"))
     blocks = (posted.join(F.broadcast(sizes), "list").withColumn("bound", F.lit(0.0))
               .withColumn("part", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / LIST_BLOCK)))
               .groupBy("list", "part").agg(pack.alias("vectors")))
     queries = cut_lineage(rows.where("asks").select(F.col("vec_id").alias("id"), "embedding")
                           .mapInArrow(ask, entry + ", place int"))
-    q_parts = max(1, -(-rows.where("asks").count() // QUERY_BLOCK))
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, float], list[np.ndarray]] = {}
 
@@ -246,7 +369,7 @@ def nearest(vectors: DataFrame, is_query, k: int = K, ratio: float = RATIO, samp
                     good = np.flatnonzero(rough[j] >= bound[j])
                     if len(good) > 2 * k + 2:
                         cut = np.partition(rough[j][good], len(good) - k - 1)[len(good) - k - 1]
-                        good = good[rough[j][good] >= cut - 1e-9]
+                        good = good[rough[j][good] >= cut - slack]
                     if not len(good):
                         continue
                     score = (v[good] * q[j]).sum(axis=1)  # the same sum whatever the block
@@ -265,8 +388,10 @@ def nearest(vectors: DataFrame, is_query, k: int = K, ratio: float = RATIO, samp
         if held:
             yield out()
 
-    def hits_of(asked: DataFrame) -> DataFrame:
-        blocked = (asked.withColumn("q_part", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(q_parts)))
+    def hits_of(some: DataFrame) -> DataFrame:
+        askers = some.groupBy("list").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("parts"))  # a row a list
+        blocked = (some.join(F.broadcast(askers), "list")
+                   .withColumn("q_part", F.pmod(F.xxhash64(F.lit(1), "id"), F.col("parts")))
                    .groupBy("list", "q_part").agg(pack.alias("queries")))
         return blocked.join(blocks, "list").select("queries", "vectors").mapInArrow(
             search, "query_id long, id long, score double")
@@ -275,7 +400,7 @@ def nearest(vectors: DataFrame, is_query, k: int = K, ratio: float = RATIO, samp
     near = cut_lineage(hits_of(queries.where(F.col("place") < FIRST).withColumn("bound", F.lit(float("-inf")))))
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     kth = (near.dropDuplicates(["query_id", "id"]).withColumn("place", F.row_number().over(by_score))
-           .where(F.col("place") == k + 1).select(F.col("query_id").alias("id"), (F.col("score") - 1e-9).alias("bound")))
+           .where(F.col("place") == k + 1).select(F.col("query_id").alias("id"), (F.col("score") - slack).alias("bound")))
     rest = (queries.where(F.col("place") >= FIRST).join(kth, "id", "left")
             .withColumn("bound", F.coalesce("bound", F.lit(float("-inf")))))
     hits = near.unionByName(hits_of(rest))
