@@ -7,11 +7,14 @@ shorter than a window are fingerprinted whole, and documents by all runs of such
 
 Documents' fingerprints first pass a bitmap of the benchmark's (a fixed 512 KB, whatever the
 benchmark's size), so only likely hits leave the scan; these join the benchmark's fingerprints
-exactly.  For the pairs found the hits are extended on the words themselves.
+exactly.  Around each that is left the document's windows are cut from its words and join the
+benchmark's distinct windows, each known by a digest of its words and with the set of items that
+hold it: a passage that many items share is one run of windows with one set, however many.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,65 +57,70 @@ def fingerprints(h: np.ndarray, short: tuple[int, ...] = ()) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.empty(0, dtype=U64)
 
 
-def _windows(words: list[bytes]) -> list[tuple[bytes, ...]]:
-    """An item's windows: 13 consecutive words each; a shorter item is one."""
-    if len(words) < WINDOW:
-        return [tuple(words)] if words else []
-    return [tuple(words[i:i + WINDOW]) for i in range(len(words) - WINDOW + 1)]
-
-
-def extend_hits(words: list[bytes], h: np.ndarray, items: list[tuple[str, list[bytes]]],
-                cache: WordHash) -> tuple[np.ndarray, list[str]]:
-    """(mask of the words inside any occurrence of a window, ids of items that occur).
-    Windows are found by hash and confirmed word by word."""
-    hit, found = np.zeros(len(words), dtype=bool), set()
-    by_length: dict[int, dict[int, list]] = {}
-    for item_id, its in items:
-        m = min(len(its), WINDOW)
-        if m:
-            hashes = _grams(cache.of(its), m).tolist()
-            for key, window in zip(hashes, _windows(its)):
-                by_length.setdefault(m, {}).setdefault(key, []).append((window, item_id))
-    for m, table in by_length.items():
-        if len(h) < m:
-            continue
-        g = _grams(h, m)
-        for i in np.flatnonzero(np.isin(g, np.fromiter(table, dtype=U64, count=len(table)))):
-            here = tuple(words[i:i + m])
-            ids = [item for window, item in table[int(g[i])] if window == here]
-            if ids:
-                hit[i:i + m] = True
-                found.update(ids)
-    return hit, sorted(found)
-
-
-def _spans(mask: np.ndarray) -> list[dict]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
-    return [{"start": int(a), "stop": int(b)} for a, b in zip(edge[::2], edge[1::2])]
-
-
-def benchmark_fingerprints(benchmark: DataFrame) -> DataFrame:
-    """(fp, m, item): m the item's length where shorter than a window, else 13; item its id
-    and text."""
+def window_digest(words: list[bytes]) -> bytes:
+    """16 bytes that stand for a sequence of words (words hold no spaces)."""
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
+def extend_hits(words: list[bytes], h: np.ndarray, fps: np.ndarray, short: tuple[int, ...]) -> list[tuple[int, int, bytes]]:
+    """(start, length, digest) of the windows of a text that the fingerprints ``fps`` may stand
+    for: the windows around each of its k-grams among them, and its runs of a short item's length."""
+    out = []
+    for m in short:
+        if len(h) >= m:
+            out += [(int(i), m, window_digest(words[i:i + m])) for i in np.flatnonzero(np.isin(_grams(h, m), fps))]
+    if len(h) >= WINDOW:
+        at = np.flatnonzero(np.isin(_grams(h, K), fps))
+        starts = np.unique(at[:, None] - np.arange(PICK)[None, :])
+        starts = starts[(starts >= 0) & (starts <= len(h) - WINDOW)]
+        out += [(int(i), WINDOW, window_digest(words[i:i + WINDOW])) for i in starts]
+    return out
+
+
+def joined_spans(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(start, stop) of the runs of words that the (start, length) windows cover, ascending."""
+    out: list[tuple[int, int]] = []
+    for start, length in sorted(hits):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], start + length))
+        else:
+            out.append((start, start + length))
+    return out
+
+
+def benchmark_marks(benchmark: DataFrame) -> DataFrame:
+    """(item_id, m, fps, windows) of each item: m its length where shorter than a window, else
+    13; its fingerprints and the digests of its distinct windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHash()
         with np.errstate(over="ignore"):
             for batch in batches:
-                fps, ms = [], []
+                fps, ms, windows = [], [], []
                 for text in texts_of(batch):
-                    h = cache.of(item_words(text))
-                    m = min(len(h), WINDOW)
+                    words = item_words(text)
+                    h, m = cache.of(words), min(len(words), WINDOW)
                     fps.append((fingerprints(h) if m == WINDOW else
                                 _grams(h, m) if m else h).view(np.int64))
                     ms.append(m)
+                    windows.append(sorted({window_digest(words[i:i + m]) for i in range(len(words) - m + 1)} if m else ()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("item_id").cast(pa.string()), batch.column("text"),
-                     pa.array(ms, pa.int32()), pa.array(fps, pa.list_(pa.int64()))],
-                    ["item_id", "text", "m", "fps"])
+                    [batch.column("item_id").cast(pa.string()), pa.array(ms, pa.int32()), pa.array(fps, pa.list_(pa.int64())),
+                     pa.array(windows, pa.list_(pa.binary()))], ["item_id", "m", "fps", "windows"])
 
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
-    return (items.mapInArrow(run, "item_id string, text string, m int, fps array<long>")
-            .select(F.explode("fps").alias("fp"), "m", F.struct("item_id", "text").alias("item")))
+    return items.mapInArrow(run, "item_id string, m int, fps array<long>, windows array<binary>")
+
+
+def fingerprint_bitmap(fps: DataFrame) -> bytes:
+    """A bitmap of ``BITS`` slots (512 KB) of the column ``fp``, built on Spark in runs of 4 KB."""
+    slot = F.pmod("fp", F.lit(BITS)) + 1
+    runs = fps.groupBy(F.bitmap_bucket_number(slot).alias("run")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    out = bytearray(BITS // 8)
+    for r in runs.collect():  # at most 128 rows
+        at = (r["run"] - 1) * len(r["bits"])
+        out[at:at + len(r["bits"])] = r["bits"]
+    return bytes(out)
 
 
 def scan_documents(docs: DataFrame, bitmap: bytes, short: tuple[int, ...]) -> DataFrame:
@@ -136,24 +144,33 @@ def scan_documents(docs: DataFrame, bitmap: bytes, short: tuple[int, ...]) -> Da
         run, "doc_id long, key long, n_words long, fps array<long>")
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache = WordHash()
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            out = []
-            for doc_id, key, text, items in zip(batch.column("doc_id").to_pylist(),
-                                                batch.column("key").to_pylist(), texts_of(batch),
-                                                batch.column("items").to_pylist()):
-                words = item_words(text)
-                mask, found = extend_hits(words, cache.of(words),
-                                          [(i["item_id"], item_words((i["text"] or "").encode()))
-                                           for i in items], cache)
-                out.append({"doc_id": doc_id, "key": key, "n_hit": int(mask.sum()),
-                            "items": found, "spans": _spans(mask)})
-            span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
-            yield pa.RecordBatch.from_pylist(out, pa.schema(
-                [("doc_id", pa.int64()), ("key", pa.int64()), ("n_hit", pa.int64()),
-                 ("items", pa.list_(pa.string())), ("spans", pa.list_(span))]))
+def _windows_around(short: tuple[int, ...]):
+    """Arrow stage: the windows of each text that its fingerprints ``fps`` may stand for."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = WordHash()
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for i, (text, fps) in enumerate(zip(texts_of(batch), batch.column("fps"))):
+                    words = item_words(text)
+                    here = extend_hits(words, cache.of(words), fps.values.to_numpy(zero_copy_only=False).view(U64), short)
+                    n = len(here)
+                    if n:
+                        at = pa.array([i] * n)
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column("doc_id").take(at), batch.column("key").take(at),
+                             pa.array([w[0] for w in here], pa.int64()), pa.array([w[1] for w in here], pa.int32()),
+                             pa.array([w[2] for w in here], pa.binary())], ["doc_id", "key", "start", "m", "window"])
+    return run
+
+
+def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    span = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
+    for batch in batches:
+        spans = [joined_spans([(h["start"], h["m"]) for h in hits]) for hits in batch.column("hits").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("key"), pa.array([sum(b - a for a, b in s) for s in spans], pa.int64()),
+             pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], pa.list_(span)), batch.column("sets")],
+            ["doc_id", "key", "n_hit", "spans", "sets"])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -168,21 +185,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                                         F.xxhash64("text").alias("key"))
     ship_package(docs.sparkSession)
-    marks = cut_lineage(benchmark_fingerprints(benchmark))
-    # two collections of fixed size: at most 13 lengths, at most BITS slots
-    short = tuple(r["m"] for r in marks.where(f"m < {WINDOW}").select("m").distinct().collect())
-    bitmap = np.zeros(BITS, dtype=np.uint8)
-    slots = marks.select(F.pmod("fp", F.lit(BITS)).cast("int").alias("s")).distinct()
-    bitmap[[r["s"] for r in slots.collect()]] = 1
-    scanned = cut_lineage(scan_documents(docs, np.packbits(bitmap, bitorder="little").tobytes(), short))
-    pairs = (scanned.select("doc_id", "key", F.explode("fps").alias("fp")).distinct()
-             .join(marks.select("fp", "item"), "fp").select("doc_id", "key", "item"))
-    likely = cut_lineage(pairs.groupBy("doc_id", "key").agg(F.collect_set("item").alias("items")))
+    marks = cut_lineage(benchmark_marks(benchmark))
+    fps = marks.select(F.explode("fps").alias("fp")).distinct()
+    short = tuple(r["m"] for r in marks.where(f"m between 1 and {WINDOW - 1}").select("m").distinct().collect())  # at most 12
+    scanned = cut_lineage(scan_documents(docs, fingerprint_bitmap(fps), short))
+    likely = cut_lineage(scanned.select("doc_id", "key", F.explode("fps").alias("fp")).distinct().join(fps, "fp")
+                         .groupBy("doc_id", "key").agg(F.collect_list("fp").alias("fps")))
     same = F.col("l.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("l.key") == F.col("d.key"))
     texts = slot_filter(docs, F.col("key"), likely, F.col("key")).dropDuplicates(["doc_id", "key"])
-    confirmed = (texts.alias("d").join(likely.alias("l"), same).select("d.doc_id", "d.key", "d.text", "l.items")
-                 .mapInArrow(_confirm, "doc_id long, key long, n_hit long, items array<string>, "
-                                       "spans array<struct<start: long, stop: long>>"))
+    around = (texts.alias("d").join(likely.alias("l"), same).select("d.doc_id", "d.key", "d.text", "l.fps")
+              .mapInArrow(_windows_around(short), "doc_id long, key long, start long, m int, window binary"))
+    # windows with the same items share one set of them, and texts with the same sets one list
+    known = cut_lineage(marks.select("item_id", F.explode("windows").alias("window")).groupBy("window")
+                        .agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+                        .withColumn("set", F.unhex(F.sha2(F.to_json("items"), 256))))
+    hits = cut_lineage(around.join(known.select("window", "set"), "window").groupBy("doc_id", "key")
+                       .agg(F.collect_list(F.struct("start", "m")).alias("hits"), F.array_sort(F.collect_set("set")).alias("sets"))
+                       .mapInArrow(_cover, "doc_id long, key long, n_hit long, "
+                                           "spans array<struct<start: long, stop: long>>, sets array<binary>"))
+    lists = (hits.select("sets").distinct().withColumn("set", F.explode("sets"))
+             .join(known.select("set", "items").dropDuplicates(["set"]), "set").groupBy("sets")
+             .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
+    confirmed = hits.join(lists, "sets").select("doc_id", "key", "n_hit", "items", "spans")
     both = F.col("c.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("c.key") == F.col("s.key"))
     n_hit = F.coalesce("c.n_hit", F.lit(0))
     return (scanned.alias("s").join(confirmed.alias("c"), both, "left")
