@@ -77,6 +77,11 @@ def merge_collapsed(target: DataFrame, b: DataFrame, key: str, columns: Sequence
     return t.join(b, same, "full_outer").select(F.coalesce(t[key], b[key]).alias(key), *kept, "_in_t", "_n")
 
 
+def new_rows(b: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """``merge_collapsed`` with a target that has none of the batch's keys."""
+    return b.select(key, *[c for c in columns if c != key], F.lit(None).cast("boolean").alias("_in_t"), "_n")
+
+
 def observed_write(merged: DataFrame, write) -> tuple:
     """Write the rows of a merge plan with ``write(df)``; returns what that returns and
     (before, after, records), counted by the writing job itself."""

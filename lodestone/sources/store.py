@@ -15,7 +15,11 @@ twice that where the former is below ``split``.  A table that outgrows ``rows_pe
 many buckets more as it needs, one after the other, and only those are rewritten besides the
 buckets a batch touches.  Files are written as Spark buckets (``2 * modulus`` of them, so every
 store bucket holds one or two), and an upsert reads its target through a temporary bucketed table
-over the record's folders: the target is joined where it lies, without an exchange.
+over the record's folders: the target is joined where it lies, without an exchange.  Rows reach
+the writing tasks by the same hash, in a number of tasks that divides the Spark buckets or is a
+multiple of them: a file is one task's, so the files grow with the rows and not with tasks times
+buckets, and its Bloom filter is as large as its keys need.  A target of more Spark buckets than
+a join should have tasks is read as it is and dealt to the writing tasks.
 """
 
 from __future__ import annotations
@@ -36,6 +40,7 @@ from ..session import cut_lineage
 BUCKET = "key_bucket"  # no leading underscore: Spark hides such paths
 PARTITION = "batch_id"
 ROWS_PER_BUCKET = 500_000
+ROWS_PER_TASK = (20_000, 1_000_000)  # rows a writing task has at least and at most, where the buckets allow it
 LOG = "_log"
 
 
@@ -328,10 +333,30 @@ class TableStore:
             self.spark.sql(f"ALTER TABLE {name} ADD {spots}")
         return self.spark.table(name).drop(BUCKET)
 
-    def _rewrite(self, table: str, now: Commit, new: Commit, keys: DataFrame, joined, made: list[str]):
-        """Rewrite the buckets that ``keys`` touch and those that split.  ``joined(target, own)``
-        gives the new rows of a part of the table (None: of no part), ``own`` being a filter for
-        the keys that belong to it.  Returns the rows and the names of the parts they replace."""
+    def _tasks(self, files: int, rows: int) -> int:
+        """How many tasks write ``files`` Spark buckets: a divisor or a multiple of them."""
+        shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        few, most = min(shuffle, rows // ROWS_PER_TASK[0]), max(shuffle, rows // ROWS_PER_TASK[1])
+        tasks = files
+        while tasks % 2 == 0 and tasks // 2 >= most:
+            tasks //= 2
+        while 2 * tasks <= few:
+            tasks *= 2
+        return tasks
+
+    def _target(self, table: str, now: Commit, parts: Sequence[str], tasks: int, made: list[str]) -> tuple[DataFrame, int]:
+        """(rows of parts whose files share one number of Spark buckets, dealt by key to how many
+        tasks): the Spark buckets as they lie, if they are about as many as the tasks are to be."""
+        files, shuffle = now.parts[parts[0]].files, int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        if files <= 4 * shuffle and files >= min(shuffle, sum(now.parts[p].rows for p in parts) // ROWS_PER_TASK[0]):
+            return self._bucketed_scan(table, now, parts, made), files
+        return self._read_parts(table, now, parts).repartition(tasks, now.key), tasks
+
+    def _rewrite(self, table: str, now: Commit, new: Commit, keys: DataFrame, tasks: int, joined, made: list[str]):
+        """Rewrite the buckets that ``keys`` touch and those that split.  ``joined(target, own,
+        tasks)`` gives the new rows of a part of the table (None: of no part), which is dealt by
+        key to so many tasks and stays so; ``own`` is a filter for the keys that belong to it.
+        Returns the rows and the names of the parts they replace."""
         key = F.col(now.key)
         touched = {str(r[0]) for r in keys.select(now.address(key)).distinct().collect()}  # at most one a bucket
         split = {b for b in now.parts if new.resolution(int(b)) != now.resolution(int(b))}
@@ -343,30 +368,40 @@ class TableStore:
         for parts in groups.values():
             own = now.address(key).isin([int(b) for b in parts])
             absent = absent & ~own
-            rows = joined(self._bucketed_scan(table, now, parts, made), own)
+            target, dealt = self._target(table, now, parts, tasks, made)
+            rows = joined(target, own, dealt)
             out = rows if out is None else out.unionByName(rows)
         if out is None or touched - set(now.parts):
-            rows = joined(None, absent)
+            rows = joined(None, absent, tasks)
             out = rows if out is None else out.unionByName(rows)
         return out, old
 
-    def _write_buckets(self, table: str, rows: DataFrame, new: Commit, n: int) -> dict[str, Part]:
-        """Write rows as Spark buckets in store buckets; the parts written."""
+    def _write_buckets(self, table: str, rows: DataFrame, new: Commit, n: int, keys: int) -> dict[str, Part]:
+        """Write rows as Spark buckets in store buckets; the parts written.  ``keys`` is about how
+        many a file holds: without it every file's Bloom filter takes a megabyte."""
         name = f"lodestone_{uuid.uuid4().hex}"
         files = 2 * new.modulus
         try:
             (rows.withColumn(BUCKET, new.address(F.col(new.key))).write.mode("errorifexists")
              .option("path", self.path(table, n)).option(f"parquet.bloom.filter.enabled#{new.key}", "true")
+             .option(f"parquet.bloom.filter.expected.ndv#{new.key}", str(keys))
              .partitionBy(BUCKET).bucketBy(files, new.key).sortBy(new.key).format("parquet").saveAsTable(name))
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         written = [x for x in self._names(self.path(table, n)) if x.startswith(f"{BUCKET}=")]
         if not written:
             return {}
-        sizes = (self.spark.read.parquet(self.path(table, n)).groupBy(BUCKET)
+        whole = T.StructType([*new.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        sizes = (self.spark.read.schema(whole).parquet(self.path(table, n)).groupBy(BUCKET)
                  .agg(F.count(F.lit(1)).alias("n")).collect())  # one row a bucket
         return {str(r[BUCKET]): Part(f"v={n:06d}/{BUCKET}={r[BUCKET]}", r["n"], files) for r in sizes}
 
+    @staticmethod
+    def _keys_a_file(new: Commit, rows: int, tasks: int) -> int:
+        """Keys of a file at most, about: an unsplit bucket has two files of the mean's size, and
+        a table that has few Spark buckets a file of each task."""
+        return max(1, -(-2 * rows // max(new.buckets, tasks)))
+
     def _bucketed(self, table: str, key: str, schema: T.StructType, buckets: int | None) -> tuple[Commit, bool]:
         """(the current state, whether it is committed)."""
         known = self.exists(table)
@@ -400,17 +435,19 @@ class TableStore:
             raise ValueError(f"a record for table {table!r} has no {key}")
         if known and not size["n"]:
             return U.evidence_row(self.spark, table, now.rows, now.rows, 0)
-        new = now.grown(-(-(now.rows + size["n"]) // self.rows_per_bucket))
-        n, made = self._claim(table), []
-        empty = self.spark.createDataFrame([], now.schema)
+        total = now.rows + size["n"]
+        new = now.grown(-(-total // self.rows_per_bucket))
+        tasks, n, made = self._tasks(2 * new.modulus, total), self._claim(table), []
 
-        def joined(target: DataFrame | None, own: Column) -> DataFrame:
-            return U.merge_collapsed(empty if target is None else target, one.where(own), key, columns, insert_only)
+        def joined(target: DataFrame | None, own: Column, dealt: int) -> DataFrame:
+            mine = one.where(own).repartition(dealt, key)
+            return U.new_rows(mine, key, columns) if target is None else U.merge_collapsed(
+                target, mine, key, columns, insert_only)
 
         try:
-            rows, gone = self._rewrite(table, now, new, one, joined, made)
+            rows, gone = self._rewrite(table, now, new, one, tasks, joined, made)
             parts, (before, after, records) = U.observed_write(
-                rows, lambda df: self._write_buckets(table, df, new, n))
+                rows, lambda df: self._write_buckets(table, df, new, n, self._keys_a_file(new, total, tasks)))
         finally:
             for name in made:
                 self.spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -449,17 +486,18 @@ class TableStore:
         keys = cut_lineage(keys.select(F.col(key).cast(now.schema[key].dataType).alias(key)).distinct())
         if keys.where(F.col(key).isNull()).limit(1).count():
             raise ValueError(f"a record for table {table!r} has no {key}")
-        new = now.grown(-(-(now.rows + rows.count()) // self.rows_per_bucket))
-        n, made = self._claim(table), []
+        total = now.rows + rows.count()
+        new = now.grown(-(-total // self.rows_per_bucket))
+        tasks, n, made = self._tasks(2 * new.modulus, total), self._claim(table), []
 
-        def joined(target: DataFrame | None, own: Column) -> DataFrame:
-            fresh = rows.where(own).repartition(2 * new.modulus, key)  # a bucket's rows meet in one task
+        def joined(target: DataFrame | None, own: Column, dealt: int) -> DataFrame:
+            fresh = rows.where(own).repartition(dealt, key)  # a bucket's rows meet in one task
             return fresh if target is None else target.join(keys, key, "left_anti").select(
                 *now.schema.names).unionByName(fresh)
 
         try:
-            out, old = self._rewrite(table, now, new, keys, joined, made)
-            parts = self._write_buckets(table, out, new, n)
+            out, old = self._rewrite(table, now, new, keys, tasks, joined, made)
+            parts = self._write_buckets(table, out, new, n, self._keys_a_file(new, total, tasks))
         finally:
             for name in made:
                 self.spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -155,3 +155,29 @@ def test_summary_state_by_deltas(spark, tmp_path):
                               f"batch-{i}", S.merge_states) for i in order]
     assert done == [i not in order[:n] for n, i in enumerate(order)]
     assert sorted(map(str, S.summary_of_state(store.read("s"), "k").collect())) == want
+
+
+def test_files_grow_with_the_buckets(spark, tmp_path):
+    """A Spark bucket is one file, however many tasks write, and its Bloom filter is small."""
+    store, confs = TableStore(spark, str(tmp_path), rows_per_bucket=50), {
+        "spark.sql.shuffle.partitions": "3", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {c: spark.conf.get(c) for c in confs}
+    rows = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"), F.lit(1).alias("o"))
+    try:
+        for c, v in confs.items():
+            spark.conf.set(c, v)
+        store.upsert_bucketed("t", rows, "k", "o", ["k", "v"])
+        store.upsert_bucketed("t", rows.where("k % 3 = 0").withColumn("v", F.lit(0)), "k", "o", ["k", "v"])
+        store.replace_keys("lines", rows.drop("o"), "k")
+        store.replace_keys("lines", rows.drop("o").where("k < 10"), "k", gone=rows.where("k % 3 = 0"))
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    for table in ("t", "lines"):
+        now = store.current(table)
+        for version in (1, 2):
+            files = list((tmp_path / table / f"v={version:06d}").rglob("*.parquet"))
+            assert len(files) <= 2 * now.buckets and sum(f.stat().st_size for f in files) < 500_000
+    assert store.read("t").agg(F.count("k"), F.sum("v")).first()[:] == (3000, 3 * sum(k for k in range(3000) if k % 3))
+    assert store.read("lines").count() == 2004
+    assert [r.v for r in store.lookup("t", "k", 7).collect()] == [21] and not store.lookup("t", "k", 3000).count()
