@@ -26,7 +26,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 from py4j.protocol import Py4JJavaError
@@ -42,6 +43,7 @@ PARTITION = "batch_id"
 ROWS_PER_BUCKET = 500_000
 ROWS_PER_TASK = (20_000, 1_000_000)  # rows a writing task has at least and at most, where the buckets allow it
 LOG = "_log"
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 class ConcurrentCommit(RuntimeError):
@@ -183,6 +185,20 @@ class TableStore:
 
     # --- reading ---------------------------------------------------------------------------
 
+    def _shuffle(self) -> int:
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    @contextmanager
+    def _listing(self) -> Iterator[None]:
+        """Folders are listed by as many tasks as a shuffle has, not by a task a folder: each
+        task's result goes to the driver."""
+        old = self.spark.conf.get(LISTING)
+        self.spark.conf.set(LISTING, str(min(int(old), self._shuffle())))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(LISTING, old)
+
     def version(self, table: str) -> int | None:
         now = self.current(table)
         return now.version if now else None
@@ -199,11 +215,13 @@ class TableStore:
         if not paths:
             return self.spark.createDataFrame([], now.schema)
         if now.kind != "partitioned":
-            return self.spark.read.schema(now.schema).parquet(*paths)
+            with self._listing():
+                return self.spark.read.schema(now.schema).parquet(*paths)
         fields = [f for f in now.schema.fields if f.name != PARTITION]
         whole = T.StructType([*fields, T.StructField(PARTITION, T.StringType()), T.StructField("v", T.IntegerType())])
-        return (self.spark.read.option("basePath", f"{self.root}/{table}").schema(whole).parquet(*paths)
-                .select(*now.schema.names))
+        with self._listing():
+            return (self.spark.read.option("basePath", f"{self.root}/{table}").schema(whole).parquet(*paths)
+                    .select(*now.schema.names))
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         """Current rows; an absent table reads as empty with ``schema`` (create-if-absent)."""
@@ -335,7 +353,7 @@ class TableStore:
 
     def _tasks(self, files: int, rows: int) -> int:
         """How many tasks write ``files`` Spark buckets: a divisor or a multiple of them."""
-        shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        shuffle = self._shuffle()
         few, most = min(shuffle, rows // ROWS_PER_TASK[0]), max(shuffle, rows // ROWS_PER_TASK[1])
         tasks = files
         while tasks % 2 == 0 and tasks // 2 >= most:
@@ -347,8 +365,8 @@ class TableStore:
     def _target(self, table: str, now: Commit, parts: Sequence[str], tasks: int, made: list[str]) -> tuple[DataFrame, int]:
         """(rows of parts whose files share one number of Spark buckets, dealt by key to how many
         tasks): the Spark buckets as they lie, if they are about as many as the tasks are to be."""
-        files, shuffle = now.parts[parts[0]].files, int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        if files <= 4 * shuffle and files >= min(shuffle, sum(now.parts[p].rows for p in parts) // ROWS_PER_TASK[0]):
+        files, shuffle = now.parts[parts[0]].files, self._shuffle()
+        if min(tasks, shuffle) <= files <= 4 * shuffle:
             return self._bucketed_scan(table, now, parts, made), files
         return self._read_parts(table, now, parts).repartition(tasks, now.key), tasks
 
@@ -381,19 +399,20 @@ class TableStore:
         many a file holds: without it every file's Bloom filter takes a megabyte."""
         name = f"lodestone_{uuid.uuid4().hex}"
         files = 2 * new.modulus
-        try:
-            (rows.withColumn(BUCKET, new.address(F.col(new.key))).write.mode("errorifexists")
-             .option("path", self.path(table, n)).option(f"parquet.bloom.filter.enabled#{new.key}", "true")
-             .option(f"parquet.bloom.filter.expected.ndv#{new.key}", str(keys))
-             .partitionBy(BUCKET).bucketBy(files, new.key).sortBy(new.key).format("parquet").saveAsTable(name))
-        finally:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        written = [x for x in self._names(self.path(table, n)) if x.startswith(f"{BUCKET}=")]
-        if not written:
-            return {}
-        whole = T.StructType([*new.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        sizes = (self.spark.read.schema(whole).parquet(self.path(table, n)).groupBy(BUCKET)
-                 .agg(F.count(F.lit(1)).alias("n")).collect())  # one row a bucket
+        with self._listing():
+            try:
+                (rows.withColumn(BUCKET, new.address(F.col(new.key))).write.mode("errorifexists")
+                 .option("path", self.path(table, n)).option(f"parquet.bloom.filter.enabled#{new.key}", "true")
+                 .option(f"parquet.bloom.filter.expected.ndv#{new.key}", str(keys))
+                 .partitionBy(BUCKET).bucketBy(files, new.key).sortBy(new.key).format("parquet").saveAsTable(name))
+            finally:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            written = [x for x in self._names(self.path(table, n)) if x.startswith(f"{BUCKET}=")]
+            if not written:
+                return {}
+            whole = T.StructType([*new.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+            sizes = (self.spark.read.schema(whole).parquet(self.path(table, n)).groupBy(BUCKET)
+                     .agg(F.count(F.lit(1)).alias("n")).collect())  # one row a bucket
         return {str(r[BUCKET]): Part(f"v={n:06d}/{BUCKET}={r[BUCKET]}", r["n"], files) for r in sizes}
 
     @staticmethod

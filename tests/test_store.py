@@ -181,3 +181,39 @@ def test_files_grow_with_the_buckets(spark, tmp_path):
     assert store.read("t").agg(F.count("k"), F.sum("v")).first()[:] == (3000, 3 * sum(k for k in range(3000) if k % 3))
     assert store.read("lines").count() == 2004
     assert [r.v for r in store.lookup("t", "k", 7).collect()] == [21] and not store.lookup("t", "k", 3000).count()
+
+
+def _tasks_of_writes(store, monkeypatch):
+    """The tasks that each later write of buckets has."""
+    tasks, real = [], store._write_buckets
+
+    def watched(table, rows, *rest):
+        tasks.append(rows.rdd.getNumPartitions())
+        return real(table, rows, *rest)
+
+    monkeypatch.setattr(store, "_write_buckets", watched)
+    return tasks
+
+
+def test_a_grown_table_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A batch that outgrows a table of two files is not dealt to two tasks."""
+    store = TableStore(spark, str(tmp_path), rows_per_bucket=20_000)
+    rows = spark.range(100_000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"), F.lit(1).alias("o"))
+    store.upsert_bucketed("t", rows.where("k < 18"), "k", "o", ["k", "v"])
+    tasks = _tasks_of_writes(store, monkeypatch)
+    store.upsert_bucketed("t", rows, "k", "o", ["k", "v"])
+    assert tasks[0] >= 4 and store.read("t").agg(F.sum("v")).first()[0] == 3 * (99_999 * 50_000)
+
+
+def test_tasks_do_not_grow_with_the_buckets(spark, tmp_path, monkeypatch):
+    """A replaced table of 150 buckets is written and listed by few tasks: each sends its result to the driver."""
+    store, rows = TableStore(spark, str(tmp_path), rows_per_bucket=2), spark.range(300).selectExpr("id k", "id * 2 v")
+    tasks = _tasks_of_writes(store, monkeypatch)
+    store.replace_keys("t", rows, "k")
+    store.replace_keys("t", rows.withColumn("v", F.lit(0)).where("k < 100"), "k", gone=rows.where("k >= 250"))
+    assert store.current("t").buckets == 200 and max(tasks) <= 16
+    spark.sparkContext.setJobGroup("listing", "")
+    assert store.read("t").agg(F.count("k"), F.sum("v")).first()[:] == (250, sum(2 * k for k in range(100, 250)))
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) < 100
