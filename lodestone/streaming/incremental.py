@@ -7,25 +7,27 @@ log), then stops.  ``foreachBatch`` writes every micro-batch to its own
 ``epoch=N`` folder with overwrite, so a retried epoch replaces its own output
 instead of appending twice (exactly-once into a plain Parquet sink).
 
-``upsert_new_bronze`` keeps the time of every key's newest fetch in the state store of the query, so
-files may land in any order: a fetch older than what its key already has changes nothing,
-however late it comes (there is no watermark that would drop it unseen; the state is one time a
-key).  Everything an epoch rejects, records as well as lines that are no envelopes, is in the
+``upsert_new_bronze`` keeps the time of every key's newest fetch in a bucketed table beside the query's
+checkpoint, so files may land in any order: a fetch older than what its key already has changes
+nothing, however late it comes (there is no watermark that would drop it unseen; the state is one
+time a key).  A micro-batch is joined to the known times as a whole: no code runs key by key.  The
+times are committed after the rows, so a repeated micro-batch meets the times it met before.  Everything an epoch rejects, records as well as lines that are no envelopes, is in the
 quarantine table as that epoch's part.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import rules as R
-from ..session import cut_lineage, ship_package
+from ..session import cut_lineage
 from ..sources import bronze as B
 from ..sources.bronze import CORRUPT, LANDED_SCHEMA, responses_of
+from ..sources.store import TableStore
 
 
 def landed_stream(spark: SparkSession, bronze_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -56,26 +58,12 @@ def ingest_new_bronze(spark: SparkSession, bronze_root: str, target: str, checkp
 
 
 _ROW, _REJECT, _LINE = "row", "reject", "line"
-_TAGGED = "kind string, record_key string, fetched string, reason string, payload string"
-
-
-def _newest(key: tuple, frames: Iterator, state) -> Iterator:
-    """Rows of one key less those fetched before what the key's state knows; rejects pass."""
-    known = state.get[0] if state.exists else ""
-    newest = known
-    for pdf in frames:
-        row = pdf["kind"] == _ROW
-        fetched = pdf["fetched"].fillna("")
-        if row.any():
-            newest = max(newest, fetched[row].max())
-        yield pdf[~row | (fetched >= known)]
-    if newest != known:
-        state.update((newest,))
-
-
-def newest_rows(checked: DataFrame, lines: DataFrame, key: str, columns: Sequence[str], order: str) -> DataFrame:
-    """Streaming: (kind, record_key, fetched, reason, payload) of checked rows that are not older
-    than their key's newest fetch, of rejects and of lines that are no envelopes."""
+NEWEST = "newest_fetch"  # table of (record_key, fetched), in a store under the checkpoint folder
+
+
+def tagged_rows(checked: DataFrame, lines: DataFrame, key: str, columns: Sequence[str], order: str) -> DataFrame:
+    """Streaming: (kind, record_key, fetched, reason, payload) of checked rows, of rejects and of
+    lines that are no envelopes."""
     kept = list(dict.fromkeys([*columns, key]))
     reason = F.when(F.col(R.REASON).isNull() & F.col(key).isNull(), R.MISSING_KEY).otherwise(F.col(R.REASON))
     rows = checked.select(
@@ -87,8 +75,17 @@ def newest_rows(checked: DataFrame, lines: DataFrame, key: str, columns: Sequenc
         F.lit(_LINE).alias("kind"), F.col("landed.file_path").alias("record_key"), F.lit(None).cast("string").alias("fetched"),
         F.lit(R.HTTP_ERROR).alias("reason"),
         F.to_json(F.struct("source", "batch_id", F.col(CORRUPT).alias("record"), F.col("landed.file_path").alias("file"))).alias("payload"))
-    return rows.unionByName(other).groupBy("kind", "record_key").applyInPandasWithState(
-        _newest, _TAGGED, "fetched string", "update", "NoTimeout")
+    return rows.unionByName(other)
+
+
+def newest_rows(rows: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Rows that are not older than what is known of their key: ``known(record_key, fetched)``."""
+    rows = rows.withColumn("fetched", F.coalesce("fetched", F.lit("")))
+    if known is None:
+        return rows
+    old = known.select("record_key", F.col("fetched").alias("_known"))
+    return rows.join(old, "record_key", "left").where(
+        F.col("fetched") >= F.coalesce("_known", F.lit(""))).drop("_known")
 
 
 def upsert_new_bronze(spark: SparkSession, bronze_root: str, store, table: str, checkpoint: str,
@@ -101,9 +98,10 @@ def upsert_new_bronze(spark: SparkSession, bronze_root: str, store, table: str,
     evidence of each micro-batch.  A repeated micro-batch upserts the same keys again and adds
     none."""
     evidence: list[dict] = []
-    ship_package(spark)
+    times = TableStore(spark, f"{checkpoint.rstrip('/')}/newest")
     stream = B.with_place(landed_stream(spark, bronze_root, max_files_per_trigger))
     rows = checked(responses_of(stream))
+    tagged = tagged_rows(rows, stream, key, columns, order)
     kinds = {f.name: f.dataType for f in rows.schema.fields}
     kept = list(dict.fromkeys([*columns, key]))
     row_type = T.StructType([T.StructField(c, kinds[c]) for c in (*kept, order)])
@@ -126,10 +124,14 @@ def upsert_new_bronze(spark: SparkSession, bronze_root: str, store, table: str,
             F.lit("bronze").alias("source"), R.line_key("record").alias("record_key"), F.lit(R.HTTP_ERROR).alias(R.REASON),
             R.non_null_map(("source", "source"), ("line", "record"), ("file", "file")).alias(R.CONTEXT))
         store.write_partition(quarantine, rejects.unionByName(broken), f"{table}-epoch-{epoch}")
-        rows = of(batch, _ROW, row_type).select("p.*")
+        known = times.read(NEWEST) if times.exists(NEWEST) else None
+        fresh = cut_lineage(newest_rows(batch.where(F.col("kind") == _ROW), known))
+        rows = of(fresh, _ROW, row_type).select("p.*")
         evidence.extend(r.asDict() for r in store.upsert(table, rows, key, order, columns).collect())
+        times.upsert_bucketed(NEWEST, fresh, "record_key", "fetched", ["record_key", "fetched"])
+        times.vacuum(NEWEST)
 
-    q = (newest_rows(rows, stream, key, columns, order).writeStream.outputMode("update")
-         .foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q = (tagged.writeStream.outputMode("append").foreachBatch(sink)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return evidence
