@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from ..session import cut_lineage, ship_package
 
 BLOCK_BYTES = 64 * 1024 * 1024  # query vectors sent to the executors at a time
-TILE = 4_000_000                # estimated distances a task holds at a time
+TILE = (128, 4096)              # queries and vectors whose distances a task estimates at a time
 _MARGIN = 1e-12  # relative to |x|^2 + |q|^2: the rounding error of the estimated distance
 
 
@@ -91,26 +91,27 @@ def _parent_threshold(approx: np.ndarray, parents: np.ndarray, n: int) -> np.nda
 def _partition_topn(batches, qmat: np.ndarray, n: int, per_parent: bool) -> tuple:
     """Top-n per query over one partition; ``batches`` yields (vectors, ids, parents)."""
     qn = (qmat * qmat).sum(axis=1)
-    acc = None
-    for x, ids, parents in batches:
-        xn = (x * x).sum(axis=1)
-        step = max(1, TILE // len(x))
-        for lo in range(0, len(qmat), step):
-            q, norms = qmat[lo:lo + step], xn[None, :] + qn[lo:lo + step, None]
-            approx = norms - 2.0 * (q @ x.T)
-            if per_parent:
-                thr = _parent_threshold(approx, parents, n)
-            else:
-                m = min(n, x.shape[0])
-                thr = np.partition(approx, m - 1, axis=1)[:, m - 1]
-            # both the threshold and the row may be off by the rounding error of their norms
-            slack = _MARGIN * x.shape[1] * (norms + norms.max(axis=1)[:, None])
-            qi, xi = np.nonzero(approx <= thr[:, None] + slack)
-            cand = (qi + lo, ids[xi], parents[xi], _exact(x[xi], q[qi]))
-            if acc is not None:
-                cand = tuple(np.concatenate([a, c]) for a, c in zip(acc, cand))
-            acc = _select(*cand, n=n, per_parent=per_parent)
-    return acc
+    best: dict[int, tuple] = {}  # of every slice of the queries
+    for xs, all_ids, all_parents in batches:
+        for at in range(0, len(xs), TILE[1]):
+            x, ids, parents = (a[at:at + TILE[1]] for a in (xs, all_ids, all_parents))
+            xn = (x * x).sum(axis=1)
+            for lo in range(0, len(qmat), TILE[0]):
+                q, norms = qmat[lo:lo + TILE[0]], xn[None, :] + qn[lo:lo + TILE[0], None]
+                approx = norms - 2.0 * (q @ x.T)
+                if per_parent:
+                    thr = _parent_threshold(approx, parents, n)
+                else:
+                    m = min(n, x.shape[0])
+                    thr = np.partition(approx, m - 1, axis=1)[:, m - 1]
+                # both the threshold and the row may be off by the rounding error of their norms
+                slack = _MARGIN * x.shape[1] * (norms + norms.max(axis=1)[:, None])
+                qi, xi = np.nonzero(approx <= thr[:, None] + slack)
+                cand = (qi + lo, ids[xi], parents[xi], _exact(x[xi], q[qi]))
+                if lo in best:
+                    cand = tuple(np.concatenate([a, c]) for a, c in zip(best[lo], cand))
+                best[lo] = _select(*cand, n=n, per_parent=per_parent)
+    return tuple(np.concatenate(c) for c in zip(*best.values())) if best else None
 
 
 def knn(vectors: DataFrame, queries: DataFrame, n: int, *, id_col: str = "chunk_id",

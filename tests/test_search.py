@@ -110,3 +110,22 @@ def test_ninety_thousand_wide_queries(spark):
     q = spark.range(90_000).select(F.col("id").alias("query_id"), F.array_repeat((F.col("id") % 2).cast("double"), 384).alias("query_vec"))
     got = K.knn(vecs, q, 1)
     assert got.where("query_id % 2 = chunk_id and distance = 0").count() == 90_000
+
+
+def test_a_task_holds_few_estimates():
+    """Many queries against a large batch: the same neighbours as by brute force, in little memory."""
+    import tracemalloc
+
+    from lodestone.operators.search import _partition_topn
+    rng = np.random.default_rng(3)
+    q, x = rng.integers(-9, 9, (600, 4)).astype(float), rng.integers(-9, 9, (10_000, 4)).astype(float)
+    ids = np.arange(len(x))
+    tracemalloc.start()
+    qi, found, _, dist = _partition_topn([(x[:7000], ids[:7000], ids[:7000]), (x[7000:], ids[7000:], ids[7000:])], q, 6, False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6 and (qi == np.repeat(np.arange(600), 6)).all()
+    for i in range(0, 600, 37):
+        d = ((x - q[i]) ** 2).sum(axis=1)
+        want = np.lexsort((ids, d))[:6]
+        assert found[6 * i:6 * i + 6].tolist() == want.tolist() and dist[6 * i:6 * i + 6].tolist() == d[want].tolist()
