@@ -64,13 +64,22 @@ def _counts(df: DataFrame, by: str) -> dict:
     return {r[0]: r[1] for r in df.groupBy(by).count().collect()}  # a handful of groups
 
 
+def checked_rows(frames: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The checked pages, taxonomy and occurrences, each parsed once and written without the
+    landed bodies, which nothing reads any more."""
+    return tuple(cut_lineage(frames[k].drop("summary_data", "extracts_data", "data"))
+                 for k in ("pages", "taxonomy", "occurrences"))
+
+
 def silver_frames(spark: SparkSession, names: DataFrame, bronze_root: str, batch_id: str,
                   resolution: DataFrame | None = None) -> dict[str, DataFrame]:
     """Checked silver rows (with ``rejection_reason``) of the three sources of one batch."""
     keys = names.select(slugify("name").alias("species_key"), "name").dropDuplicates(["species_key"])
     env = cut_lineage(B.read_bronze(spark, bronze_root).where(F.col("batch_id") == batch_id))
-    # of several fetches of one query the latest counts, for all sources
-    landed = B.latest_fetch(B.responses_of(env))
+    # of several fetches of one query the latest counts, for all sources; pages are paired by
+    # title and their latest fetch of either kind is taken with it, in one exchange
+    responses = B.responses_of(env)
+    landed = B.latest_fetch(responses.where(F.col("source") != "wikipedia"))
     # the title a name's page was fetched under: the resolved one, else the name itself
     titled = keys.withColumn("title_q", F.col("name")).withColumn("resolution_via", F.lit(None).cast("string"))
     blocked = None
@@ -85,14 +94,16 @@ def silver_frames(spark: SparkSession, names: DataFrame, bronze_root: str, batch
         keys = joined.where(~rejected).select("species_key", "name")
         titled = joined.where(~rejected).select("species_key", F.coalesce("_title", "name").alias("title_q"),
                                                 F.col("_via").alias("resolution_via"))
-    paired = B.pair_page_responses(landed.where(F.col("source") == "wikipedia"), by=("batch_id",))
+    paired = B.pair_page_responses(responses.where(F.col("source") == "wikipedia"), by=()).withColumn(
+        "batch_id", F.lit(batch_id))
     pages = titled.select("species_key", "title_q", "resolution_via").join(paired, "title_q", "left")
     # a name for which no page was landed is an outcome too
     missing = F.col("batch_id").isNull()
     unlanded = pages.where(missing)
     pages = VAL.validate_pages(pages.where(~missing), key="species_key", resolved_via=F.col("resolution_via"))
-    resp = landed.withColumn("species_key", slugify("queried")).join(
-        keys.select("species_key"), "species_key", "left_semi")
+    # written: taxonomy, occurrences and rejects read it
+    resp = cut_lineage(landed.withColumn("species_key", slugify("queried")).join(
+        keys.select("species_key"), "species_key", "left_semi"))
     tax = VAL.validate_taxonomy(resp.where(F.col("source") == "gbif_taxonomy"), key="species_key")
     occ_resp = resp.where(F.col("source") == "gbif_occurrence")
     status = F.coalesce(F.col("status"), F.lit(200))
@@ -141,7 +152,7 @@ def run_batch(spark: SparkSession, names: DataFrame, bronze_root: str, warehouse
     fr = silver_frames(spark, names, bronze_root, batch_id, resolution)
     # each source is parsed and checked once; quarantine, silver, merge and the counts all
     # read the checkpointed rows (reliable checkpoint in the shared folder)
-    pages, tax, occ = (cut_lineage(fr[k]) for k in ("pages", "taxonomy", "occurrences"))
+    pages, tax, occ = checked_rows(fr)
 
     # quarantine: the batch's rows replace all of its former ones, also where none are left
     quarantine = (R.quarantine_rows(pages, "wikipedia", batch_id, "species_key")

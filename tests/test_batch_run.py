@@ -251,3 +251,28 @@ def test_split_batches_with_remainder(spark):
     assert [got[f"n{i:02d}"] for i in range(7)] == [1, 1, 1, 1, 2, 2, 2]
     three = {r.name: r.batch_no for r in split_batches(names, "o", 3).collect()}
     assert [three[f"n{i:02d}"] for i in range(7)] == [1, 1, 1, 2, 2, 2, 3]
+
+
+def test_landed_bodies_are_dealt_once(spark, tmp_path):
+    """Pages are grouped once, by title; the checked rows are written without the landed bodies."""
+    from pyspark.sql import functions as F
+
+    from lodestone.operators import rules as R
+    from lodestone.plans import batch_run as BR
+    from lodestone.sources import bronze as B
+    text = "a page about nothing much that is long enough to be kept " * 2
+    summary, extracts = json.dumps({"title": "T", "extract": text}), json.dumps({"query": {"pages": {"1": {"title": "T", "extract": text}}}})
+    rows = [("A b", "summary:A b", 500, None), ("A b", "summary:A b", 200, summary), ("A b", "extracts:A b", 200, extracts)]
+    for day, part in (("01", rows[:1]), ("02", rows[1:])):
+        env = B.envelopes(spark.createDataFrame(part, "title string, query string, status int, data string"), "wikipedia",
+                          group_col="title", queried_col="title")
+        B.write_bronze(env.withColumn("ingested_at", F.lit(f"2024-01-{day}T00:00:00Z")), str(tmp_path), "b1")
+    names = spark.createDataFrame([("A b",), ("C d",)], "name string")
+    fr = BR.silver_frames(spark, names, str(tmp_path), "b1")
+    plan = fr["pages"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("max_by(") == 2 and "Aggregate" not in fr["taxonomy"]._jdf.queryExecution().optimizedPlan().toString()
+    pages, tax, occ = BR.checked_rows(fr)
+    assert not {"summary_data", "extracts_data", "data"} & {*pages.columns, *tax.columns, *occ.columns}
+    got = pages.select("species_key", "batch_id", "title_q", R.REASON, "sections_text").collect()
+    assert [tuple(r) for r in got] == [("a_b", "b1", "A b", None, text)] and not tax.count() and not occ.count()
+    assert [tuple(r) for r in fr["other_rejects"].select("record_key", R.REASON).collect()] == [("c_d", R.PAGE_NOT_FOUND)]
