@@ -96,7 +96,8 @@ def silver_frames(spark: SparkSession, names: DataFrame, bronze_root: str, batch
                                                 F.col("_via").alias("resolution_via"))
     paired = B.pair_page_responses(responses.where(F.col("source") == "wikipedia"), by=()).withColumn(
         "batch_id", F.lit(batch_id))
-    pages = titled.select("species_key", "title_q", "resolution_via").join(paired, "title_q", "left")
+    # bodies of pages never go through the driver, however few: no broadcast
+    pages = titled.select("species_key", "title_q", "resolution_via").join(paired.hint("merge"), "title_q", "left")
     # a name for which no page was landed is an outcome too
     missing = F.col("batch_id").isNull()
     unlanded = pages.where(missing)
