@@ -13,6 +13,7 @@ import os
 import struct
 import uuid
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -163,12 +164,18 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
                 pa.schema([("part", pa.int32()), ("k", pa.int32()), ("file", pa.string()),
                            ("n_ids", pa.int64()), ("n_docs", pa.int64())]))
 
-        for batch in batches:
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text").to_pylist())):
-                writer.add(doc_id, ids + end)
-                if writer.n >= file_ids:
-                    yield done()
-                    writer, k = TokenFileWriter(bits), k + 1
+        doc_ids: deque[int | None] = deque()  # of texts that the encoder holds
+
+        def texts() -> Iterator[str | None]:
+            for batch in batches:
+                doc_ids.extend(batch.column("doc_id").to_pylist())
+                yield from batch.column("text").to_pylist()
+
+        for ids in enc.encode(texts()):  # cut up across batches: their words are looked up once
+            writer.add(doc_ids.popleft(), ids + end)
+            if writer.n >= file_ids:
+                yield done()
+                writer, k = TokenFileWriter(bits), k + 1
         if writer.docs:
             yield done()
 

@@ -1,6 +1,9 @@
+import json
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -8,7 +11,7 @@ from hypothesis import strategies as st
 from lodestone.llm.packing import pack, packed_documents, token_pieces, vector_best_fit
 from lodestone.llm.token_io import (BLOCK_IDS, TokenFile, TokenFileWriter, bits_for, pack_bits, tokens_round_trip,
                                     unpack_bits)
-from lodestone.llm.tokens import default_path, encoder
+from lodestone.llm.tokens import TextEncoder, default_path, encoder
 
 
 def whole(text):
@@ -105,3 +108,72 @@ def test_groups_are_packed_apart(spark):
     docs = spark.range(400).selectExpr("id as doc_id", "repeat('word and more ', cast(id % 90 as int)) as text")
     rows = pack(cut_lineage(token_pieces(docs)), group_pieces=100).collect()
     assert len(check_sequences(rows, 2048)) <= -(-sum(r["length"] for r in rows) // 2048) + 4
+
+
+class Counted:
+    """A tokenizer that counts the characters it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.chars = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode(self, text, **options):
+        self.chars += len(text)
+        return self.tokenizer.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.chars += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_new_words_and_marks_after_them_match_no_pattern():
+    words = ["".join(chr(97 + (i * k + k) % 26) for k in range(1, 9)) + "é" * (i % 3) for i in range(26)]
+    text = "\n".join(f"{w} A{w}*** {w.upper()}.### {w}, ({w}) {i}" for i, w in enumerate(words))
+    enc = TextEncoder(default_path())
+    enc.tokenizer = Counted(enc.tokenizer)
+    assert np.frombuffer(enc.ids(text), dtype="<u4").tolist() == whole(text)
+    assert enc.tokenizer.chars < len(text) / 2  # the words in brackets, the numbers, each kind of marks
+
+
+def test_every_letter_of_arrow_is_one_of_the_tokenizer():
+    letters = list(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    letters = [c for c, a in zip(letters, pc.utf8_is_alpha(pa.array(letters)).to_pylist()) if a or c.isalpha()]
+    words = " ".join(f"a{c}a" for c in letters)
+    assert len(encoder(default_path()).tokenizer.pre_tokenizer.pre_tokenize_str(words)) == len(letters) > 100_000
+
+
+def test_parts_are_forgotten_beyond_the_limit():
+    enc = TextEncoder(default_path(), limit=40, longest=12)
+    texts = [f"one {i} and {i}th word\nUnrememberable{'x' * i}! 'tis {i}'s" for i in range(60)]
+    for most in (1, 200, 10_000):
+        got = [np.frombuffer(ids, dtype="<u4").tolist() for ids in enc.encode(iter([*texts, None, "", "a\0b c"]), most)]
+        assert got == [whole(t) for t in [*texts, None, "", "a\0b c"]]
+        assert len(enc._known) <= 40 and len(enc._known) == len(enc._ranges[1])
+        assert not any("remember" in m for m in enc._known.to_pylist())
+
+
+def test_vocabularies_without_a_free_byte_are_encoded_whole(tmp_path):
+    spec = json.loads(open(default_path(), encoding="utf-8").read())
+    spec["model"]["ignore_merges"] = True
+    (tmp_path / "t.json").write_text(json.dumps(spec), encoding="utf-8")
+    enc, text = TextEncoder(f"{tmp_path}/t.json"), "Some words, and\nothers."
+    want = enc.tokenizer.encode(text, add_special_tokens=False).ids
+    assert not enc.cuts and np.frombuffer(enc.ids(text), dtype="<u4").tolist() == want
+
+
+def test_ids_keep_their_documents_across_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    rows = [(i, None if i % 7 == 3 else f"text {i} of\nmany " * (i % 5) + "end") for i in range(40)]
+    try:
+        spark.conf.set(key, "3")
+        got = tokens_round_trip(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    finally:
+        spark.conf.set(key, before)
+    at = 0
+    for (doc_id, text), r in zip(rows, got, strict=True):
+        ids = np.array([*whole(text), 0], dtype="<u4")
+        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (doc_id, at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
