@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
@@ -82,6 +83,19 @@ def new_rows(b: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     return b.select(key, *[c for c in columns if c != key], F.lit(None).cast("boolean").alias("_in_t"), "_n")
 
 
+def dealt_with(b: DataFrame, wide: DataFrame, key: str, tasks: int) -> DataFrame:
+    """The rows of ``b`` (one a key) with the other columns of ``wide`` (one row a key at most),
+    dealt by key to so many tasks.  Both go through one exchange and meet in an aggregation: a
+    join would deal them anew to as many tasks as any shuffle has."""
+    parts = {"_one": b, "_more": wide}
+    kinds = {n: T.StructType([f for f in df.schema.fields if f.name != key]) for n, df in parts.items()}
+    both = [df.select(key, *[(F.struct(*kinds[n].names) if n == own else F.lit(None).cast(kinds[n])).alias(n) for n in parts])
+            for own, df in parts.items()]
+    met = both[0].unionByName(both[1]).repartition(tasks, key).groupBy(key).agg(
+        *[F.first(n, ignorenulls=True).alias(n) for n in parts])
+    return met.where(F.col("_one").isNotNull()).select(key, "_one.*", "_more.*")
+
+
 def observed_write(merged: DataFrame, write) -> tuple:
     """Write the rows of a merge plan with ``write(df)``; returns what that returns and
     (before, after, records), counted by the writing job itself."""

@@ -7,6 +7,7 @@ summary.  Keys: ``species_key = slugify(name)``; occurrences are keyed by id.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -21,7 +22,7 @@ from ..operators import search as K
 from ..operators import sections as SEC
 from ..operators import summarize as S
 from ..operators import validate as VAL
-from ..session import cut_lineage
+from ..session import Scratch, cut_lineage
 from ..sources import bronze as B
 from ..sources.store import TableStore
 
@@ -40,6 +41,8 @@ MERGED_COLUMNS = ["species_key", "wikipedia_title", "extract", "sections_text",
 CATALOG_COLUMNS = ["species_key", "scientific_name", "wikipedia_title", "first_seen_batch_id",
                    "first_processed_at", "last_processed_at", "origin"]
 CATALOG_INSERT_ONLY = ["scientific_name", "first_seen_batch_id", "first_processed_at", "origin"]
+# Long texts of a page, joined to other columns only where they are written.
+BODY_COLUMNS = ["extract", "sections_text"]
 WAREHOUSE_TABLES = ["silver_wikipedia", "silver_gbif_taxonomy", "silver_gbif_occurrences",
                     "species_merged", "species_catalog"]
 # Resolution statuses that send a name to quarantine.
@@ -64,22 +67,27 @@ def _counts(df: DataFrame, by: str) -> dict:
     return {r[0]: r[1] for r in df.groupBy(by).count().collect()}  # a handful of groups
 
 
-def checked_rows(frames: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The checked pages, taxonomy and occurrences, each parsed once and written without the
-    landed bodies, which nothing reads any more."""
-    return tuple(cut_lineage(frames[k].drop("summary_data", "extracts_data", "data"))
-                 for k in ("pages", "taxonomy", "occurrences"))
+def checked_rows(frames: dict[str, DataFrame], keep: Callable[[DataFrame], DataFrame] = cut_lineage
+                 ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The checked pages, taxonomy and occurrences, each parsed once and written (by ``keep``)
+    without the landed bodies and the texts of rejected pages, which nothing reads any more."""
+    frames = {**frames, "pages": frames["pages"].withColumns(
+        {c: F.when(F.col(R.REASON).isNull(), F.col(c)) for c in BODY_COLUMNS})}
+    return tuple(keep(frames[k].drop("summary_data", "extracts_data", "data")) for k in ("pages", "taxonomy", "occurrences"))
 
 
 def silver_frames(spark: SparkSession, names: DataFrame, bronze_root: str, batch_id: str,
-                  resolution: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Checked silver rows (with ``rejection_reason``) of the three sources of one batch."""
+                  resolution: DataFrame | None = None,
+                  keep: Callable[[DataFrame], DataFrame] = cut_lineage) -> dict[str, DataFrame]:
+    """Checked silver rows (with ``rejection_reason``) of the three sources of one batch, and the
+    tables written by ``keep`` that they are read from (``envelopes``, ``responses``)."""
     keys = names.select(slugify("name").alias("species_key"), "name").dropDuplicates(["species_key"])
-    env = cut_lineage(B.read_bronze(spark, bronze_root).where(F.col("batch_id") == batch_id))
+    env = keep(B.read_bronze(spark, bronze_root).where(F.col("batch_id") == batch_id))
     # of several fetches of one query the latest counts, for all sources; pages are paired by
     # title and their latest fetch of either kind is taken with it, in one exchange
     responses = B.responses_of(env)
-    landed = B.latest_fetch(responses.where(F.col("source") != "wikipedia"))
+    landed = B.latest_fetch(responses.where(F.col("source") != "wikipedia").select(
+        "source", "batch_id", "query", "queried", "status", "data", "fetch"))
     # the title a name's page was fetched under: the resolved one, else the name itself
     titled = keys.withColumn("title_q", F.col("name")).withColumn("resolution_via", F.lit(None).cast("string"))
     blocked = None
@@ -103,7 +111,7 @@ def silver_frames(spark: SparkSession, names: DataFrame, bronze_root: str, batch
     unlanded = pages.where(missing)
     pages = VAL.validate_pages(pages.where(~missing), key="species_key", resolved_via=F.col("resolution_via"))
     # written: taxonomy, occurrences and rejects read it
-    resp = cut_lineage(landed.withColumn("species_key", slugify("queried")).join(
+    resp = keep(landed.withColumn("species_key", slugify("queried")).join(
         keys.select("species_key"), "species_key", "left_semi"))
     tax = VAL.validate_taxonomy(resp.where(F.col("source") == "gbif_taxonomy"), key="species_key")
     occ_resp = resp.where(F.col("source") == "gbif_occurrence")
@@ -127,7 +135,8 @@ def silver_frames(spark: SparkSession, names: DataFrame, bronze_root: str, batch
     rest = other[0]
     for o in other[1:]:
         rest = rest.unionByName(o)
-    return {"pages": pages, "taxonomy": tax, "occurrences": occ, "other_rejects": rest}
+    return {"pages": pages, "taxonomy": tax, "occurrences": occ, "other_rejects": rest,
+            "envelopes": env, "responses": resp}
 
 
 def merged_frame(pages: DataFrame, tax: DataFrame, occ: DataFrame) -> DataFrame:
@@ -145,37 +154,57 @@ def run_batch(spark: SparkSession, names: DataFrame, bronze_root: str, warehouse
               resolution: DataFrame | None = None,
               encoder=None, occurrence_buckets: int | None = None,
               full_gold_rebuild: bool = False) -> BatchRun:
-    """Process one batch; returns the run summary and the upsert evidence."""
+    """Process one batch; returns the run summary, the upsert evidence and the batch's rows in
+    the quarantine table (until a later run of the batch replaces them)."""
     if names.isEmpty():
         return BatchRun({"status": "empty_batch", "message": "No species provided"})
     batch_id = batch_id or "batch_" + datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S")
     store = TableStore(spark, warehouse_root)
-    fr = silver_frames(spark, names, bronze_root, batch_id, resolution)
+    # the run holds on disk what a later step reads: every table goes after its last reader
+    with Scratch(spark) as scratch:
+        return _run_steps(spark, store, scratch, names, bronze_root, batch_id, seed, resolution, encoder,
+                          occurrence_buckets, full_gold_rebuild)
+
+
+def _run_steps(spark: SparkSession, store: TableStore, scratch: Scratch, names: DataFrame, bronze_root: str,
+               batch_id: str, seed: DataFrame | None, resolution: DataFrame | None, encoder,
+               occurrence_buckets: int | None, full_gold_rebuild: bool) -> BatchRun:
+    fr = silver_frames(spark, names, bronze_root, batch_id, resolution, scratch.keep)
     # each source is parsed and checked once; quarantine, silver, merge and the counts all
-    # read the checkpointed rows (reliable checkpoint in the shared folder)
-    pages, tax, occ = checked_rows(fr)
+    # read the written rows (in the shared folder)
+    pages, tax, occ = checked_rows(fr, scratch.keep)
+    rest = scratch.keep(fr["other_rejects"])
+    scratch.drop(fr["envelopes"], fr["responses"])
 
     # quarantine: the batch's rows replace all of its former ones, also where none are left
     quarantine = (R.quarantine_rows(pages, "wikipedia", batch_id, "species_key")
                   .unionByName(R.quarantine_rows(tax, "gbif_taxonomy", batch_id, "species_key"))
-                  .unionByName(R.quarantine_rows(occ, "gbif_occurrence", batch_id, "gbifID")))
-    rest = cut_lineage(fr["other_rejects"])
-    quarantine = quarantine.unionByName(rest)
+                  .unionByName(R.quarantine_rows(occ, "gbif_occurrence", batch_id, "gbifID"))
+                  .unionByName(rest))
     store.write_partition("quarantine", quarantine, batch_id)
+    store.vacuum("quarantine")
+    page_counts, tax_counts, occ_counts = (_counts(df.withColumn("ok", F.col(R.REASON).isNull()), "ok")
+                                           for df in (pages, tax, occ))
+    other = _counts(rest, "source")
 
     ordered = F.struct("species_key", "fetch", "pos")
     valid_pages = R.valid(pages)
     valid_tax = R.valid(tax)
     valid_occ = R.valid(occ).withColumn("_order", ordered)
+    bodies = valid_pages.select("species_key", *BODY_COLUMNS)  # a page a key
+    evidence = []
 
-    evidence = [
-        store.upsert_bucketed("silver_wikipedia", valid_pages, "species_key", "title_q", PAGE_COLUMNS),
-        store.upsert_bucketed("silver_gbif_taxonomy", valid_tax, "species_key", "fetch", TAXONOMY_COLUMNS),
-        store.upsert_bucketed("silver_gbif_occurrences", valid_occ, "gbif_id", "_order",
-                              OCCURRENCE_COLUMNS, buckets=occurrence_buckets),
-    ]
-    merged = cut_lineage(merged_frame(valid_pages, valid_tax, valid_occ))
-    evidence.append(store.upsert_bucketed("species_merged", merged, "species_key", "updated_at", MERGED_COLUMNS))
+    def upsert(table: str, *args, **options) -> None:
+        evidence.append(store.upsert_bucketed(table, *args, **options))
+        store.vacuum(table)
+
+    upsert("silver_wikipedia", valid_pages.drop(*BODY_COLUMNS), "species_key", "title_q", PAGE_COLUMNS, wide=bodies)
+    upsert("silver_gbif_taxonomy", valid_tax, "species_key", "fetch", TAXONOMY_COLUMNS)
+    upsert("silver_gbif_occurrences", valid_occ, "gbif_id", "_order", OCCURRENCE_COLUMNS, buckets=occurrence_buckets)
+    merged = scratch.keep(merged_frame(valid_pages, valid_tax, valid_occ).drop(*BODY_COLUMNS))
+    scratch.drop(tax, occ)
+    upsert("species_merged", merged, "species_key", "updated_at", MERGED_COLUMNS, wide=bodies)
+    scratch.drop(pages)
     keys = names.select(slugify("name").alias("species_key"), "name").dropDuplicates(["species_key"])
     origin = F.lit("AD_HOC")
     cat = merged.select("species_key", "wikipedia_title").join(keys, "species_key")
@@ -187,8 +216,7 @@ def run_batch(spark: SparkSession, names: DataFrame, bronze_root: str, warehouse
     cat = cat.select("species_key", F.col("name").alias("scientific_name"), "wikipedia_title",
                      F.lit(batch_id).alias("first_seen_batch_id"), now.alias("first_processed_at"),
                      now.alias("last_processed_at"), origin.alias("origin"))
-    evidence.append(store.upsert_bucketed("species_catalog", cat, "species_key", "last_processed_at", CATALOG_COLUMNS,
-                                          CATALOG_INSERT_ONLY))
+    upsert("species_catalog", cat, "species_key", "last_processed_at", CATALOG_COLUMNS, CATALOG_INSERT_ONLY)
     ev = evidence[0]
     for e in evidence[1:]:
         ev = ev.unionByName(e)
@@ -198,26 +226,19 @@ def run_batch(spark: SparkSession, names: DataFrame, bronze_root: str, warehouse
     # deterministic), and only their buckets are rewritten.
     all_merged = store.read("species_merged")
     if full_gold_rebuild or not store.exists("chunk_vectors"):
-        parents = SEC.build_sections(all_merged)
-        store.replace_keys("gold_species", parents, "species_key")
-        vectors = EMB.embed(SEC.chunks(parents), "text", "embedding", encoder).drop("ord")
-        store.replace_keys("chunk_vectors", vectors, "species_key")
+        parents, gone = scratch.keep(SEC.build_sections(all_merged)), None
     else:
-        fresh = all_merged.join(merged.select("species_key"), "species_key", "left_semi")
-        parents = cut_lineage(SEC.build_sections(fresh))
-        store.replace_keys("gold_species", parents, "species_key")
-        store.replace_keys("chunk_vectors", EMB.embed(SEC.chunks(parents), "text", "embedding", encoder).drop("ord"),
-                           "species_key", gone=merged.select("species_key"))
+        gone = merged.select("species_key")
+        parents = scratch.keep(SEC.build_sections(all_merged.join(gone, "species_key", "left_semi")))
+    store.replace_keys("gold_species", parents, "species_key")
+    store.vacuum("gold_species")
+    store.replace_keys("chunk_vectors", EMB.embed(SEC.chunks(parents), "text", "embedding", encoder).drop("ord"),
+                       "species_key", gone=gone)
     for table in store.tables():
         store.vacuum(table)
     gold_counts = {t: store.read(t).count() for t in ("species_merged", "chunk_vectors")}
 
-    n_names = keys.count()
-    page_counts = _counts(pages.withColumn("ok", F.col(R.REASON).isNull()), "ok")
-    tax_counts = _counts(tax.withColumn("ok", F.col(R.REASON).isNull()), "ok")
-    occ_counts = _counts(occ.withColumn("ok", F.col(R.REASON).isNull()), "ok")
-    other = _counts(rest, "source")
-    n_merged = merged.count()
+    n_names, n_merged = keys.count(), merged.count()
     summary = {
         "batch_id": batch_id, "n_species": n_names,
         "silver": {
@@ -234,7 +255,8 @@ def run_batch(spark: SparkSession, names: DataFrame, bronze_root: str, warehouse
         "gold": {"n_species": gold_counts["species_merged"], "n_chunks": gold_counts["chunk_vectors"],
                  "index_size": gold_counts["chunk_vectors"]},
     }
-    return BatchRun(summary, ev, quarantine)
+    in_store = store.read("quarantine").where(F.col("batch_id") == batch_id).select(*quarantine.columns)
+    return BatchRun(summary, ev, in_store)
 
 
 def search_text(spark: SparkSession, warehouse_root: str, queries: DataFrame, top_k: int = 5,

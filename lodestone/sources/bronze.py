@@ -8,7 +8,7 @@ Envelope (one JSON line per fetch)::
 ``data`` is landed as the response's text, byte for byte (key order and number forms included),
 and is parsed downstream.  Files written by others, whose ``data`` is a JSON object, are read
 the same way: the object's own text.  Landing is append-only and partitioned by ``source`` and
-``batch_id``; file names are generated by Spark and never collide.  Lines that are no JSON are
+``batch_id``; files are compressed, their names generated by Spark, and never collide.  Lines that are no JSON are
 kept in ``_corrupt_record``; lines that are JSON but no envelope are found by ``corrupt_lines``.
 """
 
@@ -32,6 +32,7 @@ ENVELOPE_SCHEMA = T.StructType([
         T.StructField("query", T.StringType()), T.StructField("response", RESPONSE)]))),
 ])
 CORRUPT = "_corrupt_record"
+LINES_PER_FILE = 20_000  # of a landed file
 # with what landing adds: the batch, and the text of lines that are no envelope
 LANDED_SCHEMA = T.StructType(ENVELOPE_SCHEMA.fields + [
     T.StructField("batch_id", T.StringType()), T.StructField(CORRUPT, T.StringType())])
@@ -62,9 +63,11 @@ def envelopes(responses: DataFrame, source: str, lote: int = 1, query_col: str =
 
 
 def write_bronze(env: DataFrame, root: str, batch_id: str) -> None:
-    """Append envelopes under ``root/source=../batch_id=..`` as JSON lines."""
+    """Append envelopes under ``root/source=../batch_id=..`` as JSON lines, compressed.  A
+    compressed file is read by one task, so a file holds ``LINES_PER_FILE`` lines at most."""
     (env.withColumn("batch_id", F.lit(batch_id))
-     .write.mode("append").partitionBy("source", "batch_id").json(root))
+     .write.mode("append").partitionBy("source", "batch_id")
+     .option("compression", "gzip").option("maxRecordsPerFile", LINES_PER_FILE).json(root))
 
 
 def with_place(env: DataFrame) -> DataFrame:
@@ -121,9 +124,10 @@ def responses_of(env: DataFrame) -> DataFrame:
 
 def latest_fetch(resp: DataFrame, by=("source", "batch_id", "query")) -> DataFrame:
     """The latest response of every query: one struct per query, so a status never meets the
-    body of another fetch."""
+    body of another fetch.  What orders the fetches is dealt once, as part of the response."""
+    order = ("fetch", "status", "data")
     rest = [c for c in resp.columns if c not in by]
-    return resp.groupBy(*by).agg(F.max_by(F.struct(*rest), F.struct("fetch", "status", "data")).alias("_l")).select(
+    return resp.groupBy(*by).agg(F.max(F.struct(*order, *[c for c in rest if c not in order])).alias("_l")).select(
         *by, *[F.col(f"_l.{c}").alias(c) for c in rest])
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import upsert as U
-from ..session import cut_lineage
+from ..session import Scratch, cut_lineage
 
 BUCKET = "key_bucket"  # no leading underscore: Spark hides such paths
 PARTITION = "batch_id"
@@ -394,15 +394,17 @@ class TableStore:
             out = rows if out is None else out.unionByName(rows)
         return out, old
 
-    def _write_buckets(self, table: str, rows: DataFrame, new: Commit, n: int, keys: int) -> dict[str, Part]:
+    def _write_buckets(self, table: str, rows: DataFrame, new: Commit, n: int, keys: int, tasks: int) -> dict[str, Part]:
         """Write rows as Spark buckets in store buckets; the parts written.  ``keys`` is about how
-        many a file holds: without it every file's Bloom filter takes a megabyte."""
+        many a file holds: without it every file's Bloom filter takes a megabyte.  There are as
+        many Spark buckets as tasks where those are more: as many files, and the next upsert joins
+        them where they lie."""
         name = f"lodestone_{uuid.uuid4().hex}"
-        files = 2 * new.modulus
+        files = max(2 * new.modulus, tasks)
         with self._listing():
             try:
                 (rows.withColumn(BUCKET, new.address(F.col(new.key))).write.mode("errorifexists")
-                 .option("path", self.path(table, n)).option(f"parquet.bloom.filter.enabled#{new.key}", "true")
+                 .option("path", self.path(table, n)).option("compression", "zstd").option(f"parquet.bloom.filter.enabled#{new.key}", "true")
                  .option(f"parquet.bloom.filter.expected.ndv#{new.key}", str(keys))
                  .partitionBy(BUCKET).bucketBy(files, new.key).sortBy(new.key).format("parquet").saveAsTable(name))
             finally:
@@ -437,39 +439,45 @@ class TableStore:
 
     def upsert_bucketed(self, table: str, batch: DataFrame, key: str, order: str,
                         columns: Sequence[str], insert_only: Sequence[str] = (),
-                        buckets: int | None = None) -> DataFrame:
+                        buckets: int | None = None, wide: DataFrame | None = None) -> DataFrame:
         """Keyed upsert that rewrites only the buckets touched by the batch, and those that split
         because the table outgrows ``rows_per_bucket``; returns the evidence row.  ``buckets``
         is the number a new table begins with (1).  An empty first batch creates the table
-        without rows.  A null key is an error, as it would be another row in every rerun."""
-        now, known = self._bucketed(table, key, batch.select(*columns).schema, buckets)
+        without rows.  A null key is an error, as it would be another row in every rerun.
+        ``wide`` has the key and the columns that the batch has not, one row a key at most (long
+        texts, say): they join the batch where it is written, and are dealt only there."""
+        given = {f.name: f for f in (*(wide.schema.fields if wide is not None else ()), *batch.schema.fields)}
+        now, known = self._bucketed(table, key, T.StructType([given[c] for c in columns]), buckets)
         kind = now.schema[key].dataType
         present = [c for c in columns if c != key and c in batch.columns]
-        # one row a key, written: the batch's plan runs once
-        one = cut_lineage(U.collapse_batch(batch.withColumn(key, F.col(key).cast(kind)), key, order,
-                                           [c for c in present if c not in insert_only],
-                                           [c for c in present if c in insert_only]))
-        size = one.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls")).first()
-        if size["nulls"]:
-            raise ValueError(f"a record for table {table!r} has no {key}")
-        if known and not size["n"]:
-            return U.evidence_row(self.spark, table, now.rows, now.rows, 0)
-        total = now.rows + size["n"]
-        new = now.grown(-(-total // self.rows_per_bucket))
-        tasks, n, made = self._tasks(2 * new.modulus, total), self._claim(table), []
-
-        def joined(target: DataFrame | None, own: Column, dealt: int) -> DataFrame:
-            mine = one.where(own).repartition(dealt, key)
-            return U.new_rows(mine, key, columns) if target is None else U.merge_collapsed(
-                target, mine, key, columns, insert_only)
+        batch = batch.withColumn(key, F.col(key).cast(kind))
+        with Scratch(self.spark) as scratch:
+            # one row a key, written: the batch's plan runs once
+            one = U.collapse_batch(batch, key, order, [c for c in present if c not in insert_only],
+                                   [c for c in present if c in insert_only])
+            one = scratch.keep(one)
+            size = one.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("nulls")).first()
+            if size["nulls"]:
+                raise ValueError(f"a record for table {table!r} has no {key}")
+            if known and not size["n"]:
+                return U.evidence_row(self.spark, table, now.rows, now.rows, 0)
+            total = now.rows + size["n"]
+            new = now.grown(-(-total // self.rows_per_bucket))
+            tasks, n, made = self._tasks(2 * new.modulus, total), self._claim(table), []
+
+            def joined(target: DataFrame | None, own: Column, dealt: int) -> DataFrame:
+                mine = one.where(own).repartition(dealt, key) if wide is None else U.dealt_with(
+                    one.where(own), wide.withColumn(key, F.col(key).cast(kind)).where(own), key, dealt)
+                return U.new_rows(mine, key, columns) if target is None else U.merge_collapsed(
+                    target, mine, key, columns, insert_only)
 
-        try:
-            rows, gone = self._rewrite(table, now, new, one, tasks, joined, made)
-            parts, (before, after, records) = U.observed_write(
-                rows, lambda df: self._write_buckets(table, df, new, n, self._keys_a_file(new, total, tasks)))
-        finally:
-            for name in made:
-                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            try:
+                rows, gone = self._rewrite(table, now, new, one, tasks, joined, made)
+                parts, (before, after, records) = U.observed_write(rows, lambda df: self._write_buckets(
+                    table, df, new, n, self._keys_a_file(new, total, tasks), tasks))
+            finally:
+                for name in made:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self._finish(table, now, new, n, gone, parts)
         return U.evidence_row(self.spark, table, now.rows, now.rows + after - before, records)
 
@@ -500,24 +508,25 @@ class TableStore:
             raise ConcurrentCommit(f"{table!r} is no longer at version {base.version}")
         if applied is not None:
             now = replace(now, applied=(*now.applied, applied))
-        rows = cut_lineage(rows.select(*now.schema.names))
-        keys = rows.select(key) if gone is None else rows.select(key).unionByName(gone.select(key))
-        keys = cut_lineage(keys.select(F.col(key).cast(now.schema[key].dataType).alias(key)).distinct())
-        if keys.where(F.col(key).isNull()).limit(1).count():
-            raise ValueError(f"a record for table {table!r} has no {key}")
-        total = now.rows + rows.count()
-        new = now.grown(-(-total // self.rows_per_bucket))
-        tasks, n, made = self._tasks(2 * new.modulus, total), self._claim(table), []
-
-        def joined(target: DataFrame | None, own: Column, dealt: int) -> DataFrame:
-            fresh = rows.where(own).repartition(dealt, key)  # a bucket's rows meet in one task
-            return fresh if target is None else target.join(keys, key, "left_anti").select(
-                *now.schema.names).unionByName(fresh)
+        with Scratch(self.spark) as scratch:
+            rows = scratch.keep(rows.select(*now.schema.names))
+            keys = rows.select(key) if gone is None else rows.select(key).unionByName(gone.select(key))
+            keys = scratch.keep(keys.select(F.col(key).cast(now.schema[key].dataType).alias(key)).distinct())
+            if keys.where(F.col(key).isNull()).limit(1).count():
+                raise ValueError(f"a record for table {table!r} has no {key}")
+            total = now.rows + rows.count()
+            new = now.grown(-(-total // self.rows_per_bucket))
+            tasks, n, made = self._tasks(2 * new.modulus, total), self._claim(table), []
+
+            def joined(target: DataFrame | None, own: Column, dealt: int) -> DataFrame:
+                fresh = rows.where(own).repartition(dealt, key)  # a bucket's rows meet in one task
+                return fresh if target is None else target.join(keys, key, "left_anti").select(
+                    *now.schema.names).unionByName(fresh)
 
-        try:
-            out, old = self._rewrite(table, now, new, keys, tasks, joined, made)
-            parts = self._write_buckets(table, out, new, n, self._keys_a_file(new, total, tasks))
-        finally:
-            for name in made:
-                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            try:
+                out, old = self._rewrite(table, now, new, keys, tasks, joined, made)
+                parts = self._write_buckets(table, out, new, n, self._keys_a_file(new, total, tasks), tasks)
+            finally:
+                for name in made:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self._finish(table, now, new, n, old, parts)
